@@ -16,7 +16,7 @@ _MAX_MILLIS = (2**63 - 1) // 1000
 def event_time(millis: Column) -> Column:
     """Epoch milliseconds to an instant; values out of range give NULL, not an error."""
     in_range = millis.between(F.lit(-_MAX_MILLIS), F.lit(_MAX_MILLIS))
-    return F.when(in_range, F.timestamp_millis(F.when(in_range, millis)))
+    return F.when(in_range, F.timestamp_millis(millis))
 
 
 def bucket(ts: str | Column, width: str = BUCKET) -> Column:
@@ -24,9 +24,5 @@ def bucket(ts: str | Column, width: str = BUCKET) -> Column:
     return F.window(ts, width).alias("window")
 
 
-def hour_of_day(ts: str) -> Column:
-    return F.hour(ts).cast("double")
-
-
 def calendar_day(ts: str) -> Column:
     return F.date_trunc("day", F.col(ts))

@@ -73,22 +73,15 @@ def decode(messages: DataFrame, fields: StructType, carry: tuple[str, ...] = ())
         "message",
         *carry,
         *[_from_text(F.col(f"text_{f.name}"), f.dataType).alias(f.name) for f in fields],
-        (
-            F.col(_CORRUPT).isNotNull()
-            | F.col("message").isNull()
-            | (F.length(F.trim("message")) == 0)
-        ).alias("malformed"),
+        F.col(_CORRUPT).isNotNull().alias("corrupt"),
     ).withColumn("ts", event_time(F.col("time_stamp")))
-    reason = F.when(F.col("malformed"), F.lit(MALFORMED)).when(
-        F.col("ts").isNull(), F.lit(NO_EVENT_TIME)
-    )
+    # A NULL or blank message is not flagged as corrupt; like {} it has no time.
+    usable = ~F.col("corrupt") & F.col("ts").isNotNull()
+    blank = F.col("message").isNull() | (F.length(F.trim("message")) == 0)
+    reason = F.when(F.col("corrupt") | blank, F.lit(MALFORMED)).otherwise(F.lit(NO_EVENT_TIME))
     return Decoded(
-        records=typed.filter(~F.col("malformed") & F.col("ts").isNotNull()).select(
-            *[f.name for f in fields], "ts", *carry
-        ),
-        rejected=typed.filter(F.col("malformed") | F.col("ts").isNull()).select(
-            "message", reason.alias("reason"), *carry
-        ),
+        records=typed.filter(usable).select(*[f.name for f in fields], "ts", *carry),
+        rejected=typed.filter(~usable).select("message", reason.alias("reason"), *carry),
     )
 
 

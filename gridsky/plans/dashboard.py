@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.functions.timing import calendar_day, hour_of_day
+from gridsky.functions.timing import calendar_day
 
 # Default generator of the dashboard variable, trend labels.
 DEFAULT_GENERATOR = "GENERADOR 2"
@@ -112,13 +112,13 @@ def hourly_profile(
     """
     weather = (
         weather_data.filter(F.col("place") == F.lit(place))
-        .groupBy(hour_of_day("time_stamp").alias("hour"))
+        .groupBy(F.hour("time_stamp").alias("hour"))
         .agg(*[F.avg(c).alias(c) for c in ("temp", "dew_point", "uvi", "clouds")])
     )
-    energy = energy_analytics.groupBy(hour_of_day("hour_group").alias("hour")).agg(
+    energy = energy_analytics.groupBy(F.hour("hour_group").alias("hour")).agg(
         F.avg("kwh_prod").alias("kwh_production"), F.avg("kwh_cons").alias("kwh_consumed")
     )
-    return weather.join(energy, "hour")
+    return weather.join(energy, "hour").withColumn("hour", F.col("hour").cast("double"))
 
 
 def _trend(difference: Column) -> Column:
@@ -129,29 +129,29 @@ def _trend(difference: Column) -> Column:
 def daily_change(energy_analytics: DataFrame) -> DataFrame:
     """Each day's totals against the day before, oldest first.
 
-    The join is on equal days: the previous side carries the day it precedes.
+    The shift sits on the current side, so both sides of the join read the same
+    plan and Spark computes the daily totals once.
     """
-    daily = energy_analytics.groupBy(calendar_day("hour_group").alias("current_day")).agg(
-        F.sum("kwh_cons").alias("current_kwh_consumed"),
-        F.sum("kwh_prod").alias("current_kwh_produced"),
-    )
-    previous = daily.select(
-        (F.col("current_day") + F.expr("INTERVAL '1' DAY")).alias("current_day"),
-        F.col("current_kwh_consumed").alias("previous_kwh_consumed"),
-        F.col("current_kwh_produced").alias("previous_kwh_produced"),
+    daily = (
+        energy_analytics.filter(F.col("hour_group").isNotNull())
+        .groupBy(calendar_day("hour_group").alias("day"))
+        .agg(F.sum("kwh_cons").alias("consumed"), F.sum("kwh_prod").alias("produced"))
+        .filter(F.col("day").isNotNull())
     )
-    consumption = F.col("current_kwh_consumed") - F.col("previous_kwh_consumed")
-    production = F.col("current_kwh_produced") - F.col("previous_kwh_produced")
+    day_before = F.col("current.day") - F.expr("INTERVAL '1' DAY")
+    consumption = F.col("current.consumed") - F.col("previous.consumed")
+    production = F.col("current.produced") - F.col("previous.produced")
     return (
-        daily.join(previous, "current_day", "left")
+        daily.alias("current")
+        .join(daily.alias("previous"), day_before == F.col("previous.day"), "left")
         .select(
-            "current_day",
-            "current_kwh_consumed",
-            "previous_kwh_consumed",
+            F.col("current.day").alias("current_day"),
+            F.col("current.consumed").alias("current_kwh_consumed"),
+            F.col("previous.consumed").alias("previous_kwh_consumed"),
             consumption.alias("consumption_difference"),
             _trend(consumption).alias("consumption_difference_label"),
-            "current_kwh_produced",
-            "previous_kwh_produced",
+            F.col("current.produced").alias("current_kwh_produced"),
+            F.col("previous.produced").alias("previous_kwh_produced"),
             production.alias("production_difference"),
             _trend(production).alias("production_difference_label"),
         )

@@ -135,8 +135,7 @@ _STATEMENTS = {
   SELECT '{"time_stamp":' || time_stamp::VARCHAR || ',"lat":' || lat::VARCHAR || ',"lon":'
          || lon::VARCHAR || ',"place":"' || place || '","temp":' || temp::VARCHAR
          || ',"dew_point":' || dew_point::VARCHAR || ',"uvi":'
-         || CASE WHEN uvi > 0 AND uvi < 0.001
-                 THEN regexp_replace(format('{:.1E}', uvi), 'E-0*', 'E-') ELSE uvi::VARCHAR END
+         || replace(regexp_replace(uvi::VARCHAR, '^0\\.000(\\d)(\\d*)$', '\\1.\\2E-4'), '.E', '.0E')
          || ',"clouds":' || clouds::VARCHAR || '}' AS value
   FROM weather_record""",
     "decode_energy": """
@@ -230,9 +229,9 @@ _STATEMENTS = {
     # The join as stated, averaged afterwards.
     "hourly_profile": """
   SELECT date_part('hour', time_stamp)::DOUBLE AS hour,
-         round(avg(temp), 5) AS temp, round(avg(dew_point), 5) AS dew_point,
-         round(avg(uvi), 5) AS uvi, round(avg(clouds), 5) AS clouds,
-         round(avg(kwh_prod), 5) AS kwh_production, round(avg(kwh_cons), 5) AS kwh_consumed
+         round(avg(temp), 8) AS temp, round(avg(dew_point), 8) AS dew_point,
+         round(avg(uvi), 8) AS uvi, round(avg(clouds), 8) AS clouds,
+         round(avg(kwh_prod), 8) AS kwh_production, round(avg(kwh_cons), 8) AS kwh_consumed
   FROM weather_data JOIN energy_analytics
     ON date_part('hour', time_stamp) = date_part('hour', hour_group)
   WHERE place = 'mall' GROUP BY 1""",

@@ -212,9 +212,10 @@ def all_queries() -> dict[str, Query]:
         "avg_per_degree": _over(lambda t: dashboard.avg_per_degree(t.energy_weather)),
         "avg_by_rain": _over(lambda t: dashboard.avg_by_rain(t.energy_weather)),
         "latest_ratio": _over(lambda t: dashboard.latest_ratio(t.energy_analytics)),
-        # Averages of two-digit values over 32n rows can end exactly halfway at 6 digits.
+        # Averages of n readings with four decimals end exactly halfway between two
+        # values of d digits when 2**(d - 3) divides n: more digits, fewer such ties.
         "hourly_profile": _over(
-            lambda t: dashboard.hourly_profile(t.weather_data, t.energy_analytics), 5
+            lambda t: dashboard.hourly_profile(t.weather_data, t.energy_analytics), 8
         ),
         "daily_change": _over(lambda t: dashboard.daily_change(t.energy_analytics)),
         "generator_ids": _over(lambda t: dashboard.generator_ids(t.point_data)),

@@ -1,7 +1,7 @@
 """Message streams over Kafka topics or landed text files.
 
-Every reader gives ``value`` (the message text) and ``arrival`` (a struct that
-orders messages as they came in). The Kafka connector is supplied at submit
+Every reader gives ``value`` (the message text) and ``arrival``, a struct that
+orders messages as they came in. The Kafka connector is supplied at submit
 time with ``--packages``; here only its options are built.
 """
 
@@ -58,12 +58,11 @@ def read_kafka(
 
 
 def _file_position() -> Column:
-    # Position inside a file: the block a task reads, then the row in the task.
+    # Lines of one block keep their order in the task that reads them.
     return F.struct(
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
 
 

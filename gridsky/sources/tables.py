@@ -28,12 +28,14 @@ _ONE_ROW_PER_KEY = ("energy_analytics", "energy_weather_analytics")
 def one_per_key(rows: DataFrame, table: str) -> DataFrame:
     """The rows a keyed table takes: full keys, and the last to arrive for each.
 
-    Without an ``arrival`` column there is no last, and any row of a key is kept.
+    Rows of equal ``arrival`` (lines of one file block) go by their order in the
+    task that read them. Without that column any row of a key is kept.
     """
     whole, _ = split_null_keys(rows, KEYS[table])
     if table not in _ONE_ROW_PER_KEY:
         if "arrival" in rows.columns:
-            whole = latest_by_key(whole, KEYS[table], ("arrival",))
+            numbered = whole.withColumn("_line", F.monotonically_increasing_id())
+            whole = latest_by_key(numbered, KEYS[table], ("arrival", "_line"))
         else:
             whole = whole.dropDuplicates(list(KEYS[table]))
     return whole.select(*SERVING[table].names)

@@ -44,19 +44,6 @@ def start_tables(
     return started
 
 
-def print_tables(tables: dict[str, DataFrame], checkpoints: str) -> dict[str, StreamingQuery]:
-    """Dry run: print every table's new rows, under its name, instead of writing."""
-    return {
-        name: rows.writeStream.queryName(name)
-        .outputMode("append")
-        .format("console")
-        .option("truncate", "false")
-        .option("checkpointLocation", f"{checkpoints}/{name}")
-        .start()
-        for name, rows in tables.items()
-    }
-
-
 def quarantine_rejects(decoded: Decoded, path: str, checkpoint: str, name: str) -> StreamingQuery:
     """Keep the messages that gave no record, and count them by reason.
 

@@ -6,10 +6,11 @@ them can be replayed: the same batch written twice leaves one copy.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gridsky.operators.decode import split_null_keys
 from gridsky.schemas import KEYS, SERVING
@@ -17,6 +18,11 @@ from gridsky.sources.tables import append_batch, merge_statement, one_per_key
 
 BatchSink = Callable[[DataFrame, int], None]
 
+def _print_lines(rows: Iterable) -> None:
+    for row in rows:
+        print(row.line, flush=True)
+
+
 @dataclass(frozen=True)
 class TableSink:
     """Upsert into a live Parquet table under ``root``.
@@ -64,6 +70,22 @@ class TableSink:
         )
 
 
+@dataclass(frozen=True)
+class PrintSink:
+    """Dry run: every row goes to the output of the task that has it, after the table's name."""
+
+    @staticmethod
+    def lines(batch: DataFrame, table: str) -> DataFrame:
+        row = F.to_json(F.struct(*SERVING[table].names), {"ignoreNullFields": "false"})
+        return batch.select(F.concat(F.lit(f"{table}> "), row).alias("line"))
+
+    def __call__(self, table: str) -> BatchSink:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.lines(batch, table).foreachPartition(_print_lines)
+
+        return write
+
+
 @dataclass(frozen=True)
 class JdbcSink:
     """Upsert into a relational table: stage the batch, then merge it by key.

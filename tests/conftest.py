@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import os
+import sys
+from datetime import datetime
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from gridsky.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "gridsky-tests",
+        master="local[4]",
+        shuffle_partitions=4,
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.driver.memory": "4g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def energy(spark):
+    """Build energy records from (minute, place, generation, value) tuples of one hour."""
+
+    def build(rows):
+        return spark.createDataFrame(
+            [
+                (f"2024-06-18 16:{m:02d}:00" if m is not None else None, p, g, v)
+                for m, p, g, v in rows
+            ],
+            "t string, place string, generation boolean, value double",
+        ).selectExpr("cast(t as timestamp) as ts", "place", "generation", "value")
+
+    return build
+
+
+@pytest.fixture
+def weather(spark):
+    def build(rows):
+        return spark.createDataFrame(
+            [(f"2024-06-18 16:{m:02d}:00", p, t, d) for m, p, t, d in rows],
+            "t string, place string, temp double, dew_point double",
+        ).selectExpr(
+            "cast(t as timestamp) as ts", "place", "temp", "dew_point",
+            "1.0D as uvi", "50.0D as clouds",
+        )
+
+    return build
+
+
+def at(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
+def rows_of(frame, *order):
+    """Rows as tuples, times as text in UTC so that the machine's zone plays no part."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+
+    shown = frame.select(
+        *[
+            F.col(f.name).cast("string").alias(f.name)
+            if isinstance(f.dataType, TimestampType)
+            else F.col(f.name)
+            for f in frame.schema
+        ]
+    )
+    return [tuple(r) for r in (shown.orderBy(*order) if order else shown).collect()]

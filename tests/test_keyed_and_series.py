@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridsky.operators.keyed import last_not_null, latest_by_key
+from gridsky.operators.series import (
+    SITES,
+    energy_feed,
+    series_last,
+    series_range,
+    series_window_mean,
+    site_readings,
+    tag_site,
+)
+from gridsky.schemas import SERIES
+from gridsky.sources.landed import read_series
+from tests.conftest import rows_of
+
+NOW = datetime(2024, 6, 20, 12, 0)
+
+
+@pytest.fixture
+def series(spark):
+    def build(*rows):
+        return spark.createDataFrame(
+            rows, "bucket string, _measurement string, ID string, _field string, t string, _value double"
+        ).select(
+            "bucket", "_measurement", "ID", "_field", F.col("t").cast("timestamp").alias("_time"), "_value"
+        )
+
+    return build
+
+
+def test_latest_by_key_keeps_the_last_arrival(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "old"), ("a", 3, "new"), ("a", 2, "mid"), ("b", 9, "only")],
+        "k string, n int, v string",
+    )
+    assert rows_of(latest_by_key(rows, ("k",), ("n",)), "k") == [("a", 3, "new"), ("b", 9, "only")]
+
+
+def test_latest_by_key_cuts_a_hot_key_before_the_shuffle(spark):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("if(id % 3 > 0, 0, id) as k", "id as n")
+    latest = latest_by_key(rows, ("k",), ("n",))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    final, partial = plan.index("1, Final"), plan.index("1, Partial")
+    assert final < plan.index("Exchange hashpartitioning") < partial
+    assert latest.filter("k = 0").first().n == 3998
+
+
+def test_last_not_null(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 1.0, None), (2, "a", None, None), (3, "b", None, 7.0)],
+        "t int, k string, x double, y double",
+    )
+    assert rows_of(last_not_null(rows, "t", ("x", "y"))) == [(1.0, 7.0)]
+    assert rows_of(last_not_null(rows, "t", ("x", "y"), ("k",)), "k") == [
+        ("a", 1.0, None), ("b", None, 7.0),
+    ]
+
+
+def test_range_includes_start_and_excludes_stop(series):
+    rows = series(
+        ("b", "m", "i", "f", "2024-06-20 11:30:00", 1.0),
+        ("b", "m", "i", "f", "2024-06-20 11:29:59.999", 2.0),
+        ("b", "m", "i", "f", "2024-06-20 12:00:00", 3.0),
+        ("b", "m", "i", "g", "2024-06-20 11:45:00", 4.0),
+        ("c", "m", "i", "f", "2024-06-20 11:45:00", 5.0),
+    )
+    got = series_range(rows, NOW, timedelta(minutes=30), "b", "f")
+    assert [r._value for r in got.collect()] == [1.0]
+    assert rows_of(got.select("_start", "_stop")) == [("2024-06-20 11:30:00", "2024-06-20 12:00:00")]
+
+
+def test_window_mean_is_end_stamped_and_cut_at_now(series):
+    rows = series(
+        ("b", "m", "i", "f", "2024-06-20 11:35:00", 1.0),
+        ("b", "m", "i", "f", "2024-06-20 11:36:00", 3.0),
+        ("b", "m", "i", "f", "2024-06-20 11:59:00", 5.0),
+    )
+    means = series_window_mean(series_range(rows, NOW, timedelta(hours=1)), "31 minutes")
+    got = rows_of(means.select("_time", "_value"), "_time")
+    # Windows are counted from 1970; the second one is cut at the range stop.
+    epoch, width = datetime(1970, 1, 1), timedelta(minutes=31)
+    edge = epoch + (datetime(2024, 6, 20, 11, 59) - epoch) // width * width
+    assert got == [(str(edge), 2.0), ("2024-06-20 12:00:00", 5.0)]
+
+
+def test_empty_windows_do_not_appear(series):
+    rows = series(
+        ("b", "m", "i", "f", "2024-06-20 08:00:00", 1.0),
+        ("b", "m", "i", "f", "2024-06-20 11:00:00", 3.0),
+    )
+    assert series_window_mean(series_range(rows, NOW, timedelta(days=1)), "5 minutes").count() == 2
+
+
+def test_last_skips_nulls_and_breaks_ties_by_id(series):
+    rows = series(
+        ("b", "m", "i1", "f", "2024-06-20 11:00:00", 1.0),
+        ("b", "m", "i2", "f", "2024-06-20 11:00:00", 2.0),
+        ("b", "m", "i3", "f", "2024-06-20 11:30:00", None),
+        ("b", "n", "i1", "f", "2024-06-20 10:00:00", 3.0),
+    )
+    merged = series_last(rows, ("_measurement",))
+    assert rows_of(merged.select("_measurement", "ID", "_value"), "_measurement") == [
+        ("m", "i2", 2.0), ("n", "i1", 3.0),
+    ]
+    assert merged.columns == rows.columns
+    assert series_last(rows).count() == 3
+
+
+def test_site_feeds_union_and_drop(series):
+    rows = series(
+        ("site_hydro", "MET01", "g1", "kW_tot", "2024-06-20 11:50:00", 4.0),
+        ("site_hydro", "MET01", "g2", "kW_tot", "2024-06-20 11:55:00", 6.0),
+        ("site_solar", "MET01", "MET01", "kW_tot", "2024-06-02 11:55:00", 8.0),
+        ("site_solar", "MET01", "MET02", "kW_tot", "2024-06-19 11:55:00", 9.0),
+        ("site_mall", "m", "a", "kw_tot", "2024-06-20 01:00:00", 1.0),
+        ("site_mall", "m", "b", "kw_tot", "2024-06-20 02:00:00", 2.0),
+        ("site_mall", "m", "b", "kW_tot", "2024-06-20 02:00:00", 99.0),
+    )
+    got = rows_of(energy_feed(rows, NOW), "place", "ID")
+    # Hydro readings share a window that ends now; of equal times the greater ID is last.
+    assert got == [
+        ("g2", 6.0, "hydro", True, "hydro"),
+        ("a", 1.0, "mall", False, "-"),
+        ("b", 2.0, "mall", False, "-"),
+        ("MET01", 8.0, "solar", True, "solar"),
+    ]
+    hydro, solar, _ = SITES
+    assert "_time" in site_readings(rows, hydro, NOW).columns
+    assert {"_start", "_stop"} <= set(site_readings(rows, solar, NOW).columns)
+    assert "_time" not in site_readings(rows, solar, NOW).columns
+
+
+def test_tag_site(spark):
+    assert rows_of(tag_site(spark.range(1), "mall", False, "-")) == [(0, "mall", False, "-")]
+
+
+def test_series_folder_is_pruned_by_day(spark, series, tmp_path):
+    path = str(tmp_path / "series")
+    rows = series(
+        *[("b", "m", "i", "f", f"2024-06-{d} 11:00:00", float(d)) for d in range(10, 21)]
+    )
+    rows.withColumn("day", F.to_date("_time")).write.partitionBy("day").parquet(path)
+    stored = read_series(spark, path)
+    assert stored.columns == [*SERIES.names, "day"]
+    ranged = series_range(stored, NOW, timedelta(days=1), "b")
+    assert [r._value for r in ranged.collect()] == [20.0]
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1]
+    assert "2024-06-19" in pruned or "19893" in pruned

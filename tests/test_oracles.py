@@ -1,0 +1,65 @@
+"""Every named query against its SQL in DuckDB, on the shared tables."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import pytest
+
+import __spark_entry__ as entry_module
+
+SF = os.environ.get("GRIDSKY_TEST_SF", "/root/testdata/sf0.01")
+duckdb = pytest.importorskip("duckdb")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
+
+QUERIES = entry_module.queries()
+ORACLES = entry_module.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float) and math.isnan(value):
+        return None
+    return value
+
+
+def _rows(columns, rows):
+    place = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(repr(tuple(_plain(r[i]) for i in place)) for r in rows)
+
+
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, duck, name):
+    frame = QUERIES[name](spark, SF)
+    expected = duck.execute(ORACLES[name])
+    names = [d[0] for d in expected.description]
+    assert sorted(frame.columns) == sorted(names)
+    got = _rows(frame.columns, [tuple(r) for r in frame.collect()])
+    want = _rows(names, expected.fetchall())
+    assert len(got) == len(want) > 0
+    assert got == want
+
+
+def test_entry_runs(spark):
+    frame = entry_module.entry(spark)
+    assert frame.columns == [
+        "hour_group",
+        "place",
+        "kwh_cons_degree",
+        "kwh_prod_with_rain_prob",
+        "kwh_prod_with_no_rain_prob",
+    ]
+    assert frame.count() == 23
