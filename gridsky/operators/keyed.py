@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
 def latest_by_key(rows: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """The row with the greatest ``order`` for each key.
 
-    Written as ``row_number() = 1``: Spark then keeps one row per key and task
-    before the shuffle, so a key that holds most of the rows costs no more than
-    any other. ``order`` should be unique within a key.
+    An aggregate, so every task passes on one row per key and a key that holds
+    most of the rows costs no more than any other; it needs no ordering within
+    the key, as ``row_number`` would. ``order`` should be unique within a key.
     """
-    newest_first = W.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return (
-        rows.withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+    rest = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*rest), F.struct(*order)).alias("_newest")
+    )
+    return newest.select(
+        *[F.col(c) if c in keys else F.col(f"_newest.{c}") for c in rows.columns]
     )
 
 

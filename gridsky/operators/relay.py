@@ -11,30 +11,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def canonical_json(message: str) -> str:
-    """Parse and write again; raises ValueError on malformed input."""
-    return json.dumps(json.loads(message))
-
-
 def relay_json(
     messages: DataFrame,
-    fn: Callable[[str], str] = canonical_json,
+    fn: Callable[[str], str] | None = None,
     on_error: str = "fail",
 ) -> DataFrame:
     """Apply ``fn`` to every ``value``, in Arrow batches; other columns pass through.
 
-    ``on_error='fail'`` lets an exception end the job; ``'null'`` gives NULL for
-    that message. A NULL message stays NULL.
+    Without ``fn`` the message is parsed and written again. An exception ends the
+    job under ``on_error='fail'`` and gives NULL for that message under
+    ``'null'``. A NULL message stays NULL.
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
     lenient = on_error == "null"
 
+    # Nested functions travel to the workers by value: the hook needs no package there.
+    def rewritten(message):
+        return json.dumps(json.loads(message))
+
+    hook = fn or rewritten
+
     def one(message):
         if message is None:
             return None
         try:
-            return fn(message)
+            return hook(message)
         except Exception:
             if lenient:
                 return None

@@ -129,15 +129,13 @@ def _relayed(t: Tables) -> DataFrame:
     return relay_json(t.events.select("event_id", F.col("props").alias("value")))
 
 
-def _mark(message: str) -> str:
-    data = json.loads(message)
-    data["relayed"] = True
-    return json.dumps(data)
-
-
 def _relayed_with_hook(t: Tables) -> DataFrame:
-    messages = t.events.select("event_id", F.col("props").alias("value"))
-    return relay_json(messages, _mark)
+    def mark(message):
+        data = json.loads(message)
+        data["relayed"] = True
+        return json.dumps(data)
+
+    return relay_json(t.events.select("event_id", F.col("props").alias("value")), mark)
 
 
 def _replay(table: str) -> Query:

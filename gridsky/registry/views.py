@@ -78,16 +78,19 @@ def energy_record(events: DataFrame) -> DataFrame:
 
 
 def weather_record(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("double")
-    return events.filter(F.col("event_type").isin(*_WEATHER_TYPES)).select(
+    # A column of its own: used twice, Spark does not parse it twice.
+    parsed = events.filter(F.col("event_type").isin(*_WEATHER_TYPES)).withColumn(
+        "k", F.get_json_object("props", "$.k").cast("double")
+    )
+    return parsed.select(
         F.unix_millis("ts").alias("time_stamp"),
         _coordinate(0).alias("lat"),
         _coordinate(1).alias("lon"),
         _place().alias("place"),
         (F.col("value") / 10).alias("temp"),
-        (k / 5).alias("dew_point"),
+        (F.col("k") / 5).alias("dew_point"),
         (F.col("value") / 100).alias("uvi"),
-        k.alias("clouds"),
+        F.col("k").alias("clouds"),
         "ts",
         "event_id",
         "event_type",

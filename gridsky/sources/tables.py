@@ -9,6 +9,9 @@ so a filter on ``day`` prunes folders before rows are compared.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
@@ -41,38 +44,51 @@ def one_per_key(rows: DataFrame, table: str) -> DataFrame:
     return whole.select(*SERVING[table].names)
 
 
-def spread_by_day(rows: DataFrame, keys: tuple[str, ...], files_per_day: int) -> DataFrame:
-    """Shuffle to ``files_per_day`` writers per day.
+def by_day(rows: DataFrame) -> DataFrame:
+    """Gather each day for writing, in partitions of the advisory size.
+
+    With adaptive execution a rebalance joins small days into one task and splits
+    a day that holds most of the rows over several.
+    """
+    return rows.hint("rebalance", "day")
+
+
+@contextmanager
+def adaptive(session: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the writes of a micro-batch.
 
-    One writer per day would put a day that holds most of the rows into one
-    task; no shuffle would write a file per day from every task.
+    A streaming query turns it off in its own session, for the sake of stateful
+    shuffles. The rows handed to ``foreachBatch`` are past those.
     """
-    lane = F.pmod(F.hash(*keys), F.lit(files_per_day))
-    return rows.repartition("day", lane)
+    name = "spark.sql.adaptive.enabled"
+    before = session.conf.get(name)
+    session.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(name, before)
 
 
 def with_day(rows: DataFrame, table: str) -> DataFrame:
     return rows.withColumn("day", F.to_date(EVENT_TIME[table]))
 
 
-def append_batch(
-    rows: DataFrame, path: str, table: str, run: int, batch: int, files_per_day: int
-) -> None:
+def append_batch(rows: DataFrame, path: str, table: str, run: int, batch: int) -> None:
     """Write one micro-batch of a live table; writing it again replaces it.
 
     A day the first attempt wrote and the second did not cannot exist: a batch
     is replayed from the same source offsets.
     """
-    placed = spread_by_day(with_day(rows, table), KEYS[table], files_per_day)
-    (
-        placed.withColumns(
-            {"run": F.lit(run).cast("int"), "batch": F.lit(batch).cast("bigint")}
+    labels = {"run": F.lit(run).cast("int"), "batch": F.lit(batch).cast("bigint")}
+    with adaptive(rows.sparkSession):
+        (
+            by_day(with_day(rows, table))
+            .withColumns(labels)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "run", "batch")
+            .parquet(path)
         )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "run", "batch")
-        .parquet(path)
-    )
 
 
 def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -84,14 +100,14 @@ def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
     return latest_by_key(stored, ("day", *KEYS[table]), ("run", "batch")).drop("run", "batch")
 
 
-def write_serving(rows: DataFrame, path: str, table: str, files_per_day: int = 8) -> None:
+def write_serving(rows: DataFrame, path: str, table: str) -> None:
     """Write ``rows``, one per key, as a plain day-partitioned table.
 
     Only the days present in ``rows`` are replaced.
     """
     source = rows if "day" in rows.columns else with_day(rows, table)
     (
-        spread_by_day(source, KEYS[table], files_per_day)
+        by_day(source)
         .sortWithinPartitions("day", EVENT_TIME[table])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -18,11 +18,6 @@ from gridsky.sources.tables import append_batch, merge_statement, one_per_key
 
 BatchSink = Callable[[DataFrame, int], None]
 
-def _print_lines(rows: Iterable) -> None:
-    for row in rows:
-        print(row.line, flush=True)
-
-
 @dataclass(frozen=True)
 class TableSink:
     """Upsert into a live Parquet table under ``root``.
@@ -34,7 +29,6 @@ class TableSink:
 
     root: str
     run: int = 0
-    files_per_day: int = 8
     quarantine: str | None = None
 
     def path(self, table: str) -> str:
@@ -60,14 +54,7 @@ class TableSink:
         return write
 
     def _append(self, batch: DataFrame, table: str, batch_id: int) -> None:
-        append_batch(
-            one_per_key(batch, table),
-            self.path(table),
-            table,
-            self.run,
-            batch_id,
-            self.files_per_day,
-        )
+        append_batch(one_per_key(batch, table), self.path(table), table, self.run, batch_id)
 
 
 @dataclass(frozen=True)
@@ -80,8 +67,12 @@ class PrintSink:
         return batch.select(F.concat(F.lit(f"{table}> "), row).alias("line"))
 
     def __call__(self, table: str) -> BatchSink:
+        def print_lines(rows: Iterable) -> None:
+            for row in rows:
+                print(row.line, flush=True)
+
         def write(batch: DataFrame, batch_id: int) -> None:
-            self.lines(batch, table).foreachPartition(_print_lines)
+            self.lines(batch, table).foreachPartition(print_lines)
 
         return write
 

@@ -68,7 +68,7 @@ def test_recent_days_of_an_empty_table(points):
 
 def test_recent_days_prunes_folders(spark, points, tmp_path):
     path = str(tmp_path / "point_data")
-    write_serving(points, path, "point_data", files_per_day=1)
+    write_serving(points, path, "point_data")
     stored = read_serving(spark, path, "point_data")
     recent = dashboard.recent_days(stored)
     assert rows_of(recent) == rows_of(_literal_recent_days(points))

@@ -46,9 +46,16 @@ def test_latest_by_key_cuts_a_hot_key_before_the_shuffle(spark):
     rows = spark.range(0, 4000, 1, 4).selectExpr("if(id % 3 > 0, 0, id) as k", "id as n")
     latest = latest_by_key(rows, ("k",), ("n",))
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    final, partial = plan.index("1, Final"), plan.index("1, Partial")
-    assert final < plan.index("Exchange hashpartitioning") < partial
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_max_by")
     assert latest.filter("k = 0").first().n == 3998
+    assert latest.columns == ["k", "n"]
+
+
+def test_latest_by_key_keeps_keys_without_order(spark):
+    rows = spark.createDataFrame(
+        [(None, None, "x"), ("a", None, "y"), ("a", 1, None)], "k string, n int, v string"
+    )
+    assert rows_of(latest_by_key(rows, ("k",), ("n",)), "k") == [(None, None, "x"), ("a", 1, None)]
 
 
 def test_last_not_null(spark):

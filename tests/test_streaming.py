@@ -94,7 +94,7 @@ def run(session, landings, tmp_path, names=None, sink=None):
     wanted = tables(session, landings)
     if names:
         wanted = {n: wanted[n] for n in names}
-    sink = sink or TableSink(str(tmp_path / "live"), files_per_day=1)
+    sink = sink or TableSink(str(tmp_path / "live"))
     queries = start_tables(wanted, sink, str(tmp_path / "checkpoints"), available_now=True)
     await_all(queries.values())
     return queries, sink
@@ -178,7 +178,7 @@ def test_replay_from_the_start_changes_nothing(spark, session, landings, tmp_pat
     close(landings)
     _, sink = run(session, landings, tmp_path)
     before = {n: stored(spark, sink, n) for n in KEYS}
-    again = TableSink(sink.root, run=1, files_per_day=1)
+    again = TableSink(sink.root, run=1)
     (tmp_path / "second").mkdir()
     run(session, landings, tmp_path / "second", sink=again)
     assert {n: stored(spark, sink, n) for n in KEYS} == before

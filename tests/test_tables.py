@@ -55,7 +55,7 @@ def test_later_batches_and_runs_win(spark, tmp_path):
     path = str(tmp_path / "live")
 
     def put(run, batch, *rows):
-        append_batch(_points(spark, *rows).drop("arrival"), path, "point_data", run, batch, 2)
+        append_batch(_points(spark, *rows).drop("arrival"), path, "point_data", run, batch)
 
     put(0, 9, ("2024-01-01", "a", "p", 1.0, 0), ("2024-01-02", "a", "p", 2.0, 0))
     put(0, 10, ("2024-01-01", "a", "p", 3.0, 0))
@@ -71,39 +71,40 @@ def test_replayed_batch_leaves_one_copy(spark, tmp_path):
     path = str(tmp_path / "live")
     rows = _points(spark, *[(f"2024-01-0{d}", "a", "p", 1.0, 0) for d in (1, 2, 3)]).drop("arrival")
     for _ in range(2):
-        append_batch(rows, path, "point_data", 0, 5, 2)
+        append_batch(rows, path, "point_data", 0, 5)
     assert spark.read.parquet(path).count() == 3
 
 
 def test_live_table_prunes_days(spark, tmp_path):
     path = str(tmp_path / "live")
     rows = _points(spark, *[(f"2024-01-0{d}", "a", "p", 1.0, 0) for d in (1, 2, 3)]).drop("arrival")
-    append_batch(rows, path, "point_data", 0, 0, 1)
+    append_batch(rows, path, "point_data", 0, 0)
     some = read_live(spark, path, "point_data").filter(days_between("2024-01-02", "2024-01-03"))
     assert some.count() == 2
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
-def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
+@pytest.mark.parametrize("advisory,files", [("64MB", (1, 1)), ("4KB", (2, 4))])
+def test_hot_day_is_split_and_small_days_are_not(spark, tmp_path, advisory, files):
     path = str(tmp_path / "t")
-    rows = spark.range(1000).select(
-        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1000).alias("time_stamp"),
+    rows = spark.range(0, 4000, 1, 4).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("time_stamp"),
         F.col("id").cast("string").alias("id"),
         F.lit("p").alias("place"),
         F.lit(True).alias("generation"),
         F.lit("-").alias("type_gen"),
-        F.lit(1.0).alias("kwh"),
+        F.rand(1).alias("kwh"),
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
     try:
-        write_serving(rows, path, "point_data", files_per_day=8)
+        write_serving(rows, path, "point_data")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     stored = read_serving(spark, path, "point_data")
-    assert stored.count() == 1000
-    # Eight lanes fall into the session's four shuffle partitions.
-    assert 1 < stored.select("_metadata.file_name").distinct().count() <= 4
+    assert stored.count() == 4000
+    written = stored.select("_metadata.file_name").distinct().count()
+    assert files[0] <= written <= files[1]
 
 
 def test_rewriting_a_day_keeps_the_others(spark, tmp_path):
