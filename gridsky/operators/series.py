@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridsky.operators.keyed import latest_by_key
 from gridsky.schemas import SERIES_KEY
 
 
@@ -68,16 +69,8 @@ def series_last(
     group: tuple[str, ...] = SERIES_KEY,
     order: tuple[str, ...] = ("_time", "ID"),
 ) -> DataFrame:
-    """The newest reading with a value in each group; equal times go by ID.
-
-    ``max_by`` combines before the shuffle: one row per group and task.
-    """
-    present = series.filter(F.col("_value").isNotNull())
-    rest = [c for c in series.columns if c not in group]
-    last = present.groupBy(*group).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
-    )
-    return last.select(*group, "last.*").select(*series.columns)
+    """The newest reading with a value in each group; equal times go by ID."""
+    return latest_by_key(series.filter(F.col("_value").isNotNull()), group, order)
 
 
 @dataclass(frozen=True)

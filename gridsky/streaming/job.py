@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from gridsky.operators.decode import Decoded
+from gridsky.operators.decode import Decoded, decode_energy, decode_weather
 from gridsky.plans.job import job_tables
 from gridsky.sources.tables import one_per_key, write_serving
 from gridsky.streaming.sinks import BatchSink
@@ -36,15 +37,53 @@ def start_tables(
             .option("checkpointLocation", f"{checkpoints}/{name}")
             .foreachBatch(sink(name))
         )
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        elif interval:
-            writer = writer.trigger(processingTime=interval)
-        started[name] = writer.start()
+        started[name] = _paced(writer, available_now, interval).start()
     return started
 
 
-def quarantine_rejects(decoded: Decoded, path: str, checkpoint: str, name: str) -> StreamingQuery:
+def _paced(
+    writer: DataStreamWriter, available_now: bool, interval: str | None
+) -> DataStreamWriter:
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=interval) if interval else writer
+
+
+def start_job(
+    energy_messages: DataFrame,
+    weather_messages: DataFrame,
+    sink: Sink,
+    checkpoints: str,
+    rejects: str | None = None,
+    available_now: bool = False,
+    interval: str | None = None,
+) -> dict[str, StreamingQuery]:
+    """The whole job: decode both message streams and start a query per table.
+
+    Messages come with their ``arrival`` from :mod:`gridsky.sources.messages`.
+    With ``rejects`` set, what cannot be decoded is kept under that path.
+    """
+    carry = ("arrival",)
+    energy = decode_energy(energy_messages, carry)
+    weather = decode_weather(weather_messages, carry)
+    tables = job_tables(energy.records, weather.records, carry)
+    started = start_tables(tables, sink, checkpoints, available_now, interval)
+    if rejects:
+        for name, decoded in (("energy_rejects", energy), ("weather_rejects", weather)):
+            started[name] = quarantine_rejects(
+                decoded, f"{rejects}/{name}", f"{checkpoints}/{name}", name, available_now, interval
+            )
+    return started
+
+
+def quarantine_rejects(
+    decoded: Decoded,
+    path: str,
+    checkpoint: str,
+    name: str,
+    available_now: bool = False,
+    interval: str | None = None,
+) -> StreamingQuery:
     """Keep the messages that gave no record, and count them by reason.
 
     The counts are in the query's progress, under the observation ``rejected``.
@@ -54,15 +93,15 @@ def quarantine_rejects(decoded: Decoded, path: str, checkpoint: str, name: str)
         F.count_if(F.col("reason") == "malformed").alias("malformed"),
         F.count_if(F.col("reason") == "no_event_time").alias("no_event_time"),
     )
-    return (
+    writer = (
         counted.select("message", "reason")
         .writeStream.queryName(name)
         .outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .start()
     )
+    return _paced(writer, available_now, interval).start()
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:

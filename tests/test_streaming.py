@@ -13,6 +13,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from gridsky.operators.decode import decode_energy, decode_weather
+from gridsky.operators.relay import relay_json
 from gridsky.plans.job import job_tables
 from gridsky.schemas import KEYS
 from gridsky.session import streaming_session
@@ -20,8 +21,8 @@ from gridsky.sources.messages import read_text_messages
 from gridsky.sources.tables import read_live
 from gridsky.streaming.job import (
     await_all,
-    quarantine_rejects,
     set_watermark_policy,
+    start_job,
     start_tables,
 )
 from gridsky.streaming.sinks import PrintSink, TableSink
@@ -229,17 +230,41 @@ def test_rows_without_key_are_quarantined(spark, session, landings, tmp_path):
 
 
 def test_rejects_are_kept_and_counted(spark, session, landings, tmp_path):
-    energy, _ = landings
+    energy, weather = landings
     energy.add("not json", "{}", energy_message(1), "[1]")
-    decoded = decode_energy(read_text_messages(session, str(energy.path)))
-    query = quarantine_rejects(
-        decoded, str(tmp_path / "rejects"), str(tmp_path / "cp"), "energy_rejects"
-    )
-    query.processAllAvailable()
-    counts = [p.observedMetrics["rejected"] for p in query.recentProgress if p.numInputRows]
-    query.stop()
+    weather.add("", weather_message(1))
+    inputs = [read_text_messages(session, str(x.path)) for x in landings]
+    sink = TableSink(str(tmp_path / "live"))
+    rejects = str(tmp_path / "rejects")
+    queries = start_job(*inputs, sink, str(tmp_path / "cp"), rejects, available_now=True)
+    await_all(queries.values())
+    counts = [
+        p.observedMetrics["rejected"]
+        for p in queries["energy_rejects"].recentProgress
+        if p.numInputRows
+    ]
     assert [(c.malformed, c.no_event_time) for c in counts] == [(2, 1)]
-    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 3
+    assert spark.read.parquet(f"{rejects}/energy_rejects").count() == 3
+    # An empty line is an empty message, and counts as malformed.
+    assert spark.read.parquet(f"{rejects}/weather_rejects").first().reason == "malformed"
+    assert len(stored(spark, sink, "point_data")) == len(stored(spark, sink, "weather_data")) == 1
+
+
+def test_relay_runs_on_a_stream(spark, session, landings, tmp_path):
+    energy, _ = landings
+    energy.add('{"a":1}', '{"b":[2]}')
+    relayed = relay_json(read_text_messages(session, str(energy.path))).select("value")
+    query = (
+        relayed.writeStream.format("text")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == [
+        '{"a": 1}', '{"b": [2]}',
+    ]
 
 
 def test_dry_run_prints_rows_under_the_tables_name(spark, session, landings, tmp_path):
