@@ -39,35 +39,33 @@ point_data AS (
   SELECT ts AS time_stamp, id, place, generation, type_gen, value AS kwh FROM energy_record),
 weather_data AS (
   SELECT ts AS time_stamp, place, temp, dew_point, uvi, clouds FROM weather_record),
+energy_bucketed AS (
+  SELECT *, time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS bucket
+  FROM energy_record),
 energy_window AS (
+  SELECT bucket AS window_start, place,
+         coalesce(sum(value) FILTER (generation), 0) AS kwh_prod,
+         coalesce(sum(value) FILTER (NOT generation), 0) AS kwh_cons
+  FROM energy_bucketed GROUP BY ALL),
+weather_means AS (
   SELECT time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, place,
-         sum(CASE WHEN generation THEN value ELSE 0 END) AS kwh_prod,
-         sum(CASE WHEN NOT generation THEN value ELSE 0 END) AS kwh_cons
-  FROM energy_record GROUP BY 1, 2),
+         avg(temp) AS temp, avg(dew_point) AS dew_point, avg(uvi) AS uvi, avg(clouds) AS clouds
+  FROM weather_record GROUP BY ALL),
 weather_window AS (
-  SELECT time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS window_start, place,
-         avg(temp) AS temp, avg(dew_point) AS dew_point,
-         CASE WHEN avg(temp) - avg(dew_point) <= 0 THEN 'Rain' ELSE 'No Rain' END AS raining_prob,
-         avg(uvi) AS uvi, avg(clouds) AS clouds
-  FROM weather_record GROUP BY 1, 2),
+  SELECT *, if(temp <= dew_point, 'Rain', 'No Rain') AS raining_prob FROM weather_means),
+energy_sums AS (
+  SELECT bucket AS hour_group,
+         coalesce(sum(value) FILTER (generation), 0) AS kwh_prod,
+         coalesce(sum(value) FILTER (NOT generation), 0) AS kwh_cons
+  FROM energy_bucketed GROUP BY ALL),
 energy_analytics AS (
-  SELECT time_bucket(INTERVAL '10 minutes', ts, TIMESTAMP '1970-01-01') AS hour_group,
-         sum(CASE WHEN generation THEN value ELSE 0 END) AS kwh_prod,
-         sum(CASE WHEN NOT generation THEN value ELSE 0 END) AS kwh_cons,
-         CASE WHEN sum(CASE WHEN NOT generation THEN value ELSE 0 END) = 0 THEN NULL
-              ELSE sum(CASE WHEN generation THEN value ELSE 0 END)
-                   / sum(CASE WHEN NOT generation THEN value ELSE 0 END) END AS ratio
-  FROM energy_record GROUP BY 1),
+  SELECT *, kwh_prod / nullif(kwh_cons, 0) AS ratio FROM energy_sums),
 energy_weather_wide AS (
-  SELECT e.window_start AS hour_group, e.place AS place,
-         avg(e.kwh_cons) / avg(w.temp) AS kwh_cons_degree,
-         sum(CASE WHEN raining_prob = 'Rain' THEN kwh_prod ELSE 0 END) AS kwh_prod_with_rain_prob,
-         sum(CASE WHEN NOT raining_prob = 'Rain' THEN kwh_prod ELSE 0 END)
-           AS kwh_prod_with_no_rain_prob,
-         avg(temp) AS temp, avg(dew_point) AS dew_point, avg(uvi) AS uvi, avg(clouds) AS clouds
-  FROM energy_window e JOIN weather_window w
-    ON e.place = w.place AND e.window_start = w.window_start
-  GROUP BY e.window_start, e.place),
+  SELECT window_start AS hour_group, place, kwh_cons / temp AS kwh_cons_degree,
+         if(raining_prob = 'Rain', kwh_prod, 0) AS kwh_prod_with_rain_prob,
+         if(raining_prob = 'Rain', 0, kwh_prod) AS kwh_prod_with_no_rain_prob,
+         temp, dew_point, uvi, clouds
+  FROM energy_window JOIN weather_window USING (window_start, place)),
 energy_weather_analytics AS (
   SELECT hour_group, place, kwh_cons_degree, kwh_prod_with_rain_prob, kwh_prod_with_no_rain_prob
   FROM energy_weather_wide)
@@ -203,14 +201,12 @@ _STATEMENTS = {
          round(arg_max(ratio, hour_group) FILTER (WHERE ratio IS NOT NULL), 6) AS ratio
   FROM energy_analytics""",
     "recent_days": """
-  SELECT time_stamp, round(kwh, 6) AS kwh FROM point_data
-  WHERE time_stamp::DATE IN (SELECT DISTINCT time_stamp::DATE AS day FROM point_data
-                             ORDER BY day DESC LIMIT 3)
-    AND place = 'hydro' AND id = 'GENERADOR 2'
-  ORDER BY time_stamp DESC""",
+  SELECT time_stamp, round(kwh, 6) AS kwh
+  FROM (SELECT *, dense_rank() OVER (ORDER BY time_stamp::DATE DESC) AS newest FROM point_data)
+  WHERE newest <= 3 AND place = 'hydro' AND id = 'GENERADOR 2'""",
     "consumption_by_time": """
   SELECT time_stamp, round(sum(kwh), 6) AS sum FROM point_data
-  WHERE generation = FALSE GROUP BY time_stamp ORDER BY time_stamp DESC""",
+  WHERE NOT generation GROUP BY ALL""",
     "latest_weather_hydro": _LATEST_WEATHER.format("hydro"),
     "latest_weather_mall": _LATEST_WEATHER.format("mall"),
     "recent_balance": """
@@ -226,29 +222,31 @@ _STATEMENTS = {
     "latest_ratio": """
   SELECT hour_group, round(ratio, 6) AS ratio
   FROM energy_analytics ORDER BY hour_group DESC LIMIT 1""",
-    # The join as stated, averaged afterwards.
+    # Joined row by row and averaged afterwards.
     "hourly_profile": """
-  SELECT date_part('hour', time_stamp)::DOUBLE AS hour,
+  SELECT hour::DOUBLE AS hour,
          round(avg(temp), 8) AS temp, round(avg(dew_point), 8) AS dew_point,
          round(avg(uvi), 8) AS uvi, round(avg(clouds), 8) AS clouds,
          round(avg(kwh_prod), 8) AS kwh_production, round(avg(kwh_cons), 8) AS kwh_consumed
-  FROM weather_data JOIN energy_analytics
-    ON date_part('hour', time_stamp) = date_part('hour', hour_group)
-  WHERE place = 'mall' GROUP BY 1""",
+  FROM (SELECT *, hour(time_stamp) AS hour FROM weather_data WHERE place = 'mall')
+  JOIN (SELECT *, hour(hour_group) AS hour FROM energy_analytics) USING (hour)
+  GROUP BY ALL""",
     "daily_change": """
-  SELECT c.day::TIMESTAMP AS current_day,
-         round(c.used, 6) AS current_kwh_consumed, round(p.used, 6) AS previous_kwh_consumed,
-         round(c.used - p.used, 6) AS consumption_difference,
-         CASE WHEN c.used - p.used > 0 THEN 'INCREASE' ELSE 'DECREASE' END
-           AS consumption_difference_label,
-         round(c.made, 6) AS current_kwh_produced, round(p.made, 6) AS previous_kwh_produced,
-         round(c.made - p.made, 6) AS production_difference,
-         CASE WHEN c.made - p.made > 0 THEN 'INCREASE' ELSE 'DECREASE' END
-           AS production_difference_label
-  FROM daily c LEFT JOIN daily p ON c.day = p.day + INTERVAL '1 day'
-  ORDER BY c.day""",
+  SELECT day::TIMESTAMP AS current_day,
+         round(used, 6) AS current_kwh_consumed, round(used_before, 6) AS previous_kwh_consumed,
+         round(used - used_before, 6) AS consumption_difference,
+         if(used > used_before, 'INCREASE', 'DECREASE') AS consumption_difference_label,
+         round(made, 6) AS current_kwh_produced, round(made_before, 6) AS previous_kwh_produced,
+         round(made - made_before, 6) AS production_difference,
+         if(made > made_before, 'INCREASE', 'DECREASE') AS production_difference_label
+  FROM (SELECT *,
+               if(lag(day) OVER days = day - 1, lag(used) OVER days, NULL) AS used_before,
+               if(lag(day) OVER days = day - 1, lag(made) OVER days, NULL) AS made_before
+        FROM (SELECT hour_group::DATE AS day, sum(kwh_cons) AS used, sum(kwh_prod) AS made
+              FROM energy_analytics GROUP BY ALL)
+        WINDOW days AS (ORDER BY day))""",
     "generator_ids": """
-  SELECT DISTINCT id FROM point_data WHERE place = 'hydro' ORDER BY id DESC""",
+  SELECT DISTINCT id FROM point_data WHERE place = 'hydro'""",
     "stream_point_data": """
   SELECT date_trunc('milliseconds', time_stamp) AS time_stamp, id, place, generation, type_gen,
          round(kwh, 6) AS kwh
@@ -265,14 +263,6 @@ _STATEMENTS = {
   WHERE hour_group + INTERVAL '10 minutes' <= least({_ENERGY_MARK}, {_WEATHER_MARK})""",
 }
 
-_DAILY = """,
-daily AS (
-  SELECT date_trunc('day', hour_group) AS day, sum(kwh_cons) AS used, sum(kwh_prod) AS made
-  FROM energy_analytics GROUP BY 1)"""
-
 
 def all_oracles() -> dict[str, str]:
-    return {
-        name: f"WITH {_VIEWS}{_DAILY if name == 'daily_change' else ''} {body}"
-        for name, body in _STATEMENTS.items()
-    }
+    return {name: f"WITH {_VIEWS} {body}" for name, body in _STATEMENTS.items()}

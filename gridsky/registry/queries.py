@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +46,10 @@ HYDRO_WEEK = replace(HYDRO, lookback=timedelta(days=7))
 
 
 def tidy(rows: DataFrame, digits: int = 6) -> DataFrame:
-    columns = []
-    for field in rows.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, DoubleType):
-            column = F.round(column, digits)
-        elif isinstance(field.dataType, TimestampType):
-            column = column.cast("timestamp_ntz")
-        columns.append(column.alias(field.name))
-    return rows.select(*columns)
+    shape = {DoubleType(): f"round(`{{0}}`, {digits})", TimestampType(): "cast(`{0}` AS timestamp_ntz)"}
+    return rows.selectExpr(
+        *[f"{shape.get(f.dataType, '`{0}`').format(f.name)} AS `{f.name}`" for f in rows.schema]
+    )
 
 
 class Tables:
@@ -61,23 +57,32 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.events = views.events(apply_runtime(spark), sf_dir)
-        self.energy = views.energy_record(self.events)
-        self.weather = views.weather_record(self.events)
-        self.series = views.series_raw(self.events)
 
-    @property
+    @cached_property
+    def energy(self) -> DataFrame:
+        return views.energy_record(self.events)
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return views.weather_record(self.events)
+
+    @cached_property
+    def series(self) -> DataFrame:
+        return views.series_raw(self.events)
+
+    @cached_property
     def point_data(self) -> DataFrame:
         return records.point_data(self.energy)
 
-    @property
+    @cached_property
     def weather_data(self) -> DataFrame:
         return records.weather_data(self.weather)
 
-    @property
+    @cached_property
     def energy_analytics(self) -> DataFrame:
         return buckets.energy_analytics(self.energy)
 
-    @property
+    @cached_property
     def energy_weather(self) -> DataFrame:
         return buckets.energy_weather_analytics(self.energy, self.weather)
 

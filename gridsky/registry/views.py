@@ -35,10 +35,6 @@ COORDINATES = {
     "hydro": (15.5, -90.333333),
 }
 
-_ENERGY_TYPES = ("click", "view", "purchase")
-_WEATHER_TYPES = ("signup", "error")
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
@@ -51,46 +47,43 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _by_site(hydro: Column, solar: Column, mall: Column) -> Column:
-    site = F.col("user_id") % 3
-    return F.when(site == 0, hydro).when(site == 1, solar).otherwise(mall)
-
+def _by_site(hydro: object, solar: object, mall: object) -> str:
+    return f"CASE user_id % 3 WHEN 0 THEN {hydro} WHEN 1 THEN {solar} ELSE {mall} END"
 
-def _place() -> Column:
-    return _by_site(F.lit("hydro"), F.lit("solar"), F.lit("mall"))
 
-
-def _coordinate(axis: int) -> Column:
-    return _by_site(*[F.lit(COORDINATES[p][axis]) for p in ("hydro", "solar", "mall")])
+_PLACE = _by_site("'hydro'", "'solar'", "'mall'")
+_LAT, _LON = (
+    _by_site(*[f"{COORDINATES[p][axis]}D" for p in ("hydro", "solar", "mall")]) for axis in (0, 1)
+)
 
 
 def energy_record(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("event_type").isin(*_ENERGY_TYPES)).select(
-        F.unix_millis("ts").alias("time_stamp"),
-        F.concat(F.lit("GENERADOR "), (F.col("user_id") % 4 + 1).cast("string")).alias("id"),
+    return events.filter("event_type IN ('click', 'view', 'purchase')").selectExpr(
+        "unix_millis(ts) AS time_stamp",
+        "concat('GENERADOR ', user_id % 4 + 1) AS id",
         "value",
-        _place().alias("place"),
-        (F.col("user_id") % 3 != 2).alias("generation"),
-        _by_site(F.lit("hydro"), F.lit("solar"), F.lit("-")).alias("type_gen"),
+        f"{_PLACE} AS place",
+        "user_id % 3 <> 2 AS generation",
+        f"""{_by_site("'hydro'", "'solar'", "'-'")} AS type_gen""",
         "ts",
         "event_id",
     )
 
 
 def weather_record(events: DataFrame) -> DataFrame:
-    # A column of its own: used twice, Spark does not parse it twice.
-    parsed = events.filter(F.col("event_type").isin(*_WEATHER_TYPES)).withColumn(
-        "k", F.get_json_object("props", "$.k").cast("double")
+    # k is a column of its own: used twice, Spark does not parse it twice.
+    parsed = events.filter("event_type IN ('signup', 'error')").selectExpr(
+        "*", "cast(get_json_object(props, '$.k') AS double) AS k"
     )
-    return parsed.select(
-        F.unix_millis("ts").alias("time_stamp"),
-        _coordinate(0).alias("lat"),
-        _coordinate(1).alias("lon"),
-        _place().alias("place"),
-        (F.col("value") / 10).alias("temp"),
-        (F.col("k") / 5).alias("dew_point"),
-        (F.col("value") / 100).alias("uvi"),
-        F.col("k").alias("clouds"),
+    return parsed.selectExpr(
+        "unix_millis(ts) AS time_stamp",
+        f"{_LAT} AS lat",
+        f"{_LON} AS lon",
+        f"{_PLACE} AS place",
+        "value / 10 AS temp",
+        "k / 5 AS dew_point",
+        "value / 100 AS uvi",
+        "k AS clouds",
         "ts",
         "event_id",
         "event_type",
@@ -98,30 +91,25 @@ def weather_record(events: DataFrame) -> DataFrame:
 
 
 def series_raw(events: DataFrame) -> DataFrame:
-    kind = F.col("event_type")
-    return events.select(
-        F.when(kind == "view", "site_solar")
-        .when(kind == "purchase", "site_mall")
-        .otherwise("site_hydro")
-        .alias("bucket"),
-        F.concat(F.lit("MET0"), (F.col("user_id") % 2 + 1).cast("string")).alias("_measurement"),
-        F.concat(F.lit("MET0"), (F.col("user_id") % 4 + 1).cast("string")).alias("ID"),
-        F.when(kind == "purchase", "kw_tot")
-        .when(kind.isin("click", "view"), "kW_tot")
-        .otherwise("V_avg")
-        .alias("_field"),
-        F.col("ts").alias("_time"),
-        F.col("value").alias("_value"),
+    return events.selectExpr(
+        """CASE event_type WHEN 'view' THEN 'site_solar' WHEN 'purchase' THEN 'site_mall'
+           ELSE 'site_hydro' END AS bucket""",
+        "concat('MET0', user_id % 2 + 1) AS _measurement",
+        "concat('MET0', user_id % 4 + 1) AS ID",
+        """CASE WHEN event_type = 'purchase' THEN 'kw_tot'
+           WHEN event_type IN ('click', 'view') THEN 'kW_tot' ELSE 'V_avg' END AS _field""",
+        "ts AS _time",
+        "value AS _value",
     )
 
 
 def weather_documents(events: DataFrame) -> DataFrame:
     """Service responses: a signup answered with 200, an error with 500."""
-    current = F.struct("temp", "dew_point", "uvi", "clouds").alias("current")
-    return weather_record(events).select(
+    return weather_record(events).selectExpr(
         "place",
-        F.when(F.col("event_type") == "signup", 200).otherwise(500).alias("status"),
-        F.to_json(F.struct("lat", "lon", current)).alias("body"),
+        "if(event_type = 'signup', 200, 500) AS status",
+        """to_json(named_struct('lat', lat, 'lon', lon, 'current',
+             named_struct('temp', temp, 'dew_point', dew_point, 'uvi', uvi, 'clouds', clouds))) AS body""",
         "event_id",
     )
 

@@ -15,8 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Rewriting a day of a table must leave the other days alone.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # State lives off-heap and is shipped as change logs, not as whole snapshots.
@@ -44,6 +42,8 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Recording the Python line of every column costs several calls per operator.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for name, value in {**RUNTIME, **STREAMING, **extra}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

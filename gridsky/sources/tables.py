@@ -120,6 +120,12 @@ def read_serving(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(StructType([*SERVING[table].fields, _DAY])).parquet(path)
 
 
+def register_serving(spark: SparkSession, root: str) -> None:
+    """Name the serving tables under ``root`` for use in ``spark.sql``."""
+    for table in SERVING:
+        read_serving(spark, f"{root}/{table}", table).createOrReplaceTempView(table)
+
+
 def jdbc_options(
     url: str,
     table: str,
@@ -161,6 +167,21 @@ def merge_statement(table: str, staging: str) -> str:
     )
 
 
+# Column types of the relational targets.
+_RELATIONAL = {
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE PRECISION",
+}
+
+
+def create_statement(table: str) -> str:
+    """The definition of a relational target, with the key the merge relies on."""
+    columns = [f"{f.name} {_RELATIONAL[f.dataType.typeName()]}" for f in SERVING[table]]
+    return f"CREATE TABLE {table} ({', '.join(columns)}, PRIMARY KEY ({', '.join(KEYS[table])}))"
+
+
 def days_between(first: str, last: str) -> Column:
     """Predicate on the partition column for a span of days, both included."""
     return F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))

@@ -94,7 +94,7 @@ class JdbcSink:
             (
                 one_per_key(batch, table)
                 .write.format("jdbc")
-                .options(**self.options, dbtable=staging)
+                .options(**self.options, dbtable=staging, truncate="true")
                 .mode("overwrite")
                 .save()
             )

@@ -100,25 +100,33 @@ def test_projection_equals_grouping_after_the_join(energy, weather):
     """One row per group after the join: its averages and sums are the row itself."""
     rows = energy([(m, p, m % 3 > 0, m * 1.5) for m in range(60) for p in "abc"])
     sky = weather([(m, p, 15.0 + m % 7, 16.0) for m in range(0, 60, 4) for p in "ab"])
-    e = start_stamped(energy_window(rows))
-    w = start_stamped(weather_window(sky))
-    e.createOrReplaceTempView("e")
-    w.createOrReplaceTempView("w")
-    grouped = e.sparkSession.sql(
-        """
-        SELECT e.window_start AS hour_group, e.place AS place,
-               avg(kwh_cons) / avg(temp) AS kwh_cons_degree,
-               sum(CASE WHEN raining_prob = 'Rain' THEN kwh_prod ELSE 0 END) AS rain,
-               sum(CASE WHEN NOT raining_prob = 'Rain' THEN kwh_prod ELSE 0 END) AS dry,
-               avg(temp) AS temp, avg(dew_point) AS dew_point, avg(uvi) AS uvi,
-               avg(clouds) AS clouds
-        FROM e JOIN w ON e.place = w.place AND e.window_start = w.window_start
-        GROUP BY e.window_start, e.place"""
+    joined = start_stamped(energy_window(rows)).join(
+        start_stamped(weather_window(sky)), ["window_start", "place"]
+    )
+    rain, made = F.col("raining_prob") == "Rain", F.col("kwh_prod")
+    grouped = (
+        joined.groupBy(F.col("window_start").alias("hour_group"), "place")
+        .agg(
+            (F.avg("kwh_cons") / F.avg("temp")).alias("degree"),
+            F.sum(F.when(rain, made).otherwise(0)).alias("wet"),
+            F.sum(F.when(~rain, made).otherwise(0)).alias("dry"),
+            *[F.avg(c).alias(c) for c in ("temp", "dew_point", "uvi", "clouds")],
+        )
     )
     order = ("hour_group", "place")
     assert rows_of(energy_weather_wide(rows, sky), *order) == rows_of(grouped, *order)
 
 
+def test_production_is_split_without_rest(energy, weather):
+    rows = energy([(m, p, m % 3 > 0, m * 0.5) for m in range(60) for p in "abc"])
+    sky = weather([(m, p, 15.0 + m % 7, 16.0) for m in range(0, 60, 4) for p in "abc"])
+    split = energy_weather_analytics(rows, sky).agg(
+        F.sum("kwh_prod_with_rain_prob") + F.sum("kwh_prod_with_no_rain_prob")
+    )
+    made = energy_window(rows).join(weather_window(sky), ["window", "place"]).agg(F.sum("kwh_prod"))
+    assert split.first()[0] == pytest.approx(made.first()[0])
+
+
 def test_join_adds_no_shuffle(spark, energy, weather):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -37,16 +37,12 @@ def buckets(spark):
     ).selectExpr("cast(t as timestamp) as hour_group", "kwh_prod", "kwh_cons", "ratio")
 
 
-def _literal_recent_days(points):
-    points.createOrReplaceTempView("point_data")
-    return points.sparkSession.sql(
-        """
-        WITH latest AS (SELECT DISTINCT to_date(time_stamp) AS day FROM point_data
-                        ORDER BY day DESC LIMIT 3)
-        SELECT time_stamp, kwh FROM point_data
-        WHERE to_date(time_stamp) IN (SELECT day FROM latest)
-          AND place = 'hydro' AND id = 'GENERADOR 2' ORDER BY time_stamp DESC"""
-    )
+def _by_membership(points):
+    """The question as first stated: the row's day is among the newest three."""
+    days = dashboard.newest_days(points).withColumnRenamed("day", "newest")
+    mine = points.filter("place = 'hydro' AND id = 'GENERADOR 2'")
+    kept = mine.join(days, F.to_date("time_stamp") == F.col("newest"), "left_semi")
+    return kept.select("time_stamp", "kwh").orderBy(F.desc("time_stamp"))
 
 
 def test_recent_days_counts_days_of_all_places(points):
@@ -54,7 +50,7 @@ def test_recent_days_counts_days_of_all_places(points):
     # The newest three days are 13, 17 and 18; the plant has nothing on the 18th.
     assert [r[0][:10] for r in got] == ["2024-06-17"] * 3 + ["2024-06-13"] * 3
     assert got == sorted(got, reverse=True)
-    assert got == rows_of(_literal_recent_days(points))
+    assert got == rows_of(_by_membership(points))
 
 
 def test_recent_days_binds_its_parameter(points):
@@ -71,7 +67,7 @@ def test_recent_days_prunes_folders(spark, points, tmp_path):
     write_serving(points, path, "point_data")
     stored = read_serving(spark, path, "point_data")
     recent = dashboard.recent_days(stored)
-    assert rows_of(recent) == rows_of(_literal_recent_days(points))
+    assert rows_of(recent) == rows_of(_by_membership(points))
     recent.collect()
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "(day" in plan.split("PartitionFilters")[1]
@@ -152,16 +148,11 @@ def test_hourly_profile_equals_the_join_as_stated(spark, buckets):
         ],
         "t string, place string, temp double, dew_point double, uvi double, clouds double",
     ).withColumn("time_stamp", F.col("t").cast("timestamp"))
-    sky.createOrReplaceTempView("weather_data")
-    buckets.createOrReplaceTempView("energy_analytics")
-    stated = spark.sql(
-        """
-        SELECT cast(date_part('hour', time_stamp) AS double) AS hour, avg(temp) AS temp,
-               avg(dew_point) AS dew_point, avg(uvi) AS uvi, avg(clouds) AS clouds,
-               avg(kwh_prod) AS kwh_production, avg(kwh_cons) AS kwh_consumed
-        FROM weather_data JOIN energy_analytics
-          ON date_part('hour', time_stamp) = date_part('hour', hour_group)
-        WHERE place = 'mall' GROUP BY 1"""
+    pairs = sky.filter("place = 'mall'").join(
+        buckets, F.hour("time_stamp") == F.hour("hour_group")
+    )
+    stated = pairs.groupBy(F.hour("time_stamp").cast("double").alias("hour")).agg(
+        *[F.avg(c) for c in ("temp", "dew_point", "uvi", "clouds", "kwh_prod", "kwh_cons")]
     )
     got = rows_of(dashboard.hourly_profile(sky, buckets), "hour")
     want = rows_of(stated, "hour")

@@ -10,12 +10,14 @@ from gridsky.schemas import KEYS, SERVING
 from gridsky.sources.messages import read_text_messages, write_text_messages
 from gridsky.sources.tables import (
     append_batch,
+    create_statement,
     days_between,
     jdbc_options,
     merge_statement,
     one_per_key,
     read_live,
     read_serving,
+    register_serving,
     write_serving,
 )
 from gridsky.streaming.job import run_batch
@@ -124,6 +126,28 @@ def test_merge_statement_updates_by_key():
     assert KEYS["energy_weather_analytics"] == ("hour_group", "place")
 
 
+def test_create_statement_has_the_merge_key():
+    assert create_statement("energy_weather_analytics") == (
+        "CREATE TABLE energy_weather_analytics (hour_group TIMESTAMP WITH TIME ZONE, "
+        "place VARCHAR, kwh_cons_degree DOUBLE PRECISION, "
+        "kwh_prod_with_rain_prob DOUBLE PRECISION, "
+        "kwh_prod_with_no_rain_prob DOUBLE PRECISION, PRIMARY KEY (hour_group, place))"
+    )
+    assert "generation BOOLEAN" in create_statement("point_data")
+
+
+def test_serving_tables_answer_sql(spark, tmp_path):
+    for table, schema in SERVING.items():
+        rows = spark.createDataFrame([], schema)
+        if table == "point_data":
+            rows = _points(spark, ("2024-01-01 05:00:00", "a", "hydro", 1.5, 0)).drop("arrival")
+        write_serving(rows, str(tmp_path / table), table)
+    register_serving(spark, str(tmp_path))
+    got = spark.sql("SELECT date_part('hour', time_stamp), kwh FROM point_data WHERE place = :p", {"p": "hydro"})
+    assert rows_of(got) == [(5, 1.5)]
+    assert spark.table("energy_analytics").count() == 0
+
+
 def test_jdbc_options():
     base = {"url": "jdbc:x", "dbtable": "t", "user": "u", "password": "p"}
     assert jdbc_options("jdbc:x", "t", "u", "p") == base
