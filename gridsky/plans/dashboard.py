@@ -13,9 +13,9 @@ INCREASE = "INCREASE"
 DECREASE = "DECREASE"
 
 
-def newest_days(rows: DataFrame, count: int = 3) -> DataFrame:
+def newest_days(rows: DataFrame, count: int = 3, time: str = "time_stamp") -> DataFrame:
     """The newest calendar days with data, newest first, as ``day``."""
-    day = F.col("day") if "day" in rows.columns else F.to_date("time_stamp")
+    day = F.col("day") if "day" in rows.columns else F.to_date(time)
     return (
         rows.select(day.alias("day"))
         .filter(F.col("day").isNotNull())
@@ -25,6 +25,18 @@ def newest_days(rows: DataFrame, count: int = 3) -> DataFrame:
     )
 
 
+def _newest_rows(rows: DataFrame, time: str, count: int) -> DataFrame:
+    """The ``count`` newest rows.
+
+    Each day with data has a row, so they lie in the newest ``count`` days: on a
+    day-partitioned table only those folders are read in full.
+    """
+    if "day" in rows.columns:
+        oldest = newest_days(rows, count).agg(F.min("day"))
+        rows = rows.filter(F.col("day") >= oldest.scalar()).drop("day")
+    return rows.orderBy(F.desc(time)).limit(count)
+
+
 def recent_days(
     point_data: DataFrame, generator: str = DEFAULT_GENERATOR, days: int = 3
 ) -> DataFrame:
@@ -59,36 +71,28 @@ def consumption_by_time(point_data: DataFrame) -> DataFrame:
 
 def latest_weather(weather_data: DataFrame, place: str) -> DataFrame:
     """The last recorded conditions at a place."""
-    return (
-        weather_data.filter(F.col("place") == F.lit(place))
-        .select(
-            "time_stamp",
-            F.col("temp").alias("temperature"),
-            F.col("dew_point").alias("dewpoint"),
-            "uvi",
-            "clouds",
-        )
-        .orderBy(F.desc("time_stamp"))
-        .limit(1)
+    recorded = weather_data.filter(F.col("place") == F.lit(place))
+    return _newest_rows(recorded, "time_stamp", 1).select(
+        "time_stamp",
+        F.col("temp").alias("temperature"),
+        F.col("dew_point").alias("dewpoint"),
+        "uvi",
+        "clouds",
     )
 
 
 def recent_balance(energy_analytics: DataFrame) -> DataFrame:
     """Production and consumption of the three newest buckets."""
-    return (
-        energy_analytics.select(
-            "hour_group",
-            F.col("kwh_prod").alias("produced"),
-            F.col("kwh_cons").alias("consumed"),
-        )
-        .orderBy(F.desc("hour_group"))
-        .limit(3)
+    return _newest_rows(energy_analytics, "hour_group", 3).select(
+        "hour_group",
+        F.col("kwh_prod").alias("produced"),
+        F.col("kwh_cons").alias("consumed"),
     )
 
 
 def latest_ratio(energy_analytics: DataFrame) -> DataFrame:
     """Coverage ratio of the newest bucket."""
-    return energy_analytics.select("hour_group", "ratio").orderBy(F.desc("hour_group")).limit(1)
+    return _newest_rows(energy_analytics, "hour_group", 1).select("hour_group", "ratio")
 
 
 def avg_per_degree(energy_weather: DataFrame) -> DataFrame:

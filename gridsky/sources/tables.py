@@ -120,6 +120,28 @@ def read_serving(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(StructType([*SERVING[table].fields, _DAY])).parquet(path)
 
 
+def publish_days(
+    spark: SparkSession, live: str, serving: str, table: str, first: str, last: str
+) -> None:
+    """Write the days ``first`` to ``last`` of a live table to its serving table.
+
+    Meant for days that have closed: many small files become few, and the work
+    of finding the newest write is done once. Running it again replaces the days.
+    """
+    days = read_live(spark, live, table).filter(days_between(first, last))
+    write_serving(days, serving, table)
+
+
+def read_current(
+    spark: SparkSession, live: str, serving: str, table: str, open_from: str
+) -> DataFrame:
+    """Published days before ``open_from``, and the live table from then on."""
+    opened = F.lit(open_from).cast("date")
+    closed = read_serving(spark, serving, table).filter(F.col("day") < opened)
+    still_open = read_live(spark, live, table).filter(F.col("day") >= opened)
+    return closed.unionByName(still_open)
+
+
 def register_serving(spark: SparkSession, root: str) -> None:
     """Name the serving tables under ``root`` for use in ``spark.sql``."""
     for table in SERVING:

@@ -97,6 +97,20 @@ def test_newest_buckets(buckets):
     assert rows_of(dashboard.latest_ratio(buckets)) == [("2024-06-15 15:10:00", 0.5)]
 
 
+def test_newest_rows_of_a_partitioned_table(spark, buckets, tmp_path):
+    path = str(tmp_path / "energy_analytics")
+    # The newest day has one bucket: the other two are of the day before.
+    short = buckets.filter("hour_group <> '2024-06-15 15:10:00'")
+    write_serving(short, path, "energy_analytics")
+    stored = read_serving(spark, path, "energy_analytics")
+    for ask in (dashboard.recent_balance, dashboard.latest_ratio):
+        got = ask(stored)
+        assert got.columns == ask(short).columns
+        assert rows_of(got) == rows_of(ask(short))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "(day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_averages_over_nothing_are_one_row(spark):
     empty = spark.createDataFrame([], ENERGY_WEATHER_ANALYTICS)
     assert rows_of(dashboard.avg_per_degree(empty)) == [(None,)]

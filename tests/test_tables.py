@@ -15,6 +15,8 @@ from gridsky.sources.tables import (
     jdbc_options,
     merge_statement,
     one_per_key,
+    publish_days,
+    read_current,
     read_live,
     read_serving,
     register_serving,
@@ -87,6 +89,22 @@ def test_live_table_prunes_days(spark, tmp_path):
     assert "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_closed_days_are_published_and_open_days_stay_live(spark, tmp_path):
+    live, serving = str(tmp_path / "live"), str(tmp_path / "serving")
+
+    def put(batch, *rows):
+        append_batch(_points(spark, *rows).drop("arrival"), live, "point_data", 0, batch)
+
+    put(0, ("2024-01-01", "a", "p", 1.0, 0), ("2024-01-02", "a", "p", 2.0, 0))
+    put(1, ("2024-01-01", "a", "p", 3.0, 0), ("2024-01-03", "a", "p", 4.0, 0))
+    for _ in range(2):
+        publish_days(spark, live, serving, "point_data", "2024-01-01", "2024-01-02")
+    put(2, ("2024-01-03", "a", "p", 5.0, 0))
+    assert read_serving(spark, serving, "point_data").count() == 2
+    current = read_current(spark, live, serving, "point_data", "2024-01-03")
+    assert [r.kwh for r in current.orderBy("day").collect()] == [3.0, 2.0, 5.0]
+
+
 @pytest.mark.parametrize("advisory,files", [("64MB", (1, 1)), ("4KB", (2, 4))])
 def test_hot_day_is_split_and_small_days_are_not(spark, tmp_path, advisory, files):
     path = str(tmp_path / "t")
