@@ -1,13 +1,15 @@
 """Lenient JSON decoding.
 
-A typed ``from_json`` turns a whole field to NULL when the wire type differs
-(a float in a long column, a number in quotes), so every field is read as text
-and then cast with ``try_cast``. A bad field becomes NULL; a message that is not
-a JSON object is rejected.
+Messages whose scalars have their own JSON types are parsed as such, once. Where
+a field has another type (a number in quotes, say) the message is parsed again
+with every field as text, which is then cast with ``try_cast``: a bad field
+becomes NULL and the others are kept. A message that is not a JSON object is
+rejected.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
+    DoubleType,
     LongType,
     StringType,
     StructField,
@@ -38,16 +41,34 @@ class Decoded:
     rejected: DataFrame
 
 
+def _on_the_wire(kind: DataType) -> DataType:
+    # Epoch milliseconds arrive as floats, which a long column would not take.
+    return DoubleType() if isinstance(kind, LongType) else kind
+
+
 def _from_text(text: Column, kind: DataType) -> Column:
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, BooleanType):
         # A plain cast would also take 'yes', 't' and '1' as true.
         return F.lower(F.trim(text)) == "true"
-    if isinstance(kind, LongType):
-        # Epoch milliseconds arrive as floats; the fraction is cut off.
-        return text.try_cast("double").try_cast("bigint")
-    return text.try_cast(kind)
+    return text.try_cast(_on_the_wire(kind))
+
+
+def _parse(fields: StructType, kind: Callable[[DataType], DataType]) -> Column:
+    schema = StructType(
+        [StructField(f.name, kind(f.dataType)) for f in fields]
+        + [StructField(_CORRUPT, StringType())]
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    return F.from_json("message", schema, options)
+
+
+def _columns(parsed: Column, fields: StructType, prefix: str) -> Column:
+    # inline() is a generator, and filters on generated columns stay above it.
+    # Of a projection, each of the filters below would parse the message anew.
+    names = [*fields.names, _CORRUPT]
+    return F.inline(F.array(parsed)).alias(*[f"{prefix}_{n}" for n in names])
 
 
 def decode(messages: DataFrame, fields: StructType, carry: tuple[str, ...] = ()) -> Decoded:
@@ -55,33 +76,33 @@ def decode(messages: DataFrame, fields: StructType, carry: tuple[str, ...] = ())
 
     ``carry`` names transport columns (an arrival position, say) to keep.
     """
-    names = [f"text_{f.name}" for f in fields]
-    as_text = StructType(
-        [StructField(f.name, StringType()) for f in fields] + [StructField(_CORRUPT, StringType())]
-    )
-    parsed = F.from_json(
-        "value", as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    # inline() is a generator, and filters on generated columns stay above it:
-    # as a projection the filters below would each parse the message again.
-    rows = messages.select(
-        F.col("value").alias("message"),
-        *carry,
-        F.inline(F.array(parsed)).alias(*names, _CORRUPT),
-    )
-    typed = rows.select(
+    raw = messages.select(F.col("value").alias("message"), *carry)
+    typed = raw.select("*", _columns(_parse(fields, _on_the_wire), fields, "typed"))
+    clean = F.col(f"typed_{_CORRUPT}").isNull()
+    # Only an object can give fields the second time.
+    is_object = F.col("message").rlike(r"^\uFEFF?\s*\{")
+    again = F.when(~clean & is_object, _parse(fields, lambda _: StringType()))
+    both = typed.select("*", _columns(again, fields, "text"))
+
+    def field(f: StructField) -> Column:
+        from_text = _from_text(F.col(f"text_{f.name}"), f.dataType)
+        value = F.when(clean, F.col(f"typed_{f.name}")).otherwise(from_text)
+        # Cuts the fraction of a millisecond; NULL where a long cannot hold it.
+        return value.try_cast(f.dataType) if isinstance(f.dataType, LongType) else value
+
+    decoded = both.select(
         "message",
         *carry,
-        *[_from_text(F.col(f"text_{f.name}"), f.dataType).alias(f.name) for f in fields],
-        F.col(_CORRUPT).isNotNull().alias("corrupt"),
+        *[field(f).alias(f.name) for f in fields],
+        (~clean & (~is_object | F.col(f"text_{_CORRUPT}").isNotNull())).alias("corrupt"),
     ).withColumn("ts", event_time(F.col("time_stamp")))
     # A NULL or blank message is not flagged as corrupt; like {} it has no time.
     usable = ~F.col("corrupt") & F.col("ts").isNotNull()
     blank = F.col("message").isNull() | (F.length(F.trim("message")) == 0)
     reason = F.when(F.col("corrupt") | blank, F.lit(MALFORMED)).otherwise(F.lit(NO_EVENT_TIME))
     return Decoded(
-        records=typed.filter(usable).select(*[f.name for f in fields], "ts", *carry),
-        rejected=typed.filter(~usable).select("message", reason.alias("reason"), *carry),
+        records=decoded.filter(usable).select(*fields.names, "ts", *carry),
+        rejected=decoded.filter(~usable).select("message", reason.alias("reason"), *carry),
     )
 
 

@@ -129,9 +129,14 @@ def test_hot_day_is_split_and_small_days_are_not(spark, tmp_path, advisory, file
 
 def test_rewriting_a_day_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "t")
-    write_serving(_points(spark, ("2024-01-01", "a", "p", 1.0, 0), ("2024-01-02", "a", "p", 2.0, 0)).drop("arrival"), path, "point_data")
-    write_serving(_points(spark, ("2024-01-02", "a", "p", 9.0, 0)).drop("arrival"), path, "point_data")
-    assert [r.kwh for r in read_serving(spark, path, "point_data").orderBy("day").collect()] == [1.0, 9.0]
+
+    def put(*rows):
+        write_serving(_points(spark, *rows).drop("arrival"), path, "point_data")
+
+    put(("2024-01-01", "a", "p", 1.0, 0), ("2024-01-02", "a", "p", 2.0, 0))
+    put(("2024-01-02", "a", "p", 9.0, 0))
+    stored = read_serving(spark, path, "point_data").orderBy("day")
+    assert [r.kwh for r in stored.collect()] == [1.0, 9.0]
 
 
 def test_merge_statement_updates_by_key():
@@ -161,7 +166,8 @@ def test_serving_tables_answer_sql(spark, tmp_path):
             rows = _points(spark, ("2024-01-01 05:00:00", "a", "hydro", 1.5, 0)).drop("arrival")
         write_serving(rows, str(tmp_path / table), table)
     register_serving(spark, str(tmp_path))
-    got = spark.sql("SELECT date_part('hour', time_stamp), kwh FROM point_data WHERE place = :p", {"p": "hydro"})
+    question = "SELECT date_part('hour', time_stamp), kwh FROM point_data WHERE place = :place"
+    got = spark.sql(question, {"place": "hydro"})
     assert rows_of(got) == [(5, 1.5)]
     assert spark.table("energy_analytics").count() == 0
 
@@ -191,7 +197,8 @@ def test_batch_job_writes_the_four_tables(spark, energy, weather, tmp_path):
     millis = F.unix_millis("ts")
     sent = encode_energy(readings.withColumnsRenamed({"id": "ID", "value": "_value"}), millis)
     # The same reading twice, the later one with another value.
-    again = sent.limit(1).select(F.regexp_replace("value", '"value":[0-9.]+', '"value":500.0').alias("value"))
+    raised = F.regexp_replace("value", '"value":[0-9.]+', '"value":500.0')
+    again = sent.limit(1).select(raised.alias("value"))
     write_text_messages(sent.coalesce(1), str(tmp_path / "e"))
     write_text_messages(again, str(tmp_path / "e"))
     write_text_messages(encode_weather(sky, millis), str(tmp_path / "w"))
