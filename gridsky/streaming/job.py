@@ -11,6 +11,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from gridsky.operators.decode import Decoded, decode_energy, decode_weather
 from gridsky.plans.job import job_tables
+from gridsky.session import fresh_dir
 from gridsky.sources.tables import one_per_key, write_serving
 from gridsky.streaming.sinks import BatchSink
 
@@ -122,15 +123,20 @@ def set_watermark_policy(spark: SparkSession, policy: str) -> None:
 
 
 def run_batch(
-    energy: Decoded, weather: Decoded, out: str, staging: str, carry: tuple[str, ...] = ()
+    energy_messages: DataFrame, weather_messages: DataFrame, out: str, staging: str | None = None
 ) -> None:
-    """Compute and write the four tables from landed messages.
+    """Compute and write the four tables from landed messages, under ``out``.
 
     Parsing is the dearest step and three tables need the energy records, so the
     records are written once as columns and read back: each table then scans
-    only the columns it uses, and a lost executor does not parse again.
+    only the columns it uses, and a lost executor does not parse again. They go
+    to ``staging``, or to a new folder under the shared one.
     """
-    spark = energy.records.sparkSession
+    carry = ("arrival",)
+    energy = decode_energy(energy_messages, carry)
+    weather = decode_weather(weather_messages, carry)
+    spark = energy_messages.sparkSession
+    staging = staging or fresh_dir(spark, "records")
     energy.records.write.mode("overwrite").parquet(f"{staging}/energy")
     weather.records.write.mode("overwrite").parquet(f"{staging}/weather")
     tables = job_tables(

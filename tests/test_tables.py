@@ -202,13 +202,10 @@ def test_batch_job_writes_the_four_tables(spark, energy, weather, tmp_path):
     write_text_messages(sent.coalesce(1), str(tmp_path / "e"))
     write_text_messages(again, str(tmp_path / "e"))
     write_text_messages(encode_weather(sky, millis), str(tmp_path / "w"))
-    carry = ("arrival",)
     run_batch(
-        decode_energy(read_text_messages(spark, str(tmp_path / "e"), streaming=False), carry),
-        decode_weather(read_text_messages(spark, str(tmp_path / "w"), streaming=False), carry),
+        read_text_messages(spark, str(tmp_path / "e"), streaming=False),
+        read_text_messages(spark, str(tmp_path / "w"), streaming=False),
         str(tmp_path / "out"),
-        str(tmp_path / "staging"),
-        carry,
     )
     stored = {n: read_serving(spark, str(tmp_path / "out" / n), n).drop("day") for n in SERVING}
     # The repeated key is one point row; the analytics count every message.
