@@ -167,6 +167,19 @@ _STATEMENTS = {
     "series_last": f"""
   SELECT bucket, _measurement, "ID", _field, {_BOUNDS}, _time, round(_value, 6) AS _value
   FROM ({_HYDRO}) WHERE rn = 1""",
+    "site_readings_hydro": f"""
+  SELECT bucket, _measurement, "ID", _time, round(_value, 6) AS _value,
+         'hydro' AS place, TRUE AS generation, 'hydro' AS type_gen
+  FROM ({_HYDRO}) WHERE rn = 1""",
+    "site_readings_solar": f"""
+  SELECT bucket, _measurement, "ID", _field, TIMESTAMP '2024-01-11' AS _start,
+         TIMESTAMP '2024-01-31' AS _stop, round(_value, 6) AS _value,
+         'solar' AS place, TRUE AS generation, 'solar' AS type_gen
+  FROM ({_SOLAR}) WHERE rn = 1""",
+    "site_readings_mall": f"""
+  SELECT bucket, _measurement, "ID", _time, round(_value, 6) AS _value,
+         'mall' AS place, FALSE AS generation, '-' AS type_gen
+  FROM ({_MALL}) WHERE rn = 1""",
     "energy_feed": f"""
   SELECT epoch_ms(TIMESTAMP '2024-01-31') AS time_stamp, "ID" AS id, round(_value, 6) AS value,
          place, generation, type_gen, TIMESTAMP '2024-01-31' AS ts
@@ -263,6 +276,11 @@ _STATEMENTS = {
   WHERE hour_group + INTERVAL '10 minutes' <= least({_ENERGY_MARK}, {_WEATHER_MARK})""",
 }
 
+# The same questions asked of stored tables.
+_STATEMENTS["serving_recent_days"] = _STATEMENTS["recent_days"]
+_STATEMENTS["serving_latest_weather"] = _STATEMENTS["latest_weather_mall"]
+_STATEMENTS["serving_recent_balance"] = _STATEMENTS["recent_balance"]
+
 
 def all_oracles() -> dict[str, str]:
     return {name: f"WITH {_VIEWS} {body}" for name, body in _STATEMENTS.items()}

@@ -23,17 +23,19 @@ from gridsky.operators.keyed import last_not_null, latest_by_key
 from gridsky.operators.relay import relay_json
 from gridsky.operators.series import (
     SITES,
+    Site,
     energy_feed,
     series_last,
     series_range,
     series_window_mean,
+    site_readings,
 )
 from gridsky.operators.weather_docs import flatten_weather
 from gridsky.plans import dashboard
 from gridsky.plans.job import job_tables
 from gridsky.registry import views
 from gridsky.session import apply_runtime, fresh_dir, streaming_session
-from gridsky.sources.tables import read_live
+from gridsky.sources.tables import read_live, read_serving, write_serving
 from gridsky.streaming.job import await_all, start_tables
 from gridsky.streaming.sinks import TableSink
 
@@ -130,6 +132,21 @@ def _sent_feed(t: Tables) -> DataFrame:
     return decode_energy(encode_energy(_energy_feed(t), F.lit(millis))).records
 
 
+def _site(site: Site) -> Query:
+    return _over(lambda t: site_readings(t.series, site, NOW))
+
+
+def _served(table: str, ask: Callable[[DataFrame], DataFrame]) -> Query:
+    """Write a serving table to the shared folder and ask the question of the stored one."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = fresh_dir(spark, table)
+        write_serving(getattr(Tables(spark, sf_dir), table), path, table)
+        return tidy(ask(read_serving(spark, path, table)))
+
+    return run
+
+
 def _relayed(t: Tables) -> DataFrame:
     return relay_json(t.events.select("event_id", F.col("props").alias("value")))
 
@@ -189,6 +206,9 @@ def all_queries() -> dict[str, Query]:
         "series_range": _over(_hydro_range),
         "series_window_mean": _over(_hydro_means),
         "series_last": _over(lambda t: series_last(_hydro_means(t), HYDRO.last_by)),
+        "site_readings_hydro": _site(HYDRO_WEEK),
+        "site_readings_solar": _site(SOLAR),
+        "site_readings_mall": _site(MALL),
         "energy_feed": _over(_sent_feed),
         # tables of the job
         "point_data": _over(lambda t: t.point_data),
@@ -222,6 +242,12 @@ def all_queries() -> dict[str, Query]:
         ),
         "daily_change": _over(lambda t: dashboard.daily_change(t.energy_analytics)),
         "generator_ids": _over(lambda t: dashboard.generator_ids(t.point_data)),
+        # the dashboard over stored, day-partitioned tables
+        "serving_recent_days": _served("point_data", dashboard.recent_days),
+        "serving_latest_weather": _served(
+            "weather_data", lambda rows: dashboard.latest_weather(rows, "mall")
+        ),
+        "serving_recent_balance": _served("energy_analytics", dashboard.recent_balance),
         # the job as streams
         "stream_point_data": _replay("point_data"),
         "stream_weather_data": _replay("weather_data"),
