@@ -23,7 +23,6 @@ from gridsky.schemas import EVENT_TIME, KEYS, SERVING
 _DAY = StructField("day", DateType())
 _WRITE = [StructField("run", IntegerType()), StructField("batch", LongType())]
 
-
 # Tables whose rows are closed windows: the aggregation gives each key once.
 _ONE_ROW_PER_KEY = ("energy_analytics", "energy_weather_analytics")
 
@@ -126,7 +125,8 @@ def publish_days(
     """Write the days ``first`` to ``last`` of a live table to its serving table.
 
     Meant for days that have closed: many small files become few, and the work
-    of finding the newest write is done once. Running it again replaces the days.
+    of finding the newest write is done once. Running it again replaces the days,
+    and takes in what has arrived late.
     """
     days = read_live(spark, live, table).filter(days_between(first, last))
     write_serving(days, serving, table)

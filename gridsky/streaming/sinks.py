@@ -18,6 +18,7 @@ from gridsky.sources.tables import append_batch, merge_statement, one_per_key
 
 BatchSink = Callable[[DataFrame, int], None]
 
+
 @dataclass(frozen=True)
 class TableSink:
     """Upsert into a live Parquet table under ``root``.

@@ -185,6 +185,38 @@ def test_replay_from_the_start_changes_nothing(spark, session, landings, tmp_pat
     assert {n: stored(spark, sink, n) for n in KEYS} == before
 
 
+class FailsAfterWriting:
+    """Writes the first batch, then fails before the stream can record it as done."""
+
+    def __init__(self, sink):
+        self.sink = sink
+
+    def __call__(self, table):
+        write = self.sink(table)
+
+        def write_and_fail(batch, batch_id):
+            write(batch, batch_id)
+            raise RuntimeError("lost after writing")
+
+        return write_and_fail
+
+
+def test_batch_lost_after_writing_is_written_once(spark, session, landings, tmp_path):
+    fill(landings, minutes=40)
+    close(landings)
+    sink = TableSink(str(tmp_path / "live"))
+    names = ["point_data", "energy_analytics"]
+    for name in names:
+        with pytest.raises(Exception, match="lost after writing"):
+            run(session, landings, tmp_path, [name], FailsAfterWriting(sink))
+    run(session, landings, tmp_path, names, sink)
+    assert spark.read.parquet(sink.path("point_data")).count() == 41
+    want = {n: rows_of(t.drop("arrival"), *KEYS[n])
+            for n, t in tables(spark, landings, streaming=False).items()}
+    assert stored(spark, sink, "point_data") == want["point_data"]
+    assert stored(spark, sink, "energy_analytics") == want["energy_analytics"][:-1]
+
+
 def test_repeated_key_keeps_the_last_arrival(spark, session, landings, tmp_path):
     energy, _ = landings
     energy.add(energy_message(1, value=1.0), energy_message(1, value=2.0))
