@@ -56,6 +56,7 @@ def start_job(
     sink: Sink,
     checkpoints: str,
     rejects: str | None = None,
+    records: str | None = None,
     available_now: bool = False,
     interval: str | None = None,
 ) -> dict[str, StreamingQuery]:
@@ -63,20 +64,64 @@ def start_job(
 
     Messages come with their ``arrival`` from :mod:`gridsky.sources.messages`.
     With ``rejects`` set, what cannot be decoded is kept under that path.
+
+    Queries share nothing, so the energy messages are parsed by three of them.
+    With ``records`` set, two more queries parse each message once and land the
+    typed records under that path, and the tables read their columns from there,
+    one trigger later.
     """
     carry = ("arrival",)
     energy = decode_energy(energy_messages, carry)
     weather = decode_weather(weather_messages, carry)
-    tables = job_tables(energy.records, weather.records, carry)
-    started = start_tables(tables, sink, checkpoints, available_now, interval)
+    started = {}
     if rejects:
         for name, decoded in (("energy_rejects", energy), ("weather_rejects", weather)):
             started[name] = quarantine_rejects(
                 decoded, f"{rejects}/{name}", f"{checkpoints}/{name}", name, available_now, interval
             )
+    inputs = {"energy_records": energy.records, "weather_records": weather.records}
+    if records:
+        landing = {
+            name: _to_parquet(
+                rows, f"{records}/{name}", f"{checkpoints}/{name}", name, available_now, interval
+            )
+            for name, rows in inputs.items()
+        }
+        if available_now:
+            await_all(landing.values())
+        started.update(landing)
+        inputs = {n: _landed(rows, f"{records}/{n}") for n, rows in inputs.items()}
+    tables = job_tables(inputs["energy_records"], inputs["weather_records"], carry)
+    started.update(start_tables(tables, sink, checkpoints, available_now, interval))
     return started
 
 
+def _to_parquet(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str,
+    available_now: bool,
+    interval: str | None,
+) -> StreamingQuery:
+    writer = (
+        rows.writeStream.queryName(name)
+        .outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return _paced(writer, available_now, interval).start()
+
+
+def _landed(rows: DataFrame, path: str) -> DataFrame:
+    """Stream what ``_to_parquet`` writes; its log makes each of its batches appear whole."""
+    spark = rows.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
 def quarantine_rejects(
     decoded: Decoded,
     path: str,
@@ -94,15 +139,9 @@ def quarantine_rejects(
         F.count_if(F.col("reason") == "malformed").alias("malformed"),
         F.count_if(F.col("reason") == "no_event_time").alias("no_event_time"),
     )
-    writer = (
-        counted.select("message", "reason")
-        .writeStream.queryName(name)
-        .outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+    return _to_parquet(
+        counted.select("message", "reason"), path, checkpoint, name, available_now, interval
     )
-    return _paced(writer, available_now, interval).start()
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
@@ -137,12 +176,19 @@ def run_batch(
     weather = decode_weather(weather_messages, carry)
     spark = energy_messages.sparkSession
     staging = staging or fresh_dir(spark, "records")
-    energy.records.write.mode("overwrite").parquet(f"{staging}/energy")
-    weather.records.write.mode("overwrite").parquet(f"{staging}/weather")
-    tables = job_tables(
-        spark.read.schema(energy.records.schema).parquet(f"{staging}/energy"),
-        spark.read.schema(weather.records.schema).parquet(f"{staging}/weather"),
-        carry,
-    )
+    # The order of lines within a file block is kept as a column: the stored
+    # records may be read back in other pieces.
+    position = F.struct("arrival", F.monotonically_increasing_id().alias("line"))
+    kept = {
+        "energy": energy.records.withColumn("arrival", position),
+        "weather": weather.records.withColumn("arrival", position),
+    }
+    for name, rows in kept.items():
+        rows.write.mode("overwrite").parquet(f"{staging}/{name}")
+    stored = {
+        name: spark.read.schema(rows.schema).parquet(f"{staging}/{name}")
+        for name, rows in kept.items()
+    }
+    tables = job_tables(stored["energy"], stored["weather"], carry)
     for name, rows in tables.items():
         write_serving(one_per_key(rows, name), f"{out}/{name}", name)

@@ -282,6 +282,43 @@ def test_rejects_are_kept_and_counted(spark, session, landings, tmp_path):
     assert len(stored(spark, sink, "point_data")) == len(stored(spark, sink, "weather_data")) == 1
 
 
+def test_tables_from_records_landed_once(spark, session, landings, tmp_path):
+    fill(landings, minutes=40, step=20)
+    close(landings)
+    inputs = [read_text_messages(session, str(x.path)) for x in landings]
+    direct = TableSink(str(tmp_path / "direct"))
+    landed = TableSink(str(tmp_path / "landed"))
+    await_all(
+        start_job(*inputs, direct, str(tmp_path / "cp1"), available_now=True).values()
+    )
+    queries = start_job(
+        *inputs, landed, str(tmp_path / "cp2"), records=str(tmp_path / "records"), available_now=True
+    )
+    await_all(queries.values())
+    assert {"energy_records", "weather_records"} < set(queries)
+    for name in KEYS:
+        assert stored(spark, landed, name) == stored(spark, direct, name) != []
+
+
+def test_landed_records_are_followed_while_they_grow(spark, session, landings, tmp_path):
+    energy, weather = landings
+    inputs = [read_text_messages(session, str(x.path)) for x in landings]
+    sink = TableSink(str(tmp_path / "live"))
+    queries = start_job(
+        *inputs, sink, str(tmp_path / "cp"), records=str(tmp_path / "records"), interval="1 second"
+    )
+    try:
+        for minute in (1, 2):
+            energy.add(energy_message(minute))
+            weather.add(weather_message(minute))
+            for name in ("energy_records", "point_data"):
+                queries[name].processAllAvailable()
+        assert len(stored(spark, sink, "point_data")) == 2
+    finally:
+        for query in queries.values():
+            query.stop()
+
+
 def test_relay_runs_on_a_stream(spark, session, landings, tmp_path):
     energy, _ = landings
     energy.add('{"a":1}', '{"b":[2]}')
