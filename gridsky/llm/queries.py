@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridsky.llm import sql
+from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
 from gridsky.llm.hash_tree import shard_documents
+from gridsky.llm.quality_fm import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +36,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_sharding, op8_exact_dedup)}
+    named = (op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup)
+    return {f.__name__: f for f in named}
 
 
 def all_oracles() -> dict[str, str]:
