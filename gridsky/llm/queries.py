@@ -11,6 +11,8 @@ from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
 from gridsky.llm.hash_tree import shard_documents
 from gridsky.llm.quality_fm import score_documents
+from gridsky.llm.warc import read_warc, write_warc
+from gridsky.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,10 +37,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    write_warc(_table(spark, sf_dir, "pages"), path)
+    read = read_warc(spark, path, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def all_queries() -> dict[str, Query]:
-    named = (op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup)
+    named = (op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup, op10_warc)
     return {f.__name__: f for f in named}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op8_exact_dedup": sql.EXACT_DEDUP}
+    return {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_warc": sql.WARC}

@@ -14,3 +14,21 @@ SELECT doc_id,
        sha256(content) AS text_sha256
 FROM texts
 """
+
+# Five hexadecimal digits are four base32 letters.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, {at}, 5))::INT >> {shift}) & 31) + 1, 1)"
+    for at in range(1, 41, 5)
+    for shift in (15, 10, 5, 0)
+)
+WARC = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM payloads
+)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
