@@ -11,6 +11,7 @@ from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
 from gridsky.llm.hash_tree import shard_documents
 from gridsky.llm.quality_fm import score_documents
+from gridsky.llm.repeats import dedup_substrings
 from gridsky.llm.warc import read_warc, write_warc
 from gridsky.session import fresh_dir
 
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -45,7 +50,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    named = (op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup, op10_warc)
+    named = (op3_suffix_array_dedup, op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup, op10_warc)
     return {f.__name__: f for f in named}
 
 
