@@ -10,6 +10,7 @@ from gridsky.llm import sql
 from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
 from gridsky.llm.hash_tree import shard_documents
+from gridsky.llm.ngram_join import jaccard_components
 from gridsky.llm.quality_fm import score_documents
 from gridsky.llm.repeats import dedup_substrings
 from gridsky.llm.warc import read_warc, write_warc
@@ -30,6 +31,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -50,9 +55,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    named = (op3_suffix_array_dedup, op4_quality_classifier, op6_benchmark_decontamination, op7_sharding, op8_exact_dedup, op10_warc)
+    named = (
+        op3_suffix_array_dedup,
+        op4_quality_classifier,
+        op5_ngram_jaccard_join,
+        op6_benchmark_decontamination,
+        op7_sharding,
+        op8_exact_dedup,
+        op10_warc,
+    )
     return {f.__name__: f for f in named}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op8_exact_dedup": sql.EXACT_DEDUP, "op10_warc": sql.WARC}
+    return {
+        "op5_ngram_jaccard_join": sql.JACCARD,
+        "op8_exact_dedup": sql.EXACT_DEDUP,
+        "op10_warc": sql.WARC,
+    }

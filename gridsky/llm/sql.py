@@ -32,3 +32,33 @@ SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {_BASE32
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM firsts
 """
+
+# Whole sets and all pairs that share a shingle; components by a recursive walk along the links.
+JACCARD = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda v: v <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), tokens AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, r.component_id, c.class_id
+FROM sets s
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+JOIN (SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id
+             ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id FROM sets) c USING (doc_id)
+"""
