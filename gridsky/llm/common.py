@@ -66,3 +66,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+#: Rows of keys that may be broadcast, at most; a key takes a few bytes.
+BROADCAST_KEYS = 500_000
+
+
+def checked_broadcast(keys: DataFrame) -> DataFrame:
+    """Mark a staged table of keys for broadcast if it is small; otherwise leave the join to a shuffle."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

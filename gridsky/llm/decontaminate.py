@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import WHITE_SPACE, small_batches, staged, utf8, words_of
+from gridsky.llm.common import WHITE_SPACE, checked_broadcast, small_batches, staged, utf8, words_of
 
 SHINGLE = 5
 #: Share of the shingles of question and answer that must occur, in percent.
@@ -232,4 +232,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` whose text holds no test item, with their own columns."""
     hit = benchmark_matches(docs, items, id_col, **columns).select(F.col(id_col).alias("hit_id")).distinct()
     hit = staged(hit, "contaminated")
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("hit_id")), "left_anti")
+    return docs.join(checked_broadcast(hit), F.col(id_col).eqNullSafe(F.col("hit_id")), "left_anti")

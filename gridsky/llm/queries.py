@@ -13,9 +13,13 @@ from gridsky.llm.hash_tree import shard_documents
 from gridsky.llm.ngram_join import jaccard_components
 from gridsky.llm.quality_fm import score_documents
 from gridsky.llm.repeats import dedup_substrings
+from gridsky.llm.soft_mixing import label_domains, mix_documents
 from gridsky.llm.warc import read_warc, write_warc
 from gridsky.session import fresh_dir
 
+#: Token shares that the mixture aims at.
+TARGETS = {"clean": 0.94, "toxic": 0.03, "junk": 0.03}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -47,6 +51,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains = label_domains(_table(spark, sf_dir, "labels"))
+    return mix_documents(_table(spark, sf_dir, "documents"), domains, TARGETS)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     write_warc(_table(spark, sf_dir, "pages"), path)
@@ -62,6 +71,7 @@ def all_queries() -> dict[str, Query]:
         op6_benchmark_decontamination,
         op7_sharding,
         op8_exact_dedup,
+        op9_mixing,
         op10_warc,
     )
     return {f.__name__: f for f in named}
