@@ -20,9 +20,9 @@ more; components follow the links. Copies share one set and count once.
    paired if their sizes allow it, and a pair is kept if the shared prefix tokens
    and all that follows the prefixes can reach the overlap needed.
 4. Combinations may have very many sets: a group of near copies shares them
-   all. There the sets meet the one nearest to the core (fewest rare tokens).
+   all. There the sets meet the group's core (the set with the fewest rare tokens).
    Only sets that are then still in different components are paired, and only
-   if both have as many frequent tokens as the overlap takes.
+   if the frequent tokens of both, and what both have of the core, allow the overlap.
 5. Pairs are verified on the whole sets; components come from alternating large
    and small stars.
 
@@ -49,7 +49,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import mix64, small_batches, staged, utf8, words_of
+from gridsky.llm.common import checked_broadcast, mix64, small_batches, staged, utf8, words_of
 
 WORDS = 5
 #: Buckets of the frequency table: 2 to the power of these at least and at most (32 MiB of bits).
@@ -58,8 +58,6 @@ MIN_BITS, MAX_BITS = 16, 28
 PIECE_BITS = 16
 #: Shingles that a task gathers before it hands on their counts.
 GATHER = 4_000_000
-#: Sets to verify whose keys may be broadcast; more are joined by a shuffle.
-BROADCAST_KEYS = 500_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -347,29 +345,50 @@ class Join:
         bound = overlap_bound(*map(F.col, ("shared", "rest_a", "mixed_a", "rest_b", "mixed_b")))
         return counted.where(bound >= _needed(F.col("n_a"), F.col("n_b"))).select("a", "b")
 
-    def _core_pairs(self, pairs: DataFrame) -> DataFrame:
-        """For combinations: each set with the one nearest to the core of its group."""
+    def _cored(self, pairs: DataFrame) -> DataFrame:
+        """Each combination's sets with its core: the set with the fewest rare tokens, the largest of these."""
         core = pairs.groupBy("sig").agg(
-            F.min(F.struct((F.col("n") - F.col("rest")).alias("rare"), "d", "n", "rest")).alias("core")
+            F.min(F.struct((F.col("n") - F.col("rest")).alias("rare"), (-F.col("n")).alias("size"), "d", "rest")).alias("core"),
+            F.count(F.lit(1)).alias("sets"),
         )
-        met = pairs.join(core, "sig").where(F.col("d") != F.col("core.d"))
-        needed = _needed(F.col("n"), F.col("core.n"))
+        core = staged(core.where("sets > 1"), "join-cores")
+        return staged(pairs.join(core, "sig").select("sig", "d", "n", "rest", "core"), "join-cored")
+
+    def _core_pairs(self, cored: DataFrame) -> DataFrame:
+        """For combinations: each set with its core."""
+        met = cored.where(F.col("d") != F.col("core.d"))
+        size = -F.col("core.size")
         return (
-            met.where(_sizes_allow(F.col("n"), F.col("core.n")) & (F.least(F.col("rest"), F.col("core.rest")) >= needed))
+            met.where(_sizes_allow(F.col("n"), size) & (F.least(F.col("rest"), F.col("core.rest")) >= _needed(F.col("n"), size)))
             .select(F.least("d", "core.d").alias("a"), F.greatest("d", "core.d").alias("b"))
             .distinct()
         )
 
-    def _cross_pairs(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """For combinations: sets that share one and are in different components so far."""
-        placed = pairs.join(roots, pairs["d"] == roots["node"], "left").select(
-            "sig", "d", "n", "rest", F.coalesce("root", "d").alias("root")
+    def _cross_pairs(self, cored: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
+        """For combinations: sets that share one and are in different components so far.
+
+        A core of frequent tokens only bounds the overlap of two sets that were compared with
+        it: what they share lies in the core, or is frequent and outside of it.
+        """
+        placed = cored.join(roots, cored["d"] == roots["node"], "left").select(
+            "sig", "d", "n", "rest", "core", F.coalesce("root", "d").alias("root")
         )
         placed = staged(placed, "join-placed")
         split = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-        left = placed.join(split, "sig")
+        left = placed.join(staged(split, "join-split"), "sig")
+        seen = compared.select(F.col("a").alias("seen_a"), F.col("b").alias("seen_b"), "shared").distinct()
+        left = left.join(
+            seen,
+            (F.least("d", "core.d") == F.col("seen_a")) & (F.greatest("d", "core.d") == F.col("seen_b")),
+            "left",
+        )
+        inside = F.when(F.col("core.rare") == 0, F.when(F.col("d") == F.col("core.d"), F.col("n")).otherwise(F.col("shared")))
+        left = staged(left.select("sig", "d", "n", "rest", "root", inside.alias("inside")), "join-left")
         a, b = left.alias("a"), left.alias("b")
         needed = _needed(F.col("a.n"), F.col("b.n"))
+        outside = F.least(F.col("a.rest") - F.col("a.inside"), F.col("b.rest") - F.col("b.inside"))
+        by_core = F.least(F.col("a.inside"), F.col("b.inside")) + outside
+        known = F.col("a.inside").isNotNull() & F.col("b.inside").isNotNull()
         return (
             a.join(
                 b,
@@ -377,8 +396,8 @@ class Join:
                 & (F.col("a.d") < F.col("b.d"))
                 & (F.col("a.root") != F.col("b.root"))
                 & _sizes_allow(F.col("a.n"), F.col("b.n"))
-                & (F.col("a.rest") >= needed)
-                & (F.col("b.rest") >= needed),
+                & (F.least(F.col("a.rest"), F.col("b.rest")) >= needed)
+                & (F.when(known, by_core).otherwise(needed) >= needed),
             )
             .select(F.col("a.d").alias("a"), F.col("b.d").alias("b"))
             .distinct()
@@ -394,10 +413,8 @@ class Join:
             .select(F.col("one.t").alias("key_t"), F.col("one.id").alias("key_id"))
         )
         keys = staged(keys, "join-keys")
-        # Keys are small: few of them go to all tasks, more are joined by a shuffle.
-        few = keys.count() <= BROADCAST_KEYS
         same = (F.col("t") == F.col("key_t")) & F.col("id").eqNullSafe(F.col("key_id"))
-        texts = self.texts.join(F.broadcast(keys) if few else keys, same, "left_semi").select("text")
+        texts = self.texts.join(checked_broadcast(keys), same, "left_semi").select("text")
 
         def scan(batches):
             seen = set()
@@ -409,31 +426,36 @@ class Join:
         # Rows that repeat in other tasks give a set again; links are made distinct.
         return staged(texts.mapInPandas(scan, "d long, shingles array<long>"), "join-sets")
 
-    def _verified(self, candidates: DataFrame) -> DataFrame:
-        """The pairs that are similar, by their whole sets."""
+    def _compared(self, candidates: DataFrame) -> DataFrame:
+        """Shared and total shingles of the candidates, by their whole sets: a, b, shared, total."""
         candidates = staged(candidates, "join-candidates")
         wanted = candidates.select(F.col("a").alias("d")).unionByName(candidates.select(F.col("b").alias("d"))).distinct()
         sets = self._sets(wanted)
-        of = lambda x: sets.select(F.col("d").alias(x), F.col("shingles").alias(f"set_{x}"))
+
+        def of(side: str) -> DataFrame:
+            return sets.select(F.col("d").alias(side), F.col("shingles").alias(f"set_{side}"))
+
         both = candidates.join(of("a"), "a").join(of("b"), "b")
         shared = F.size(F.array_intersect("set_a", "set_b"))
-        total = F.size("set_a") + F.size("set_b") - shared
-        return staged(both.where(shared * 100 >= total * 75).select("a", "b"), "join-links")
+        total = F.size("set_a") + F.size("set_b") - F.col("shared")
+        rows = both.withColumn("shared", shared).select("a", "b", "shared", total.alias("total"))
+        return staged(rows, "join-compared")
 
     def links(self) -> DataFrame:
         """Similar pairs (a, b) of different sets; within a component some may be left out."""
+        similar = F.col("shared") * 100 >= F.col("total") * 75
         signed = self._signed()
-        pairs = signed.where("pair").select("sig", "d", "n", "rest").distinct()
-        first = self._verified(self._rare_pairs(signed).unionByName(self._core_pairs(pairs)).distinct())
-        if signed.where("pair").isEmpty():
+        cored = self._cored(signed.where("pair").select("sig", "d", "n", "rest").distinct())
+        compared = self._compared(self._rare_pairs(signed).unionByName(self._core_pairs(cored)).distinct())
+        first = compared.where(similar).select("a", "b")
+        if cored.isEmpty():
             return first
-        cross = self._cross_pairs(pairs, components(first))
-        return first.unionByName(self._verified(cross))
+        cross = self._compared(self._cross_pairs(cored, components(first), compared))
+        return first.unionByName(cross.where(similar).select("a", "b"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_shingles, component_id, class_id (least id with the same set), for every row."""
-    run = Join(docs, id_col, text_col)
+def _placed(run: Join) -> DataFrame:
+    """id, t, n, class_id, component_id and root (None for empty sets) of every row."""
     roots = components(run.links())
     classes = run.rows.where("n > 0").groupBy("set", "d").agg(F.min("id").alias("class_id"))
     placed = staged(
@@ -443,8 +465,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "join-classes",
     )
     least = placed.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    named = placed.join(least, "root").select("set", "class_id", "component_id")
-    return run.rows.join(named, "set", "left").select(
+    named = staged(placed.join(least, "root"), "join-components")
+    return run.rows.join(named, "set", "left")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, n_shingles, component_id, class_id (least id with the same set), for every row."""
+    return _placed(Join(docs, id_col, text_col)).select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
@@ -453,12 +480,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with their own columns, whose id names their component.
+    """The rows of ``docs``, with their own columns, one for each component; texts without words stay.
 
-    Rows that repeat in id and text are one row afterwards; texts without words,
-    and components of null ids only, stay.
+    The row with the least id stays (ids that are not null first, then by a hash of the
+    text). Repeated rows of the row that stays become one.
     """
-    found = jaccard_components(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone_id")).distinct()
-    gone = staged(gone, "join-gone")
-    return docs.join(gone, F.col(id_col) == F.col("gone_id"), "left_anti")
+    run = Join(docs, id_col, text_col)
+    rows = staged(_placed(run).where("n > 0").select("id", "t", "root"), "join-placed-rows")
+    key = F.struct(F.col("id").isNull().alias("unknown"), "id", "t")
+    first = staged(rows.groupBy("root").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")), "join-first")
+    grouped = rows.join(first.where("n > 1"), "root")
+    gone = grouped.where(key != F.col("first")).select(F.col("id").alias("gone_id"), F.col("t").alias("gone_t"))
+    gone = staged(gone.distinct(), "join-gone")
+    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("gone_t")) & F.col(id_col).eqNullSafe(F.col("gone_id"))
+    left = docs.join(checked_broadcast(gone), same, "left_anti")
+    again = rows.groupBy("root", "id", "t").count().where("count > 1")
+    return left if again.isEmpty() else _without_repeats(left, again, id_col, text_col)
+
+
+def _without_repeats(docs: DataFrame, again: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One of the rows that repeat (id, t)."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*own).alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("t"))
+    keys = staged(again.select(F.col("id").alias("again_id"), F.col("t").alias("again_t")), "join-again")
+    same = (F.col("t") == F.col("again_t")) & F.col("id").eqNullSafe(F.col("again_id"))
+    single = keyed.join(keys, same, "left_anti").select("row.*")
+    # Rows that repeat are combined in their task first, and carry their columns as they are.
+    one = keyed.join(keys, same, "left_semi").groupBy("id", "t").agg(F.min("row").alias("row")).select("row.*")
+    return single.unionByName(one)
