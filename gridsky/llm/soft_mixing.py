@@ -85,16 +85,14 @@ class DomainModel:
     domains: tuple[str, ...]
     start: tuple[float, ...]
     tokens: Mapping[str, tuple[float, ...]]
-    vocabulary: tuple[str, ...]
 
     def add(self, rows: DataFrame) -> DataFrame:
-        """Add to (..., text) the columns words and posteriors (rounded, an array by domain)."""
+        """Add to (..., found) the column posteriors (rounded, an array by domain)."""
         weights = _constant(self.tokens, "map<string,array<double>>")
         zero = F.array_repeat(F.lit(0.0), len(self.domains))
         # Each step is a column of its own, so that no expression holds the one before more than once.
-        rows = _tokens(rows, self.vocabulary)
         scores = F.aggregate(
-            "tokens",
+            "found",
             _constant(self.start, "array<double>"),
             # A token that no labelled document has tells nothing.
             lambda total, t: F.zip_with(total, F.coalesce(weights[t], zero), lambda a, b: a + b),
@@ -103,7 +101,7 @@ class DomainModel:
         rows = rows.withColumn("odds", F.transform("scores", lambda x: F.exp(x - F.col("most"))))
         rows = rows.withColumn("sum", F.aggregate("odds", F.lit(0.0), lambda a, b: a + b))
         rounded = F.transform("odds", lambda x: F.round(x / F.col("sum"), DIGITS))
-        return rows.withColumn("posteriors", rounded).drop("tokens", "scores", "most", "odds", "sum")
+        return rows.withColumn("posteriors", rounded).drop("scores", "most", "odds", "sum")
 
 
 def _constant(value, kind: str) -> Column:
@@ -111,26 +109,20 @@ def _constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def _tokens(rows: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """Add to (..., text) the columns words and tokens (chosen words that occur, and bins)."""
-    rows = rows.withColumn("words", _words(F.col("text")))
+def _featured(texts: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
+    """id, hash, tokens (their number) and found (chosen words that occur, and bins) of (id, text)."""
+    rows = texts.withColumn("words", _words(F.col("text")))
     chosen = F.array_intersect("words", _constant(list(vocabulary), "array<string>"))
-    return rows.withColumn("tokens", F.concat(chosen, F.array(*_statistics(F.col("text"), F.col("words")))))
+    return rows.select(
+        "id",
+        F.xxhash64("text").alias("hash"),
+        F.size("words").cast("long").alias("tokens"),
+        F.concat(chosen, F.array(*_statistics(F.col("text"), F.col("words")))).alias("found"),
+    )
 
 
-def fit_domains(
-    docs: DataFrame,
-    domains: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    domain_col: str = "domain",
-    sample: int = SAMPLE,
-    words: int = WORDS,
-) -> DomainModel | None:
-    """Learn the domains from the table ``domains`` (``id_col``, ``domain_col``); None without labels."""
-    labelled = domains.select(F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("domain"))
-    labelled = labelled.where("id IS NOT NULL AND domain IS NOT NULL").distinct()
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"))
+def choose_words(texts: DataFrame, labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS) -> list[str]:
+    """Words that tell the domains apart, from at most ``sample`` labelled texts."""
     few = labelled.orderBy(F.xxhash64("id"), "id", "domain").limit(sample)
     # At most ``sample`` rows.
     sizes = staged(few.groupBy("domain").agg(F.count(F.lit(1)).alias("size")), "mix-sizes")
@@ -150,15 +142,17 @@ def fit_domains(
         )
     )
     ranked = scored.withColumn("place", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc("gain"), "word")))
-    chosen = tuple(sorted({r.word for r in ranked.where(F.col("place") <= words).select("word").collect()}))
+    return sorted({r.word for r in ranked.where(F.col("place") <= words).select("word").collect()})
 
-    marked = _tokens(texts, chosen).select("id", "tokens")
-    marked = staged(marked.join(labelled, "id").select("domain", "tokens"), "mix-labelled")
+
+def fit_domains(rows: DataFrame, labelled: DataFrame) -> DomainModel | None:
+    """The model from the counts over all labelled rows of (id, found); None without labels."""
+    marked = staged(rows.join(labelled, "id").select("domain", "found"), "mix-labelled")
     sizes = {r.domain: r.n for r in marked.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return None
     names = tuple(sorted(sizes))
-    counted = marked.select("domain", F.explode("tokens").alias("token")).groupBy("token").pivot("domain", list(names)).count()
+    counted = marked.select("domain", F.explode("found").alias("token")).groupBy("token").pivot("domain", list(names)).count()
     table = {r["token"]: [r[d] or 0 for d in names] for r in counted.collect()}
     everything = sum(sizes.values())
     start = [math.log(sizes[d] / everything) for d in names]
@@ -171,7 +165,7 @@ def fit_domains(
             # Presence adds to a start at which every word is absent.
             odds[token] = tuple(math.log(s / (1 - s)) for s in share)
             start = [a + math.log(1 - s) for a, s in zip(start, share)]
-    return DomainModel(names, tuple(start), odds, chosen)
+    return DomainModel(names, tuple(start), odds)
 
 
 def _rate(posteriors: Column, steps: Sequence[Sequence[float]]) -> Column:
@@ -247,18 +241,15 @@ def fit_mixture(
     sample: int = SAMPLE,
 ) -> tuple[Mixture, DataFrame]:
     """The mixture, and a table of id, hash (of the text), tokens (their number), posteriors of all rows."""
-    model = fit_domains(docs, domains, id_col, text_col, domain_col, sample)
+    labelled = domains.select(F.col(id_col).alias("id"), F.col(domain_col).cast("string").alias("domain"))
+    labelled = labelled.where("id IS NOT NULL AND domain IS NOT NULL").distinct()
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"))
+    # The features of all rows are made once; the classifier is fitted to them and applied to them.
+    rows = staged(_featured(texts, choose_words(texts, labelled, sample)), "mix-rows")
+    model = fit_domains(rows, labelled)
     if model is None:
-        scored = texts.withColumn("words", _words(F.col("text"))).withColumn("posteriors", F.array().cast("array<double>"))
-    else:
-        scored = model.add(texts)
-    rows = scored.select(
-        "id", F.xxhash64("text").alias("hash"), F.size("words").cast("long").alias("tokens"), "posteriors"
-    )
-    rows = staged(rows, "mix-rows")
-    if model is None:
-        return Mixture(None, []), rows
+        return Mixture(None, []), rows.withColumn("posteriors", F.array().cast("array<double>"))
+    rows = staged(model.add(rows).drop("found"), "mix-posteriors")
     profiles = staged(rows.groupBy("posteriors").agg(F.sum("tokens").alias("tokens")), "mix-profiles")
     return Mixture(model, fit_rates(profiles, model, targets)), rows
 

@@ -55,7 +55,7 @@ def test_steps_are_projected_gradient(spark):
     rng = np.random.default_rng(2)
     p = np.round(rng.dirichlet([1, 1, 1], 40), 2)
     n = rng.integers(1, 50, 40)
-    model = DomainModel(("a", "b", "c"), (0.0,) * 3, {}, ())
+    model = DomainModel(("a", "b", "c"), (0.0,) * 3, {})
     rows = spark.createDataFrame([(x.tolist(), int(k)) for x, k in zip(p, n)], "posteriors array<double>, tokens long")
     steps = fit_rates(rows, model, {"a": 0.7, "b": 0.2, "c": 0.1}, iterations=4)
     start = (p * n[:, None]).sum(axis=0)
