@@ -35,10 +35,28 @@ _CORRUPT = "_corrupt"
 
 @dataclass(frozen=True)
 class Decoded:
-    """Typed records, and the messages that gave none with the reason."""
+    """Typed records, the messages that gave none with the reason, and both in one frame.
+
+    ``marked`` has every message: its fields, or its text and ``reason``. A job that
+    needs both sides lands this frame, so that a message is parsed once.
+    """
 
     records: DataFrame
     rejected: DataFrame
+    marked: DataFrame
+
+
+def split_marked(marked: DataFrame) -> Decoded:
+    """The two sides of a ``marked`` frame, wherever it was kept."""
+    usable = F.col("reason").isNull()
+    names = [c for c in marked.columns if c not in ("message", "reason")]
+    fields = set(ENERGY_MESSAGE.names) | set(WEATHER_MESSAGE.names) | {"ts"}
+    carried = [c for c in names if c not in fields]
+    return Decoded(
+        records=marked.filter(usable).select(*names),
+        rejected=marked.filter(~usable).select("message", "reason", *carried),
+        marked=marked,
+    )
 
 
 def _on_the_wire(kind: DataType) -> DataType:
@@ -100,9 +118,17 @@ def decode(messages: DataFrame, fields: StructType, carry: tuple[str, ...] = ())
     usable = ~F.col("corrupt") & F.col("ts").isNotNull()
     blank = F.col("message").isNull() | (F.length(F.trim("message")) == 0)
     reason = F.when(F.col("corrupt") | blank, F.lit(MALFORMED)).otherwise(F.lit(NO_EVENT_TIME))
+    marked = decoded.select(
+        *fields.names,
+        "ts",
+        *carry,
+        F.when(~usable, F.col("message")).alias("message"),
+        F.when(~usable, reason).alias("reason"),
+    )
     return Decoded(
         records=decoded.filter(usable).select(*fields.names, "ts", *carry),
         rejected=decoded.filter(~usable).select("message", reason.alias("reason"), *carry),
+        marked=marked,
     )
 
 

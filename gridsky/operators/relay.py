@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -15,22 +14,26 @@ def relay_json(
     messages: DataFrame,
     fn: Callable[[str], str] | None = None,
     on_error: str = "fail",
+    canonical: bool = False,
 ) -> DataFrame:
-    """Apply ``fn`` to every ``value``, in Arrow batches; other columns pass through.
+    """Pass on every ``value``; other columns pass through.
 
-    Without ``fn`` the message is parsed and written again. An exception ends the
-    job under ``on_error='fail'`` and gives NULL for that message under
-    ``'null'``. A NULL message stays NULL.
+    Without ``fn`` each message is checked to be JSON and passed on as it is, or
+    with ``canonical`` written anew from its parsed form; both run in the JVM. With
+    ``fn`` the function gets each message, in Arrow batches. A message that is not
+    JSON, or an exception, ends the job under ``on_error='fail'`` and gives
+    NULL for that message under ``'null'``. A NULL message stays NULL.
     """
     if on_error not in ("fail", "null"):
         raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
     lenient = on_error == "null"
+    if fn is None:
+        parsed = (F.try_parse_json if lenient else F.parse_json)(F.col("value").cast("string"))
+        whole = F.to_json(parsed) if canonical else F.when(parsed.isNotNull(), F.col("value").cast("string"))
+        return messages.withColumn("value", whole)
 
     # Nested functions travel to the workers by value: the hook needs no package there.
-    def rewritten(message):
-        return json.dumps(json.loads(message))
-
-    hook = fn or rewritten
+    hook = fn
 
     def one(message):
         if message is None:

@@ -38,16 +38,20 @@ def _newest_rows(rows: DataFrame, time: str, count: int) -> DataFrame:
 
 
 def recent_days(
-    point_data: DataFrame, generator: str = DEFAULT_GENERATOR, days: int = 3
+    point_data: DataFrame,
+    generator: str = DEFAULT_GENERATOR,
+    days: int = 3,
+    known_days: DataFrame | None = None,
 ) -> DataFrame:
     """One generator's readings on the newest days of the whole table, newest first.
 
     Being on one of the newest days is the same as not being older than the
     oldest of them. Stated that way the membership test is a bound the scan can
     use: on a day-partitioned table only those days are read, elsewhere row
-    groups are skipped by their time statistics.
+    groups are skipped by their time statistics. ``known_days`` are the days of a
+    stored table, from its notes; without them they are found by reading it.
     """
-    oldest = newest_days(point_data, days).agg(F.min("day").alias("day"))
+    oldest = newest_days(point_data if known_days is None else known_days, days).agg(F.min("day").alias("day"))
     if "day" in point_data.columns:
         recent = F.col("day") >= oldest.scalar()
     else:
@@ -81,6 +85,19 @@ def latest_weather(weather_data: DataFrame, place: str) -> DataFrame:
     )
 
 
+def latest_weather_stored(weather_data: DataFrame, known_days: DataFrame, place: str) -> DataFrame:
+    """``latest_weather`` of a stored table: day by day from the newest, until the place is found.
+
+    Most often that is one day's folder; no day is read that is older than needed.
+    """
+    days = sorted((r.day for r in known_days.collect()), reverse=True)
+    for day in days:
+        own = weather_data.filter(F.col("day") == F.lit(day)).drop("day")
+        if not own.filter(F.col("place") == F.lit(place)).isEmpty():
+            return latest_weather(own, place)
+    return latest_weather(weather_data.drop("day").limit(0), place)
+
+
 def recent_balance(energy_analytics: DataFrame) -> DataFrame:
     """Production and consumption of the three newest buckets."""
     return _newest_rows(energy_analytics, "hour_group", 3).select(

@@ -17,8 +17,8 @@ energy_record AS (
   FROM events WHERE event_type IN ('click', 'view', 'purchase')),
 weather_record AS (
   SELECT epoch_us(ts) // 1000 AS time_stamp,
-         {_SITE.format("15.5", "14.53611", "14.97222")}::DOUBLE AS lat,
-         {_SITE.format("-90.333333", "-91.67778", "-89.53056")}::DOUBLE AS lon,
+         {_SITE.format("15.5", "14.5", "15.0")}::DOUBLE AS lat,
+         {_SITE.format("-90.5", "-91.5", "-89.5")}::DOUBLE AS lon,
          {_PLACE} AS place,
          value / 10 AS temp,
          json_extract_string(props, '$.k')::DOUBLE / 5 AS dew_point,
@@ -114,14 +114,22 @@ _ENERGY_WEATHER = """
 _WEATHER_COLUMNS = """round(temp, 6) AS temp, round(dew_point, 6) AS dew_point,
          round(uvi, 6) AS uvi, round(clouds, 6) AS clouds"""
 
-# A stream ends with its input: it has emitted the buckets that end no later than
-# its newest event (in milliseconds) less one second, the slower source deciding.
-_ENERGY_MARK = (
-    "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 second' FROM energy_record)"
-)
-_WEATHER_MARK = (
-    "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '1 second' FROM weather_record)"
-)
+_POINTS = """
+  SELECT date_trunc('milliseconds', time_stamp) AS time_stamp, id, place, generation, type_gen,
+         round(kwh, 6) AS kwh"""
+
+_ANALYTICS = """
+  SELECT hour_group, round(kwh_prod, 6) AS kwh_prod, round(kwh_cons, 6) AS kwh_cons,
+         round(ratio, 6) AS ratio
+  FROM energy_analytics"""
+
+# The messages of the accounting query, with the key parts as decoded.
+_ACCOUNTED = """
+  SELECT date_trunc('milliseconds', ts) AS ts, if(event_id % 7 = 0, NULL, place) AS place, id
+  FROM energy_record
+  UNION ALL
+  SELECT date_trunc('milliseconds', ts), place, id
+  FROM energy_record WHERE event_id % 11 = 0 AND event_id % 7 <> 0"""
 
 _STATEMENTS = {
     "encode_energy": """
@@ -152,7 +160,12 @@ _STATEMENTS = {
     "flatten_weather": f"""
   SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, place, {_WEATHER_COLUMNS}, event_id
   FROM weather_record WHERE event_type = 'signup'""",
-    "relay_json": "SELECT event_id, props AS value FROM events",
+    "relay_json": """
+  SELECT event_id, if(json_valid(message), message, NULL) AS value
+  FROM (SELECT event_id, unnest([props, ' ' || props || '  ', event_type]) AS message FROM events)""",
+    "relay_json_canonical": """
+  SELECT event_id, '{"k":' || json_extract_string(props, '$.k') || '.5,"n":"xéñ"}' AS value
+  FROM events""",
     "relay_json_hook": """
   SELECT event_id, '{"k": ' || json_extract_string(props, '$.k') || ', "relayed": true}' AS value
   FROM events""",
@@ -260,20 +273,46 @@ _STATEMENTS = {
         WINDOW days AS (ORDER BY day))""",
     "generator_ids": """
   SELECT DISTINCT id FROM point_data WHERE place = 'hydro'""",
-    "stream_point_data": """
-  SELECT date_trunc('milliseconds', time_stamp) AS time_stamp, id, place, generation, type_gen,
-         round(kwh, 6) AS kwh
-  FROM point_data""",
+    "batch_upsert": f"""{_POINTS}
+  FROM (SELECT ts AS time_stamp, *, value AS kwh,
+               row_number() OVER (PARTITION BY date_trunc('milliseconds', ts), place, id
+                                  ORDER BY arrival DESC) AS rn
+        FROM (SELECT *, event_id AS arrival FROM energy_record WHERE event_id % 5 <> 0
+              UNION ALL
+              SELECT * REPLACE (value + 1 AS value), event_id + 1000000000 AS arrival
+              FROM energy_record WHERE event_id % 3 = 0))
+  WHERE rn = 1""",
+    "batch_upsert_buckets": _ANALYTICS,
+    "batch_accounting": f"""
+  , accounted AS ({_ACCOUNTED}),
+  counted AS (
+    SELECT count(*) AS records, count(*) FILTER (place IS NULL) AS keyless,
+           (SELECT count(*) FROM (SELECT DISTINCT ts, place, id FROM accounted WHERE place IS NOT NULL)) AS kept
+    FROM accounted),
+  other AS (
+    SELECT count(*) FILTER (NOT json_valid(message)) AS malformed,
+           count(*) FILTER (json_valid(message)) AS no_event_time
+    FROM (SELECT props AS message FROM events UNION ALL SELECT event_type FROM events))
+  SELECT unnest(['energy_messages', 'energy_records', 'energy_malformed', 'energy_no_event_time',
+                 'point_data_keyless', 'point_data_rows', 'point_data_repeated']) AS item,
+         unnest([records + malformed + no_event_time, records, malformed, no_event_time,
+                 keyless, kept, records - keyless - kept]) AS messages
+  FROM counted, other""",
+    "serving_with_late_rows": """
+  SELECT time_stamp, id, place, generation, type_gen, round(kwh, 6) AS kwh FROM point_data""",
+    "stream_job": """
+  SELECT 'point_data' AS table_name, count(DISTINCT (date_trunc('milliseconds', time_stamp), place, id)) AS rows
+  FROM point_data
+  UNION ALL
+  SELECT 'weather_data', count(DISTINCT (date_trunc('milliseconds', time_stamp), place)) FROM weather_data
+  UNION ALL SELECT 'energy_analytics', count(*) FROM energy_analytics
+  UNION ALL SELECT 'energy_weather_analytics', count(*) FROM energy_weather_analytics""",
+    "stream_point_data": f"{_POINTS} FROM point_data",
     "stream_weather_data": f"""
   SELECT date_trunc('milliseconds', time_stamp) AS time_stamp, place, {_WEATHER_COLUMNS}
   FROM weather_data""",
-    "stream_energy_analytics": f"""
-  SELECT hour_group, round(kwh_prod, 6) AS kwh_prod, round(kwh_cons, 6) AS kwh_cons,
-         round(ratio, 6) AS ratio
-  FROM energy_analytics
-  WHERE hour_group + INTERVAL '10 minutes' <= {_ENERGY_MARK}""",
-    "stream_energy_weather": f"""{_ENERGY_WEATHER} FROM energy_weather_analytics
-  WHERE hour_group + INTERVAL '10 minutes' <= least({_ENERGY_MARK}, {_WEATHER_MARK})""",
+    "stream_energy_analytics": _ANALYTICS,
+    "stream_energy_weather": f"{_ENERGY_WEATHER} FROM energy_weather_analytics",
 }
 
 # The same questions asked of stored tables.

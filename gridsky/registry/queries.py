@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +35,26 @@ from gridsky.plans import dashboard
 from gridsky.plans.job import job_tables
 from gridsky.registry import views
 from gridsky.session import apply_runtime, fresh_dir, streaming_session
-from gridsky.sources.tables import read_live, read_serving, write_serving
-from gridsky.streaming.job import await_all, start_tables
+from gridsky.schemas import EVENT_TIME, KEYS
+from gridsky.sources.tables import (
+    append_batch,
+    publish_days,
+    read_current,
+    read_days,
+    read_live,
+    read_serving,
+    write_serving,
+)
+from gridsky.streaming.job import await_all, run_batch, start_job, start_tables
 from gridsky.streaming.sinks import TableSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NOW = datetime(2024, 1, 31)
+# The replays hold a few thousand buckets.
+STATE_PARTITIONS = 4
+# Arrivals of a later load.
+LATER = 1_000_000_000
 HYDRO, SOLAR, MALL = SITES
 # Half an hour of the fixture holds one reading at most; a week makes a result.
 HYDRO_WEEK = replace(HYDRO, lookback=timedelta(days=7))
@@ -76,6 +89,10 @@ class Tables:
     def point_data(self) -> DataFrame:
         return records.point_data(self.energy)
 
+    @cached_property
+    def point_data_by_event(self) -> DataFrame:
+        return records.point_data(self.energy, ("event_id",))
+
     @cached_property
     def weather_data(self) -> DataFrame:
         return records.weather_data(self.weather)
@@ -147,8 +164,27 @@ def _served(table: str, ask: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _served_newest(table: str, ask: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """As ``_served``, for questions that go by the notes on which days there are."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = fresh_dir(spark, table)
+        write_serving(getattr(Tables(spark, sf_dir), table), path, table)
+        return tidy(ask(read_serving(spark, path, table), read_days(spark, path)))
+
+    return run
+
+
 def _relayed(t: Tables) -> DataFrame:
-    return relay_json(t.events.select("event_id", F.col("props").alias("value")))
+    # Spaced JSON passes as it is; an event type is not JSON.
+    sent = F.array("props", F.concat(F.lit(" "), F.col("props"), F.lit("  ")), "event_type")
+    return relay_json(t.events.select("event_id", F.explode(sent).alias("value")), on_error="null")
+
+
+def _relayed_canonical(t: Tables) -> DataFrame:
+    k = F.get_json_object("props", "$.k")
+    sent = F.concat(F.lit('{ "n" : "x\\u00e9ñ",  "k" :'), k, F.lit(".50 }"))
+    return relay_json(t.events.select("event_id", sent.alias("value")), canonical=True)
 
 
 def _relayed_with_hook(t: Tables) -> DataFrame:
@@ -160,35 +196,132 @@ def _relayed_with_hook(t: Tables) -> DataFrame:
     return relay_json(t.events.select("event_id", F.col("props").alias("value")), mark)
 
 
+def _arrived(records: DataFrame, offset: int = 0) -> DataFrame:
+    """Records whose arrival is their event's number."""
+    return records.withColumn("arrival", F.struct((F.col("event_id") + offset).alias("offset")))
+
+
+def _energy_messages(energy: DataFrame, offset: int = 0) -> DataFrame:
+    readings = views.as_readings(_arrived(energy, offset))
+    return encode_energy(readings, views.float_millis(), carry=("arrival",))
+
+
+def _weather_messages(weather: DataFrame) -> DataFrame:
+    return encode_weather(_arrived(weather), views.float_millis(), carry=("arrival",))
+
+
+def _stream_inputs(session: SparkSession, sf_dir: str, work: str) -> tuple[DataFrame, DataFrame]:
+    """Energy and weather records as streams that end far in the future.
+
+    The last rows move the watermark past every bucket with data.
+    """
+    views.sentinels(session).write.parquet(f"{work}/sentinels")
+    events = views.events_stream(session, sf_dir).unionByName(
+        views.events_stream_at(session, f"{work}/sentinels")
+    )
+    return views.energy_record(events), views.weather_record(events)
+
+
+def _before_sentinels(rows: DataFrame, table: str) -> DataFrame:
+    return rows.filter(F.col(EVENT_TIME[table]) < F.lit(views.SENTINEL_DAY).cast("timestamp"))
+
+
 def _replay(table: str) -> Query:
     """Run one table of the job as a stream over ``events`` and read the result back.
 
-    Records are encoded and decoded on the way, as if taken from a topic. The
-    stream ends with its input, so buckets the watermark has not passed stay open.
+    Records are encoded and decoded on the way, as if taken from a topic.
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_runtime(spark)
-        session = streaming_session(spark)
-        events = views.events_stream(session, sf_dir)
-        energy = views.as_readings(views.energy_record(events))
+        session = streaming_session(apply_runtime(spark), STATE_PARTITIONS)
+        work = fresh_dir(spark, table)
+        energy, weather = _stream_inputs(session, sf_dir, work)
+        carry = ("arrival",)
         tables = job_tables(
-            decode_energy(encode_energy(energy, views.float_millis())).records,
-            decode_weather(
-                encode_weather(views.weather_record(events), views.float_millis())
-            ).records,
+            decode_energy(_energy_messages(energy), carry).records,
+            decode_weather(_weather_messages(weather), carry).records,
+            carry,
         )
-        work = fresh_dir(spark, table)
         sink = TableSink(f"{work}/live")
         running = start_tables(
             {table: tables[table]}, sink, f"{work}/checkpoints", available_now=True
         )
         await_all(running.values())
-        return tidy(read_live(spark, sink.path(table), table).drop("day"))
+        return tidy(_before_sentinels(read_live(spark, sink.path(table), table), table).drop("day"))
 
     return run
 
 
+def _stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four tables in one job, each message parsed once: rows by table."""
+    session = streaming_session(apply_runtime(spark), STATE_PARTITIONS)
+    work = fresh_dir(spark, "job")
+    energy, weather = _stream_inputs(session, sf_dir, work)
+    sink = TableSink(f"{work}/live")
+    running = start_job(
+        _energy_messages(energy), _weather_messages(weather), sink, f"{work}/checkpoints", available_now=True
+    )
+    await_all(running.values())
+    counted = [
+        _before_sentinels(read_live(spark, sink.path(t), t), t)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(t).alias("table_name"), "rows")
+        for t in KEYS
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _batch_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that share days and keys; the later one raises a third of the values."""
+    t = Tables(spark, sf_dir)
+    out = fresh_dir(spark, "upsert")
+    weather = _weather_messages(t.weather)
+    run_batch(_energy_messages(t.energy.filter("event_id % 5 <> 0")), weather.limit(0), out, load="1")
+    raised = t.energy.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1)
+    run_batch(_energy_messages(raised, LATER), weather, out, load="2")
+    return tidy(read_serving(spark, f"{out}/point_data", "point_data").drop("day"))
+
+
+def _batch_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets whose messages come in two loads."""
+    t = Tables(spark, sf_dir)
+    out = fresh_dir(spark, "upsert")
+    weather = _weather_messages(t.weather)
+    for load in (0, 1):
+        part = t.energy.filter(F.col("event_id") % 2 == load)
+        run_batch(_energy_messages(part), weather.filter(F.lit(load == 1)), out, load=str(load))
+    return tidy(read_serving(spark, f"{out}/energy_analytics", "energy_analytics").drop("day"))
+
+
+def _job_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the messages of a load went: kept, repeated, without key, or rejected by reason."""
+    t = Tables(spark, sf_dir)
+    out = fresh_dir(spark, "accounting")
+    keyless = t.energy.withColumn("place", F.expr("if(event_id % 7 = 0, NULL, place)"))
+    twice = t.energy.filter("event_id % 11 = 0 AND event_id % 7 <> 0")
+    arrival = F.struct(F.col("event_id").alias("offset")).alias("arrival")
+    other = t.events.select(F.explode(F.array("props", "event_type")).alias("value"), arrival)
+    messages = _energy_messages(keyless).unionByName(_energy_messages(twice, LATER)).unionByName(other)
+    counts = run_batch(messages, _weather_messages(t.weather).limit(0), out, load="1")
+    kept = read_serving(spark, f"{out}/point_data", "point_data").count()
+    counts["point_data_rows"] = kept
+    counts["point_data_repeated"] = counts["energy_records"] - counts["point_data_keyless"] - kept
+    wanted = [(k, v) for k, v in counts.items() if k.startswith(("energy_", "point_data_"))]
+    return spark.createDataFrame(wanted, "item string, messages long")
+
+
+def _current_with_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the rows arrives after its day was published."""
+    points = Tables(spark, sf_dir).point_data_by_event
+    work = fresh_dir(spark, "late")
+    live, serving = f"{work}/live", f"{work}/serving"
+    early = points.filter("event_id % 10 <> 0").drop("event_id")
+    append_batch(early, live, "point_data", 0, 0)
+    publish_days(spark, live, serving, "point_data", "2024-01-01", "2024-01-24")
+    append_batch(points.filter("event_id % 10 = 0").drop("event_id"), live, "point_data", 0, 1)
+    return tidy(read_current(spark, live, serving, "point_data", "2024-01-25").drop("day"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         # messages
@@ -201,6 +334,7 @@ def all_queries() -> dict[str, Query]:
             lambda t: flatten_weather(views.weather_documents(t.events), ("event_id",))
         ),
         "relay_json": _over(_relayed),
+        "relay_json_canonical": _over(_relayed_canonical),
         "relay_json_hook": _over(_relayed_with_hook),
         # series
         "series_range": _over(_hydro_range),
@@ -243,12 +377,20 @@ def all_queries() -> dict[str, Query]:
         "daily_change": _over(lambda t: dashboard.daily_change(t.energy_analytics)),
         "generator_ids": _over(lambda t: dashboard.generator_ids(t.point_data)),
         # the dashboard over stored, day-partitioned tables
-        "serving_recent_days": _served("point_data", dashboard.recent_days),
-        "serving_latest_weather": _served(
-            "weather_data", lambda rows: dashboard.latest_weather(rows, "mall")
+        "serving_recent_days": _served_newest(
+            "point_data", lambda rows, days: dashboard.recent_days(rows, known_days=days)
+        ),
+        "serving_latest_weather": _served_newest(
+            "weather_data", lambda rows, days: dashboard.latest_weather_stored(rows, days, "mall")
         ),
         "serving_recent_balance": _served("energy_analytics", dashboard.recent_balance),
+        "serving_with_late_rows": _current_with_late_rows,
+        # the job as a batch
+        "batch_upsert": _batch_upsert,
+        "batch_upsert_buckets": _batch_upsert_buckets,
+        "batch_accounting": _job_accounting,
         # the job as streams
+        "stream_job": _stream_job,
         "stream_point_data": _replay("point_data"),
         "stream_weather_data": _replay("weather_data"),
         "stream_energy_analytics": _replay("energy_analytics"),

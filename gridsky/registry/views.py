@@ -6,6 +6,8 @@ The same mapping is written in SQL in :mod:`gridsky.registry.oracles`.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -28,12 +30,12 @@ EVENTS = StructType(
     ]
 )
 
-# Coordinates of the three sites.
-COORDINATES = {
-    "mall": (14.97222, -89.53056),
-    "solar": (14.53611, -91.67778),
-    "hydro": (15.5, -90.333333),
-}
+# Coordinates of the three sites; any will do.
+COORDINATES = {"mall": (15.0, -89.5), "solar": (14.5, -91.5), "hydro": (15.5, -90.5)}
+
+# The day of the rows that end a stream, after all others.
+SENTINEL_DAY = "2100-01-01"
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
@@ -43,10 +45,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The glob matches the table whether it is one file or a folder of parts; a
     # stream over a plain path must be a folder.
-    table = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
+    return events_stream_at(spark, f"{sf_dir}/events.parque[t]")
+
+
+def events_stream_at(spark: SparkSession, path: str) -> DataFrame:
+    table = spark.readStream.schema(EVENTS).parquet(path)
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def sentinels(spark: SparkSession) -> DataFrame:
+    """One energy and one weather event far in the future."""
+    at = datetime.fromisoformat(SENTINEL_DAY)
+    rows = [(-1, at, 0, "click", 0.0, '{"k": 0}'), (-2, at, 0, "signup", 0.0, '{"k": 0}')]
+    return spark.createDataFrame(rows, EVENTS).coalesce(1)
+
+
 def _by_site(hydro: object, solar: object, mall: object) -> str:
     return f"CASE user_id % 3 WHEN 0 THEN {hydro} WHEN 1 THEN {solar} ELSE {mall} END"
 

@@ -55,26 +55,25 @@ def apply_runtime(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for streaming queries; the caller's settings stay as they are.
 
-    The shuffle width is frozen into a checkpoint at the first run and AQE does
-    not coalesce stateful shuffles, so it is settled here: the session's width,
-    but no more state partitions than there are cores to serve them.
+    The shuffle width is frozen into a checkpoint at the first run, and AQE does
+    not coalesce stateful shuffles. It is the session's width, or ``state_partitions``.
     """
     child = spark.newSession()
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = max(1, spark.sparkContext.defaultParallelism)
+    width = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, value in {**RUNTIME, **STREAMING}.items():
         child.conf.set(name, value)
-    child.conf.set("spark.sql.shuffle.partitions", str(min(width, cores)))
+    child.conf.set("spark.sql.shuffle.partitions", str(width))
     return child
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a local-mode session without that setting gets a temporary folder: there the
+    driver's folders are the executors' too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

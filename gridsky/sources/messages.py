@@ -50,10 +50,15 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
 def read_kafka(
     spark: SparkSession, options: dict[str, str], streaming: bool = True
 ) -> DataFrame:
+    """Messages of a topic. The offset orders them, as producers' clocks may run back.
+
+    Messages with equal table keys must share a partition, which the producer's
+    message key sees to; between partitions the order is arbitrary but fixed.
+    """
     reader = spark.readStream if streaming else spark.read
     return reader.format("kafka").options(**options).load().select(
         F.col("value").cast("string").alias("value"),
-        F.struct("timestamp", "partition", "offset").alias("arrival"),
+        F.struct("partition", "offset", "timestamp").alias("arrival"),
     )
 
 

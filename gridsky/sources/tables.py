@@ -9,10 +9,14 @@ so a filter on ``day`` prunes folders before rows are compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
@@ -24,7 +28,7 @@ _DAY = StructField("day", DateType())
 _WRITE = [StructField("run", IntegerType()), StructField("batch", LongType())]
 
 # Tables whose rows are closed windows: the aggregation gives each key once.
-_ONE_ROW_PER_KEY = ("energy_analytics", "energy_weather_analytics")
+ONE_ROW_PER_KEY = ("energy_analytics", "energy_weather_analytics")
 
 
 def one_per_key(rows: DataFrame, table: str) -> DataFrame:
@@ -34,7 +38,7 @@ def one_per_key(rows: DataFrame, table: str) -> DataFrame:
     task that read them. Without that column any row of a key is kept.
     """
     whole, _ = split_null_keys(rows, KEYS[table])
-    if table not in _ONE_ROW_PER_KEY:
+    if table not in ONE_ROW_PER_KEY:
         if "arrival" in rows.columns:
             numbered = whole.withColumn("_line", F.monotonically_increasing_id())
             whole = latest_by_key(numbered, KEYS[table], ("arrival", "_line"))
@@ -79,22 +83,51 @@ def append_batch(rows: DataFrame, path: str, table: str, run: int, batch: int) -
     is replayed from the same source offsets.
     """
     labels = {"run": F.lit(run).cast("int"), "batch": F.lit(batch).cast("bigint")}
+    days = Observation()
     with adaptive(rows.sparkSession):
         (
-            by_day(with_day(rows, table))
+            by_day(with_day(rows, table).observe(days, F.collect_set("day").alias("days")))
             .withColumns(labels)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "run", "batch")
             .parquet(path)
         )
+    _write_days(rows.sparkSession, f"{path}_batches/run={run}/batch={batch}", days)
 
 
-def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The newest write per key of a live table, with its ``day``."""
-    stored = spark.read.schema(
-        StructType([*SERVING[table].fields, _DAY, *_WRITE])
-    ).parquet(path)
+def _write_days(spark: SparkSession, path: str, days: Observation) -> None:
+    """Note the days that a write has touched."""
+    try:
+        found = [(d,) for d in sorted(days.get["days"])]
+    except Py4JJavaError:
+        # An empty frame is optimised away, and its observation with it.
+        found = []
+    spark.createDataFrame(found, StructType([_DAY])).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _noted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table of notes; none if nothing has been noted."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_live(
+    spark: SparkSession, path: str, table: str, days: Sequence[date] | None = None
+) -> DataFrame:
+    """The newest write per key of a live table, with its ``day``.
+
+    With ``days`` only their folders are listed and read.
+    """
+    schema = StructType([*SERVING[table].fields, _DAY, *_WRITE])
+    if days is not None and not days:
+        return spark.createDataFrame([], schema).drop("run", "batch")
+    folders = [path] if days is None else [f"{path}/day={d}" for d in days]
+    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
     # ``day`` follows from the key; naming it lets filters on it reach the scan.
     return latest_by_key(stored, ("day", *KEYS[table]), ("run", "batch")).drop("run", "batch")
 
@@ -102,44 +135,78 @@ def read_live(spark: SparkSession, path: str, table: str) -> DataFrame:
 def write_serving(rows: DataFrame, path: str, table: str) -> None:
     """Write ``rows``, one per key, as a plain day-partitioned table.
 
-    Only the days present in ``rows`` are replaced.
+    Only the days present in ``rows`` are replaced. Which days there are is noted
+    beside the table, for questions about the newest ones.
     """
     source = rows if "day" in rows.columns else with_day(rows, table)
+    days = Observation()
     (
-        by_day(source)
+        by_day(source.observe(days, F.collect_set("day").alias("days")))
         .sortWithinPartitions("day", EVENT_TIME[table])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
+    _write_days(rows.sparkSession, f"{path}_days/write={uuid.uuid4().hex}", days)
 
 
 def read_serving(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(StructType([*SERVING[table].fields, _DAY])).parquet(path)
 
 
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """The days of a serving table, from its notes: no folder of the table is listed."""
+    return _noted(spark, f"{path}_days", StructType([_DAY])).distinct()
+
+
 def publish_days(
     spark: SparkSession, live: str, serving: str, table: str, first: str, last: str
 ) -> None:
     """Write the days ``first`` to ``last`` of a live table to its serving table.
 
     Meant for days that have closed: many small files become few, and the work
-    of finding the newest write is done once. Running it again replaces the days,
-    and takes in what has arrived late.
+    of finding the newest write is done once. It is noted up to which write each
+    day is published. Running it again replaces the days, and takes in what has
+    arrived late.
     """
-    days = read_live(spark, live, table).filter(days_between(first, last))
-    write_serving(days, serving, table)
+    # The notes are taken first: what is written meanwhile counts as late.
+    noted = _batches(spark, live).filter(days_between(first, last))
+    newest = noted.groupBy("day").agg(F.max(F.struct("run", "batch")).alias("upto")).collect()
+    write_serving(read_live(spark, live, table, sorted(r.day for r in newest)), serving, table)
+    rows = [(r.day, r.upto.run, r.upto.batch) for r in newest]
+    marks = spark.createDataFrame(rows, StructType([_DAY, *_WRITE])).coalesce(1)
+    marks.write.mode("append").parquet(f"{serving}_published")
+
+
+def _batches(spark: SparkSession, live: str) -> DataFrame:
+    """(day, run, batch) of every write of a live table."""
+    return _noted(spark, f"{live}_batches", StructType([_DAY, *_WRITE]))
+
+
+def unpublished_days(spark: SparkSession, live: str, serving: str, open_from: str) -> list[date]:
+    """Days from ``open_from`` on, and closed days written to since they were published."""
+    published = _noted(spark, f"{serving}_published", StructType([_DAY, *_WRITE]))
+    upto = published.groupBy("day").agg(F.max(F.struct("run", "batch")).alias("upto"))
+    written = _batches(spark, live).groupBy("day").agg(F.max(F.struct("run", "batch")).alias("newest"))
+    late = F.col("upto").isNull() | (F.col("newest") > F.col("upto"))
+    open_day = F.col("day") >= F.lit(open_from).cast("date")
+    return sorted(r.day for r in written.join(upto, "day", "left").filter(open_day | late).collect())
 
 
 def read_current(
     spark: SparkSession, live: str, serving: str, table: str, open_from: str
 ) -> DataFrame:
-    """Published days before ``open_from``, and the live table from then on."""
-    opened = F.lit(open_from).cast("date")
-    closed = read_serving(spark, serving, table).filter(F.col("day") < opened)
-    still_open = read_live(spark, live, table).filter(F.col("day") >= opened)
-    return closed.unionByName(still_open)
+    """The whole table: days from the live form if they are open or have late rows, else as published.
+
+    Late rows of a published day show at once; publishing the day again makes it
+    cheap again. Only the folders of such days are listed in the live form.
+    """
+    days = unpublished_days(spark, live, serving, open_from)
+    published = read_serving(spark, serving, table).filter(F.col("day") < F.lit(open_from).cast("date"))
+    if days:
+        published = published.filter(~F.col("day").isin(days))
+    return published.unionByName(read_live(spark, live, table, days))
 
 
 def register_serving(spark: SparkSession, root: str) -> None:

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from gridsky.operators.decode import Decoded, decode_energy, decode_weather
+from gridsky.operators.decode import (
+    MALFORMED,
+    NO_EVENT_TIME,
+    Decoded,
+    decode_energy,
+    decode_weather,
+    split_marked,
+    split_null_keys,
+)
 from gridsky.plans.job import job_tables
-from gridsky.session import fresh_dir
-from gridsky.sources.tables import one_per_key, write_serving
+from gridsky.schemas import KEYS, SERVING
+from gridsky.sources.tables import by_day, one_per_key, write_serving
 from gridsky.streaming.sinks import BatchSink
 
 Sink = Callable[[str], BatchSink]
@@ -59,39 +70,56 @@ def start_job(
     records: str | None = None,
     available_now: bool = False,
     interval: str | None = None,
+    retention: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """The whole job: decode both message streams and start a query per table.
 
     Messages come with their ``arrival`` from :mod:`gridsky.sources.messages`.
-    With ``rejects`` set, what cannot be decoded is kept under that path.
+    Queries share nothing, so two of them parse each message once and land it, as
+    typed columns or as text with the reason of its rejection, under ``records``
+    (by default beside the checkpoints). The tables read their columns from
+    there, one trigger later. The landing queries count what they reject, by
+    reason, under the observation ``rejected``. With ``rejects`` set, the rejected messages
+    are also kept by themselves under that path.
 
-    Queries share nothing, so the energy messages are parsed by three of them.
-    With ``records`` set, two more queries parse each message once and land the
-    typed records under that path, and the tables read their columns from there,
-    one trigger later.
+    ``retention`` ("30 days") lets the landing's log forget files that old, for readers that
+    start later too; without it the log keeps every file.
     """
     carry = ("arrival",)
-    energy = decode_energy(energy_messages, carry)
-    weather = decode_weather(weather_messages, carry)
-    started = {}
+    records = records or f"{checkpoints}/records"
+    inputs = {
+        "energy": decode_energy(energy_messages, carry).marked,
+        "weather": decode_weather(weather_messages, carry).marked,
+    }
+    started = {
+        f"{name}_records": _to_parquet(
+            count_rejects(marked),
+            f"{records}/{name}_records",
+            f"{checkpoints}/{name}_records",
+            f"{name}_records",
+            available_now,
+            interval,
+            retention,
+        )
+        for name, marked in inputs.items()
+    }
+    if available_now:
+        await_all(started.values())
+    landed = {
+        name: split_marked(_landed(marked, f"{records}/{name}_records"))
+        for name, marked in inputs.items()
+    }
     if rejects:
-        for name, decoded in (("energy_rejects", energy), ("weather_rejects", weather)):
-            started[name] = quarantine_rejects(
-                decoded, f"{rejects}/{name}", f"{checkpoints}/{name}", name, available_now, interval
-            )
-    inputs = {"energy_records": energy.records, "weather_records": weather.records}
-    if records:
-        landing = {
-            name: _to_parquet(
-                rows, f"{records}/{name}", f"{checkpoints}/{name}", name, available_now, interval
+        for name, decoded in landed.items():
+            started[f"{name}_rejects"] = quarantine_rejects(
+                decoded,
+                f"{rejects}/{name}_rejects",
+                f"{checkpoints}/{name}_rejects",
+                f"{name}_rejects",
+                available_now,
+                interval,
             )
-            for name, rows in inputs.items()
-        }
-        if available_now:
-            await_all(landing.values())
-        started.update(landing)
-        inputs = {n: _landed(rows, f"{records}/{n}") for n, rows in inputs.items()}
-    tables = job_tables(inputs["energy_records"], inputs["weather_records"], carry)
+    tables = job_tables(landed["energy"].records, landed["weather"].records, carry)
     started.update(start_tables(tables, sink, checkpoints, available_now, interval))
     return started
 
@@ -103,6 +131,7 @@ def _to_parquet(
     name: str,
     available_now: bool,
     interval: str | None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     writer = (
         rows.writeStream.queryName(name)
@@ -111,15 +140,26 @@ def _to_parquet(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+    if retention:
+        writer = writer.option("retention", retention)
     return _paced(writer, available_now, interval).start()
 
 
 def _landed(rows: DataFrame, path: str) -> DataFrame:
-    """Stream what ``_to_parquet`` writes; its log makes each of its batches appear whole."""
-    spark = rows.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    """Stream what ``_to_parquet`` writes; its log makes each of its batches appear whole.
+
+    The folder and its log exist once that query has been started.
+    """
+    return rows.sparkSession.readStream.schema(rows.schema).parquet(path)
+
+
+def count_rejects(rows: DataFrame) -> DataFrame:
+    """Count rows by reason, under the observation ``rejected``."""
+    return rows.observe(
+        "rejected",
+        F.count_if(F.col("reason") == MALFORMED).alias("malformed"),
+        F.count_if(F.col("reason") == NO_EVENT_TIME).alias("no_event_time"),
+    )
 
 
 def quarantine_rejects(
@@ -134,20 +174,29 @@ def quarantine_rejects(
 
     The counts are in the query's progress, under the observation ``rejected``.
     """
-    counted = decoded.rejected.observe(
-        "rejected",
-        F.count_if(F.col("reason") == "malformed").alias("malformed"),
-        F.count_if(F.col("reason") == "no_event_time").alias("no_event_time"),
-    )
     return _to_parquet(
-        counted.select("message", "reason"), path, checkpoint, name, available_now, interval
+        count_rejects(decoded.rejected).select("message", "reason"),
+        path,
+        checkpoint,
+        name,
+        available_now,
+        interval,
     )
 
 
-def await_all(queries: Iterable[StreamingQuery]) -> None:
-    """Wait until every query has ended; the first failure is raised."""
-    for query in queries:
-        query.awaitTermination()
+def await_all(queries: Iterable[StreamingQuery], poll: float = 0.5) -> None:
+    """Wait until every query has ended. At the first failure the others are stopped and it is raised."""
+    running = list(queries)
+    while running:
+        for query in list(running):
+            try:
+                if query.awaitTermination(poll / len(running)):
+                    running.remove(query)
+            except StreamingQueryException:
+                for other in running:
+                    if other is not query:
+                        other.stop()
+                raise
 
 
 def set_watermark_policy(spark: SparkSession, policy: str) -> None:
@@ -162,33 +211,70 @@ def set_watermark_policy(spark: SparkSession, policy: str) -> None:
 
 
 def run_batch(
-    energy_messages: DataFrame, weather_messages: DataFrame, out: str, staging: str | None = None
-) -> None:
-    """Compute and write the four tables from landed messages, under ``out``.
-
-    Parsing is the dearest step and three tables need the energy records, so the
-    records are written once as columns and read back: each table then scans
-    only the columns it uses, and a lost executor does not parse again. They go
-    to ``staging``, or to a new folder under the shared one.
+    energy_messages: DataFrame,
+    weather_messages: DataFrame,
+    out: str,
+    records: str | None = None,
+    load: str | None = None,
+) -> dict[str, int]:
+    """Take landed messages into the four tables under ``out``; an upsert by key.
+
+    Each message is parsed once and landed as typed columns, by day and ``load``,
+    under ``records`` (by default in ``out``). These records are retained: the tables are
+    computed anew, from all loads, for the days that this load has touched, and
+    replace those days. So a key keeps its last arrival and a bucket that several loads share
+    counts all of them; sums are never added to sums.
+
+    Running a load again under its name replaces it. Rejected messages stay among the
+    records with their reason, and rows without their key go to ``keyless``.
+    Returns the counts of this load: messages, rejects by reason, rows without key.
     """
-    carry = ("arrival",)
-    energy = decode_energy(energy_messages, carry)
-    weather = decode_weather(weather_messages, carry)
     spark = energy_messages.sparkSession
-    staging = staging or fresh_dir(spark, "records")
+    records = records or f"{out}/records"
+    load = load or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    marked = {
+        "energy": decode_energy(energy_messages, ("arrival",)).marked,
+        "weather": decode_weather(weather_messages, ("arrival",)).marked,
+    }
     # The order of lines within a file block is kept as a column: the stored
     # records may be read back in other pieces.
     position = F.struct("arrival", F.monotonically_increasing_id().alias("line"))
-    kept = {
-        "energy": energy.records.withColumn("arrival", position),
-        "weather": weather.records.withColumn("arrival", position),
-    }
-    for name, rows in kept.items():
-        rows.write.mode("overwrite").parquet(f"{staging}/{name}")
-    stored = {
-        name: spark.read.schema(rows.schema).parquet(f"{staging}/{name}")
-        for name, rows in kept.items()
+    stored, counts, days = {}, {}, set()
+    for name, rows in marked.items():
+        rows = rows.withColumn("arrival", position).withColumns(
+            {"day": F.to_date("ts"), "load": F.lit(load)}
+        )
+        path = f"{records}/{name}"
+        (
+            by_day(rows)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "load")
+            .parquet(path)
+        )
+        stored[name] = spark.read.schema(rows.schema).parquet(path)
+        # A small table: reasons and days.
+        for r in stored[name].filter(F.col("load") == load).groupBy("reason", "day").count().collect():
+            kind = f"{name}_{r.reason or 'records'}"
+            counts[kind] = counts.get(kind, 0) + r["count"]
+            if r.day:
+                days.add(r.day)
+        counts[f"{name}_messages"] = sum(
+            counts.setdefault(f"{name}_{kind}", 0) for kind in ("records", MALFORMED, NO_EVENT_TIME)
+        )
+    if not days:
+        return counts
+    touched = {
+        name: split_marked(rows.filter(F.col("day").isin(sorted(days)))).records.drop("day")
+        for name, rows in stored.items()
     }
-    tables = job_tables(stored["energy"], stored["weather"], carry)
+    tables = job_tables(touched["energy"], touched["weather"], ("arrival", "load"))
     for name, rows in tables.items():
+        if "arrival" in rows.columns:
+            _, keyless = split_null_keys(rows.filter(F.col("load") == load), KEYS[name])
+            lost = f"{out}/keyless/{name}/load={load}"
+            keyless.select(*SERVING[name].names).write.mode("overwrite").parquet(lost)
+            counts[f"{name}_keyless"] = spark.read.schema(SERVING[name]).parquet(lost).count()
+            rows = rows.withColumn("arrival", F.struct("arrival", "load"))
         write_serving(one_per_key(rows, name), f"{out}/{name}", name)
+    return counts

@@ -9,13 +9,15 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from gridsky.registry.oracles import all_oracles
+from gridsky.registry.queries import all_queries
 
 SF = os.environ.get("GRIDSKY_TEST_SF", "/root/testdata/sf0.01")
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")

@@ -8,17 +8,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from gridsky.operators.buckets import energy_weather_wide
 from gridsky.plans import dashboard
 from gridsky.registry import views
-from gridsky.registry.queries import Tables
+from gridsky.registry.queries import Tables, all_queries
 from gridsky.sources.tables import read_serving, write_serving
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="shared tables not present")
 
-BATCH = sorted(n for n in entry_module.queries() if not n.startswith(("stream_", "serving_")))
+BATCH = sorted(n for n in all_queries() if not n.startswith(("stream_", "serving_", "batch_")))
 
 
 def plan_of(frame) -> str:
@@ -27,16 +26,16 @@ def plan_of(frame) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_pairwise_joins_or_row_udfs(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF))
+    plan = plan_of(all_queries()[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Window "):
         assert operator not in plan
-    assert ("ArrowEvalPython" in plan) == name.startswith("relay_json")
+    assert ("ArrowEvalPython" in plan) == (name == "relay_json_hook")
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_groups_are_combined_before_the_shuffle(spark, name):
     """Reading a plan from the leaf up, an aggregate comes before each hash exchange."""
-    lines = plan_of(entry_module.queries()[name](spark, SF)).split("\n")
+    lines = plan_of(all_queries()[name](spark, SF)).split("\n")
     for above, below in zip(lines, lines[1:], strict=False):
         if "Exchange hashpartitioning" in above:
             assert re.search(r"(Hash|Sort)Aggregate", below), above

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from gridsky.operators.decode import decode_energy, decode_weather
 from gridsky.operators.relay import relay_json
@@ -332,7 +334,7 @@ def test_relay_runs_on_a_stream(spark, session, landings, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == [
-        '{"a": 1}', '{"b": [2]}',
+        '{"a":1}', '{"b":[2]}',
     ]
 
 
@@ -349,3 +351,55 @@ def test_dry_run_prints_rows_under_the_tables_name(spark, session, landings, tmp
         'point_data> {"time_stamp":"2024-06-18T16:02:00.000Z","id":null,"place":"hydro",'
         '"generation":true,"type_gen":"-","kwh":1.0}',
     ]
+
+
+def test_a_failure_stops_the_other_queries(spark, session, landings, tmp_path):
+    """The first query is healthy and endless, the second one fails."""
+    energy, weather = landings
+    energy.add(energy_message(1))
+    weather.add(weather_message(1))
+
+    def keep(table):
+        return lambda batch, batch_id: batch.count()
+
+    def fail(table):
+        def write(batch, batch_id):
+            raise RuntimeError("sink is gone")
+
+        return write
+
+    wanted = tables(session, landings)
+
+    def start(name, sink):
+        return start_tables({name: wanted[name]}, sink, str(tmp_path / "cp"))[name]
+
+    healthy = start("point_data", keep)
+    try:
+        failing = start("weather_data", fail)
+        begun = time.monotonic()
+        with pytest.raises(StreamingQueryException, match="sink is gone"):
+            await_all([healthy, failing])
+        assert time.monotonic() - begun < 30
+        assert not healthy.isActive
+    finally:
+        healthy.stop()
+
+
+def test_each_message_is_parsed_once(spark, session, landings, tmp_path):
+    """Only the two landing queries read messages; tables and rejects read what they land."""
+    energy, weather = landings
+    energy.add("not json", energy_message(1), energy_message(2, place=None))
+    weather.add(weather_message(1))
+    inputs = [read_text_messages(session, str(x.path)) for x in landings]
+    sink = TableSink(str(tmp_path / "live"))
+    queries = start_job(
+        *inputs, sink, str(tmp_path / "cp"), str(tmp_path / "rejects"), available_now=True
+    )
+    await_all(queries.values())
+    read = {name: {s["description"] for s in q.lastProgress["sources"]} for name, q in queries.items()}
+    messages = {n for n, s in read.items() if any(str(x.path) in d for d in s for x in landings)}
+    assert messages == {"energy_records", "weather_records"}
+    counts = queries["energy_records"].recentProgress[0]["observedMetrics"]["rejected"]
+    assert (counts.malformed, counts.no_event_time) == (1, 0)
+    # Rows without their key are kept by default.
+    assert spark.read.parquet(sink.keyless("point_data")).count() == 1

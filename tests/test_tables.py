@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import json
+from datetime import date, datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
 from gridsky.operators.decode import decode_energy, decode_weather
 from gridsky.operators.encode import encode_energy, encode_weather
+from gridsky.plans import dashboard
 from gridsky.plans.job import job_tables
 from gridsky.schemas import KEYS, SERVING
 from gridsky.sources.messages import read_text_messages, write_text_messages
@@ -17,12 +21,15 @@ from gridsky.sources.tables import (
     one_per_key,
     publish_days,
     read_current,
+    read_days,
     read_live,
     read_serving,
     register_serving,
+    unpublished_days,
     write_serving,
 )
 from gridsky.streaming.job import run_batch
+from gridsky.streaming.sinks import JdbcSink
 from tests.conftest import rows_of
 
 
@@ -217,3 +224,86 @@ def test_batch_job_writes_the_four_tables(spark, energy, weather, tmp_path):
     for name in ("weather_data", "energy_analytics", "energy_weather_analytics"):
         order = KEYS[name]
         assert rows_of(stored[name], *order) == rows_of(everything[name], *order)
+
+
+def _energy(minute, value, id="g", place="a", day=18):
+    at = datetime(2024, 6, day, 16, minute, tzinfo=timezone.utc).timestamp() * 1000
+    return json.dumps(
+        {"time_stamp": at, "id": id, "value": value, "place": place, "generation": True, "type_gen": "-"}
+    )
+
+
+def _load(spark, out, load, *messages):
+    rows = [(m, (load, k)) for k, m in enumerate(messages)]
+    frame = spark.createDataFrame(rows, "value string, arrival struct<file: int, line: int>")
+    return run_batch(frame, frame.limit(0), out, load=str(load))
+
+
+def test_a_second_load_of_the_day_keeps_the_first(spark, tmp_path):
+    out = str(tmp_path / "out")
+    _load(spark, out, 1, _energy(1, 1.0), _energy(2, 2.0), _energy(2, 9.0, day=17))
+    _load(spark, out, 2, _energy(3, 4.0), _energy(2, 8.0))
+    points = read_serving(spark, f"{out}/point_data", "point_data").orderBy("time_stamp")
+    assert [r.kwh for r in points.collect()] == [9.0, 1.0, 8.0, 4.0]
+    # The bucket counts the messages of both loads.
+    buckets = read_serving(spark, f"{out}/energy_analytics", "energy_analytics").orderBy("hour_group")
+    assert [r.kwh_prod for r in buckets.collect()] == [9.0, 15.0]
+    # A load that runs again changes nothing; an earlier one does not undo a later one.
+    _load(spark, out, 1, _energy(1, 1.0), _energy(2, 2.0), _energy(2, 9.0, day=17))
+    points = read_serving(spark, f"{out}/point_data", "point_data").orderBy("time_stamp")
+    assert [r.kwh for r in points.collect()] == [9.0, 1.0, 8.0, 4.0]
+
+
+def test_a_load_counts_what_it_does_not_keep(spark, tmp_path):
+    out = str(tmp_path / "out")
+    counts = _load(spark, out, 1, "not json", "{}", "", _energy(1, 1.0), _energy(2, 2.0, id=None))
+    assert counts["energy_messages"] == 5 and counts["energy_records"] == 2
+    assert counts["energy_malformed"] == 2 and counts["energy_no_event_time"] == 1
+    assert counts["point_data_keyless"] == 1
+    assert spark.read.parquet(f"{out}/keyless/point_data").count() == 1
+    kept = spark.read.parquet(f"{out}/records/energy").filter("reason IS NOT NULL")
+    assert sorted(r.message for r in kept.collect()) == ["", "not json", "{}"]
+    assert _load(spark, out, 2, "not json")["energy_malformed"] == 1
+
+
+def test_late_rows_of_a_published_day_are_seen(spark, tmp_path):
+    live, serving = str(tmp_path / "live"), str(tmp_path / "serving")
+
+    def put(batch, *rows):
+        append_batch(_points(spark, *rows).drop("arrival"), live, "point_data", 0, batch)
+
+    def current():
+        return sorted(r.kwh for r in read_current(spark, live, serving, "point_data", "2024-01-05").collect())
+
+    for d in (1, 2, 3, 4):
+        put(d, (f"2024-01-0{d}", "a", "p", float(d), 0))
+    publish_days(spark, live, serving, "point_data", "2024-01-01", "2024-01-04")
+    put(5, ("2024-01-02", "b", "p", 9.0, 0), ("2024-01-05", "a", "p", 5.0, 0))
+    assert current() == [1.0, 2.0, 3.0, 4.0, 5.0, 9.0]
+    # Of the live form, only the open day and the day with late rows are listed.
+    frame = read_current(spark, live, serving, "point_data", "2024-01-05")
+    days = {p.split("day=")[1][:10] for p in frame.inputFiles() if "/live/" in p}
+    assert days == {"2024-01-02", "2024-01-05"}
+    publish_days(spark, live, serving, "point_data", "2024-01-02", "2024-01-02")
+    assert unpublished_days(spark, live, serving, "2024-01-05") == [date(2024, 1, 5)]
+    assert current() == [1.0, 2.0, 3.0, 4.0, 5.0, 9.0]
+
+
+def test_newest_questions_go_by_the_notes(spark, tmp_path):
+    path = str(tmp_path / "points")
+    rows = _points(spark, *[(f"2024-01-0{d}", "GENERADOR 2", "hydro", float(d), 0) for d in range(1, 9)])
+    write_serving(rows.drop("arrival"), path, "point_data")
+    days = read_days(spark, path)
+    assert days.count() == 8
+    frame = dashboard.recent_days(read_serving(spark, path, "point_data"), known_days=days)
+    assert [r.kwh for r in frame.collect()] == [8.0, 7.0, 6.0]
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    # The table is scanned once, for its rows; which days there are comes from the notes.
+    assert plan.count(f"{path}]") + plan.count(f"{path},") <= plan.count("_days") + 2
+
+
+def test_jdbc_sinks_do_not_share_a_staging_table(tmp_path):
+    one, two = (JdbcSink({"url": "u", "user": "x", "password": "y"}, str(tmp_path)) for _ in range(2))
+    assert one.staging("point_data") != two.staging("point_data")
+    assert one.staging("point_data").startswith("point_data_staging_")
+    assert JdbcSink({}, "q", job="j").staging("t") == "t_staging_j"
