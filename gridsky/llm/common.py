@@ -44,6 +44,16 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+#: The key of ``keyed_texts``.
+KEY = ["k1", "k2"]
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """id, text and a key of 128 bits that tells (id, text) apart from all others, and ``more``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *more)
+    return rows.select("*", F.xxhash64("text").alias("k1"), F.xxhash64("id", "text").alias("k2"))
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes of a text that came through Arrow; null is empty."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import mix64, small_batches, staged, utf8
+from gridsky.llm.common import KEY, keyed_texts, mix64, small_batches, staged, utf8
 
 LENGTH = 400
 GRAM = 100
@@ -202,15 +202,6 @@ def remove_spans(raw: bytes, spans: Sequence[tuple[int, int]]) -> tuple[int, int
 
 
 ANCHORS = "k1 long, k2 long, h long, c binary, first int, left int, right int"
-KEY = ["k1", "k2"]
-
-
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text and a key of 128 bits that tells (id, text) apart from all others."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.select("*", F.xxhash64("text").alias("k1"), F.xxhash64("id", "text").alias("k2"))
-
-
 def _anchored(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def scan(batches):
         for batch in batches:
@@ -270,6 +261,8 @@ class Repeats:
         self.length, self.bucket_cap = length, bucket_cap
         every = staged(_anchored(texts, length, gram), "repeat-anchors")
         twice = every.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+        # Written, so that both sides of the joins by hash are plain exchanges, which can be split where a hash is hot.
+        twice = staged(twice, "repeat-hashes")
         #: Anchors whose hash occurs again.
         self.anchors = staged(every.join(twice, "h"), "repeat-candidates")
         #: Different contexts, with how often each occurs.
@@ -279,7 +272,7 @@ class Repeats:
             ),
             "repeat-classes",
         )
-        sizes = self.classes.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+        sizes = staged(self.classes.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "repeat-sizes")
         wanted = self.classes.join(sizes, "h").select("h", "c", "d", "one.*")
         self.contexts = staged(_contexts(texts, wanted), "repeat-contexts")
 
@@ -359,7 +352,7 @@ class Repeats:
             "repeat-starts",
         )
         twice = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-        return digests.join(twice, "digest")
+        return digests.join(staged(twice, "repeat-digests"), "digest")
 
 
 def dedup_substrings(
@@ -369,9 +362,10 @@ def dedup_substrings(
     length: int = LENGTH,
     gram: int = GRAM,
     bucket_cap: int = BUCKET_CAP,
+    with_kept: bool = True,
 ) -> DataFrame:
-    """``id_col``, n_bytes, n_removed, n_spans, kept_sha256 and the bytes kept, for every row."""
-    texts = _texts(docs, id_col, text_col)
+    """``id_col``, n_bytes, n_removed, n_spans, kept_sha256 and (``with_kept``) the bytes kept, for every row."""
+    texts = keyed_texts(docs, id_col, text_col)
     run = Repeats(texts, length, gram, bucket_cap)
     # A span as one number: it is shorter than twice the length.
     scale = 2 * length
@@ -390,13 +384,13 @@ def dedup_substrings(
                 raw = utf8(text)
                 pairs = [] if found is None else [(int(s) // scale, int(s) // scale + int(s) % scale) for s in found]
                 removed, runs, kept = remove_spans(raw, pairs)
-                made.append((i, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
-            yield pd.DataFrame(made, columns=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                made.append((i, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
+            yield pd.DataFrame(made, columns=names)
 
     kind = dict(texts.dtypes)["id"]
-    return joined.mapInPandas(
-        cut, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    )
+    schema = f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
+    return joined.mapInPandas(cut, schema + ", kept binary" * with_kept)
 
 
 def maximal_repeats(
@@ -412,7 +406,7 @@ def maximal_repeats(
     Repeats are told around one anchor; one that reaches beyond a context comes in
     overlapping pieces, a group for each anchor.
     """
-    texts = _texts(docs, id_col, text_col)
+    texts = keyed_texts(docs, id_col, text_col)
     run = Repeats(texts, length, gram, bucket_cap)
     found = run.anchors.join(run.groups(), ["h", "c"]).select(
         "group",
