@@ -10,10 +10,12 @@ from gridsky.llm import sql
 from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
 from gridsky.llm.hash_tree import shard_documents
+from gridsky.llm.line_windows import dedup_lines
 from gridsky.llm.ngram_join import jaccard_components
 from gridsky.llm.quality_fm import score_documents
 from gridsky.llm.repeats import dedup_substrings
 from gridsky.llm.soft_mixing import label_domains, mix_documents
+from gridsky.llm.unit_dedup import dedup_units
 from gridsky.llm.warc import read_warc, write_warc
 from gridsky.session import fresh_dir
 
@@ -27,8 +29,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents"), with_kept=False)
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_units(_table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_substrings(_table(spark, sf_dir, "documents")).drop("kept")
+    return dedup_substrings(_table(spark, sf_dir, "documents"), with_kept=False)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +75,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     named = (
+        op1_line_dedup,
+        op2_substring_dedup,
         op3_suffix_array_dedup,
         op4_quality_classifier,
         op5_ngram_jaccard_join,
@@ -79,7 +91,11 @@ def all_queries() -> dict[str, Query]:
 
 def all_oracles() -> dict[str, str]:
     return {
+        "op1_line_dedup": sql.LINE_WINDOWS,
+        "op2_substring_dedup": sql.UNITS,
+        "op3_suffix_array_dedup": sql.REPEATS,
         "op5_ngram_jaccard_join": sql.JACCARD,
+        "op6_benchmark_decontamination": sql.DECONTAMINATION,
         "op8_exact_dedup": sql.EXACT_DEDUP,
         "op10_warc": sql.WARC,
     }

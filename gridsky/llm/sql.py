@@ -62,3 +62,128 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r US
 JOIN (SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id
              ELSE min(doc_id) OVER (PARTITION BY list_sort(s)) END AS class_id FROM sets) c USING (doc_id)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPLIT = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda v: v <> '')"
+
+# Every 400-byte string, by its hexadecimal digits.
+REPEATS = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM texts WHERE n >= 400)
+), repeated AS (
+  SELECT doc_id, i FROM starts WHERE s IN (SELECT s FROM starts GROUP BY s HAVING count(*) > 1)
+), marked AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true)::INT AS new FROM repeated
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked)
+  GROUP BY doc_id, run
+), lists AS (
+  SELECT doc_id, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM spans GROUP BY doc_id
+), pieces AS (
+  -- What is kept lies between the end of a span and the start of the next one.
+  SELECT t.doc_id, t.n, t.h, coalesce(len(l.a), 0) AS spans,
+         list_prepend(0, coalesce(l.b, [])) AS begins, list_append(coalesce(l.a, []), t.n) AS ends
+  FROM texts t LEFT JOIN lists l USING (doc_id)
+), kept AS (
+  SELECT doc_id, n, spans,
+         array_to_string(list_transform(range(1, len(begins) + 1),
+           lambda k: substr(h, 2 * begins[k] + 1, 2 * (ends[k] - begins[k]))), '') AS k
+  FROM pieces
+)
+SELECT doc_id, n::BIGINT AS n_bytes, (n - length(k) // 2)::BIGINT AS n_removed, spans::BIGINT AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM kept
+"""
+
+DECONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id, {_SPLIT} AS w FROM benchmark WHERE text IS NOT NULL
+), whole AS (
+  SELECT item_id, w, list_filter(range(1, len(w)), lambda i: right(w[i], 1) IN ('.', '?', '!')) AS ends
+  FROM items WHERE len(w) > 0
+), parts AS (
+  SELECT item_id, w, CASE WHEN len(ends) = 0 THEN w ELSE w[1:ends[-1]] END AS q,
+         CASE WHEN len(ends) = 0 THEN w ELSE w[ends[-1] + 1:] END AS a
+  FROM whole
+), grams AS (
+  SELECT item_id, least(5, len(q)) AS nq, least(5, len(a)) AS na,
+         list_distinct(list_transform(range(1, len(q) - least(5, len(q)) + 2), lambda i: array_to_string(q[i:i + least(5, len(q)) - 1], ' '))) AS gq,
+         list_distinct(list_transform(range(1, len(a) - least(5, len(a)) + 2), lambda i: array_to_string(a[i:i + least(5, len(a)) - 1], ' '))) AS ga
+  FROM parts
+), totals AS (
+  SELECT count(*) AS items, avg(len(w)) AS mean, max(len(w)) AS longest FROM whole
+), counts AS (
+  SELECT item_id, len, word, count(*) AS n FROM (SELECT item_id, len(w) AS len, unnest(w) AS word FROM whole) GROUP BY ALL
+), weights AS (
+  SELECT item_id, word,
+         ln(1 + (items - df + 0.5) / (df + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len / mean)) AS x
+  FROM (SELECT *, count(*) OVER (PARTITION BY word) AS df FROM counts), totals
+), impacts AS (
+  SELECT item_id, word, x / sum(x) OVER (PARTITION BY item_id) AS x FROM weights
+), docs AS (
+  SELECT doc_id, {_SPLIT} AS w FROM documents
+), passages AS (
+  SELECT doc_id, j, w[j * longest + 1:(j + 2) * longest] AS p
+  FROM (SELECT doc_id, w, longest, unnest(range(0, greatest(1, ceil(len(w) / longest)::INT - 1))) AS j
+        FROM docs, totals WHERE len(w) > 0)
+), found AS (
+  SELECT doc_id, j, item_id
+  FROM (SELECT doc_id, j, unnest(list_distinct(p)) AS word FROM passages) JOIN impacts USING (word)
+  GROUP BY ALL HAVING sum(x) >= 0.5
+), checked AS (
+  SELECT doc_id, item_id, gq, ga,
+         len(list_intersect(gq, list_transform(range(1, len(p) - nq + 2), lambda i: array_to_string(p[i:i + nq - 1], ' ')))) AS hq,
+         len(list_intersect(ga, list_transform(range(1, len(p) - na + 2), lambda i: array_to_string(p[i:i + na - 1], ' ')))) AS ha
+  FROM found JOIN passages USING (doc_id, j) JOIN grams USING (item_id)
+)
+SELECT doc_id, item_id, count(*)::BIGINT AS passages, max(hq)::BIGINT AS question_hits, max(ha)::BIGINT AS answer_hits
+FROM checked WHERE 100 * hq >= 75 * len(gq) AND 100 * ha >= 75 * len(ga)
+GROUP BY doc_id, item_id
+"""
+
+LINE_WINDOWS = """
+WITH lines AS (
+  SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text <> ''
+), windows AS (
+  SELECT doc_id, i, l[i + 1:i + 3] AS w FROM (SELECT doc_id, l, unnest(range(0, len(l) - 2)) AS i FROM lines)
+), later AS (
+  SELECT doc_id, i FROM windows WHERE len(list_filter(w, lambda v: regexp_matches(v, '[^\\x20\\x09-\\x0D]'))) > 0
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS spot FROM later, (SELECT unnest(range(3)) AS k)
+), spans AS (
+  SELECT doc_id, count(*) AS n, sum(new) AS spans, list(spot) AS spots
+  FROM (SELECT doc_id, spot, coalesce(spot > lag(spot) OVER (PARTITION BY doc_id ORDER BY spot) + 1, true)::INT AS new FROM gone)
+  GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(l.l), 0)::BIGINT AS n_lines, coalesce(s.n, 0)::BIGINT AS n_removed,
+       coalesce(s.spans, 0)::BIGINT AS n_spans,
+       sha256(array_to_string(list_filter(coalesce(l.l, []), lambda v, k: NOT list_contains(coalesce(s.spots, []), k - 1)), chr(10))) AS kept_sha256
+FROM documents d LEFT JOIN lines l USING (doc_id) LEFT JOIN spans s USING (doc_id)
+"""
+
+UNITS = """
+WITH units AS (
+  SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text <> '')
+), words AS (
+  SELECT doc_id, i, list_filter(regexp_split_to_array(lower(l[i]), '[\\x20\\x09-\\x0D]+'), lambda v: v <> '') AS w,
+         (list_sum(list_transform(l[1:i - 1], lambda v: octet_length(encode(v)) + 1)))::BIGINT AS before,
+         octet_length(encode(l[i])) AS size
+  FROM units
+), later AS (
+  SELECT doc_id, i, coalesce(before, 0) AS a, coalesce(before, 0) + size AS b FROM words WHERE len(w) >= 5
+  QUALIFY row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, i) > 1
+), lists AS (
+  SELECT doc_id, list(i) AS gone, string_agg(a || '-' || b, ',' ORDER BY i) AS removed FROM later GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, CASE WHEN coalesce(text, '') = '' THEN [] ELSE string_split(text, chr(10)) END AS l FROM documents
+)
+SELECT t.doc_id, octet_length(encode(t.text))::BIGINT AS n_bytes, len(t.l)::BIGINT AS n_units,
+       coalesce(len(s.gone), 0)::BIGINT AS n_removed, coalesce(s.removed, '') AS removed,
+       sha256(array_to_string(list_filter(t.l, lambda v, k: NOT list_contains(coalesce(s.gone, []), k)), chr(10))) AS kept_sha256
+FROM texts t LEFT JOIN lists s USING (doc_id)
+"""
