@@ -100,7 +100,7 @@ def dedup_units(
     """``id_col``, n_bytes, n_units, n_removed, removed, kept_sha256 and (``with_kept``) the text kept, for every row.
 
     n_removed counts units; ``removed`` lists their byte offsets in the original as
-    "begin-end,..."; the text kept is the other units with the separators between them.
+    "begin-end,..."; the text kept is the other units, lines joined by a line end, paragraphs by a blank line.
     """
     gone = removed_units(docs, id_col, text_col, unit, min_words, rank_col)
     lists = staged(gone.groupBy(*KEY).agg(F.collect_set("begin").alias("begins")), "units-removed")

@@ -1,0 +1,52 @@
+"""Line windows against a plain walk over all of them."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from gridsky.llm.line_windows import dedup_lines
+
+SCHEMA = "doc_id long, text string, w string, first int, positions string, k1 long"
+
+
+def brute(rows, size=3):
+    key = lambda i: (i is None, i or 0)
+    seen, out = {}, []
+    split = [(i, (t or "").split("\n") if t else []) for i, t in rows]
+    windows = [
+        (key(i), p, tuple(x[p : p + size])) for i, x in split for p in range(len(x) - size + 1) if any(v.strip() for v in x[p : p + size])
+    ]
+    for rank in sorted(windows):
+        seen.setdefault(rank[2], rank[:2])
+    for i, x in split:
+        gone = {
+            p + k for p in range(len(x) - size + 1) for k in range(size)
+            if tuple(x[p : p + size]) in seen and seen[tuple(x[p : p + size])] != (key(i), p)
+        }
+        kept = "\n".join(v for k, v in enumerate(x) if k not in gone)
+        spans = sum(k - 1 not in gone for k in gone)
+        out.append((i, len(x), len(gone), spans, hashlib.sha256(kept.encode()).hexdigest(), kept))
+    return sorted(map(repr, out))
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    line = lambda: rng.choice("abcdeé") * rng.randint(1, 3)
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "a\nb"), (103, "\n\n\n\n"), (104, "\n\n\n\n\nx"), (None, rows[5][1]), (None, "new\nlines\nhere")]
+    rows += [(105, rows[7][1]), (105, rows[7][1]), (106, "r\n" * 5000), (50, "own\nthree\nlines"), (49, "own\nthree\nlines")]
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_against_all_windows(spark, seed):
+    rows = corpus(seed)
+    docs = spark.createDataFrame([(*r, "w", 1, "p", 2) for r in rows], SCHEMA).repartition(4)
+    assert sorted(repr(tuple(r)) for r in dedup_lines(docs).collect()) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -1,0 +1,86 @@
+"""Unit hashing against a plain grouping."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from gridsky.llm.unit_dedup import dedup_units, removed_units, unit_digest, units
+
+SCHEMA = "doc_id long, text string, u string, r string, begin int, score int"
+
+
+def brute(rows, min_words, rank=None):
+    """rows are (id, text); rank gives a number by id."""
+    order = lambda i: ((rank or {}).get(i, 0), i is None, i or 0)
+    first, out = {}, []
+    found = []
+    for i, text in rows:
+        at = 0
+        for line in (text or "").encode().split(b"\n"):
+            words = line.decode().lower().split()
+            if len(words) >= min_words and text:
+                found.append((order(i), at, " ".join(words)))
+            at += len(line) + 1
+    for o, at, u in sorted(found):
+        first.setdefault(u, (o, at))
+    for i, text in rows:
+        at, kept, listed = 0, [], []
+        lines = (text or "").encode().split(b"\n") if text else []
+        for line in lines:
+            words = line.decode().lower().split()
+            if len(words) >= min_words and first[" ".join(words)] != (order(i), at):
+                listed.append(f"{at}-{at + len(line)}")
+            else:
+                kept.append(line)
+            at += len(line) + 1
+        kept = b"\n".join(kept)
+        out.append((i, len((text or "").encode()), len(lines), len(listed), ",".join(listed), hashlib.sha256(kept).hexdigest(), kept.decode()))
+    return sorted(map(repr, out))
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choices(["ab", "C", "dé", "Ef"], k=rng.randint(1, 5))) for _ in range(15)]
+    rows = []
+    for i in range(50):
+        lines = [rng.choice(pool).replace(" ", rng.choice([" ", "  ", "\t"])) for _ in range(rng.randint(0, 8))]
+        rows.append((i, "\n".join(x.upper() if rng.random() < 0.2 else x for x in lines)))
+    rows += [(100, None), (101, ""), (102, "\n\n"), (None, "ab ab ab"), (103, rows[3][1]), (103, rows[3][1])]
+    return rows + [(104, "long words " * 20_000), (105, "long words " * 20_000 + "\nown line here")]
+
+
+def frame(spark, rows, rank=None):
+    return spark.createDataFrame([(*r, "u", "r", 1, (rank or {}).get(r[0])) for r in rows], SCHEMA).repartition(4)
+
+
+@pytest.mark.parametrize("seed, min_words", [(1, 1), (2, 3)])
+def test_units_against_a_grouping(spark, seed, min_words):
+    rows = corpus(seed)
+    got = dedup_units(frame(spark, rows), min_words=min_words).collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows, min_words)
+
+
+def test_rank_comes_before_the_id(spark):
+    rows = [(i, t) for i, t in corpus(3) if i is not None]
+    rank = {i: -(i % 7) for i, _ in rows}
+    got = dedup_units(frame(spark, rows, rank), min_words=2, rank_col="score").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows, 2, rank)
+
+
+def test_offsets_are_those_of_the_original(spark):
+    rows = [(1, "first line of é text\nshared line here"), (2, "Shared  LINE here\nrest")]
+    got = removed_units(frame(spark, rows), min_words=3).collect()
+    assert [(r.id, r.begin, r.end, r.keep_id, r.keep_begin) for r in got] == [(2, 0, 17, 1, 22)]
+
+
+def test_paragraphs():
+    raw = b"one\ntwo\n\nthree\n \t\nfour"
+    assert [raw[a:b] for a, b in units(raw, "paragraph")] == [b"one\ntwo", b"three", b"four"]
+    assert unit_digest(b"One  TWO", 2) == unit_digest(b" one\ntwo ", 2) and unit_digest(b"one", 2) is None
+
+
+def test_empty_table(spark):
+    assert dedup_units(spark.createDataFrame([], SCHEMA)).count() == 0
