@@ -15,6 +15,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from gridsky.operators.decode import decode_energy, decode_weather
+from gridsky.operators.records import point_data
 from gridsky.operators.relay import relay_json
 from gridsky.plans.job import job_tables
 from gridsky.schemas import KEYS
@@ -403,3 +404,19 @@ def test_each_message_is_parsed_once(spark, session, landings, tmp_path):
     assert (counts.malformed, counts.no_event_time) == (1, 0)
     # Rows without their key are kept by default.
     assert spark.read.parquet(sink.keyless("point_data")).count() == 1
+
+
+def test_the_last_arrival_stays_however_the_batches_are_cut(spark, session, landings, tmp_path):
+    energy, _ = landings
+    for k in range(6):
+        energy.add(*[energy_message(m, value=10.0 * k + m) for m in range(k, 8)], energy_message(k, value=0.5))
+    found = []
+    for cut in (1, 4, 100):
+        records = decode_energy(read_text_messages(session, str(energy.path), max_files=cut), ("arrival",)).records
+        sink = TableSink(str(tmp_path / f"live{cut}"))
+        wanted = {"point_data": point_data(records, ("arrival",))}
+        await_all(start_tables(wanted, sink, str(tmp_path / f"cp{cut}"), available_now=True).values())
+        found.append(stored(spark, sink, "point_data"))
+    # Every minute was sent up to seven times; each file ends with a repetition of its first minute.
+    assert found[0] == found[1] == found[2]
+    assert [r[5] for r in found[0]] == [0.5] * 6 + [56.0, 57.0]
