@@ -54,6 +54,15 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> D
     return rows.select("*", F.xxhash64("text").alias("k1"), F.xxhash64("id", "text").alias("k2"))
 
 
+def as_text(*names: str) -> list[Column]:
+    """Ids as text, for the way through pandas: a column of whole numbers with nulls becomes floats there."""
+    return [F.col(n).cast("string").alias(n) for n in names]
+
+
+def cast_back(rows: DataFrame, **kinds: str) -> DataFrame:
+    return rows.withColumns({n: F.col(n).cast(kind) for n, kind in kinds.items()})
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 bytes of a text that came through Arrow; null is empty."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
@@ -69,6 +78,33 @@ def hash64(raw: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
 
+#: An odd base for the polynomial hash modulo 2**64, and its inverse.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: list[np.ndarray] = []
+
+
+def base_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64; kept for the next call."""
+    if not _powers or len(_powers[0]) < size:
+        room = 1 << max(16, (size - 1).bit_length())
+        made = []
+        for base in (_BASE, _INVERSE):
+            run = np.full(room, base, dtype=np.uint64)
+            run[0] = 1
+            made.append(np.multiply.accumulate(run))
+        _powers[:] = made
+    return _powers[0][:size], _powers[1][:size]
+
+
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Running polynomial of bytes: the string [a, b) hashes to (r[b] - r[a]) * inverse power a."""
+    up, _ = base_powers(len(data))
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
+    return total
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Scatter the bits of uint64 values, one to one (shift-multiply rounds)."""
     x = x ^ (x >> np.uint64(30))

@@ -38,7 +38,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import WHITE_SPACE, checked_broadcast, small_batches, staged, utf8, words_of
+from gridsky.llm.common import (
+    WHITE_SPACE,
+    as_text,
+    cast_back,
+    checked_broadcast,
+    small_batches,
+    staged,
+    utf8,
+    words_of,
+)
 
 SHINGLE = 5
 #: Share of the shingles of question and answer that must occur, in percent.
@@ -195,15 +204,16 @@ def benchmark_matches(
     items = items.where("text is not null")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kinds = dict(texts.dtypes)["id"], dict(items.dtypes)["id"]
-    schema = f"`{id_col}` {kinds[0]}, `{item_id}` {kinds[1]}, passages long, question_hits long, answer_hits long"
+    schema = f"`{id_col}` string, `{item_id}` string, passages long, question_hits long, answer_hits long"
+    kinds = {id_col: kinds[0], item_id: kinds[1]}
     totals, df = _statistics(items)
     if not totals["items"]:
-        return spark.createDataFrame([], schema)
+        return cast_back(spark.createDataFrame([], schema), **kinds)
     parts = max(-(-totals["items"] // max_items), -(-totals["bytes"] // max_bytes))
     out = None
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
-        rows = [(r["id"], r["text"]) for r in own.collect()]
+        rows = [(r["id"], r["text"]) for r in own.select(*as_text("id"), "text").collect()]
         if not rows:
             continue
         vocabulary = spark.createDataFrame(
@@ -223,7 +233,7 @@ def benchmark_matches(
                 ]
                 yield pd.DataFrame(made, columns=[id_col, item_id, "passages", "question_hits", "answer_hits"])
 
-        found = texts.mapInPandas(scan, schema)
+        found = cast_back(texts.select(*as_text("id"), "text").mapInPandas(scan, schema), **kinds)
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import KEY, checked_broadcast, keyed_texts, small_batches, staged, utf8
+from gridsky.llm.common import KEY, as_text, cast_back, checked_broadcast, keyed_texts, small_batches, staged, utf8
 
 #: Lines in a window.
 WINDOW = 3
@@ -57,8 +57,9 @@ def _later(texts: DataFrame, size: int) -> DataFrame:
             yield pd.DataFrame(dict(zip(("id", "k1", "k2", "at", "w"), columns)))
 
     kind = dict(texts.dtypes)["id"]
-    found = texts.mapInPandas(scan, f"id {kind}, k1 long, k2 long, at int, w binary")
-    found = staged(found, "line-windows")
+    rows = texts.select(*as_text("id"), *KEY, "text")
+    found = rows.mapInPandas(scan, "id string, k1 long, k2 long, at int, w binary")
+    found = staged(cast_back(found, id=kind), "line-windows")
     rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "at")
     first = found.groupBy("w").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     first = staged(first.where("n > 1").select("w", "first"), "line-repeated")
@@ -77,7 +78,7 @@ def dedup_lines(
     small_batches(docs.sparkSession)
     texts = keyed_texts(docs, id_col, text_col)
     later = staged(_later(texts, size), "line-later")
-    joined = texts.join(checked_broadcast(later), KEY, "left").select("id", "text", "positions")
+    joined = texts.join(checked_broadcast(later), KEY, "left").select(*as_text("id"), "text", "positions")
     names = [id_col, "n_lines", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
 
     def cut(batches):
@@ -94,5 +95,5 @@ def dedup_lines(
             yield pd.DataFrame(made, columns=names)
 
     kind = dict(texts.dtypes)["id"]
-    schema = f"`{id_col}` {kind}, n_lines long, n_removed long, n_spans long, kept_sha256 string"
-    return joined.mapInPandas(cut, schema + ", kept string" * with_kept)
+    schema = f"`{id_col}` string, n_lines long, n_removed long, n_spans long, kept_sha256 string"
+    return cast_back(joined.mapInPandas(cut, schema + ", kept string" * with_kept), **{id_col: kind})

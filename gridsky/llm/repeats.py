@@ -39,7 +39,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import KEY, keyed_texts, mix64, small_batches, staged, utf8
+from gridsky.llm.common import (
+    KEY,
+    as_text,
+    base_powers,
+    cast_back,
+    keyed_texts,
+    mix64,
+    running_hash,
+    small_batches,
+    staged,
+    utf8,
+)
 
 LENGTH = 400
 GRAM = 100
@@ -48,31 +59,11 @@ BUCKET_CAP = 1000
 #: Starts scanned at a time, which bounds the memory that a long text takes.
 BLOCK = 1 << 19
 
-#: An odd base for the polynomial hash modulo 2**64, and its inverse.
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers_to(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or _powers[0][0].size < size:
-        room = 1 << max(16, (size - 1).bit_length())
-        made = []
-        for base in (_BASE, _INVERSE):
-            run = np.full(room, base, dtype=np.uint64)
-            run[0] = 1
-            made.append(np.multiply.accumulate(run))
-        _powers[0] = (made[0], made[1])
-    up, down = _powers[0]
-    return up[:size], down[:size]
-
-
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """Hash of every ``gram``-byte string, by differences of a running polynomial."""
-    up, down = _powers_to(len(data))
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
-    return mix64((total[gram:] - total[:-gram]) * down[: len(data) - gram + 1])
+    total = running_hash(data)
+    _, down = base_powers(len(data) - gram + 1)
+    return mix64((total[gram:] - total[:-gram]) * down)
 
 
 def anchors(hashes: np.ndarray, window: int) -> Iterator[tuple[int, int, int]]:
@@ -375,7 +366,7 @@ def dedup_substrings(
         .groupBy(*KEY)
         .agg(F.collect_set(F.col("begin") * scale + F.col("size")).alias("spans"))
     )
-    joined = texts.join(spans, KEY, "left").select("id", "text", "spans")
+    joined = texts.join(spans, KEY, "left").select(*as_text("id"), "text", "spans")
 
     def cut(batches):
         for batch in batches:
@@ -388,9 +379,9 @@ def dedup_substrings(
             yield pd.DataFrame(made, columns=names)
 
     kind = dict(texts.dtypes)["id"]
-    schema = f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = f"`{id_col}` string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
-    return joined.mapInPandas(cut, schema + ", kept binary" * with_kept)
+    return cast_back(joined.mapInPandas(cut, schema + ", kept binary" * with_kept), **{id_col: kind})
 
 
 def maximal_repeats(

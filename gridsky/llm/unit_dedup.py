@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import KEY, checked_broadcast, keyed_texts, small_batches, staged, utf8
+from gridsky.llm.common import KEY, as_text, cast_back, checked_broadcast, keyed_texts, small_batches, staged, utf8
 
 MIN_WORDS = 5
 #: What separates units, as bytes.
@@ -74,8 +74,9 @@ def removed_units(
                             column.append(value)
             yield pd.DataFrame(dict(zip(("id", "r", "k1", "k2", "begin", "end", "u"), columns)))
 
-    schema = f"id {kinds['id']}, r {kinds['r']}, k1 long, k2 long, begin long, end long, u binary"
-    found = staged(texts.where("text <> ''").mapInPandas(scan, schema), "units")
+    rows = texts.where("text <> ''").select(*as_text("id", "r"), *KEY, "text")
+    found = rows.mapInPandas(scan, "id string, r string, k1 long, k2 long, begin long, end long, u binary")
+    found = staged(cast_back(found, id=kinds["id"], r=kinds["r"]), "units")
     rank = F.struct(
         F.col("r").isNull().alias("unranked"), "r", F.col("id").isNull().alias("unknown"), "id", "begin"
     )
@@ -105,7 +106,7 @@ def dedup_units(
     gone = removed_units(docs, id_col, text_col, unit, min_words, rank_col)
     lists = staged(gone.groupBy(*KEY).agg(F.collect_set("begin").alias("begins")), "units-removed")
     texts = keyed_texts(docs, id_col, text_col)
-    joined = texts.join(checked_broadcast(lists), KEY, "left").select("id", "text", "begins")
+    joined = texts.join(checked_broadcast(lists), KEY, "left").select(*as_text("id"), "text", "begins")
     names = [id_col, "n_bytes", "n_units", "n_removed", "removed", "kept_sha256", "kept"][: 6 + with_kept]
 
     def cut(batches):
@@ -123,5 +124,5 @@ def dedup_units(
             yield pd.DataFrame(made, columns=names)
 
     kind = dict(texts.dtypes)["id"]
-    schema = f"`{id_col}` {kind}, n_bytes long, n_units long, n_removed long, removed string, kept_sha256 string"
-    return joined.mapInPandas(cut, schema + ", kept string" * with_kept)
+    schema = f"`{id_col}` string, n_bytes long, n_units long, n_removed long, removed string, kept_sha256 string"
+    return cast_back(joined.mapInPandas(cut, schema + ", kept string" * with_kept), **{id_col: kind})

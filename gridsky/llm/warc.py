@@ -39,7 +39,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import small_batches, staged, text_or_empty, utf8
+from gridsky.llm.common import as_text, cast_back, small_batches, staged, text_or_empty, utf8
 
 #: A file is closed once it holds this many compressed bytes.
 ROLL_BYTES = 8 << 20
@@ -218,6 +218,7 @@ def write_warc(
         linked.select("range", "id", "url", "sha", "payload", "n", "first_id", "first_url")
         .repartitionByRange(count, "range")
         .sortWithinPartitions("range", F.col("id").asc_nulls_last(), "url", "sha")
+        .select("range", *as_text("id"), "url", "sha", "payload", "n", *as_text("first_id"), "first_url")
     )
     folder = f"{path.rstrip('/')}/_temporary"
 
@@ -240,9 +241,12 @@ def _commit(written: DataFrame, path: str) -> None:
         for batch in batches:
             for temporary, name in zip(batch["temporary"], batch["name"]):
                 target = f"{base}/data/{name}"
+                there = system.get_file_info(target).type != arrow_fs.FileType.NotFound
                 if system.get_file_info(temporary).type != arrow_fs.FileType.NotFound:
+                    if there:  # left by a run that never published its manifest
+                        system.delete_file(target)
                     system.move(temporary, target)
-                elif system.get_file_info(target).type == arrow_fs.FileType.NotFound:
+                elif not there:
                     raise FileNotFoundError(f"{name} is neither written nor committed")
             yield batch.drop(columns="temporary")
 
@@ -285,10 +289,10 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
                     raise ValueError(f"{name} differs from the manifest")
                 yield pd.DataFrame(rows, columns=names)
 
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
     schema += ", payload binary" * payload
     names = [part.split()[0] for part in schema.split(", ")]
-    return spread.mapInPandas(read, schema)
+    return cast_back(spread.mapInPandas(read, schema), page_id="long", refers_to="long")
 
 
 class _Hashed:
@@ -303,10 +307,10 @@ class _Hashed:
         return data
 
 
-def _page(uri: str | None) -> int | None:
+def _page(uri: str | None) -> str | None:
     """The page id in a record id; None for "null"."""
     ident = re.fullmatch(r"<urn:page:(-?\d+|null)(?::\d+)?>", uri)[1] if uri else "null"
-    return None if ident == "null" else int(ident)
+    return None if ident == "null" else ident
 
 
 def _row(fields: dict, payload: bool) -> tuple:
@@ -351,14 +355,14 @@ def _write_files(batches, system, base: str, roll_bytes: int):
                     "range": number, "part": part, "path": target, "name": name, "records": 0, "bytes": 0,
                     "sha": hashlib.sha256(), "stream": system.open_output_stream(target, compression=None),
                 }
-            ident = "null" if pd.isna(row.id) else str(int(row.id))
+            ident = row.id or "null"
             current = (ident, row.url, row.sha)
             repeat = repeat + 1 if current == last else 0
             last = current
             uri = quote(row.url, safe="!#$%&'()*+,/:;=?@[]~", errors="replace")
             refers, refers_uri = None, None
             if not pd.isna(row.n):
-                refers = "null" if pd.isna(row.first_id) else str(int(row.first_id))
+                refers = row.first_id or "null"
                 refers_uri = quote(row.first_url, safe="!#$%&'()*+,/:;=?@[]~", errors="replace")
                 if (ident, row.url) == (refers, row.first_url) and not repeat:
                     refers = None

@@ -61,7 +61,7 @@ def data(seed):
             at = rng.randint(0, len(words))
             words[at:at] = planted
         rows.append((i, " ".join(words).upper() if i % 7 == 0 else "\n".join(words)))
-    return rows + [(100, None), (101, ""), (None, items[3][1]), (102, rows[1][1]), (102, rows[1][1])], items
+    return rows + [(100, None), (101, ""), ((1 << 60) + 1, items[5][1]), (None, items[3][1]), (102, rows[1][1]), (102, rows[1][1])], items
 
 
 @pytest.mark.parametrize("seed, max_items", [(1, 2000), (2, 7)])

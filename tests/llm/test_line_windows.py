@@ -36,7 +36,7 @@ def corpus(seed):
     rng = random.Random(seed)
     line = lambda: rng.choice("abcdeé") * rng.randint(1, 3)
     rows = [(i, "\n".join(line() for _ in range(rng.randint(0, 14)))) for i in range(60)]
-    rows += [(100, None), (101, ""), (102, "a\nb"), (103, "\n\n\n\n"), (104, "\n\n\n\n\nx"), (None, rows[5][1]), (None, "new\nlines\nhere")]
+    rows += [(100, None), (101, ""), ((1 << 60) + 1, "a\nb"), (103, "\n\n\n\n"), (104, "\n\n\n\n\nx"), (None, rows[5][1]), (None, "new\nlines\nhere")]
     rows += [(105, rows[7][1]), (105, rows[7][1]), (106, "r\n" * 5000), (50, "own\nthree\nlines"), (49, "own\nthree\nlines")]
     return rows
 

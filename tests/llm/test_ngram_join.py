@@ -80,7 +80,7 @@ def corpus(seed):
     texts += [texts[0]] * 40
     rng.shuffle(texts)
     rows = list(enumerate(texts))
-    return rows + [(None, texts[3]), (None, "lonely words without any id at all"), (5, texts[5])]
+    return rows + [((1 << 60) + 1, "a big id of its own"), (None, texts[3]), (None, "lonely words without any id at all"), (5, texts[5])]
 
 
 @pytest.mark.parametrize("seed", [1, 2])

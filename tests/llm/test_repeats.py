@@ -42,7 +42,7 @@ def texts(seed, count=60):
             parts.insert(rng.randrange(len(parts)), rng.choice(shared))
         rows.append((i, "".join(parts)))
     rows += [(100, "ab" * 50), (101, "a" * 60), (102, rows[0][1]), (103, rows[0][1][:-3] + "x" + rows[1][1])]
-    rows += [(104, None), (105, ""), (106, "short"), (None, rows[2][1]), (107, "twice " * 6), (107, "twice " * 6)]
+    rows += [(104, None), (105, ""), ((1 << 60) + 1, "short"), (None, rows[2][1]), (107, "twice " * 6), (107, "twice " * 6)]
     return rows
 
 

@@ -48,7 +48,7 @@ def corpus(seed):
     for i in range(50):
         lines = [rng.choice(pool).replace(" ", rng.choice([" ", "  ", "\t"])) for _ in range(rng.randint(0, 8))]
         rows.append((i, "\n".join(x.upper() if rng.random() < 0.2 else x for x in lines)))
-    rows += [(100, None), (101, ""), (102, "\n\n"), (None, "ab ab ab"), (103, rows[3][1]), (103, rows[3][1])]
+    rows += [(100, None), (101, ""), ((1 << 60) + 1, "\n\n"), (None, "ab ab ab"), (103, rows[3][1]), (103, rows[3][1])]
     return rows + [(104, "long words " * 20_000), (105, "long words " * 20_000 + "\nown line here")]
 
 
