@@ -114,10 +114,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: Rows of keys that may be broadcast, at most; a key takes a few bytes.
+#: Keys or numbers that may be broadcast, at most; one takes a few bytes.
 BROADCAST_KEYS = 500_000
 
 
-def checked_broadcast(keys: DataFrame) -> DataFrame:
-    """Mark a staged table of keys for broadcast if it is small; otherwise leave the join to a shuffle."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+def checked_broadcast(keys: DataFrame, numbers: str | None = None) -> DataFrame:
+    """Mark a staged table of keys for broadcast if it is small; otherwise leave the join to a shuffle.
+
+    ``numbers`` names a column that holds an array; its elements count as well.
+    """
+    weight = F.lit(1) if numbers is None else F.size(numbers) + 1
+    size = keys.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= BROADCAST_KEYS else keys

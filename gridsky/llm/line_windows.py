@@ -78,7 +78,7 @@ def dedup_lines(
     small_batches(docs.sparkSession)
     texts = keyed_texts(docs, id_col, text_col)
     later = staged(_later(texts, size), "line-later")
-    joined = texts.join(checked_broadcast(later), KEY, "left").select(*as_text("id"), "text", "positions")
+    joined = texts.join(checked_broadcast(later, "positions"), KEY, "left").select(*as_text("id"), "text", "positions")
     names = [id_col, "n_lines", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept]
 
     def cut(batches):

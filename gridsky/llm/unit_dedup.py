@@ -106,7 +106,7 @@ def dedup_units(
     gone = removed_units(docs, id_col, text_col, unit, min_words, rank_col)
     lists = staged(gone.groupBy(*KEY).agg(F.collect_set("begin").alias("begins")), "units-removed")
     texts = keyed_texts(docs, id_col, text_col)
-    joined = texts.join(checked_broadcast(lists), KEY, "left").select(*as_text("id"), "text", "begins")
+    joined = texts.join(checked_broadcast(lists, "begins"), KEY, "left").select(*as_text("id"), "text", "begins")
     names = [id_col, "n_bytes", "n_units", "n_removed", "removed", "kept_sha256", "kept"][: 6 + with_kept]
 
     def cut(batches):
