@@ -20,9 +20,9 @@ more; components follow the links. Copies share one set and count once.
    paired if their sizes allow it, and a pair is kept if the shared prefix tokens
    and all that follows the prefixes can reach the overlap needed.
 4. Combinations may have very many sets: a group of near copies shares them
-   all. There the sets meet the group's core (the set with the fewest rare tokens).
+   all. There the sets meet a few cores (in each band of sizes the set with the fewest rare tokens).
    Only sets that are then still in different components are paired, and only
-   if the frequent tokens of both, and what both have of the core, allow the overlap.
+   if the frequent tokens of both, and what both have of a core, allow the overlap.
 5. Pairs are verified on the whole sets; components come from alternating large
    and small stars.
 
@@ -49,31 +49,29 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import checked_broadcast, mix64, small_batches, staged, utf8, words_of
+from gridsky.llm.common import (
+    as_text,
+    base_powers,
+    cast_back,
+    checked_broadcast,
+    mix64,
+    running_hash,
+    small_batches,
+    staged,
+    utf8,
+    width,
+    words_of,
+)
 
 WORDS = 5
 #: Buckets of the frequency table: 2 to the power of these at least and at most (32 MiB of bits).
 MIN_BITS, MAX_BITS = 16, 28
 #: Buckets whose counts are added up in one piece.
 PIECE_BITS = 16
+#: Sizes in one band differ by this factor at most. It is above 4/3, so similar sets are in the same band or in neighbouring ones.
+BAND = 1.34
 #: Shingles that a task gathers before it hands on their counts.
-GATHER = 4_000_000
-
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = []
-
-
-def _powers_to(size: int) -> list[np.ndarray]:
-    if not _powers or _powers[0].size < size:
-        room = 1 << max(16, (size - 1).bit_length())
-        made = []
-        for base in (_BASE, _INVERSE):
-            run = np.full(room, base, dtype=np.uint64)
-            run[0] = 1
-            made.append(np.multiply.accumulate(run))
-        _powers[:] = made
-    return _powers
+GATHER = 1_000_000
 
 
 def shingle_set(text: str | None, n: int = WORDS) -> np.ndarray:
@@ -82,9 +80,8 @@ def shingle_set(text: str | None, n: int = WORDS) -> np.ndarray:
     if not words:
         return np.zeros(0, dtype=np.uint64)
     data = np.frombuffer(b" ".join(words), dtype=np.uint8)
-    up, down = _powers_to(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    total = running_hash(data)
+    _, down = base_powers(len(data))
     blanks = np.flatnonzero(data == 32)
     begins = np.concatenate([[0], blanks + 1])
     ends = np.concatenate([blanks, [len(data)]])
@@ -210,6 +207,11 @@ def _frequent(counted: DataFrame, bits: int) -> np.ndarray:
     return flags.reshape(-1)
 
 
+def _is_frequent(shingles: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    bucket = shingles >> np.uint64(64 - bits)
+    return (flags[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
 def _needed(a: Column, b: Column) -> Column:
     """Overlap of sets of these sizes that gives a similarity of 0.75: 3/7 of the sum."""
     return F.ceil((a + b) * 3 / F.lit(7.0))
@@ -279,19 +281,17 @@ class Join:
         self.bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, guess / 8)))))
         bits = self.bits
         kind = dict(self.texts.dtypes)["id"]
-        counted = staged(
-            self.texts.mapInPandas(
-                lambda batches: _counts(batches, bits),
-                f"id {kind}, t long, n long, set binary, d long, piece int, gaps binary, counts binary",
-            ),
-            "join-counts",
+        counted = self.texts.select(*as_text("id"), "t", "text").mapInPandas(
+            lambda batches: _counts(batches, bits),
+            "id string, t long, n long, set binary, d long, piece int, gaps binary, counts binary",
         )
+        counted = staged(cast_back(counted, id=kind), "join-counts")
         self.rows = counted.where("piece IS NULL").select("id", "t", "n", "set", "d")
-        self.flags = _frequent(counted, bits)
+        self.known = spark.sparkContext.broadcast(_frequent(counted, bits))
 
     def _signed(self) -> DataFrame:
         """sig, d, n, rest, mixed, pair: what each set is indexed by."""
-        flags, bits = self.texts.sparkSession.sparkContext.broadcast(self.flags), self.bits
+        flags, bits = self.known, self.bits
         names = ["sig", "d", "n", "rest", "mixed", "pair"]
 
         def scan(batches):
@@ -305,9 +305,7 @@ class Join:
                     if len(s) < 3 or d in seen:
                         continue
                     seen.add(d)
-                    bucket = s >> np.uint64(64 - bits)
-                    frequent = (known[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1 == 1
-                    rare, pairs, rest, mixed = signatures(s, frequent)
+                    rare, pairs, rest, mixed = signatures(s, _is_frequent(s, known, bits))
                     for sigs, pair in ((rare, False), (pairs, True)):
                         if len(sigs):
                             parts.append((sigs.view(np.int64), d, len(s), rest, mixed, pair))
@@ -329,8 +327,10 @@ class Join:
 
     def _rare_pairs(self, signed: DataFrame) -> DataFrame:
         """Pairs that share rare prefix tokens and can still be similar."""
-        # One exchange, by the token, serves the removal of copies and both sides of the join.
-        rare = signed.where("NOT pair").drop("pair").repartition("sig").distinct()
+        # One exchange, by the token, serves the removal of copies and both sides of the join. It
+        # carries more rows than any other, so its partitions are made smaller.
+        parts = 3 * width(signed.sparkSession)
+        rare = signed.where("NOT pair").drop("pair").repartition(parts, "sig").distinct()
         a, b = rare.alias("a"), rare.alias("b")
         met = a.join(
             b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.d") < F.col("b.d")) & _sizes_allow(F.col("a.n"), F.col("b.n"))
@@ -345,66 +345,71 @@ class Join:
         bound = overlap_bound(*map(F.col, ("shared", "rest_a", "mixed_a", "rest_b", "mixed_b")))
         return counted.where(bound >= _needed(F.col("n_a"), F.col("n_b"))).select("a", "b")
 
-    def _cored(self, pairs: DataFrame) -> DataFrame:
-        """Each combination's sets with its core: the set with the fewest rare tokens, the largest of these."""
-        core = pairs.groupBy("sig").agg(
-            F.min(F.struct((F.col("n") - F.col("rest")).alias("rare"), (-F.col("n")).alias("size"), "d", "rest")).alias("core"),
+    def _cores(self, pairs: DataFrame) -> DataFrame:
+        """The core of each combination and band of sizes: sig, near (the band), core.
+
+        The core is the set with the fewest rare tokens, of these the one that the most tasks found
+        copies of. Combinations of a single set have none.
+        """
+        core = pairs.groupBy("sig", "band").agg(
+            F.min(F.struct((F.col("n") - F.col("rest")).alias("rare"), -F.col("copies"), "d")).alias("core"),
             F.count(F.lit(1)).alias("sets"),
         )
-        core = staged(core.where("sets > 1"), "join-cores")
-        return staged(pairs.join(core, "sig").select("sig", "d", "n", "rest", "core"), "join-cored")
-
-    def _core_pairs(self, cored: DataFrame) -> DataFrame:
-        """For combinations: each set with its core."""
-        met = cored.where(F.col("d") != F.col("core.d"))
-        size = -F.col("core.size")
-        return (
-            met.where(_sizes_allow(F.col("n"), size) & (F.least(F.col("rest"), F.col("core.rest")) >= _needed(F.col("n"), size)))
-            .select(F.least("d", "core.d").alias("a"), F.greatest("d", "core.d").alias("b"))
-            .distinct()
+        shared = core.groupBy("sig").agg(F.sum("sets").alias("all")).where("all > 1").select("sig")
+        return staged(
+            core.join(shared, "sig").select("sig", F.col("band").alias("near"), F.col("core.d").alias("core")), "join-cores"
         )
 
-    def _cross_pairs(self, cored: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
+    def _core_pairs(self, pairs: DataFrame, cores: DataFrame) -> DataFrame:
+        """For combinations: each set with the cores of its own band and of the bands beside it."""
+        met = pairs.join(cores, "sig").where((F.abs(F.col("band") - F.col("near")) <= 1) & (F.col("d") != F.col("core")))
+        return met.select(F.least("d", "core").alias("a"), F.greatest("d", "core").alias("b")).distinct()
+
+    def _cross_pairs(self, pairs: DataFrame, cores: DataFrame, roots: DataFrame, compared: DataFrame) -> DataFrame:
         """For combinations: sets that share one and are in different components so far.
 
-        A core of frequent tokens only bounds the overlap of two sets that were compared with
-        it: what they share lies in the core, or is frequent and outside of it.
+        Such sets share no rare token that is not found in step 3. What else they share is
+        frequent, and lies in a core (at most the less of what both have of its frequent
+        tokens) or outside of it (at most the less of what both have left).
         """
-        placed = cored.join(roots, cored["d"] == roots["node"], "left").select(
-            "sig", "d", "n", "rest", "core", F.coalesce("root", "d").alias("root")
+        placed = pairs.join(roots, pairs["d"] == roots["node"], "left").select(
+            "sig", "d", "n", "rest", "band", F.coalesce("root", "d").alias("root")
         )
         placed = staged(placed, "join-placed")
         split = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-        left = placed.join(staged(split, "join-split"), "sig")
-        seen = compared.select(F.col("a").alias("seen_a"), F.col("b").alias("seen_b"), "shared").distinct()
+        left = placed.join(staged(split, "join-split"), "sig").join(cores, "sig")
+        left = left.where(F.abs(F.col("band") - F.col("near")) <= 1)
+        seen = compared.select(F.col("a").alias("seen_a"), F.col("b").alias("seen_b"), "frequent").distinct()
         left = left.join(
             seen,
-            (F.least("d", "core.d") == F.col("seen_a")) & (F.greatest("d", "core.d") == F.col("seen_b")),
+            (F.least("d", "core") == F.col("seen_a")) & (F.greatest("d", "core") == F.col("seen_b")),
             "left",
         )
-        inside = F.when(F.col("core.rare") == 0, F.when(F.col("d") == F.col("core.d"), F.col("n")).otherwise(F.col("shared")))
-        left = staged(left.select("sig", "d", "n", "rest", "root", inside.alias("inside")), "join-left")
-        a, b = left.alias("a"), left.alias("b")
+        inside = F.when(F.col("d") == F.col("core"), F.col("rest")).otherwise(F.col("frequent"))
+        left = staged(left.select("sig", "d", "n", "rest", "band", "near", "root", inside.alias("inside")), "join-left")
+        # Each pair is met once, at the core of a's own band.
+        a, b = left.where("band = near").alias("a"), left.alias("b")
         needed = _needed(F.col("a.n"), F.col("b.n"))
         outside = F.least(F.col("a.rest") - F.col("a.inside"), F.col("b.rest") - F.col("b.inside"))
-        by_core = F.least(F.col("a.inside"), F.col("b.inside")) + outside
-        known = F.col("a.inside").isNotNull() & F.col("b.inside").isNotNull()
+        bound = F.least(F.col("a.inside"), F.col("b.inside")) + outside
         return (
             a.join(
                 b,
                 (F.col("a.sig") == F.col("b.sig"))
+                & (F.col("a.near") == F.col("b.near"))
                 & (F.col("a.d") < F.col("b.d"))
                 & (F.col("a.root") != F.col("b.root"))
                 & _sizes_allow(F.col("a.n"), F.col("b.n"))
                 & (F.least(F.col("a.rest"), F.col("b.rest")) >= needed)
-                & (F.when(known, by_core).otherwise(needed) >= needed),
+                & (F.coalesce(bound, needed) >= needed),
             )
             .select(F.col("a.d").alias("a"), F.col("b.d").alias("b"))
             .distinct()
         )
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
-        """The whole sets of ``wanted`` (d), from one row for each: d, shingles."""
+        """The whole sets of ``wanted`` (d), from one row for each: d, shingles, frequent (the frequent ones)."""
+        flags, bits = self.known, self.bits
         # The row is found by its id and its text's hash.
         keys = (
             self.rows.join(wanted, "d", "left_semi")
@@ -420,37 +425,44 @@ class Join:
             seen = set()
             for batch in batches:
                 sets = [(short(digest(s)), s) for s in map(shingle_set, batch["text"])]
-                new = [(d, s.view(np.int64)) for d, s in sets if d not in seen and not seen.add(d)]
-                yield pd.DataFrame(new, columns=["d", "shingles"])
+                new = [
+                    (d, s.view(np.int64), s[_is_frequent(s, flags.value, bits)].view(np.int64))
+                    for d, s in sets
+                    if d not in seen and not seen.add(d)
+                ]
+                yield pd.DataFrame(new, columns=["d", "shingles", "frequent"])
 
         # Rows that repeat in other tasks give a set again; links are made distinct.
-        return staged(texts.mapInPandas(scan, "d long, shingles array<long>"), "join-sets")
+        return staged(texts.mapInPandas(scan, "d long, shingles array<long>, frequent array<long>"), "join-sets")
 
     def _compared(self, candidates: DataFrame) -> DataFrame:
-        """Shared and total shingles of the candidates, by their whole sets: a, b, shared, total."""
+        """Shared, total and shared frequent shingles of the candidates, by their whole sets: a, b, shared, total, frequent."""
         candidates = staged(candidates, "join-candidates")
         wanted = candidates.select(F.col("a").alias("d")).unionByName(candidates.select(F.col("b").alias("d"))).distinct()
         sets = self._sets(wanted)
 
         def of(side: str) -> DataFrame:
-            return sets.select(F.col("d").alias(side), F.col("shingles").alias(f"set_{side}"))
+            return sets.select(F.col("d").alias(side), F.col("shingles").alias(f"set_{side}"), F.col("frequent").alias(f"frequent_{side}"))
 
         both = candidates.join(of("a"), "a").join(of("b"), "b")
         shared = F.size(F.array_intersect("set_a", "set_b"))
         total = F.size("set_a") + F.size("set_b") - F.col("shared")
-        rows = both.withColumn("shared", shared).select("a", "b", "shared", total.alias("total"))
+        frequent = F.size(F.array_intersect("frequent_a", "frequent_b"))
+        rows = both.withColumn("shared", shared).select("a", "b", "shared", total.alias("total"), frequent.alias("frequent"))
         return staged(rows, "join-compared")
 
     def links(self) -> DataFrame:
         """Similar pairs (a, b) of different sets; within a component some may be left out."""
         similar = F.col("shared") * 100 >= F.col("total") * 75
         signed = self._signed()
-        cored = self._cored(signed.where("pair").select("sig", "d", "n", "rest").distinct())
-        compared = self._compared(self._rare_pairs(signed).unionByName(self._core_pairs(cored)).distinct())
+        pairs = signed.where("pair").groupBy("sig", "d", "n", "rest").agg(F.count(F.lit(1)).alias("copies"))
+        pairs = staged(pairs.withColumn("band", F.floor(F.log("n") / math.log(BAND)).cast("int")), "join-pairs")
+        cores = self._cores(pairs)
+        compared = self._compared(self._rare_pairs(signed).unionByName(self._core_pairs(pairs, cores)).distinct())
         first = compared.where(similar).select("a", "b")
-        if cored.isEmpty():
+        if cores.isEmpty():
             return first
-        cross = self._compared(self._cross_pairs(cored, components(first), compared))
+        cross = self._compared(self._cross_pairs(pairs, cores, components(first), compared))
         return first.unionByName(cross.where(similar).select("a", "b"))
 
 
