@@ -44,8 +44,8 @@ SAMPLE, WORDS = 5000, 48
 DIGITS = 2
 #: Iterations at most, and the share of all tokens that a total may be off.
 ITERATIONS, TOLERANCE = 40, 1e-4
-#: The rate of a document at most.
-MAX_RATE = 4.0
+#: Rates have no upper bound.
+MAX_RATE = math.inf
 BINS = 12
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[]^_{|}~"
@@ -176,7 +176,7 @@ def _rate(posteriors: Column, steps: Sequence[Sequence[float]]) -> Column:
 
     def move(rate: Column, step: Column) -> Column:
         along = F.aggregate(F.zip_with(posteriors, step, lambda p, g: p * g), F.lit(0.0), lambda a, b: a + b)
-        return F.least(F.lit(MAX_RATE), F.greatest(F.lit(0.0), rate - along))
+        return F.greatest(F.lit(0.0), rate - along)
 
     return F.aggregate(path, F.lit(1.0), move)
 

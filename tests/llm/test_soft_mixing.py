@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridsky.llm.soft_mixing import MAX_RATE, DomainModel, _rate, fit_rates, label_domains, mix_documents, take_mixture
@@ -87,3 +88,26 @@ def test_no_labels_no_targets_empty_table(spark):
     assert {r.rate for r in mix_documents(docs, label_domains(labels), {}).collect()} == {1.0}
     assert mix_documents(docs.limit(0), label_domains(labels), TARGETS).count() == 0
     assert take_mixture(docs.limit(0), label_domains(labels), TARGETS).count() == 0
+
+
+def profiles_of(spark, p, n):
+    return spark.createDataFrame([(x.tolist(), int(k)) for x, k in zip(p, n)], "posteriors array<double>, tokens long")
+
+
+def shares(spark, p, n, targets):
+    """Token shares at the rates that ``fit_rates`` leads to."""
+    model = DomainModel(tuple(targets), (0.0,) * len(targets), {})
+    rows = profiles_of(spark, p, n)
+    steps = fit_rates(rows, model, targets)
+    got = np.array([r.r for r in rows.select(_rate(F.col("posteriors"), steps).alias("r")).collect()])
+    assert (got >= 0).all()
+    return (p * (n * got)[:, None]).sum(axis=0) / (p * n[:, None]).sum(), got
+
+
+def test_a_scarce_domain_reaches_its_target(spark):
+    """Its documents are taken twenty times and more."""
+    p = np.array([[0.99, 0.005, 0.005], [0.005, 0.99, 0.005], [0.005, 0.005, 0.99]])
+    n = np.array([100_000, 100, 100])
+    got, rate = shares(spark, p, n, {"a": 0.7, "b": 0.15, "c": 0.15})
+    assert np.allclose(got, [0.7, 0.15, 0.15], atol=5e-4)
+    assert rate[1] > 20
