@@ -8,17 +8,18 @@
 2. Every document i has a rate r_i >= 0, one at first. Its n_i tokens count for
    each domain by the posterior, so a domain's expected total is T_d = sum r_i n_i p_id.
    The rates minimise sum (T_d - target_d)^2 / m_d, where m_d is the total at rate one.
-   The gradient step is r_i <- max(0, r_i - sum_d p_id (T_d - target_d) / m_d),
-   with at most ``MAX_RATE`` copies of a document: scaled so, the step 1 is always
-   short enough.
-3. Each iteration is one aggregate to as many numbers as there are domains. A
-   rate depends on the posterior only, so the state is the list of steps so far:
-   nothing is kept per document, nothing is shuffled, and the aggregates read a table with one
+   The gradient step is r_i <- max(0, r_i - s sum_d p_id (T_d - target_d) / m_d);
+   there is no upper bound. With T as before the step, s = 1 is always short enough; such steps
+   come first. Where posteriors overlap they hardly move, so the next ones take T as it
+   is after the step, which allows any s (a proximal step); s grows until the totals are met or proven the nearest.
+3. A step is as many numbers as there are domains, found by one aggregate, or a few where T
+   is that after the step. A rate depends on the posterior only, so the state is the list of steps:
+   nothing is kept per document, and the aggregates read a table with one
    row for each different posterior (they are rounded to ``DIGITS`` digits).
 4. A document is taken floor(r) times, and once more with probability r - floor(r),
    drawn from a hash of its id and text.
 
-Cases: null and empty texts have no tokens and the posterior of an empty text; null ids are mixed
+Cases: null and empty texts have no tokens, the posterior of an empty text and rate 1, as they add to no total; null ids are mixed
 like others; repeated rows get the same rate and the same copies; labels with a null id or domain do not
 count, several labels of an id all do; a target for a domain without labels can't be met and is
 left out, the rest keep their proportions; a labelled domain without a target
@@ -29,10 +30,12 @@ empty result; other columns pass through, whatever their names.
 from __future__ import annotations
 
 import json
+import logging
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,11 +45,14 @@ from gridsky.llm.common import WHITE_SPACE, checked_broadcast, staged, text_or_e
 SAMPLE, WORDS = 5000, 48
 #: Digits to which posteriors are kept.
 DIGITS = 2
-#: Iterations at most, and the share of all tokens that a total may be off.
-ITERATIONS, TOLERANCE = 40, 1e-4
+#: Steps at most, how many of them are plain ones, and the share of all tokens that a total may be off.
+ITERATIONS, PLAIN, TOLERANCE = 40, 8, 1e-4
+#: Each implicit step is so much longer than the one before, up to the longest; Newton moves in one at most.
+LONGER, LONGEST, NEWTON = 100.0, 1e10, 100
 #: Rates have no upper bound.
 MAX_RATE = math.inf
 BINS = 12
+_log = logging.getLogger(__name__)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[]^_{|}~"
 
@@ -168,17 +174,85 @@ def fit_domains(rows: DataFrame, labelled: DataFrame) -> DomainModel | None:
     return DomainModel(names, tuple(start), odds)
 
 
+def _along(posteriors: Column, step: Column) -> Column:
+    return F.aggregate(F.zip_with(posteriors, step, lambda p, g: p * g), F.lit(0.0), lambda a, b: a + b)
+
+
+def _moved(posteriors: Column, rate: Column, step: Column) -> Column:
+    """The rate after one more step."""
+    return F.greatest(F.lit(0.0), rate - _along(posteriors, step))
+
+
 def _rate(posteriors: Column, steps: Sequence[Sequence[float]]) -> Column:
     """The rate after these steps."""
     if not steps:
         return F.lit(1.0)
     path = _constant(steps, "array<array<double>>")
+    return F.aggregate(path, F.lit(1.0), lambda rate, step: _moved(posteriors, rate, step))
+
 
-    def move(rate: Column, step: Column) -> Column:
-        along = F.aggregate(F.zip_with(posteriors, step, lambda p, g: p * g), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), rate - along)
+def _implicit_step(rows: DataFrame, mass: np.ndarray, want: np.ndarray, length: float, exact: float) -> np.ndarray:
+    """The step g with g_d = length * (T_d - want_d) / mass_d, where T are the totals of (posteriors, tokens, rate) after it.
 
-    return F.aggregate(path, F.lit(1.0), move)
+    It is the least point of a convex function, piecewise quadratic in as many numbers as there are
+    domains. Newton's method finds it; each trial is one aggregate.
+    """
+    size = range(len(mass))
+
+    def at(step: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        own = rows.select("posteriors", "tokens", _moved(F.col("posteriors"), F.col("rate"), _constant(step.tolist(), "array<double>")).alias("rate"))
+        p, n, rate = F.col("posteriors"), F.col("tokens"), F.col("rate")
+        upper = [(d, e) for d in size for e in size if d <= e]
+        found = own.where("rate > 0").agg(
+            F.sum(n * rate * rate),
+            *[F.sum(p[d] * n * rate) for d in size],
+            *[F.sum(p[d] * p[e] * n) for d, e in upper],
+        ).first()
+        square, *others = [float(x or 0) for x in found]
+        totals = np.array(others[: len(mass)])
+        bend = np.diag(mass / length)
+        for (d, e), x in zip(upper, others[len(mass) :]):
+            bend[d, e] += x
+            bend[e, d] += x if d != e else 0.0
+        return float((mass * step * step).sum() / length + 2 * want @ step + square) / 2, mass * step / length + want - totals, bend
+
+    step = np.zeros(len(mass))
+    value, slope, bend = at(step)
+    for _ in range(NEWTON):
+        if np.abs(slope).max() <= exact:
+            break
+        live = mass > 0
+        move = np.zeros(len(mass))
+        move[live] = np.linalg.solve(bend[np.ix_(live, live)], -slope[live])
+        share = 1.0
+        while True:
+            tried = at(step + share * move)
+            # The second test is for values that differ by their rounding only.
+            if tried[0] <= value + 1e-4 * share * (slope @ move) or np.abs(tried[1]).max() < 0.5 * np.abs(slope).max():
+                break
+            share /= 2
+            if share < 1e-9:
+                return step
+        step = step + share * move
+        value, slope, bend = tried
+    return step
+
+
+def _distance(rows: DataFrame, mass: np.ndarray, want: np.ndarray, totals: np.ndarray) -> float:
+    """How far any total of (posteriors, tokens) can be from its place at the optimum, at most.
+
+    For the gradient G of rates r and the best rates b >= 0, f(r) - f(b) <= G(r - b),
+    and sum (T_d(r) - T_d(b))^2 / m_d is at most twice that.
+    """
+    live = mass > 0
+    off = np.where(live, totals - want, 0.0)
+    slope = np.divide(off, mass, out=np.zeros(len(mass)), where=live)
+    along = _along(F.col("posteriors"), _constant(slope.tolist(), "array<double>"))
+    lowest = rows.where("tokens > 0").agg(F.min(along)).first()[0] or 0.0
+    # The tokens that the best rates take, at most; posteriors are rounded, hence the margin.
+    most = 1.01 * (want.sum() + math.sqrt((off * slope).sum() * mass.sum()))
+    gap = max(0.0, float(slope @ totals) + max(0.0, -lowest) * most)
+    return math.sqrt(2 * mass.max() * gap)
 
 
 def fit_rates(
@@ -190,28 +264,49 @@ def fit_rates(
 ) -> list[list[float]]:
     """Projected gradient on (posteriors, tokens): the steps that lead to the rates.
 
-    Ends early once the totals are met, or no longer come nearer.
+    ``PLAIN`` steps at most take the gradient where they start. Where posteriors overlap these are far
+    too short, so the others take it where they end, which allows any length. Ends once the totals are met,
+    or are proven to lie within the tolerance of the nearest that rates >= 0 can reach. Warns if they are not met.
     """
     known = [max(0.0, targets.get(d, 0.0)) for d in model.domains]
     steps: list[list[float]] = []
-    start, worst = None, []
-    while sum(known) > 0 and len(steps) < iterations:
-        rate = _rate(F.col("posteriors"), steps)
-        totals = profiles.agg(
+    start, length = None, 1.0
+    while sum(known) > 0:
+        # The rates so far are kept by row, so that no trial replays the whole path.
+        rows = profiles.withColumn("rate", _rate(F.col("posteriors"), steps))
+        if len(steps) >= PLAIN:
+            rows = staged(rows, "mix-rates")
+        totals = rows.agg(
             *[
-                F.coalesce(F.sum(F.col("posteriors")[d] * F.col("tokens") * rate), F.lit(0.0)).alias(f"t{d}")
+                F.coalesce(F.sum(F.col("posteriors")[d] * F.col("tokens") * F.col("rate")), F.lit(0.0)).alias(f"t{d}")
                 for d in range(len(known))
             ]
         ).first()
-        start = start or [float(x) for x in totals]
-        budget = sum(start)
+        totals = np.array([float(x) for x in totals])
+        start = totals if start is None else start
+        budget = start.sum()
         if not budget:
             break
-        off = [t - budget * k / sum(known) for t, k in zip(totals, known)]
-        worst.append(max(map(abs, off)))
-        if worst[-1] <= tolerance * budget or len(worst) > 5 and worst[-1] > 0.98 * worst[-3]:
+        want = budget * np.array(known) / sum(known)
+        # A domain that no document belongs to can't be met.
+        off = np.where(start > 0, totals - want, 0.0)
+        if np.abs(off).max() <= tolerance * budget:
             break
-        steps.append([o / m if m else 0.0 for o, m in zip(off, start)])
+        proven = len(steps) > PLAIN and _distance(profiles, start, want, totals) <= tolerance * budget
+        if proven or len(steps) >= iterations:
+            _log.warning(
+                "mixture: token shares %s, not %s; %s",
+                dict(zip(model.domains, (totals / budget).round(6).tolist())),
+                dict(zip(model.domains, (want / budget).round(6).tolist())),
+                "no rates come nearer" if proven else f"not proven to be the nearest after {len(steps)} steps",
+            )
+            break
+        if len(steps) < PLAIN:
+            step = np.divide(off, start, out=np.zeros(len(start)), where=start > 0)
+        else:
+            length = min(length * LONGER, LONGEST)
+            step = _implicit_step(rows, start, np.where(start > 0, want, 0.0), length, 1e-10 * budget)
+        steps.append(step.tolist())
     return steps
 
 
@@ -223,6 +318,9 @@ class Mixture:
     steps: list[list[float]]
 
 
+def _document_rate(mixture: Mixture) -> Column:
+    return F.when(F.col("tokens") > 0, _rate(F.col("posteriors"), mixture.steps)).otherwise(1.0)
+
 
 def with_copies(rows: DataFrame) -> DataFrame:
     """Add to (id, hash, rate, ...) how often a document is taken."""
@@ -259,8 +357,7 @@ def mix_documents(docs: DataFrame, domains: DataFrame, targets: Mapping[str, flo
     id_col = columns.get("id_col", "doc_id")
     mixture, rows = fit_mixture(docs, domains, targets, **columns)
     names = mixture.model.domains if mixture.model else ()
-    rate = _rate(F.col("posteriors"), mixture.steps)
-    return with_copies(rows.withColumn("rate", rate)).select(
+    return with_copies(rows.withColumn("rate", _document_rate(mixture))).select(
         F.col("id").alias(id_col),
         "tokens",
         *[F.col("posteriors")[d].alias(f"p_{name}") for d, name in enumerate(names)],
@@ -273,7 +370,7 @@ def take_mixture(docs: DataFrame, domains: DataFrame, targets: Mapping[str, floa
     """The rows of ``docs``, with their own columns, each as often as its rate says."""
     id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
     mixture, rows = fit_mixture(docs, domains, targets, **columns)
-    taken = with_copies(rows.withColumn("rate", _rate(F.col("posteriors"), mixture.steps)))
+    taken = with_copies(rows.withColumn("rate", _document_rate(mixture)))
     # Decisions go back to the rows by id and hash; small tables of them without a shuffle.
     taken = taken.where("copies > 0").select(F.col("id").alias("to"), F.col("hash").alias("of"), "copies").distinct()
     keyed = docs.select(
