@@ -186,29 +186,30 @@ def _statistics(items: DataFrame) -> tuple[dict, DataFrame]:
     return total.asDict(), df
 
 
-def benchmark_matches(
+def _matches(
     docs: DataFrame,
     items: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
-    threshold: float = THRESHOLD,
-    max_items: int = MAX_ITEMS,
-    max_bytes: int = MAX_BYTES,
+    id_col: str,
+    text_col: str,
+    item_id: str,
+    item_text: str,
+    threshold: float,
+    max_items: int,
+    max_bytes: int,
 ) -> DataFrame:
-    """``id_col``, ``item_id``, passages, question_hits, answer_hits: one row per text and item."""
+    """id, t (hash of the text), item, passages, question_hits, answer_hits: one row per text and item."""
     spark = docs.sparkSession
     small_batches(spark)
     items = items.select(F.col(item_id).alias("id"), F.col(item_text).cast("string").alias("text"))
     items = items.where("text is not null")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kinds = dict(texts.dtypes)["id"], dict(items.dtypes)["id"]
-    schema = f"`{id_col}` string, `{item_id}` string, passages long, question_hits long, answer_hits long"
-    kinds = {id_col: kinds[0], item_id: kinds[1]}
+    kinds = {"id": dict(texts.dtypes)["id"], "item": dict(items.dtypes)["id"]}
+    names = ["id", "t", "item", "passages", "question_hits", "answer_hits"]
+    schema = "id string, t long, item string, passages long, question_hits long, answer_hits long"
     totals, df = _statistics(items)
     if not totals["items"]:
         return cast_back(spark.createDataFrame([], schema), **kinds)
+    texts = texts.select(*as_text("id"), F.xxhash64("text").alias("t"), "text")
     parts = max(-(-totals["items"] // max_items), -(-totals["bytes"] // max_bytes))
     out = None
     for part in range(parts):
@@ -227,19 +228,50 @@ def benchmark_matches(
             ready = index.value
             for batch in batches:
                 made = [
-                    (i, ready.ids[at], *counts)
-                    for i, t in zip(batch["id"], batch["text"])
-                    for at, counts in ready.search(t, threshold).items()
+                    (i, t, ready.ids[at], *counts)
+                    for i, t, text in zip(batch["id"], batch["t"], batch["text"])
+                    for at, counts in ready.search(text, threshold).items()
                 ]
-                yield pd.DataFrame(made, columns=[id_col, item_id, "passages", "question_hits", "answer_hits"])
+                yield pd.DataFrame(made, columns=names)
 
-        found = cast_back(texts.select(*as_text("id"), "text").mapInPandas(scan, schema), **kinds)
+        found = cast_back(texts.mapInPandas(scan, schema), **kinds)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **columns) -> DataFrame:
-    """The rows of ``docs`` whose text holds no test item, with their own columns."""
-    hit = benchmark_matches(docs, items, id_col, **columns).select(F.col(id_col).alias("hit_id")).distinct()
-    hit = staged(hit, "contaminated")
-    return docs.join(checked_broadcast(hit), F.col(id_col).eqNullSafe(F.col("hit_id")), "left_anti")
+def benchmark_matches(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    threshold: float = THRESHOLD,
+    max_items: int = MAX_ITEMS,
+    max_bytes: int = MAX_BYTES,
+) -> DataFrame:
+    """``id_col``, ``item_id``, passages, question_hits, answer_hits: one row per text and item."""
+    found = _matches(docs, items, id_col, text_col, item_id, item_text, threshold, max_items, max_bytes)
+    counts = ("passages", "question_hits", "answer_hits")
+    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_id), *counts)
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    threshold: float = THRESHOLD,
+    max_items: int = MAX_ITEMS,
+    max_bytes: int = MAX_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` whose text holds no test item, with their own columns.
+
+    Rows are told apart by id and text, so a clean row stays where others with its id, or none, go.
+    """
+    hit = _matches(docs, items, id_col, text_col, item_id, item_text, threshold, max_items, max_bytes)
+    hit = staged(hit.select(F.col("id").alias("hit_id"), F.col("t").alias("hit_t")).distinct(), "contaminated")
+    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("hit_t")) & F.col(id_col).eqNullSafe(F.col("hit_id"))
+    return docs.join(checked_broadcast(hit), same, "left_anti")

@@ -106,6 +106,15 @@ def test_contaminated_rows_go(spark):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(i) for i, _ in rows if i not in hit)
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    bench = [(1, "alpha beta gamma delta epsilon zeta? eta theta"), (2, "unseen words only here? none")]
+    leak = "before " + bench[0][1] + " after"
+    rows = [(None, leak), (None, "clean text without id"), (None, None), (7, leak), (7, "another clean text"), (7, ""), (8, "clean")]
+    docs = spark.createDataFrame([(*r, 1, "p", "i") for r in rows], DOCS)
+    left = drop_contaminated(docs, spark.createDataFrame([(*i, 1) for i in bench], ITEMS))
+    assert sorted(repr((r.doc_id, r.text)) for r in left.collect()) == sorted(repr(r) for r in rows if r[1] != leak)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "w1 w2", 1, "p", "i")], DOCS)
     bench = spark.createDataFrame([(1, "w1 w2", 1)], ITEMS)
