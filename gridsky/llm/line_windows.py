@@ -2,7 +2,7 @@
 
 Every run of three consecutive lines is hashed. Windows that occur more than
 once anywhere are found by a count with a map side; all occurrences but the
-earliest, by (id, position), are later ones. The lines that a later window
+earliest, by (id, hash of id and text, position), are later ones. The lines that a later window
 covers go; overlapping windows merge, so a repeated passage of any length from
 three lines on goes whole and its first occurrence stays. Windows are judged on the input.
 
@@ -60,7 +60,8 @@ def _later(texts: DataFrame, size: int) -> DataFrame:
     rows = texts.select(*as_text("id"), *KEY, "text")
     found = rows.mapInPandas(scan, "id string, k1 long, k2 long, at int, w binary")
     found = staged(cast_back(found, id=kind), "line-windows")
-    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "at")
+    # k2 tells different texts under one id apart, or under none.
+    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", "k2", "at")
     first = found.groupBy("w").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     first = staged(first.where("n > 1").select("w", "first"), "line-repeated")
     later = found.join(first, "w").where(rank != F.col("first"))

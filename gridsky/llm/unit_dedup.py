@@ -4,7 +4,7 @@ A text is cut into units: lines, or paragraphs between blank lines. A unit is
 normalised (lower case, each run of white space one space, none at the ends) and hashed.
 Equal digests are grouped by an aggregate with a map side; the occurrence of the
 lowest rank stays and all others go, with their byte offsets in the original
-text. The rank is (``rank_col`` if given, id, position), nulls last. Units of fewer
+text. The rank is (``rank_col`` if given, id, hash of id and text, position), nulls last. Units of fewer
 than ``min_words`` words are never compared: short ones repeat by chance.
 
 A unit that a third of the texts share leaves a task as one row; the join that finds its
@@ -77,8 +77,9 @@ def removed_units(
     rows = texts.where("text <> ''").select(*as_text("id", "r"), *KEY, "text")
     found = rows.mapInPandas(scan, "id string, r string, k1 long, k2 long, begin long, end long, u binary")
     found = staged(cast_back(found, id=kinds["id"], r=kinds["r"]), "units")
+    # k2 tells different texts under one id apart, or under none.
     rank = F.struct(
-        F.col("r").isNull().alias("unranked"), "r", F.col("id").isNull().alias("unknown"), "id", "begin"
+        F.col("r").isNull().alias("unranked"), "r", F.col("id").isNull().alias("unknown"), "id", "k2", "begin"
     )
     first = found.groupBy("u").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     first = staged(first.where("n > 1").select("u", "first"), "units-repeated")

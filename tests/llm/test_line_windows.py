@@ -48,5 +48,14 @@ def test_lines_against_all_windows(spark, seed):
     assert sorted(repr(tuple(r)) for r in dedup_lines(docs).collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_different_texts_under_one_id_do_not_tie(spark, doc_id):
+    """Their shared window begins at the same line; it stays in one of them."""
+    rows = [(doc_id, f"shared\nlines\nhere\nown {k}") for k in range(3)]
+    got = dedup_lines(spark.createDataFrame([(*r, "w", 1, "p", 2) for r in rows], SCHEMA).repartition(3)).collect()
+    assert sorted(r.n_removed for r in got) == [0, 3, 3]
+    assert all(r.kept.startswith("own " if r.n_removed else "shared") for r in got)
+
+
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0

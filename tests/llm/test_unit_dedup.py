@@ -76,6 +76,14 @@ def test_offsets_are_those_of_the_original(spark):
     assert [(r.id, r.begin, r.end, r.keep_id, r.keep_begin) for r in got] == [(2, 0, 17, 1, 22)]
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_different_texts_under_one_id_do_not_tie(spark, doc_id):
+    """Their shared unit begins at the same byte; it stays in one of them."""
+    rows = [(doc_id, f"shared line here\nown text {k}") for k in range(3)]
+    got = dedup_units(frame(spark, rows), min_words=3).collect()
+    assert sorted(r.removed for r in got) == ["", "0-16", "0-16"]
+
+
 def test_paragraphs():
     raw = b"one\ntwo\n\nthree\n \t\nfour"
     assert [raw[a:b] for a, b in units(raw, "paragraph")] == [b"one\ntwo", b"three", b"four"]
