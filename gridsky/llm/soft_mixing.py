@@ -43,8 +43,8 @@ from gridsky.llm.common import WHITE_SPACE, checked_broadcast, staged, text_or_e
 
 #: Labelled documents on which words are chosen, at most, and words chosen for each domain.
 SAMPLE, WORDS = 5000, 48
-#: Digits to which posteriors are kept.
-DIGITS = 2
+#: Digits to which posteriors are kept: the error of a total is far below ``TOLERANCE``.
+DIGITS = 6
 #: Steps at most, how many of them are plain ones, and the share of all tokens that a total may be off.
 ITERATIONS, PLAIN, TOLERANCE = 40, 8, 1e-4
 #: Each implicit step is so much longer than the one before, up to the longest; Newton moves in one at most.

@@ -141,3 +141,10 @@ def test_a_scarce_domain_reaches_its_target(spark):
     got, rate = shares(spark, p, n, {"a": 0.7, "b": 0.15, "c": 0.15})
     assert np.allclose(got, [0.7, 0.15, 0.15], atol=5e-4)
     assert rate[1] > 20
+
+
+def test_small_posteriors_are_not_lost(spark):
+    """With each 0.4 percent toxic, the expected toxic tokens are 0.4 percent of all."""
+    model = DomainModel(("clean", "toxic"), (float(np.log(0.996)), float(np.log(0.004))), {"w": (0.0, 0.0)})
+    got = model.add(spark.createDataFrame([(["w"],)], "found array<string>")).first()
+    assert np.allclose(got.posteriors, [0.996, 0.004], atol=1e-6)
