@@ -1,0 +1,107 @@
+"""Token counts of the transducer against the library's own."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from gridsky.llm.token_fst import SPACE, Transducer, piece_scores, token_counts
+
+sentencepiece = pytest.importorskip("sentencepiece")
+tokenizers = pytest.importorskip("public_tokenizers")
+MODEL = tokenizers.path("piece_bpe_32k.model")
+DOCS = "doc_id long, text string, n_tokens string, n_bytes int"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def machine():
+    return Transducer(piece_scores(MODEL))
+
+
+def texts(pieces, seed, count):
+    rng = random.Random(seed)
+    for _ in range(count):
+        yield "".join(rng.choice(pieces).replace(SPACE, " ") for _ in range(rng.randint(0, 12)))
+        yield "".join(rng.choice("ab  etionhs\n\t") for _ in range(rng.randint(0, 40)))
+        yield "".join(rng.choice("aA1 -=_*#./\\漢字のé▁\U0001f600\x00") for _ in range(rng.randint(0, 40)))
+        yield rng.choice("a =-_*e") * rng.randint(0, 70) + rng.choice("b =-*\n")
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 16, 1 << 15])
+def test_counts_equal_the_library_for_any_chunk(library, machine, chunk):
+    for text in texts(list(machine.scores), chunk, 400):
+        assert machine.count(text, chunk) == len(library.encode(text)), repr(text)
+
+
+def test_special_strings_are_text(library, machine):
+    for text in ("<s>", "</s> <unk>", "a<s>b", "<0x0A>", " ", "  ", "▁", "\n", "\U0001f600"):
+        assert machine.count(text) == len(library.encode(text))
+
+
+def test_running_counts_are_counts_of_prefixes(library, machine):
+    text = "the quick brown fox. " * 5 + "aaaaaaaaaaaaaaaaaaaaaaaa" + "漢字" * 9
+    # The first chunk holds the mark before the text.
+    want = [len(library.encode(text[: 7 * k - 1])) for k in range(1, len(text) // 7 + 1)]
+    assert machine.running_counts(text, 7)[: len(want)] == want
+
+
+def test_maps_compose_in_any_grouping(machine):
+    rng = random.Random(4)
+    for text in texts(list(machine.scores), 9, 50):
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(2))
+        a, b, c = (machine.chunk_map(SPACE + t) for t in (text[: cuts[0]], text[cuts[0] : cuts[1]], text[cuts[1] :]))
+        left, right = machine.compose(machine.compose(a, b), c), machine.compose(a, machine.compose(b, c))
+        assert machine.apply(machine.start, left) == machine.apply(machine.start, right)
+
+
+def test_forgotten_transitions_change_no_count(library):
+    small = Transducer(piece_scores(MODEL), max_arcs=50)
+    for text in texts(list(small.scores), 2, 100):
+        assert small.count(text, 5) == len(library.encode(text))
+    assert small.arcs <= 51
+
+
+def test_a_small_vocabulary_by_merges_over_the_whole_text():
+    """Scores out of length order, equal scores, and pieces that no merge makes."""
+    rng = random.Random(8)
+    for _ in range(60):
+        scores = dict.fromkeys("abc" + SPACE, -99.0)
+        for _ in range(rng.randint(1, 9)):
+            a, b = rng.choice(list(scores)), rng.choice(list(scores))
+            if len(a + b) <= 6:
+                scores[a + b] = -float(rng.randint(0, 6))
+        machine = Transducer(scores)
+        for _ in range(60):
+            text = "".join(rng.choice("abcd ") for _ in range(rng.randint(1, 14)))
+            parts = list(SPACE + text.replace(" ", SPACE))
+            while True:
+                pairs = [(-scores[x + y], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in scores]
+                if not pairs:
+                    break
+                k = min(pairs)[1]
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            assert machine.count(text, 3) == len(parts), (scores, text)
+
+
+def test_whole_query_on_odd_rows(spark, library):
+    rows = [(1, "hello world"), (None, "hello world"), (None, None), (2, ""), (1, "hello world"), (3, "aé\U0001f600 " * 30_000), (4, "=" * 100_000)]
+    frame = spark.createDataFrame([(*r, "x", 5) for r in rows], DOCS)
+    got = sorted([tuple(r) for r in token_counts(frame, piece_scores(MODEL)).collect()], key=repr)
+    counts = [(i, len((t or "").encode()), len(library.encode(t or ""))) for i, t in rows]
+    assert got == sorted([(*c, c[2] > 4096) for c in counts], key=repr)
+    assert token_counts(spark.createDataFrame([], DOCS), piece_scores(MODEL)).collect() == []
+
+
+def test_query_equals_library_on_the_shared_table(spark, library):
+    from gridsky.llm.queries import op13_token_counts
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    want = {(d.doc_id, len((d.text or "").encode()), n, n > 4096) for d, n in zip(docs, map(len, library.encode([d.text or "" for d in docs])))}
+    assert {tuple(r) for r in op13_token_counts(spark, sf).collect()} == want
