@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridsky.llm import sql
+from gridsky.llm.conversations import damaged, repair_report
 from gridsky.llm.decontaminate import benchmark_matches
 from gridsky.llm.exact_dedup import exact_dedup
+from gridsky.llm.grid_codes import compress_vectors
 from gridsky.llm.hash_tree import shard_documents
 from gridsky.llm.line_windows import dedup_lines
 from gridsky.llm.ngram_join import jaccard_components
 from gridsky.llm.quality_fm import score_documents
 from gridsky.llm.repeats import dedup_substrings
 from gridsky.llm.soft_mixing import label_domains, mix_documents
+from gridsky.llm.token_fst import piece_scores, token_counts
 from gridsky.llm.unit_dedup import dedup_units
 from gridsky.llm.warc import read_warc, write_warc
 from gridsky.session import fresh_dir
@@ -73,6 +76,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), piece_scores(tokenizer_file("piece_bpe_32k.model")))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def all_queries() -> dict[str, Query]:
     named = (
         op1_line_dedup,
@@ -85,6 +107,9 @@ def all_queries() -> dict[str, Query]:
         op8_exact_dedup,
         op9_mixing,
         op10_warc,
+        op11_conversation_repair,
+        op12_vector_codes,
+        op13_token_counts,
     )
     return {f.__name__: f for f in named}
 
@@ -98,4 +123,6 @@ def all_oracles() -> dict[str, str]:
         "op6_benchmark_decontamination": sql.DECONTAMINATION,
         "op8_exact_dedup": sql.EXACT_DEDUP,
         "op10_warc": sql.WARC,
+        "op11_conversation_repair": sql.CONVERSATIONS,
+        "op12_vector_codes": sql.VECTOR_CODES,
     }

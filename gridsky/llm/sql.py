@@ -187,3 +187,128 @@ SELECT t.doc_id, octet_length(encode(t.text))::BIGINT AS n_bytes, len(t.l)::BIGI
        sha256(array_to_string(list_filter(t.l, lambda v, k: NOT list_contains(coalesce(s.gone, []), k)), chr(10))) AS kept_sha256
 FROM texts t LEFT JOIN lists s USING (doc_id)
 """
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _way(cost: str, letter: str, state: int, allowed: str = "true") -> str:
+    """One edit as (cost to go, its letters): lists of such structs sort by cost, then letters."""
+    return f"{{'c': CASE WHEN {allowed} THEN v[{state + 1}].c + {cost} ELSE 1000000000 END, 'a': '{letter}' || v[{state + 1}].a}}"
+
+
+# The state after a row: by state (nothing yet, after s, after u, after a), for the initials allowed
+# there and for the role wanted there.
+_AFTER = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+_WANTED = (2, 2, 3, 2)
+_STAYS, _EXTRA = "fault IN ('', 'truncated')", "(CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END)"
+_EDITED = ", ".join(
+    _least(
+        _way("2", "D", k),
+        _way(f"1 + {_EXTRA}", "R", _WANTED[k], _STAYS),
+        *[_way(_EXTRA, "K", to, f"{_STAYS} AND initial = '{i}'") for i, to in _AFTER[k].items()],
+    )
+    for k in range(4)
+)
+_INSERTED = ", ".join(
+    _least(f"v[{k + 1}]", f"{{'c': v[{_WANTED[k] + 1}].c + 5, 'a': 'I' || v[{_WANTED[k] + 1}].a}}") for k in range(4)
+)
+_WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+# crc32 bit by bit; the cost to go from the last row back, with the letters of the least path; then the rows replayed.
+CONVERSATIONS = rf"""
+WITH RECURSIVE named AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+           list_transform(range(1, length(key) + 1), lambda i: unicode(substr(key, i, 1))::BIGINT)),
+           lambda h, b: list_reduce(list_concat([xor(h, b)], range(8)),
+             lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS f
+  FROM named
+), rows AS (
+  SELECT c, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE f <> 0
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, {_WHITE}) AS body, left(role, 1) AS initial
+  FROM rows
+), judged AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY c ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM ordered
+), totals AS (
+  SELECT c, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY c
+), togo AS (
+  SELECT c, n AS i, [{{'c': 0, 'a': ''}}, {{'c': 10, 'a': 'II'}}, {{'c': 5, 'a': 'I'}}, {{'c': 0, 'a': ''}}] AS v FROM totals
+  UNION ALL
+  SELECT c, i - 1, [{_INSERTED}] FROM (
+    SELECT c, i, [{_INSERTED}] AS v FROM (SELECT g.c, g.i, [{_EDITED}] AS v FROM togo g JOIN judged j ON j.c = g.c AND j.i = g.i))
+), audits AS (
+  SELECT c, v[1].c AS cost, v[1].a AS audit FROM togo WHERE i = 0
+), replayed AS (
+  -- spot: letters read; i: rows read; s: the last initial; t: the repaired text.
+  SELECT c, audit, 0 AS spot, 0::BIGINT AS i, '' AS s, NULL::VARCHAR AS t FROM audits
+  UNION ALL
+  SELECT r.c, r.audit, r.spot + 1, r.i + (l <> 'I')::INT, CASE WHEN l = 'D' THEN r.s ELSE left(role, 1) END,
+         CASE WHEN l = 'D' THEN r.t ELSE coalesce(r.t || chr(10), '') || role || ':' || (CASE WHEN l = 'I' THEN '' ELSE text END) END
+  FROM (
+    SELECT r.*, substr(r.audit, r.spot + 1, 1) AS l, j.text,
+           CASE WHEN substr(r.audit, r.spot + 1, 1) IN ('K', 'D') THEN j.role WHEN r.s = 'u' THEN 'assistant' ELSE 'user' END AS role
+    FROM replayed r LEFT JOIN judged j ON j.c = r.c AND j.i = r.i + 1 WHERE r.spot < length(r.audit)
+  ) r
+), texts AS (
+  SELECT c, t FROM replayed WHERE spot = length(audit)
+)
+SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM named) d LEFT JOIN totals USING (c) LEFT JOIN audits USING (c) LEFT JOIN texts USING (c)
+"""
+
+
+def _vector_codes(parts: int = 4, size: int = 256, rounds: int = 4) -> str:
+    """Rounds of assignment and floored means, unrolled. Sums stay exact in doubles on the shared tables."""
+    steps = [f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT row, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, (SELECT unnest(range({parts})) AS p)
+), squares AS (
+  SELECT *, list_inner_product(x, x) AS xx FROM parts
+), book0 AS (
+  SELECT p, row - 1 AS e, x AS y FROM parts WHERE row <= {size}
+)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS (
+  SELECT row, p, x, min({{'d': xx - 2 * list_inner_product(x, y) + list_inner_product(y, y), 'e': e}}) AS best
+  FROM squares JOIN book{k} USING (p) GROUP BY row, p, x
+)""")
+        if k < rounds:
+            steps.append(f"""means{k} AS (
+  SELECT p, e, list(floor(total / n) ORDER BY pos) AS y
+  FROM (SELECT p, best.e AS e, pos, sum(x[pos]) AS total, count(*) AS n
+        FROM near{k}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS pos) GROUP BY ALL)
+  GROUP BY p, e
+), book{k + 1} AS (
+  SELECT p, e, coalesce(m.y, b.y) AS y FROM book{k} b LEFT JOIN means{k} m USING (p, e)
+)""")
+    return ", ".join(steps) + f""", codes AS (
+  SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(y, lambda t: t::BIGINT), ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM codes JOIN kept USING (row)
+"""
+
+
+VECTOR_CODES = _vector_codes()

@@ -1,0 +1,163 @@
+"""Conversation repair against a search over whole edit strings, with pieces of any size."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from gridsky.llm.conversations import ROLES, WANTED, damaged, least_paths, rank_paths, repair_report, repaired
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+EMPTY = hashlib.sha256(b"").hexdigest()
+
+
+def damage(rows):
+    out = []
+    for c, t, r, x in rows:
+        r, x = (" " if v is None else v for v in (r, x))
+        fault = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        x = {1: "", 2: re.sub("[.!?]", "", x)}.get(fault, x)
+        out += [(c, t, "user" if fault == 4 else r, x)] * {0: 0, 3: 2}.get(fault, 1)
+    return out
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), hashlib.sha256(r[3].encode()).digest()))
+
+
+def fault_of(rows):
+    seen, made = set(), []
+    for _, _, role, text in rows:
+        body = text.strip(" \t\n\x0b\x0c\r")
+        made.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return made
+
+
+def best_edits(rows, faults):
+    """(cost, audit, repaired rows): from the last row back, whole edit strings are compared."""
+    after = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    none = (10**9, "")
+
+    def with_inserts(v):
+        for _ in range(3):
+            v = [min(v[s], (5 + v[WANTED[s]][0], "I" + v[WANTED[s]][1])) for s in range(4)]
+        return v
+
+    best = with_inserts([(0, ""), none, none, (0, "")])
+    for (_, _, role, _), fault in zip(rows[::-1], faults[::-1]):
+        new = []
+        for s in range(4):
+            ways = [(2 + best[s][0], "D" + best[s][1])]
+            if fault in ("", "truncated"):
+                extra = 5 * (fault != "")
+                ways.append((1 + extra + best[WANTED[s]][0], "R" + best[WANTED[s]][1]))
+                if role[:1] in after[s]:
+                    ways.append((extra + best[after[s][role[0]]][0], "K" + best[after[s][role[0]]][1]))
+            new.append(min(ways))
+        best = with_inserts(new)
+    cost, audit = best[0]
+    left, state, made = iter(rows), 0, []
+    for letter in audit:
+        _, _, role, text = next(left) if letter != "I" else (None, None, None, "")
+        if letter == "D":
+            continue
+        state = after[state][role[0]] if letter == "K" else WANTED[state]
+        made.append((role if letter == "K" else ROLES[state], text))
+    assert re.fullmatch("(s?(ua)+)?", "".join(r[0] for r, _ in made))
+    return cost, audit, made
+
+
+def expected(rows, ids):
+    """Reports by conversation, and the repaired rows."""
+    by = {c: [] for c in ids}
+    for r in rows:
+        by[r[0]].append(r)
+    reports, texts = [], {}
+    for c, own in by.items():
+        own = in_order(own)
+        faults = fault_of(own)
+        turns = {t for _, t, _, _ in own if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        initials = [r[:1] for _, _, r, _ in own]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, made = best_edits(own, faults)
+        digest = hashlib.sha256("\n".join(f"{r}:{x}" for r, x in made).encode()).hexdigest()
+        reports.append((c, gaps, *[faults.count(k) for k in ("blank", "duplicate", "truncated")], illegal, cost, audit, digest))
+        texts[c] = made
+    return sorted(reports, key=repr), texts
+
+
+def random_rows(seed, conversations=40):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "system", "tool", "", None, "USER"]
+    texts = ["a.", "b", "c!", " \n", "", None, "x.\n", "hello there", "q? ", "zz.zz", "é。"]
+    return [
+        (rng.choice([c, c, c, None]), rng.choice([None, *range(12)]), rng.choice(roles[: 3 + rng.randrange(5)]), rng.choice(texts))
+        for c in range(conversations)
+        for _ in range(rng.choice([1, 2, 3, 5, 9, 40]))
+    ]
+
+
+@pytest.mark.parametrize("size", [4096, 1, 3])
+def test_report_equals_search_for_any_cut(spark, size):
+    rows = random_rows(5)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want, _ = expected(damage(rows), {r[0] for r in rows})
+    got = sorted([tuple(r) for r in repair_report(damaged(frame), frame, size).collect()], key=repr)
+    assert got == want
+
+
+def test_repaired_rows_are_told(spark):
+    rows = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in random_rows(6, 15)]
+    made = collections.defaultdict(list)
+    for r in repaired(spark.createDataFrame(rows, SCHEMA), size=2).orderBy("conv_id", "place").collect():
+        made[r.conv_id].append(r)
+        assert (r.edit == "I") <= (r.turn is None and r.text == "") and len(made[r.conv_id]) == r.place + 1
+    _, texts = expected(rows, {r[0] for r in rows})
+    assert {c: [(r.role, r.text) for r in own] for c, own in made.items()} == {c: t for c, t in texts.items() if t}
+
+
+def test_long_conversation_with_one_text_over_and_over(spark):
+    """One conversation of many rows, a third of them alike, over many pieces."""
+    rng = random.Random(3)
+    rows = [(7, t, rng.choice(["user", "assistant", "system"]), "same." if t % 3 else f"row {t}" + rng.choice(".!? ")) for t in range(900)]
+    rows += [(7, 900, "user", "again.")] * 300 + [(8, 1, "user", "x" * 200_000 + ".")]
+    want, _ = expected(rows, {7, 8})
+    got = sorted([tuple(r) for r in repair_report(spark.createDataFrame(rows, SCHEMA).repartition(5), size=50).collect()], key=repr)
+    assert got == want
+
+
+def test_conversations_without_rows_and_an_empty_table(spark):
+    ids = spark.createDataFrame([(1,), (None,)], "conv_id long")
+    none = spark.createDataFrame([], SCHEMA)
+    got = {tuple(r) for r in repair_report(none, ids).collect()}
+    assert got == {(c, 0, 0, 0, 0, 0, 0, "", EMPTY) for c in (1, None)}
+    assert repair_report(none).collect() == [] and repaired(none).collect() == []
+
+
+def test_far_turns_clashing_columns_and_text_ids(spark):
+    far = (1 << 63) - 1
+    columns = "conv_id string, turn long, role string, text string, n int, digest string, piece string, kinds int, copy int"
+    rows = [("x", -far, "user", "a."), ("x", far, "assistant", "b."), ("", None, "user", "c.")]
+    frame = spark.createDataFrame([(*r, 1, "d", "p", 2, 3) for r in rows], columns)
+    got = {r.conv_id: (r.gaps, r.cost, r.audit) for r in repair_report(frame).collect()}
+    assert got == {"x": (far, 0, "KK"), "": (0, 2, "D")}
+
+
+def test_ranks_order_arcs_by_whole_paths():
+    """Ranks of arcs are the order of the strings that they begin, whatever their lengths."""
+    rng = random.Random(1)
+    kinds = [rng.choice("suax") + rng.choice("-~+") for _ in range(37)]
+    [found] = least_paths([(kinds, None)])
+    assert found[0][1] in (0, 3) and len(found) == 4
+    # Two arcs leave node 0; the second letters decide between their nodes.
+    source, letter, target = (np.array(x) for x in ([0, 0, 1, 2, 3], [3, 1, 2, 4, 0], [1, 2, 3, 3, 3]))
+    choice, pointers = rank_paths(source, letter, target, 4)
+    assert choice.tolist() == [1, 2, 4, 0] and pointers[-1].tolist() == [3, 3, 3, 3]
