@@ -56,19 +56,17 @@ def weather_window(weather: DataFrame, width: str = BUCKET) -> DataFrame:
     means = weather.groupBy(bucket("ts", width), "place").agg(
         *[F.avg(c).alias(c) for c in ("temp", "dew_point", "uvi", "clouds")]
     )
-    # A NULL average compares to NULL and falls to the second label.
-    saturated = F.col("temp") - F.col("dew_point") <= 0
     return means.select(
-        "window",
-        "place",
-        "temp",
-        "dew_point",
-        F.when(saturated, F.lit(RAIN)).otherwise(F.lit(NO_RAIN)).alias("raining_prob"),
-        "uvi",
-        "clouds",
+        "window", "place", "temp", "dew_point", rain_label().alias("raining_prob"), "uvi", "clouds"
     )
 
 
+def rain_label() -> Column:
+    """From average temperature and dew point. A NULL average compares to NULL and falls to the second label."""
+    saturated = F.col("temp") - F.col("dew_point") <= 0
+    return F.when(saturated, F.lit(RAIN)).otherwise(F.lit(NO_RAIN))
+
+
 def start_stamped(windowed: DataFrame) -> DataFrame:
     """Replace the ``window`` struct with its start, ``window_start``."""
     rest = [c for c in windowed.columns if c != "window"]
@@ -85,9 +83,15 @@ def energy_weather_wide(
     partitioning of the two aggregates.
     """
     joined = energy_window(energy, width).join(weather_window(weather, width), ["window", "place"])
+    return combine_windows(joined, F.col("window.start"), null_on_zero)
+
+
+def combine_windows(joined: DataFrame, start: Column, null_on_zero: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of the wide result from joined summaries of energy and weather, and those of ``keep``."""
     rain = F.col("raining_prob") == RAIN
     return joined.select(
-        F.col("window.start").alias("hour_group"),
+        *keep,
+        start.alias("hour_group"),
         "place",
         ieee_div(F.col("kwh_cons"), F.col("temp"), null_on_zero).alias("kwh_cons_degree"),
         F.when(rain, F.col("kwh_prod")).otherwise(F.lit(0.0)).alias("kwh_prod_with_rain_prob"),

@@ -280,24 +280,39 @@ _STATEMENTS = {
         FROM (SELECT *, event_id AS arrival FROM energy_record WHERE event_id % 5 <> 0
               UNION ALL
               SELECT * REPLACE (value + 1 AS value), event_id + 1000000000 AS arrival
-              FROM energy_record WHERE event_id % 3 = 0))
+              FROM energy_record WHERE event_id % 3 = 0 OR event_id % 5 = 0))
   WHERE rn = 1""",
     "batch_upsert_buckets": _ANALYTICS,
+    "batch_reload": f"{_ENERGY_WEATHER} FROM energy_weather_analytics",
+    "batch_reload_points": f"{_POINTS} FROM point_data",
     "batch_accounting": f"""
   , accounted AS ({_ACCOUNTED}),
+  conditions AS (
+    SELECT date_trunc('milliseconds', ts) AS ts, if(event_id % 7 = 0, NULL, place) AS place FROM weather_record),
   counted AS (
     SELECT count(*) AS records, count(*) FILTER (place IS NULL) AS keyless,
            (SELECT count(*) FROM (SELECT DISTINCT ts, place, id FROM accounted WHERE place IS NOT NULL)) AS kept
     FROM accounted),
+  measured AS (
+    SELECT count(*) AS records_w, count(*) FILTER (place IS NULL) AS keyless_w,
+           (SELECT count(*) FROM (SELECT DISTINCT ts, place FROM conditions WHERE place IS NOT NULL)) AS kept_w
+    FROM conditions),
   other AS (
     SELECT count(*) FILTER (NOT json_valid(message)) AS malformed,
            count(*) FILTER (json_valid(message)) AS no_event_time
-    FROM (SELECT props AS message FROM events UNION ALL SELECT event_type FROM events))
+    FROM (SELECT props AS message FROM events UNION ALL SELECT event_type FROM events)),
+  typed AS (
+    SELECT count(*) FILTER (NOT json_valid(event_type)) AS malformed_w,
+           count(*) FILTER (json_valid(event_type)) AS no_event_time_w FROM events)
   SELECT unnest(['energy_messages', 'energy_records', 'energy_malformed', 'energy_no_event_time',
-                 'point_data_keyless', 'point_data_rows', 'point_data_repeated']) AS item,
+                 'point_data_keyless', 'point_data_rows', 'point_data_repeated',
+                 'weather_messages', 'weather_records', 'weather_malformed', 'weather_no_event_time',
+                 'weather_data_keyless', 'weather_data_rows', 'weather_data_repeated']) AS item,
          unnest([records + malformed + no_event_time, records, malformed, no_event_time,
-                 keyless, kept, records - keyless - kept]) AS messages
-  FROM counted, other""",
+                 keyless, kept, records - keyless - kept,
+                 records_w + malformed_w + no_event_time_w, records_w, malformed_w, no_event_time_w,
+                 keyless_w, kept_w, records_w - keyless_w - kept_w]) AS messages
+  FROM counted, measured, other, typed""",
     "serving_with_late_rows": """
   SELECT time_stamp, id, place, generation, type_gen, round(kwh, 6) AS kwh FROM point_data""",
     "stream_job": """

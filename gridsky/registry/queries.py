@@ -36,6 +36,7 @@ from gridsky.plans.job import job_tables
 from gridsky.registry import views
 from gridsky.session import apply_runtime, fresh_dir, streaming_session
 from gridsky.schemas import EVENT_TIME, KEYS
+from gridsky.sources.commits import read_commit
 from gridsky.sources.tables import (
     append_batch,
     publish_days,
@@ -45,6 +46,7 @@ from gridsky.sources.tables import (
     read_serving,
     write_serving,
 )
+from gridsky.streaming.batch import fold_days
 from gridsky.streaming.job import await_all, run_batch, start_job, start_tables
 from gridsky.streaming.sinks import TableSink
 
@@ -272,12 +274,13 @@ def _stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads that share days and keys; the later one raises a third of the values."""
+    """Two loads that share days and keys; the later one raises the values of what it repeats."""
     t = Tables(spark, sf_dir)
     out = fresh_dir(spark, "upsert")
     weather = _weather_messages(t.weather)
     run_batch(_energy_messages(t.energy.filter("event_id % 5 <> 0")), weather.limit(0), out, load="1")
-    raised = t.energy.filter("event_id % 3 = 0").withColumn("value", F.col("value") + 1)
+    second = t.energy.filter("event_id % 3 = 0 OR event_id % 5 = 0")
+    raised = second.withColumn("value", F.col("value") + 1)
     run_batch(_energy_messages(raised, LATER), weather, out, load="2")
     return tidy(read_serving(spark, f"{out}/point_data", "point_data").drop("day"))
 
@@ -293,21 +296,50 @@ def _batch_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(read_serving(spark, f"{out}/energy_analytics", "energy_analytics").drop("day"))
 
 
+def _reloaded(spark: SparkSession, sf_dir: str) -> str:
+    """Three loads; the first is run again with other rows, and the older half of the days is folded."""
+    t = Tables(spark, sf_dir)
+    out = fresh_dir(spark, "reload")
+    energy, weather = _energy_messages(t.energy), _weather_messages(t.weather)
+    # The first attempt holds a third of the rows, all of them wrong.
+    wrong = _energy_messages(t.energy.filter("event_id % 3 = 1").withColumn("value", F.lit(1e6)))
+    run_batch(wrong, weather.filter("arrival.offset % 2 = 0"), out, load="1")
+    run_batch(energy.filter("arrival.offset % 2 = 0"), weather.limit(0), out, load="2")
+    run_batch(energy.filter("arrival.offset % 2 = 1"), weather, out, load="1")
+    days = read_commit(spark, out).days("energy_sums")
+    fold_days(spark, out, days[: len(days) // 2])
+    return out
+
+
+def _batch_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _reloaded(spark, sf_dir)
+    return tidy(read_serving(spark, f"{out}/energy_weather_analytics", "energy_weather_analytics").drop("day"))
+
+
+def _batch_reload_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _reloaded(spark, sf_dir)
+    return tidy(read_serving(spark, f"{out}/point_data", "point_data").drop("day"))
+
+
 def _job_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the messages of a load went: kept, repeated, without key, or rejected by reason."""
     t = Tables(spark, sf_dir)
     out = fresh_dir(spark, "accounting")
-    keyless = t.energy.withColumn("place", F.expr("if(event_id % 7 = 0, NULL, place)"))
-    twice = t.energy.filter("event_id % 11 = 0 AND event_id % 7 <> 0")
     arrival = F.struct(F.col("event_id").alias("offset")).alias("arrival")
+
+    def keyless(records: DataFrame) -> DataFrame:
+        return records.withColumn("place", F.expr("if(event_id % 7 = 0, NULL, place)"))
+
+    twice = t.energy.filter("event_id % 11 = 0 AND event_id % 7 <> 0")
     other = t.events.select(F.explode(F.array("props", "event_type")).alias("value"), arrival)
-    messages = _energy_messages(keyless).unionByName(_energy_messages(twice, LATER)).unionByName(other)
-    counts = run_batch(messages, _weather_messages(t.weather).limit(0), out, load="1")
-    kept = read_serving(spark, f"{out}/point_data", "point_data").count()
-    counts["point_data_rows"] = kept
-    counts["point_data_repeated"] = counts["energy_records"] - counts["point_data_keyless"] - kept
-    wanted = [(k, v) for k, v in counts.items() if k.startswith(("energy_", "point_data_"))]
-    return spark.createDataFrame(wanted, "item string, messages long")
+    energy = _energy_messages(keyless(t.energy)).unionByName(_energy_messages(twice, LATER)).unionByName(other)
+    weather = _weather_messages(keyless(t.weather)).unionByName(t.events.select(F.col("event_type").alias("value"), arrival))
+    counts = run_batch(energy, weather, out, load="1")
+    for kind, table in (("energy", "point_data"), ("weather", "weather_data")):
+        kept = read_serving(spark, f"{out}/{table}", table).count()
+        counts[f"{table}_rows"] = kept
+        counts[f"{table}_repeated"] = counts[f"{kind}_records"] - counts[f"{table}_keyless"] - kept
+    return spark.createDataFrame(list(counts.items()), "item string, messages long")
 
 
 def _current_with_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,6 +420,8 @@ def all_queries() -> dict[str, Query]:
         # the job as a batch
         "batch_upsert": _batch_upsert,
         "batch_upsert_buckets": _batch_upsert_buckets,
+        "batch_reload": _batch_reload,
+        "batch_reload_points": _batch_reload_points,
         "batch_accounting": _job_accounting,
         # the job as streams
         "stream_job": _stream_job,

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -22,7 +23,10 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StructField, Stru
 
 from gridsky.operators.decode import split_null_keys
 from gridsky.operators.keyed import latest_by_key
+from gridsky.operators.partials import merged_energy_analytics, merged_energy_weather
 from gridsky.schemas import EVENT_TIME, KEYS, SERVING
+from gridsky.sources import files
+from gridsky.sources.commits import Commit, commit_numbers, read_commit, read_parts
 
 _DAY = StructField("day", DateType())
 _WRITE = [StructField("run", IntegerType()), StructField("batch", LongType())]
@@ -30,12 +34,20 @@ _WRITE = [StructField("run", IntegerType()), StructField("batch", LongType())]
 # Tables whose rows are closed windows: the aggregation gives each key once.
 ONE_ROW_PER_KEY = ("energy_analytics", "energy_weather_analytics")
 
+# The sums that committed bucket tables are merged from, and how.
+BUCKET_PARTS = {
+    "energy_analytics": ("energy_sums",),
+    "energy_weather_analytics": ("energy_sums", "weather_sums"),
+}
+MERGES = {"energy_analytics": merged_energy_analytics, "energy_weather_analytics": merged_energy_weather}
+
 
-def one_per_key(rows: DataFrame, table: str) -> DataFrame:
+def one_per_key(rows: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The rows a keyed table takes: full keys, and the last to arrive for each.
 
     Rows of equal ``arrival`` (lines of one file block) go by their order in the
-    task that read them. Without that column any row of a key is kept.
+    task that read them. Without that column any row of a key is kept. Columns of
+    ``keep`` stay beside those of the table.
     """
     whole, _ = split_null_keys(rows, KEYS[table])
     if table not in ONE_ROW_PER_KEY:
@@ -44,7 +56,7 @@ def one_per_key(rows: DataFrame, table: str) -> DataFrame:
             whole = latest_by_key(numbered, KEYS[table], ("arrival", "_line"))
         else:
             whole = whole.dropDuplicates(list(KEYS[table]))
-    return whole.select(*SERVING[table].names)
+    return whole.select(*SERVING[table].names, *keep)
 
 
 def by_day(rows: DataFrame) -> DataFrame:
@@ -132,12 +144,17 @@ def read_live(
     return latest_by_key(stored, ("day", *KEYS[table]), ("run", "batch")).drop("run", "batch")
 
 
-def write_serving(rows: DataFrame, path: str, table: str) -> None:
+def write_serving(
+    rows: DataFrame, path: str, table: str, touched: Sequence[date] | None = None
+) -> None:
     """Write ``rows``, one per key, as a plain day-partitioned table.
 
-    Only the days present in ``rows`` are replaced. Which days there are is noted
-    beside the table, for questions about the newest ones.
+    Only the days present in ``rows`` are replaced; days of ``touched`` that have no row any more are
+    emptied. Which days there are is noted beside the table, for questions about the newest ones.
+    Days are replaced one after another: a reader meanwhile may see some old and some new ones. Loads
+    that must appear whole go through :mod:`gridsky.sources.commits`.
     """
+    spark = rows.sparkSession
     source = rows if "day" in rows.columns else with_day(rows, table)
     days = Observation()
     (
@@ -148,15 +165,72 @@ def write_serving(rows: DataFrame, path: str, table: str) -> None:
         .partitionBy("day")
         .parquet(path)
     )
-    _write_days(rows.sparkSession, f"{path}_days/write={uuid.uuid4().hex}", days)
+    note = f"{path}_days/write={uuid.uuid4().hex}"
+    _write_days(spark, note, days)
+    if touched is not None:
+        kept = {r.day for r in _noted(spark, note, StructType([_DAY])).collect()}
+        emptied = sorted(set(touched) - kept)
+        for day in emptied:
+            files.delete(spark, f"{path}/day={day}")
+        if emptied:
+            _forget_days(spark, path, emptied)
+
+
+def _forget_days(spark: SparkSession, path: str, gone: Sequence[date]) -> None:
+    """Write the notes of a serving table anew without the days that were emptied."""
+    left = [(r.day,) for r in read_days(spark, path).collect() if r.day not in set(gone)]
+    old = files.names(spark, f"{path}_days")
+    frame = spark.createDataFrame(left, StructType([_DAY])).coalesce(1)
+    frame.write.parquet(f"{path}_days/write={uuid.uuid4().hex}")
+    for name in old:
+        files.delete(spark, f"{path}_days/{name}")
+
+
+def _committed(path: str, table: str) -> str | None:
+    """The folder of commit notes that ``path`` would belong to."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return root if root and name == table else None
 
 
 def read_serving(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A serving table with its ``day``: as the newest commit beside it says, else the folder as it is."""
+    root = _committed(path, table)
+    if root and commit_numbers(spark, root):
+        return read_committed(spark, read_commit(spark, root), table)
     return spark.read.schema(StructType([*SERVING[table].fields, _DAY])).parquet(path)
 
 
+def read_committed(spark: SparkSession, commit: Commit, table: str) -> DataFrame:
+    """A serving table in the state of a commit; tables read with one commit belong together.
+
+    Buckets are merged from the sums that loads have stored. Of points, days with one load are
+    read as they are, and in days with more the last arrival per key is taken.
+    """
+    kept = [*SERVING[table].names, "day"]
+    if table in BUCKET_PARTS:
+        parts = [read_parts(spark, commit, p) for p in BUCKET_PARTS[table]]
+        merged = None if None in parts else MERGES[table](*parts)
+    else:
+        by_day_parts = commit.parts(table)
+        one = {d: p for d, p in by_day_parts.items() if len(p) == 1}
+        several = {d: p for d, p in by_day_parts.items() if len(p) > 1}
+        whole, shared = (read_parts(spark, commit, table, p) for p in (one, several))
+        if shared is not None:
+            shared = latest_by_key(shared, ("day", *KEYS[table]), ("arrival",)).select(*kept)
+        found = [f.select(*kept) for f in (whole, shared) if f is not None]
+        merged = reduce(DataFrame.unionByName, found) if found else None
+    if merged is None:
+        return spark.createDataFrame([], StructType([*SERVING[table].fields, _DAY]))
+    return merged.select(*kept)
+
+
 def read_days(spark: SparkSession, path: str) -> DataFrame:
     """The days of a serving table, from its notes: no folder of the table is listed."""
+    root, _, table = path.rstrip("/").rpartition("/")
+    if root and commit_numbers(spark, root):
+        commit = read_commit(spark, root)
+        days = set.intersection(*[set(commit.days(p)) for p in BUCKET_PARTS.get(table, (table,))])
+        return spark.createDataFrame([(d,) for d in sorted(days)], StructType([_DAY]))
     return _noted(spark, f"{path}_days", StructType([_DAY])).distinct()
 
 
@@ -210,9 +284,14 @@ def read_current(
 
 
 def register_serving(spark: SparkSession, root: str) -> None:
-    """Name the serving tables under ``root`` for use in ``spark.sql``."""
+    """Name the serving tables under ``root`` for use in ``spark.sql``, all in the state of one commit."""
+    commit = read_commit(spark, root)
     for table in SERVING:
-        read_serving(spark, f"{root}/{table}", table).createOrReplaceTempView(table)
+        if commit.number:
+            rows = read_committed(spark, commit, table)
+        else:
+            rows = read_serving(spark, f"{root}/{table}", table)
+        rows.createOrReplaceTempView(table)
 
 
 def jdbc_options(

@@ -1,10 +1,8 @@
-"""Start and run the job: one streaming query per table, or one batch."""
+"""Start and run the job as streams, one query per table. Its batch form is ``run_batch``."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable
-from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +17,21 @@ from gridsky.operators.decode import (
     decode_energy,
     decode_weather,
     split_marked,
-    split_null_keys,
 )
 from gridsky.plans.job import job_tables
-from gridsky.schemas import KEYS, SERVING
-from gridsky.sources.tables import by_day, one_per_key, write_serving
+from gridsky.streaming.batch import run_batch
 from gridsky.streaming.sinks import BatchSink
 
+__all__ = [
+    "await_all",
+    "count_rejects",
+    "quarantine_rejects",
+    "run_batch",
+    "set_watermark_policy",
+    "start_job",
+    "start_tables",
+]
+
 Sink = Callable[[str], BatchSink]
 
 
@@ -208,73 +214,3 @@ def set_watermark_policy(spark: SparkSession, policy: str) -> None:
     if policy not in ("min", "max"):
         raise ValueError(f"policy must be 'min' or 'max', not {policy!r}")
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
-
-
-def run_batch(
-    energy_messages: DataFrame,
-    weather_messages: DataFrame,
-    out: str,
-    records: str | None = None,
-    load: str | None = None,
-) -> dict[str, int]:
-    """Take landed messages into the four tables under ``out``; an upsert by key.
-
-    Each message is parsed once and landed as typed columns, by day and ``load``,
-    under ``records`` (by default in ``out``). These records are retained: the tables are
-    computed anew, from all loads, for the days that this load has touched, and
-    replace those days. So a key keeps its last arrival and a bucket that several loads share
-    counts all of them; sums are never added to sums.
-
-    Running a load again under its name replaces it. Rejected messages stay among the
-    records with their reason, and rows without their key go to ``keyless``.
-    Returns the counts of this load: messages, rejects by reason, rows without key.
-    """
-    spark = energy_messages.sparkSession
-    records = records or f"{out}/records"
-    load = load or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    marked = {
-        "energy": decode_energy(energy_messages, ("arrival",)).marked,
-        "weather": decode_weather(weather_messages, ("arrival",)).marked,
-    }
-    # The order of lines within a file block is kept as a column: the stored
-    # records may be read back in other pieces.
-    position = F.struct("arrival", F.monotonically_increasing_id().alias("line"))
-    stored, counts, days = {}, {}, set()
-    for name, rows in marked.items():
-        rows = rows.withColumn("arrival", position).withColumns(
-            {"day": F.to_date("ts"), "load": F.lit(load)}
-        )
-        path = f"{records}/{name}"
-        (
-            by_day(rows)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "load")
-            .parquet(path)
-        )
-        stored[name] = spark.read.schema(rows.schema).parquet(path)
-        # A small table: reasons and days.
-        for r in stored[name].filter(F.col("load") == load).groupBy("reason", "day").count().collect():
-            kind = f"{name}_{r.reason or 'records'}"
-            counts[kind] = counts.get(kind, 0) + r["count"]
-            if r.day:
-                days.add(r.day)
-        counts[f"{name}_messages"] = sum(
-            counts.setdefault(f"{name}_{kind}", 0) for kind in ("records", MALFORMED, NO_EVENT_TIME)
-        )
-    if not days:
-        return counts
-    touched = {
-        name: split_marked(rows.filter(F.col("day").isin(sorted(days)))).records.drop("day")
-        for name, rows in stored.items()
-    }
-    tables = job_tables(touched["energy"], touched["weather"], ("arrival", "load"))
-    for name, rows in tables.items():
-        if "arrival" in rows.columns:
-            _, keyless = split_null_keys(rows.filter(F.col("load") == load), KEYS[name])
-            lost = f"{out}/keyless/{name}/load={load}"
-            keyless.select(*SERVING[name].names).write.mode("overwrite").parquet(lost)
-            counts[f"{name}_keyless"] = spark.read.schema(SERVING[name]).parquet(lost).count()
-            rows = rows.withColumn("arrival", F.struct("arrival", "load"))
-        write_serving(one_per_key(rows, name), f"{out}/{name}", name)
-    return counts
