@@ -25,11 +25,13 @@ def kafka_source_options(
     starting: str = "earliest",
     group_prefix: str | None = None,
     max_offsets: int | None = None,
+    headers: bool = False,
 ) -> dict[str, str]:
     """Options of a Kafka read.
 
     Progress is kept in the query's checkpoint; ``group_prefix`` only names the
-    consumer group Spark generates. ``max_offsets`` bounds a micro-batch.
+    consumer group Spark generates. ``max_offsets`` bounds a micro-batch. ``headers`` are
+    read for the id of a message.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -40,6 +42,8 @@ def kafka_source_options(
         options["groupIdPrefix"] = group_prefix
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if headers:
+        options["includeHeaders"] = "true"
     return options
 
 
@@ -47,19 +51,52 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **PRODUCER}
 
 
+def with_envelope(messages: DataFrame, given: Column | None = None) -> DataFrame:
+    """Add ``envelope``, the id of a message: the one that its sender gave, else the digest of its text.
+
+    A producer that is not sure of an acknowledgement sends the same message again; its id stays the same.
+    """
+    digest = F.sha2(F.col("value").cast("binary"), 256)
+    return messages.withColumn("envelope", digest if given is None else F.coalesce(given, digest))
+
+
+def _header(name: str) -> Column:
+    """The newest Kafka header of that name, as text."""
+    own = F.filter("headers", lambda h: h["key"] == name)
+    return F.try_element_at(own, F.lit(-1))["value"].cast("string")
+
+
 def read_kafka(
     spark: SparkSession, options: dict[str, str], streaming: bool = True
 ) -> DataFrame:
     """Messages of a topic. The offset orders them, as producers' clocks may run back.
 
     Messages with equal table keys must share a partition, which the producer's
-    message key sees to; between partitions the order is arbitrary but fixed.
+    message key sees to; between partitions the order is arbitrary but fixed. With the option
+    ``includeHeaders`` the messages have an ``envelope``, by the header of that name.
     """
     reader = spark.readStream if streaming else spark.read
-    return reader.format("kafka").options(**options).load().select(
-        F.col("value").cast("string").alias("value"),
-        F.struct("partition", "offset", "timestamp").alias("arrival"),
+    rows = reader.format("kafka").options(**options).load()
+    return kafka_messages(rows, options.get("includeHeaders") == "true")
+
+
+def kafka_messages(rows: DataFrame, headers: bool = False) -> DataFrame:
+    """Messages from the columns that the connector gives."""
+    named = rows.withColumns(
+        {
+            "value": F.col("value").cast("string"),
+            "arrival": F.struct("partition", "offset", "timestamp"),
+        }
     )
+    if not headers:
+        return named.select("value", "arrival")
+    return with_envelope(named, _header("envelope")).select("value", "arrival", "envelope")
+
+
+def with_headers(messages: DataFrame) -> DataFrame:
+    """Envelopes whose id (``with_envelope``) travels as a Kafka header."""
+    header = F.struct(F.lit("envelope").alias("key"), F.col("envelope").cast("binary").alias("value"))
+    return messages.withColumn("headers", F.array(header)).drop("envelope")
 
 
 def _file_position() -> Column:

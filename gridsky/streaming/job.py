@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,10 @@ from gridsky.operators.decode import (
     split_marked,
 )
 from gridsky.plans.job import job_tables
+from gridsky.schemas import KEYS
+from gridsky.sources.tables import ONE_ROW_PER_KEY
 from gridsky.streaming.batch import run_batch
+from gridsky.streaming.idle import heartbeats
 from gridsky.streaming.sinks import BatchSink
 
 __all__ = [
@@ -49,6 +54,9 @@ def start_tables(
     """
     started = {}
     for name, rows in tables.items():
+        if name not in ONE_ROW_PER_KEY:
+            missing = reduce(or_, [F.col(key).isNull() for key in KEYS[name]])
+            rows = rows.observe("keyless", F.count_if(missing).alias("keyless"))
         writer = (
             rows.writeStream.queryName(name)
             .outputMode("append")
@@ -77,6 +85,8 @@ def start_job(
     available_now: bool = False,
     interval: str | None = None,
     retention: str | None = None,
+    idle_timeout_ms: int | None = None,
+    unique: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """The whole job: decode both message streams and start a query per table.
 
@@ -88,10 +98,14 @@ def start_job(
     reason, under the observation ``rejected``. With ``rejects`` set, the rejected messages
     are also kept by themselves under that path.
 
+    With ``idle_timeout_ms``, a side of which nothing has landed for so long no longer holds back the
+    join: its watermark follows the clock at that distance until it delivers again. ``unique`` names a column
+    of the messages (``envelope``) by which a message sent twice counts once in the buckets.
+
     ``retention`` ("30 days") lets the landing's log forget files that old, for readers that
     start later too; without it the log keeps every file.
     """
-    carry = ("arrival",)
+    carry = ("arrival", unique) if unique else ("arrival",)
     records = records or f"{checkpoints}/records"
     inputs = {
         "energy": decode_energy(energy_messages, carry).marked,
@@ -125,7 +139,15 @@ def start_job(
                 available_now,
                 interval,
             )
-    tables = job_tables(landed["energy"].records, landed["weather"].records, carry)
+    beats = {}
+    if idle_timeout_ms is not None:
+        session = energy_messages.sparkSession
+        beats = {
+            name: partial(heartbeats, session, f"{records}/{name}_records", idle_timeout_ms) for name in landed
+        }
+    tables = job_tables(
+        landed["energy"].records, landed["weather"].records, ("arrival",), beats=beats, unique=unique
+    )
     started.update(start_tables(tables, sink, checkpoints, available_now, interval))
     return started
 

@@ -1,0 +1,212 @@
+"""Silent sources, counts of what is dropped, and messages delivered twice."""
+
+from __future__ import annotations
+
+import json
+import time
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridsky.functions.timing import WATERMARK
+from gridsky.operators.buckets import energy_analytics
+from gridsky.operators.decode import decode_energy
+from gridsky.plans.job import job_tables, once
+from gridsky.sources.messages import kafka_messages, kafka_source_options, read_text_messages, with_envelope, with_headers
+from gridsky.sources.tables import read_live
+from gridsky.streaming.idle import HeartbeatReader, heartbeats, newest_change
+from gridsky.streaming.job import await_all, start_job, start_tables
+from gridsky.streaming.metrics import read_drops, watch_drops
+from gridsky.streaming.sinks import TableSink
+from tests.test_streaming import energy_message, landings, session, weather_message  # noqa: F401
+
+
+def now_message(ago, place="hydro", value=1.0, weather=False):
+    at = (datetime.now(timezone.utc) - timedelta(seconds=ago)).timestamp() * 1000
+    body = {"time_stamp": at, "place": place}
+    if weather:
+        return json.dumps({**body, "lat": 1.0, "lon": 2.0, "temp": 20.0, "dew_point": 20.0, "uvi": 1.0, "clouds": 1.0})
+    return json.dumps({**body, "id": "g", "value": value, "generation": True, "type_gen": "-"})
+
+
+def wait_until(probe, seconds=60):
+    end = time.monotonic() + seconds
+    while time.monotonic() < end:
+        if found := probe():
+            return found
+        time.sleep(0.5)
+    return probe()
+
+
+def buckets(spark, sink, name="energy_weather_analytics"):
+    try:
+        return read_live(spark, sink.path(name), name).collect()
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER" not in str(missing):
+            raise
+        return []
+
+
+def test_a_silent_source_does_not_hold_the_join(spark, session, landings, tmp_path):  # noqa: F811
+    """Weather stops after its first rows; the joined bucket of an hour ago closes all the same."""
+    energy, weather = landings
+    weather.add(now_message(3600, weather=True))
+    energy.add(now_message(3600, value=2.0), now_message(3600, value=3.0))
+    inputs = [read_text_messages(session, str(x.path)) for x in landings]
+    sink = TableSink(str(tmp_path / "live"))
+    queries = start_job(*inputs, sink, str(tmp_path / "cp"), interval="200 milliseconds", idle_timeout_ms=1500)
+    try:
+        [row] = wait_until(lambda: buckets(spark, sink))
+        assert row.kwh_prod_with_rain_prob == 5.0
+        # Rows that resume within the bound still join: their buckets are open on both sides.
+        weather.add(now_message(0, weather=True))
+        energy.add(now_message(0, value=7.0))
+        for name in ("weather_records", "energy_records", "point_data"):
+            queries[name].processAllAvailable()
+        held = wait_until(
+            lambda: [
+                p
+                for p in queries["energy_weather_analytics"].recentProgress
+                if sum(s.numRowsTotal for s in p.stateOperators) >= 2
+            ]
+        )
+        assert held and all(s.numRowsDroppedByWatermark == 0 for p in held for s in p.stateOperators)
+        assert len(buckets(spark, sink)) == 1
+    finally:
+        for query in queries.values():
+            query.stop()
+
+
+def test_a_source_that_delivers_is_never_overtaken(spark, session, tmp_path):  # noqa: F811
+    folder = tmp_path / "landed"
+    folder.mkdir()
+    reader = HeartbeatReader({"path": str(folder), "timeoutms": "400", "everyms": "100"})
+    begun = time.time()
+    while time.time() - begun < 1.0:
+        (folder / "part-1.txt").write_text(str(time.time()))
+        assert reader.latestOffset() == {"beat": 0}
+        time.sleep(0.05)
+    beat = wait_until(lambda: reader.latestOffset()["beat"], 5)
+    assert beat - newest_change(str(folder)) >= 400
+    [part] = reader.partitions({"beat": 0}, {"beat": beat})
+    assert [t.timestamp() for (t,) in reader.read(part)] == [(beat - 400) / 1000]
+    assert reader.partitions({"beat": beat}, {"beat": beat}) == reader.partitions({"beat": beat}, {"beat": 0}) == []
+    assert newest_change(str(tmp_path / "none")) == 0
+
+
+def test_heartbeats_of_a_stream_go_on_after_a_restart(session, tmp_path):  # noqa: F811
+    (tmp_path / "landed").mkdir()
+    seen = []
+    for _ in range(2):
+        frame = heartbeats(session, str(tmp_path / "landed"), 300, 300)
+        query = (
+            frame.writeStream.format("parquet")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp"))
+            .start()
+        )
+        before = len(seen)
+
+        def beats():
+            try:
+                return [r.ts for r in session.read.schema("ts timestamp").parquet(str(tmp_path / "out")).collect()]
+            except Exception:
+                return []
+
+        try:
+            wait_until(lambda: len(beats()) > before + 1)
+        finally:
+            query.stop()
+        seen = beats()
+    assert len(seen) == len(set(seen)) >= 4
+
+
+def test_drops_are_landed_as_counts(spark, session, landings, tmp_path):  # noqa: F811
+    """Three late rows, two rejects and one row without key, by query and micro-batch."""
+    energy, weather = landings
+    energy.add(energy_message(1), "not json", "{}")
+    energy.add(energy_message(60, id=None), energy_message(61))
+    # Rows are late behind the watermark that the batch before began with.
+    energy.add(energy_message(61.2))
+    energy.add(energy_message(2, place="solar"), energy_message(15), energy_message(25))
+    energy.add(energy_message(62))
+    weather.add(weather_message(1))
+    listener = watch_drops(session, str(tmp_path / "drops"), every=2)
+    try:
+        records = decode_energy(read_text_messages(session, str(energy.path), max_files=1), ("arrival",)).records
+        inputs = [read_text_messages(session, str(x.path), max_files=1) for x in landings]
+        sink = TableSink(str(tmp_path / "live"))
+        await_all(start_job(*inputs, sink, str(tmp_path / "cp"), available_now=True).values())
+        # Straight from the messages, so that each file is a micro-batch of its own.
+        wanted = {"energy_analytics": energy_analytics(records.withWatermark("ts", WATERMARK))}
+        await_all(start_tables(wanted, TableSink(str(tmp_path / "live2")), str(tmp_path / "cp2"), available_now=True).values())
+        wait_until(lambda: (listener.flush(), read_drops(spark, str(tmp_path / "drops")).where("late > 0").count())[1], 20)
+    finally:
+        session.streams.removeListener(listener)
+    listener.flush()
+    drops = read_drops(spark, str(tmp_path / "drops"))
+    by_query = {r.query: r for r in drops.groupBy("query").agg(*[F.sum(c).alias(c) for c in ("late", "malformed", "no_event_time", "keyless")]).collect()}
+    assert (by_query["energy_records"].malformed, by_query["energy_records"].no_event_time) == (1, 1)
+    assert by_query["point_data"].keyless == 1 and by_query["weather_data"].keyless == 0
+    assert by_query["energy_analytics"].late == 3
+    assert drops.groupBy("query", "run", "batch").count().where("count > 1").isEmpty()
+
+
+def test_a_message_sent_twice_counts_once(spark, session, landings, tmp_path):  # noqa: F811
+    energy, weather = landings
+    energy.add(energy_message(1, value=2.0), energy_message(2, value=3.0))
+    energy.add(energy_message(1, value=2.0), energy_message(3, value=4.0))
+    energy.add(energy_message(60 * 24))
+    weather.add(weather_message(1))
+    weather.add(weather_message(60 * 24))
+    totals, state = [], []
+    for k, unique in enumerate((None, "envelope")):
+        inputs = [with_envelope(read_text_messages(session, str(x.path), max_files=1)) for x in landings]
+        sink = TableSink(str(tmp_path / f"live{k}"))
+        queries = start_job(*inputs, sink, str(tmp_path / f"cp{k}"), available_now=True, unique=unique)
+        await_all(queries.values())
+        totals.append([r.kwh_prod for r in read_live(spark, sink.path("energy_analytics"), "energy_analytics").collect()])
+        state = [s["numRowsTotal"] for s in queries["energy_analytics"].lastProgress["stateOperators"] if s["operatorName"].startswith("dedupe")]
+        assert len(buckets(spark, sink, "point_data")) == 4
+    assert totals == [[11.0], [9.0]]
+    # Of the ids only those behind no watermark yet are kept.
+    assert state == [1]
+
+
+def test_the_batch_form_counts_a_message_once_too(spark):
+    rows = [(energy_message(1, value=2.0),)] * 3 + [(energy_message(2, value=3.0),)]
+    messages = with_envelope(spark.createDataFrame(rows, "value string"))
+    records = decode_energy(messages, ("envelope",)).records
+    weather = records.select("ts", "place", "envelope", *[F.lit(1.0).alias(c) for c in ("temp", "dew_point", "uvi", "clouds")])
+    tables = job_tables(records, weather, unique="envelope")
+    assert [r.kwh_prod for r in tables["energy_analytics"].collect()] == [5.0]
+
+
+def test_the_id_of_a_message_travels_as_a_header(spark):
+    assert kafka_source_options("b", "t", headers=True)["includeHeaders"] == "true"
+    sent = with_headers(with_envelope(spark.createDataFrame([("a",), ("a",), ("b",)], "value string")))
+    columns = {"partition": F.lit(0), "offset": F.lit(1), "timestamp": F.lit(None).cast("timestamp")}
+    bare = sent.withColumns({**columns, "value": F.col("value").cast("binary")})
+    got = kafka_messages(bare, headers=True)
+    assert got.columns == ["value", "arrival", "envelope"] and got.select("envelope").distinct().count() == 2
+    # Without the header, or with another one, the text is the id.
+    none = kafka_messages(bare.withColumn("headers", F.lit(None).cast("array<struct<key: string, value: binary>>")), headers=True)
+    assert none.select("envelope").distinct().count() == 2
+    assert kafka_messages(bare).columns == ["value", "arrival"]
+
+
+@pytest.mark.parametrize("unique", [None, "envelope"])
+def test_late_rows_are_counted_row_by_row_before_deduplication(session, landings, tmp_path, unique):  # noqa: F811
+    energy, _ = landings
+    energy.add(energy_message(1))
+    energy.add(energy_message(61))
+    energy.add(energy_message(61.2))
+    energy.add(*[energy_message(2, value=k) for k in range(4)])
+    energy.add(energy_message(62))
+    records = decode_energy(with_envelope(read_text_messages(session, str(energy.path), max_files=1)), ("arrival", "envelope")).records
+    wanted = energy_analytics(once(records.withWatermark("ts", WATERMARK), unique))
+    queries = start_tables({"energy_analytics": wanted}, TableSink(str(tmp_path / "live")), str(tmp_path / "cp"), available_now=True)
+    await_all(queries.values())
+    late = sum(s["numRowsDroppedByWatermark"] for p in queries["energy_analytics"].recentProgress for s in p["stateOperators"])
+    assert late == (4 if unique else 1)
