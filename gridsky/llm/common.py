@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +19,45 @@ WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 BATCH_ROWS = 256
 
 
+#: Shuffle files of a write are deleted when it has ended, not when their objects are collected.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session that holds for a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def staged_at(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``staged``, and where it is, for those who ``discard`` it."""
+    path = fresh_dir(rows.sparkSession, label)
+    with setting(rows.sparkSession, RELEASE, "true"):
+        rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
 def staged(rows: DataFrame, label: str) -> DataFrame:
     """Write to the shared working folder and read again: cuts lineage, survives lost executors.
 
     Reading it again gives the same rows each time, also where ``rows`` itself
-    would not (row tags, ties in a sort).
+    would not (row tags, ties in a sort). What was shuffled to make it is deleted at once.
     """
-    path = fresh_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return staged_at(rows, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that no frame reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -21,8 +21,9 @@ more; components follow the links. Copies share one set and count once.
    and all that follows the prefixes can reach the overlap needed.
 4. Combinations may have very many sets: a group of near copies shares them
    all. There the sets meet a few cores (in each band of sizes the set with the fewest rare tokens).
-   Only sets that are then still in different components are paired, and only
-   if the frequent tokens of both, and what both have of a core, allow the overlap.
+   Only sets that are then still in different components are paired, the sets outside a combination's
+   largest component with all others, and only if the frequent tokens of both, and what
+   both have of a core, allow the overlap.
 5. Pairs are verified on the whole sets; components come from alternating large
    and small stars.
 
@@ -43,6 +44,8 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -54,10 +57,12 @@ from gridsky.llm.common import (
     base_powers,
     cast_back,
     checked_broadcast,
+    discard,
     mix64,
     running_hash,
     small_batches,
     staged,
+    staged_at,
     utf8,
     width,
     words_of,
@@ -70,6 +75,8 @@ MIN_BITS, MAX_BITS = 16, 28
 PIECE_BITS = 16
 #: Sizes in one band differ by this factor at most. It is above 4/3, so similar sets are in the same band or in neighbouring ones.
 BAND = 1.34
+#: First combinations that a set knows when pairs are met.
+KNOWN = 16
 #: Shingles that a task gathers before it hands on their counts.
 GATHER = 1_000_000
 
@@ -212,6 +219,15 @@ def _is_frequent(shingles: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarr
     return (flags[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
+def _pack(n: int, rest: int, mixed: bool) -> int:
+    return n << 32 | rest << 1 | int(mixed)
+
+
+def _unpacked(about: str) -> tuple[Column, Column, Column]:
+    """n, rest and mixed of a packed column."""
+    return F.shiftright(about, 32), F.shiftright(F.col(about).bitwiseAND(F.lit(0xFFFFFFFF)), 1), F.col(about) % 2 == 1
+
+
 def _needed(a: Column, b: Column) -> Column:
     """Overlap of sets of these sizes that gives a similarity of 0.75: 3/7 of the sum."""
     return F.ceil((a + b) * 3 / F.lit(7.0))
@@ -242,7 +258,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "compo
 
     Alternating large and small stars until nothing changes.
     """
-    edges = staged(
+    spark = links.sparkSession
+    edges, at = staged_at(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), label
     )
     before = None
@@ -251,7 +268,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "compo
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: greater neighbours go to the least of the neighbourhood.
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = staged(large, label)
+        large, large_at = staged_at(large, label)
         # Small star: a node's lesser neighbours, and itself, go to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -259,7 +276,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "compo
             .unionByName(low.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct()
         )
-        edges = staged(small, label)
+        edges, small_at = staged_at(small, label)
+        for old in (at, large_at):
+            discard(spark, old)
+        at = small_at
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
@@ -290,9 +310,8 @@ class Join:
         self.known = spark.sparkContext.broadcast(_frequent(counted, bits))
 
     def _signed(self) -> DataFrame:
-        """sig, d, n, rest, mixed, pair: what each set is indexed by."""
+        """sig, d, about, pair: what each set is indexed by; ``about`` packs n, rest and mixed."""
         flags, bits = self.known, self.bits
-        names = ["sig", "d", "n", "rest", "mixed", "pair"]
 
         def scan(batches):
             known, seen = flags.value, set()
@@ -308,22 +327,21 @@ class Join:
                     rare, pairs, rest, mixed = signatures(s, _is_frequent(s, known, bits))
                     for sigs, pair in ((rare, False), (pairs, True)):
                         if len(sigs):
-                            parts.append((sigs.view(np.int64), d, len(s), rest, mixed, pair))
+                            parts.append((sigs.view(np.int64), d, _pack(len(s), rest, mixed), pair))
                 counts = [len(p[0]) for p in parts]
                 yield pd.DataFrame(
                     {
                         "sig": np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64),
                         **{
                             name: np.repeat(np.array([p[k] for p in parts], dtype=kind), counts)
-                            for k, (name, kind) in enumerate(
-                                zip(names[1:], (np.int64, np.int32, np.int32, bool, bool)), 1
-                            )
+                            for k, (name, kind) in enumerate((("d", np.int64), ("about", np.int64), ("pair", bool)), 1)
                         },
                     }
                 )
 
-        schema = "sig long, d long, n int, rest int, mixed boolean, pair boolean"
-        return staged(self.texts.select("text").mapInPandas(scan, schema), "join-signatures")
+        schema = "sig long, d long, about long, pair boolean"
+        signed, self.signed_at = staged_at(self.texts.select("text").mapInPandas(scan, schema), "join-signatures")
+        return signed
 
     def _rare_pairs(self, signed: DataFrame) -> DataFrame:
         """Pairs that share rare prefix tokens and can still be similar."""
@@ -333,17 +351,21 @@ class Join:
         rare = signed.where("NOT pair").drop("pair").repartition(parts, "sig").distinct()
         a, b = rare.alias("a"), rare.alias("b")
         met = a.join(
-            b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.d") < F.col("b.d")) & _sizes_allow(F.col("a.n"), F.col("b.n"))
+            b,
+            (F.col("a.sig") == F.col("b.sig"))
+            & (F.col("a.d") < F.col("b.d"))
+            & _sizes_allow(_unpacked("a.about")[0], _unpacked("b.about")[0]),
         )
-        names = [f"{c}_{x}" for x in "ab" for c in ("n", "rest", "mixed")]
-        attributes = [F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in ("n", "rest", "mixed")]
         counted = (
-            met.select(F.col("a.d").alias("a"), F.col("b.d").alias("b"), *attributes)
-            .groupBy("a", "b", *names)
+            met.select(
+                F.col("a.d").alias("a"), F.col("b.d").alias("b"), F.col("a.about").alias("about_a"), F.col("b.about").alias("about_b")
+            )
+            .groupBy("a", "b", "about_a", "about_b")
             .agg(F.count(F.lit(1)).alias("shared"))
         )
-        bound = overlap_bound(*map(F.col, ("shared", "rest_a", "mixed_a", "rest_b", "mixed_b")))
-        return counted.where(bound >= _needed(F.col("n_a"), F.col("n_b"))).select("a", "b")
+        (n_a, *rest_a), (n_b, *rest_b) = _unpacked("about_a"), _unpacked("about_b")
+        bound = overlap_bound(F.col("shared"), *rest_a, *rest_b)
+        return counted.where(bound >= _needed(n_a, n_b)).select("a", "b")
 
     def _cores(self, pairs: DataFrame) -> DataFrame:
         """The core of each combination and band of sizes: sig, near (the band), core.
@@ -376,8 +398,9 @@ class Join:
             "sig", "d", "n", "rest", "band", F.coalesce("root", "d").alias("root")
         )
         placed = staged(placed, "join-placed")
-        split = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-        left = placed.join(staged(split, "join-split"), "sig").join(cores, "sig")
+        sizes = placed.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("sets"))
+        split = sizes.groupBy("sig").agg(F.max_by("root", F.struct("sets", "root")).alias("major"), F.count(F.lit(1)).alias("roots"))
+        left = placed.join(staged(split.where("roots > 1").drop("roots"), "join-split"), "sig").join(cores, "sig")
         left = left.where(F.abs(F.col("band") - F.col("near")) <= 1)
         seen = compared.select(F.col("a").alias("seen_a"), F.col("b").alias("seen_b"), "frequent").distinct()
         left = left.join(
@@ -386,9 +409,13 @@ class Join:
             "left",
         )
         inside = F.when(F.col("d") == F.col("core"), F.col("rest")).otherwise(F.col("frequent"))
-        left = staged(left.select("sig", "d", "n", "rest", "band", "near", "root", inside.alias("inside")), "join-left")
-        # Each pair is met once, at the core of a's own band.
-        a, b = left.where("band = near").alias("a"), left.alias("b")
+        left = staged(left.select("sig", "d", "n", "rest", "band", "near", "root", "major", inside.alias("inside")), "join-left")
+        # Sets that share one combination mostly share many. A set knows its first combinations, and a pair
+        # that has met at one of them is not met again; beyond those, pairs that come again are made distinct.
+        first = F.slice(F.array_sort(F.collect_set("sig")), 1, KNOWN)
+        left = left.join(left.groupBy("d").agg(first.alias("known")), "d")
+        # Most sets of a combination are in one component. The others meet all, each pair once: at the core of a's own band.
+        a, b = left.where("band = near AND root <> major").alias("a"), left.alias("b")
         needed = _needed(F.col("a.n"), F.col("b.n"))
         outside = F.least(F.col("a.rest") - F.col("a.inside"), F.col("b.rest") - F.col("b.inside"))
         bound = F.least(F.col("a.inside"), F.col("b.inside")) + outside
@@ -397,18 +424,19 @@ class Join:
                 b,
                 (F.col("a.sig") == F.col("b.sig"))
                 & (F.col("a.near") == F.col("b.near"))
-                & (F.col("a.d") < F.col("b.d"))
                 & (F.col("a.root") != F.col("b.root"))
+                & ((F.col("b.root") == F.col("b.major")) | (F.col("a.d") < F.col("b.d")))
                 & _sizes_allow(F.col("a.n"), F.col("b.n"))
                 & (F.least(F.col("a.rest"), F.col("b.rest")) >= needed)
-                & (F.coalesce(bound, needed) >= needed),
+                & (F.coalesce(bound, needed) >= needed)
+                & (F.coalesce(F.array_min(F.array_intersect("a.known", "b.known")), F.col("a.sig")) >= F.col("a.sig")),
             )
-            .select(F.col("a.d").alias("a"), F.col("b.d").alias("b"))
+            .select(F.least("a.d", "b.d").alias("a"), F.greatest("a.d", "b.d").alias("b"))
             .distinct()
         )
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
-        """The whole sets of ``wanted`` (d), from one row for each: d, shingles, frequent (the frequent ones)."""
+        """The whole sets of ``wanted`` (d), from one row for each: d, rare, frequent (its two parts)."""
         flags, bits = self.known, self.bits
         # The row is found by its id and its text's hash.
         keys = (
@@ -424,46 +452,50 @@ class Join:
         def scan(batches):
             seen = set()
             for batch in batches:
-                sets = [(short(digest(s)), s) for s in map(shingle_set, batch["text"])]
-                new = [
-                    (d, s.view(np.int64), s[_is_frequent(s, flags.value, bits)].view(np.int64))
-                    for d, s in sets
-                    if d not in seen and not seen.add(d)
-                ]
-                yield pd.DataFrame(new, columns=["d", "shingles", "frequent"])
+                new = []
+                for s in map(shingle_set, batch["text"]):
+                    d = short(digest(s))
+                    if d not in seen:
+                        seen.add(d)
+                        often = _is_frequent(s, flags.value, bits)
+                        new.append((d, s[~often].view(np.int64), s[often].view(np.int64)))
+                yield pd.DataFrame(new, columns=["d", "rare", "frequent"])
 
         # Rows that repeat in other tasks give a set again; links are made distinct.
-        return staged(texts.mapInPandas(scan, "d long, shingles array<long>, frequent array<long>"), "join-sets")
+        return staged(texts.mapInPandas(scan, "d long, rare array<long>, frequent array<long>"), "join-sets")
 
     def _compared(self, candidates: DataFrame) -> DataFrame:
-        """Shared, total and shared frequent shingles of the candidates, by their whole sets: a, b, shared, total, frequent."""
-        candidates = staged(candidates, "join-candidates")
+        """Shared, total and shared frequent shingles of the staged candidates, by their whole sets: a, b, shared, total, frequent."""
         wanted = candidates.select(F.col("a").alias("d")).unionByName(candidates.select(F.col("b").alias("d"))).distinct()
         sets = self._sets(wanted)
 
         def of(side: str) -> DataFrame:
-            return sets.select(F.col("d").alias(side), F.col("shingles").alias(f"set_{side}"), F.col("frequent").alias(f"frequent_{side}"))
+            return sets.select(F.col("d").alias(side), F.col("rare").alias(f"rare_{side}"), F.col("frequent").alias(f"frequent_{side}"))
 
         both = candidates.join(of("a"), "a").join(of("b"), "b")
-        shared = F.size(F.array_intersect("set_a", "set_b"))
-        total = F.size("set_a") + F.size("set_b") - F.col("shared")
+        # A shingle is rare or frequent in every set alike.
         frequent = F.size(F.array_intersect("frequent_a", "frequent_b"))
-        rows = both.withColumn("shared", shared).select("a", "b", "shared", total.alias("total"), frequent.alias("frequent"))
-        return staged(rows, "join-compared")
+        rows = both.withColumn("frequent", frequent).withColumn("shared", F.size(F.array_intersect("rare_a", "rare_b")) + F.col("frequent"))
+        size = reduce(add, [F.size(f"{part}_{side}") for part in ("rare", "frequent") for side in "ab"])
+        return staged(rows.select("a", "b", "shared", (size - F.col("shared")).alias("total"), "frequent"), "join-compared")
 
     def links(self) -> DataFrame:
         """Similar pairs (a, b) of different sets; within a component some may be left out."""
         similar = F.col("shared") * 100 >= F.col("total") * 75
         signed = self._signed()
-        pairs = signed.where("pair").groupBy("sig", "d", "n", "rest").agg(F.count(F.lit(1)).alias("copies"))
+        n, rest, _ = _unpacked("about")
+        pairs = signed.where("pair").groupBy("sig", "d", "about").agg(F.count(F.lit(1)).alias("copies"))
+        pairs = pairs.select("sig", "d", n.cast("int").alias("n"), rest.cast("int").alias("rest"), "copies")
         pairs = staged(pairs.withColumn("band", F.floor(F.log("n") / math.log(BAND)).cast("int")), "join-pairs")
         cores = self._cores(pairs)
-        compared = self._compared(self._rare_pairs(signed).unionByName(self._core_pairs(pairs, cores)).distinct())
+        candidates = staged(self._rare_pairs(signed).unionByName(self._core_pairs(pairs, cores)).distinct(), "join-candidates")
+        discard(signed.sparkSession, self.signed_at)
+        compared = self._compared(candidates)
         first = compared.where(similar).select("a", "b")
         if cores.isEmpty():
             return first
-        cross = self._compared(self._cross_pairs(pairs, cores, components(first), compared))
-        return first.unionByName(cross.where(similar).select("a", "b"))
+        cross = staged(self._cross_pairs(pairs, cores, components(first), compared), "join-candidates")
+        return first.unionByName(self._compared(cross).where(similar).select("a", "b"))
 
 
 def _placed(run: Join) -> DataFrame:
