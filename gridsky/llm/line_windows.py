@@ -4,7 +4,8 @@ Every run of three consecutive lines is hashed. Windows that occur more than
 once anywhere are found by a count with a map side; all occurrences but the
 earliest, by (id, hash of id and text, position), are later ones. The lines that a later window
 covers go; overlapping windows merge, so a repeated passage of any length from
-three lines on goes whole and its first occurrence stays. Windows are judged on the input.
+three lines on goes whole and its first occurrence stays, but for the lines in which it overlaps a
+later occurrence of itself: of a, a, a, a the first stays. Windows are judged on the input.
 
 A window that very many texts share leaves a task as one row; the join that
 finds its later occurrences has two plain exchanges, so it can be split there.
@@ -54,7 +55,8 @@ def _later(texts: DataFrame, size: int) -> DataFrame:
                 for row in windows(utf8(text), size):
                     for column, value in zip(columns, (i, k1, k2, *row)):
                         column.append(value)
-            yield pd.DataFrame(dict(zip(("id", "k1", "k2", "at", "w"), columns)))
+            if columns[0]:
+                yield pd.DataFrame(dict(zip(("id", "k1", "k2", "at", "w"), columns)))
 
     kind = dict(texts.dtypes)["id"]
     rows = texts.select(*as_text("id"), *KEY, "text")

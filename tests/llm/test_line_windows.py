@@ -57,5 +57,19 @@ def test_different_texts_under_one_id_do_not_tie(spark, doc_id):
     assert all(r.kept.startswith("own " if r.n_removed else "shared") for r in got)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_short_texts_only(spark, parts):
+    """No text, or none of a whole partition, has a window."""
+    rows = [(k, "menu home") for k in range(5)] + [(9, "a\nb\nc"), (10, "a\nb\nc")] * (parts > 1)
+    docs = spark.createDataFrame([(*r, "w", 1, "p", 2) for r in rows], SCHEMA)
+    docs = docs.repartitionByRange(parts, "doc_id")
+    assert sorted(repr(tuple(r)) for r in dedup_lines(docs).collect()) == brute(rows)
+
+
+def test_a_window_that_overlaps_its_own_repeat(spark):
+    docs = spark.createDataFrame([(1, "a\na\na\na\nz", "w", 1, "p", 2)], SCHEMA)
+    assert [r.kept for r in dedup_lines(docs).collect()] == ["a\nz"]
+
+
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
