@@ -175,7 +175,7 @@ WITH units AS (
          octet_length(encode(l[i])) AS size
   FROM units
 ), later AS (
-  SELECT doc_id, i, coalesce(before, 0) AS a, coalesce(before, 0) + size AS b FROM words WHERE len(w) >= 5
+  SELECT doc_id, i, coalesce(before, 0) AS a, coalesce(before, 0) + size AS b FROM words WHERE len(w) >= 1
   QUALIFY row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, i) > 1
 ), lists AS (
   SELECT doc_id, list(i) AS gone, string_agg(a || '-' || b, ',' ORDER BY i) AS removed FROM later GROUP BY doc_id

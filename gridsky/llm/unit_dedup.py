@@ -5,10 +5,11 @@ normalised (lower case, each run of white space one space, none at the ends) and
 Equal digests are grouped by an aggregate with a map side; the occurrence of the
 lowest rank stays and all others go, with their byte offsets in the original
 text. The rank is (``rank_col`` if given, id, hash of id and text, position), nulls last. Units of fewer
-than ``min_words`` words are never compared: short ones repeat by chance.
+than ``min_words`` words are never compared; by default that leaves out blank ones only.
 
 A unit that a third of the texts share leaves a task as one row; the join that finds its
-other occurrences has two plain exchanges, so it can be split there.
+other occurrences has two plain exchanges, so it can be split there. Texts meet their lists of
+removed units in one exchange by (id, text), at every size alike.
 
 Cases: null and empty texts have no units; rows that repeat in id and text are
 the same document, and all get the same result; ties in ``rank_col`` go by id; an empty
@@ -26,9 +27,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsky.llm.common import KEY, as_text, cast_back, checked_broadcast, keyed_texts, small_batches, staged, utf8
+from gridsky.llm.common import KEY, as_text, cast_back, keyed_texts, small_batches, staged, utf8
 
-MIN_WORDS = 5
+#: Words that a unit must have to be compared; blank units never are.
+MIN_WORDS = 1
 #: What separates units, as bytes.
 SEPARATORS = {"line": rb"\n", "paragraph": rb"\n[\x20\x09\x0B-\x0D]*\n"}
 
@@ -72,7 +74,8 @@ def removed_units(
                     if digest:
                         for column, value in zip(columns, (i, r, k1, k2, begin, end, digest)):
                             column.append(value)
-            yield pd.DataFrame(dict(zip(("id", "r", "k1", "k2", "begin", "end", "u"), columns)))
+            if columns[0]:
+                yield pd.DataFrame(dict(zip(("id", "r", "k1", "k2", "begin", "end", "u"), columns)))
 
     rows = texts.where("text <> ''").select(*as_text("id", "r"), *KEY, "text")
     found = rows.mapInPandas(scan, "id string, r string, k1 long, k2 long, begin long, end long, u binary")
@@ -107,7 +110,7 @@ def dedup_units(
     gone = removed_units(docs, id_col, text_col, unit, min_words, rank_col)
     lists = staged(gone.groupBy(*KEY).agg(F.collect_set("begin").alias("begins")), "units-removed")
     texts = keyed_texts(docs, id_col, text_col)
-    joined = texts.join(checked_broadcast(lists, "begins"), KEY, "left").select(*as_text("id"), "text", "begins")
+    joined = texts.join(lists.hint("merge"), KEY, "left").select(*as_text("id"), "text", "begins")
     names = [id_col, "n_bytes", "n_units", "n_removed", "removed", "kept_sha256", "kept"][: 6 + with_kept]
 
     def cut(batches):

@@ -92,3 +92,17 @@ def test_paragraphs():
 
 def test_empty_table(spark):
     assert dedup_units(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("parts, min_words", [(1, 5), (3, 3), (1, 1)])
+def test_short_units_only(spark, parts, min_words):
+    """No unit, or none of a whole partition, is long enough."""
+    rows = [(k, "menu home") for k in range(5)] + [(9, "one two three"), (10, "one two three")] * (parts > 1)
+    docs = frame(spark, rows).repartitionByRange(parts, "doc_id")
+    assert sorted(repr(tuple(r)) for r in dedup_units(docs, min_words=min_words).collect()) == brute(rows, min_words)
+
+
+def test_the_query_compares_units_of_one_word(spark):
+    rows = [(1, "menu\n\nHome"), (2, "home\n\n \nmenu"), (3, "MENU")]
+    got = {r.doc_id: (r.n_removed, r.kept) for r in dedup_units(frame(spark, rows)).collect()}
+    assert got == {1: (0, "menu\n\nHome"), 2: (2, "\n "), 3: (1, "")}
