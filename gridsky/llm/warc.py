@@ -2,8 +2,9 @@
 
 Records are range-sorted by (page id, url, payload digest) and each range is written by one
 task as a run of gzip files, one member per record, that roll at a compressed
-size. The ranges come from exact counts over fixed cuts of the id space, so the
-same pages always give the same files, byte for byte. Headers, lengths and
+size. The ranges come from exact sums: the space of keys is divided byte by byte wherever
+more than a range lies, in ids, then urls, then digests, so crowded ids and far
+ones make no difference, and the same pages always give the same files, byte for byte. Headers, lengths and
 digests are made anew from the payload.
 
 Of records with equal payloads of at least ``min_revisit`` bytes, the one that sorts first
@@ -31,12 +32,14 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsky.llm.common import as_text, cast_back, small_batches, staged, text_or_empty, utf8
@@ -45,8 +48,8 @@ from gridsky.llm.common import as_text, cast_back, small_batches, staged, text_o
 ROLL_BYTES = 8 << 20
 #: Payload bytes that a range holds, about; one page may hold more.
 RANGE_BYTES = 64 << 20
-#: Cuts of the id space that are counted; the counts are all that reaches the driver.
-CUTS = 1 << 14
+#: Ranges of an archive, at most; beyond, each holds more.
+MOST_RANGES = 100_000
 #: The same date in each record, so that the bytes depend on the pages alone.
 DATE = "2024-01-01T00:00:00Z"
 MANIFEST = "manifest"
@@ -142,37 +145,72 @@ def _place(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path)
 
 
-def _ranges(rows: DataFrame, cuts: int, range_bytes: int) -> tuple[DataFrame, int]:
-    """Add ``range``: a number that rises with the page id and holds about ``range_bytes``.
+@dataclass(frozen=True)
+class Cell:
+    """Keys that begin with ``prefix``: their bytes, and how many leading bytes all of them share."""
 
-    Returns the rows and the number of ranges.
+    prefix: bytes
+    weight: int
+    shared: int
+    single: bool
 
-    The id space between the least and the greatest id is cut evenly; the bytes in
-    each cut are counted. A cut too large for one range is divided by the payload's digest:
-    ids that crowd there, or one id with many rows, spread over as many ranges as they need.
+
+def _key() -> Column:
+    """Binary, in the order of (id with nulls last, url, payload digest)."""
+    sign = F.lit(-(1 << 63)).cast("long")
+    number = F.lpad(F.hex(F.col("id").bitwiseXOR(sign)), 16, "0")
+    ident = F.when(F.col("id").isNull(), F.lit("01")).otherwise(F.concat(F.lit("00"), number))
+    return F.unhex(F.concat(ident, F.hex(F.col("url").cast("binary")), F.lit("00"), F.col("sha")))
+
+
+def _common(a: bytes, b: bytes) -> int:
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def _divided(keys: DataFrame, cells: list[Cell], limit: int) -> list[Cell]:
+    """The cells with those above the limit divided by the first byte in which their keys differ."""
+    starts = [c.prefix for c in cells]
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[bytes, list] = {}
+        for batch in batches:
+            for key, weight in zip(batch["key"], batch["weight"]):
+                cell = cells[bisect_right(starts, key) - 1]
+                if cell.weight > limit and not cell.single:
+                    own = found.setdefault(key[: cell.shared + 1], [0, key, key])
+                    own[0] += weight
+                    own[1], own[2] = min(own[1], key), max(own[2], key)
+        yield pd.DataFrame([(p, *own) for p, own in found.items()], columns=["prefix", "weight", "low", "high"])
+
+    made = keys.mapInPandas(weigh, "prefix binary, weight long, low binary, high binary")
+    made = made.groupBy("prefix").agg(F.sum("weight").alias("weight"), F.min("low").alias("low"), F.max("high").alias("high"))
+    kept = [c for c in cells if c.weight <= limit or c.single]
+    children = [
+        Cell(bytes(r.prefix), r.weight, _common(bytes(r.low), bytes(r.high)), bytes(r.low) == bytes(r.high)) for r in made.collect()
+    ]
+    return sorted(kept + children, key=lambda c: c.prefix)
+
+
+def _range_starts(keys: DataFrame, range_bytes: int) -> list[bytes]:
+    """The keys at which ranges of about ``range_bytes`` begin, from exact sums.
+
+    Only cells that are too large are divided further, so what reaches the driver are at most 256 sums for each range.
     """
-    ends = rows.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    lo, hi = ends.lo or 0, ends.hi or 0
-    step = max(1, -(-(hi - lo + 1) // cuts))
-    # Null ids have a cut of their own, after the others.
-    cut = F.coalesce(F.floor((F.col("id") - F.lit(lo)) / F.lit(step)), F.lit(cuts + 1)).cast("int")
-    rows = rows.withColumn("cut", cut)
-    counted = rows.groupBy("cut").agg(F.sum(F.col("bytes") + 512).alias("bytes")).collect()
-    table, at, held = [], 0, 0
-    for r in sorted(counted, key=lambda r: r.cut):
-        if held and held + r.bytes > range_bytes:
-            at, held = at + 1, 0
-        pieces = -(-r.bytes // range_bytes)
-        table.append((r.cut, at, pieces))
-        if pieces > 1:
-            at, held = at + pieces, 0
-        else:
-            held += r.bytes
-    spark = rows.sparkSession
-    # At most cuts + 1 rows.
-    cuts_table = F.broadcast(spark.createDataFrame(table, "cut int, at int, pieces int"))
-    piece = F.pmod(F.conv(F.substring("sha", 1, 8), 16, 10).cast("long"), F.col("pieces")).cast("int")
-    return rows.join(cuts_table, "cut").withColumn("range", F.col("at") + piece), at + 1
+    whole = keys.agg(F.sum("weight").alias("weight"), F.min("key").alias("low"), F.max("key").alias("high")).first()
+    if whole.weight is None:
+        return [b""]
+    limit = max(range_bytes, whole.weight // MOST_RANGES)
+    low, high = bytes(whole.low), bytes(whole.high)
+    cells = [Cell(b"", whole.weight, _common(low, high), low == high)]
+    while any(c.weight > limit and not c.single for c in cells):
+        cells = _divided(keys, cells, limit)
+    starts, held = [b""], 0
+    for cell in cells:
+        if held and held + cell.weight > limit:
+            starts.append(cell.prefix)
+            held = 0
+        held += cell.weight
+    return starts
 
 
 def write_warc(
@@ -184,7 +222,6 @@ def write_warc(
     min_revisit: int = 0,
     roll_bytes: int = ROLL_BYTES,
     range_bytes: int = RANGE_BYTES,
-    cuts: int = CUTS,
 ) -> None:
     """Write the pages as an archive under ``path``."""
     spark = pages.sparkSession
@@ -211,12 +248,18 @@ def write_warc(
         .select("sha", "bytes", "n", F.col("first.id").alias("first_id"), F.col("first.url").alias("first_url"))
     )
     groups = staged(groups, "warc-groups")
-    ranged, count = _ranges(rows, cuts, range_bytes)
-    linked = ranged.join(groups, ["sha", "bytes"], "left")
+    weights = staged(rows.select(_key().alias("key"), (F.col("bytes") + 512).alias("weight")), "warc-keys")
+    starts = _range_starts(weights, range_bytes)
+
+    @F.pandas_udf("int")
+    def range_of(keys: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(starts, k) - 1 for k in keys], dtype="int32")
+
+    linked = rows.withColumn("range", range_of(_key())).join(groups, ["sha", "bytes"], "left")
     # Rows that repeat in id, url and payload are numbered by the writer, which sees them in a row.
     ordered = (
         linked.select("range", "id", "url", "sha", "payload", "n", "first_id", "first_url")
-        .repartitionByRange(count, "range")
+        .repartitionById(len(starts), "range")
         .sortWithinPartitions("range", F.col("id").asc_nulls_last(), "url", "sha")
         .select("range", *as_text("id"), "url", "sha", "payload", "n", *as_text("first_id"), "first_url")
     )

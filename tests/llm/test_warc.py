@@ -93,6 +93,39 @@ def test_one_id_may_hold_many_rows(spark):
     assert read_warc(spark, path, payload=False).count() == 201 and len(files(path)) > 3
 
 
+def record_ids(path):
+    raw = b"".join(gzip.decompress(x) for x in files(path).values())
+    return [int(x) for x in re.findall(rb"WARC-Record-ID: <urn:page:(-?\d+)", raw)]
+
+
+@pytest.mark.parametrize("far", [1 << 60, (1 << 63) - 1, -(1 << 63)])
+def test_ids_rise_over_all_files(spark, far):
+    """Two hundred crowded ids and one far off; the ends may be more than 2**63 apart."""
+    rows = [(k, f"http://h/{k % 7}", f"{k}" * 40) for k in range(-100, 100)] + [(far, "u", "far"), (-far - 1, "u", "far too")]
+    one, two = fresh_dir(spark, "warc"), fresh_dir(spark, "warc")
+    write_warc(frame(spark, rows).repartition(3), one, range_bytes=3000)
+    write_warc(frame(spark, rows[::-1]).repartition(7), two, range_bytes=3000)
+    assert record_ids(one) == sorted(r[0] for r in rows) and len(files(one)) > 20
+    assert files(one) == files(two)
+
+
+def test_one_crowded_id_goes_by_url_then_digest(spark):
+    rows = [(7, f"http://same.example/long/path/{k % 40:02d}", f"{k}" * 50) for k in range(400)] + [(6, "a", "x"), (8, "a", "x")]
+    path = fresh_dir(spark, "warc")
+    write_warc(frame(spark, rows).repartition(5), path, range_bytes=4000)
+    raw = b"".join(gzip.decompress(x) for x in files(path).values())
+    urls = re.findall(rb"WARC-Record-ID: <urn:page:7[:>].*?\r\nWARC-Target-URI: (.*?)\r\n", raw)
+    assert urls == sorted(urls) and len(urls) == 400 and len(files(path)) > 30
+    assert read_warc(spark, path, payload=False).count() == 402
+
+
+def test_each_range_has_its_task(spark):
+    path = fresh_dir(spark, "warc")
+    write_warc(frame(spark, [(k, "u", "x" * 900 + str(k)) for k in range(300)]), path, range_bytes=10_000)
+    manifest = read_manifest(spark, path).collect()
+    assert len({r.range for r in manifest}) > 25 and max(r.records for r in manifest) <= 2 * min(r.records for r in manifest) + 8
+
+
 def test_empty_table_and_second_write(spark):
     path = fresh_dir(spark, "warc")
     write_warc(spark.createDataFrame([], SCHEMA), path)
