@@ -158,3 +158,14 @@ def checked_broadcast(keys: DataFrame, numbers: str | None = None) -> DataFrame:
     weight = F.lit(1) if numbers is None else F.size(numbers) + 1
     size = keys.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
     return F.broadcast(keys) if size <= BROADCAST_KEYS else keys
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not in the staged table ``gone`` (id, t).
+
+    Rows travel as structs, so their own columns may have any names.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(F.col(text_col).cast("string")).alias("own_t"))
+    same = (F.col("own_t") == F.col("t")) & F.col("own_id").eqNullSafe(F.col("id"))
+    return rows.join(checked_broadcast(gone), same, "left_anti").select("row.*")

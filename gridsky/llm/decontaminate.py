@@ -42,10 +42,10 @@ from gridsky.llm.common import (
     WHITE_SPACE,
     as_text,
     cast_back,
-    checked_broadcast,
     small_batches,
     staged,
     utf8,
+    without,
     words_of,
 )
 
@@ -272,6 +272,5 @@ def drop_contaminated(
     Rows are told apart by id and text, so a clean row stays where others with its id, or none, go.
     """
     hit = _matches(docs, items, id_col, text_col, item_id, item_text, threshold, max_items, max_bytes)
-    hit = staged(hit.select(F.col("id").alias("hit_id"), F.col("t").alias("hit_t")).distinct(), "contaminated")
-    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("hit_t")) & F.col(id_col).eqNullSafe(F.col("hit_id"))
-    return docs.join(checked_broadcast(hit), same, "left_anti")
+    hit = staged(hit.select("id", "t").distinct(), "contaminated")
+    return without(docs, hit, id_col, text_col)

@@ -65,6 +65,7 @@ from gridsky.llm.common import (
     staged_at,
     utf8,
     width,
+    without,
     words_of,
 )
 
@@ -534,10 +535,8 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     key = F.struct(F.col("id").isNull().alias("unknown"), "id", "t")
     first = staged(rows.groupBy("root").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")), "join-first")
     grouped = rows.join(first.where("n > 1"), "root")
-    gone = grouped.where(key != F.col("first")).select(F.col("id").alias("gone_id"), F.col("t").alias("gone_t"))
-    gone = staged(gone.distinct(), "join-gone")
-    same = (F.xxhash64(F.col(text_col).cast("string")) == F.col("gone_t")) & F.col(id_col).eqNullSafe(F.col("gone_id"))
-    left = docs.join(checked_broadcast(gone), same, "left_anti")
+    gone = staged(grouped.where(key != F.col("first")).select("id", "t").distinct(), "join-gone")
+    left = without(docs, gone, id_col, text_col)
     again = rows.groupBy("root", "id", "t").count().where("count > 1")
     return left if again.isEmpty() else _without_repeats(left, again, id_col, text_col)
 
