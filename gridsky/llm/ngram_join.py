@@ -78,6 +78,10 @@ PIECE_BITS = 16
 BAND = 1.34
 #: First combinations that a set knows when pairs are met.
 KNOWN = 16
+#: Kinds of index rows: the set itself, a rare token, a pair of frequent tokens.
+SET, RARE, PAIR = 0, 1, 2
+#: Steps of sizes that go with a token: similar sets are at most NEAR steps of this factor apart.
+STEP, NEAR = 1.05, 7
 #: Shingles that a task gathers before it hands on their counts.
 GATHER = 1_000_000
 
@@ -311,7 +315,7 @@ class Join:
         self.known = spark.sparkContext.broadcast(_frequent(counted, bits))
 
     def _signed(self) -> DataFrame:
-        """sig, d, about, pair: what each set is indexed by; ``about`` packs n, rest and mixed."""
+        """sig, d, about, pair: what each set is indexed by, and a row without ``pair`` for the set itself; ``about`` packs n, rest and mixed."""
         flags, bits = self.known, self.bits
 
         def scan(batches):
@@ -326,47 +330,46 @@ class Join:
                         continue
                     seen.add(d)
                     rare, pairs, rest, mixed = signatures(s, _is_frequent(s, known, bits))
-                    for sigs, pair in ((rare, False), (pairs, True)):
+                    one = np.zeros(1, dtype=np.uint64)
+                    for sigs, kind in ((one, SET), (rare, RARE), (pairs, PAIR)):
                         if len(sigs):
-                            parts.append((sigs.view(np.int64), d, _pack(len(s), rest, mixed), pair))
+                            parts.append((sigs.view(np.int64), d, _pack(len(s), rest, mixed), kind))
                 counts = [len(p[0]) for p in parts]
                 yield pd.DataFrame(
                     {
                         "sig": np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64),
                         **{
                             name: np.repeat(np.array([p[k] for p in parts], dtype=kind), counts)
-                            for k, (name, kind) in enumerate((("d", np.int64), ("about", np.int64), ("pair", bool)), 1)
+                            for k, (name, kind) in enumerate((("d", np.int64), ("about", np.int64), ("kind", np.int8)), 1)
                         },
                     }
                 )
 
-        schema = "sig long, d long, about long, pair boolean"
-        signed, self.signed_at = staged_at(self.texts.select("text").mapInPandas(scan, schema), "join-signatures")
+        schema = "sig long, d long, about long, kind byte"
+        rows = self.texts.select("text").mapInPandas(scan, schema)
+        pair = F.when(F.col("kind") != SET, F.col("kind") == PAIR)
+        signed, self.signed_at = staged_at(rows.select("sig", "d", "about", pair.alias("pair")), "join-signatures")
         return signed
 
     def _rare_pairs(self, signed: DataFrame) -> DataFrame:
         """Pairs that share rare prefix tokens and can still be similar."""
         # One exchange, by the token, serves the removal of copies and both sides of the join. It
-        # carries more rows than any other, so its partitions are made smaller.
+        # carries more rows than any other, so they are narrow (of a set's size only a step) and
+        # its partitions are made smaller.
         parts = 3 * width(signed.sparkSession)
-        rare = signed.where("NOT pair").drop("pair").repartition(parts, "sig").distinct()
+        step = F.floor(F.log(_unpacked("about")[0]) / math.log(STEP)).cast("short")
+        rare = signed.where("NOT pair").select("sig", "d", step.alias("step")).repartition(parts, "sig").distinct()
         a, b = rare.alias("a"), rare.alias("b")
         met = a.join(
-            b,
-            (F.col("a.sig") == F.col("b.sig"))
-            & (F.col("a.d") < F.col("b.d"))
-            & _sizes_allow(_unpacked("a.about")[0], _unpacked("b.about")[0]),
-        )
-        counted = (
-            met.select(
-                F.col("a.d").alias("a"), F.col("b.d").alias("b"), F.col("a.about").alias("about_a"), F.col("b.about").alias("about_b")
-            )
-            .groupBy("a", "b", "about_a", "about_b")
-            .agg(F.count(F.lit(1)).alias("shared"))
+            b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.d") < F.col("b.d")) & (F.abs(F.col("a.step") - F.col("b.step")) <= NEAR)
         )
+        counted = met.select(F.col("a.d").alias("a"), F.col("b.d").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+        about = signed.where("pair IS NULL").groupBy("d").agg(F.min("about").alias("about"))
+        for side in "ab":
+            counted = counted.join(about.select(F.col("d").alias(side), F.col("about").alias(f"about_{side}")), side)
         (n_a, *rest_a), (n_b, *rest_b) = _unpacked("about_a"), _unpacked("about_b")
         bound = overlap_bound(F.col("shared"), *rest_a, *rest_b)
-        return counted.where(bound >= _needed(n_a, n_b)).select("a", "b")
+        return counted.where(_sizes_allow(n_a, n_b) & (bound >= _needed(n_a, n_b))).select("a", "b")
 
     def _cores(self, pairs: DataFrame) -> DataFrame:
         """The core of each combination and band of sizes: sig, near (the band), core.
