@@ -330,6 +330,16 @@ _STATEMENTS = {
     "stream_energy_weather": f"{_ENERGY_WEATHER} FROM energy_weather_analytics",
 }
 
+# The series as read from the store's own format, and kept on a stream.
+_STATEMENTS["series_from_annotated"] = _STATEMENTS["series_range"]
+_STATEMENTS["stream_series_last"] = _STATEMENTS["series_last"]
+
+# Questions in SQL, with other arguments than the defaults.
+_STATEMENTS["sql_recent_days"] = _STATEMENTS["recent_days"].replace("GENERADOR 2", "GENERADOR 3")
+_STATEMENTS["sql_latest_weather"] = _LATEST_WEATHER.format("solar")
+_STATEMENTS["sql_hourly_profile"] = _STATEMENTS["hourly_profile"].replace("'mall'", "'solar'")
+_STATEMENTS["sql_daily_change"] = _STATEMENTS["daily_change"]
+
 # The same questions asked of stored tables.
 _STATEMENTS["serving_recent_days"] = _STATEMENTS["recent_days"]
 _STATEMENTS["serving_latest_weather"] = _STATEMENTS["latest_weather_mall"]

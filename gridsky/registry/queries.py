@@ -32,10 +32,13 @@ from gridsky.operators.series import (
 )
 from gridsky.operators.weather_docs import flatten_weather
 from gridsky.plans import dashboard
+from gridsky.functions.timing import WATERMARK
 from gridsky.plans.job import job_tables
+from gridsky.plans.questions import register_questions
 from gridsky.registry import views
 from gridsky.session import apply_runtime, fresh_dir, streaming_session
-from gridsky.schemas import EVENT_TIME, KEYS
+from gridsky.schemas import EVENT_TIME, KEYS, SERIES_KEY, SERVING
+from gridsky.sources.annotated import annotated_rows, annotated_tables, read_answers, series_from_annotated
 from gridsky.sources.commits import read_commit
 from gridsky.sources.tables import (
     append_batch,
@@ -44,10 +47,12 @@ from gridsky.sources.tables import (
     read_days,
     read_live,
     read_serving,
+    register_serving,
     write_serving,
 )
 from gridsky.streaming.batch import fold_days
 from gridsky.streaming.job import await_all, run_batch, start_job, start_tables
+from gridsky.streaming.latest import LatestSink, read_latest, stream_latest
 from gridsky.streaming.sinks import TableSink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +347,58 @@ def _job_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "item string, messages long")
 
 
+def _series_from_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store's answer for every series and day, landed as annotated CSV and read back."""
+    work = fresh_dir(spark, "annotated")
+    ranged = _hydro_range(Tables(spark, sf_dir))
+    daily = ranged.withColumn("day", F.to_date("_time").cast("string"))
+    answers = annotated_tables(daily, (*SERIES_KEY, "_start", "_stop", "day"))
+    answers.write.text(work)
+    return tidy(series_from_annotated(annotated_rows(read_answers(spark, work))))
+
+
+def _asked(table_function: str, *tables: str, digits: int = 6) -> Query:
+    """The stored tables, asked in SQL with a bound argument."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = fresh_dir(spark, "questions")
+        t = Tables(spark, sf_dir)
+        built = {"energy_weather_analytics": "energy_weather"}
+        for name in SERVING:
+            rows = getattr(t, built.get(name, name))
+            write_serving(rows if name in tables else rows.limit(0), f"{root}/{name}", name)
+        # Views and functions of a session of their own, so that they change no one else's.
+        session = spark.newSession()
+        apply_runtime(session)
+        register_serving(session, root)
+        register_questions(session)
+        return tidy(session.sql(f"SELECT * FROM {table_function}"), digits)
+
+    return run
+
+
+def _stream_series_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windowed means of a stream, then their newest row per series, kept as state; taken in with one restart."""
+    session = streaming_session(apply_runtime(spark), STATE_PARTITIONS)
+    work = fresh_dir(spark, "latest")
+    views.sentinels(session).write.parquet(f"{work}/sentinels")
+    events = views.events_stream(session, sf_dir).unionByName(views.events_stream_at(session, f"{work}/sentinels"))
+    series = views.series_raw(events).withWatermark("_time", WATERMARK)
+    ranged = series_range(series, NOW, HYDRO_WEEK.lookback, HYDRO.bucket, HYDRO.field)
+    means = series_window_mean(ranged, HYDRO.every)
+    landing = means.writeStream.format("parquet").option("path", f"{work}/means")
+    landing.option("checkpointLocation", f"{work}/cp-means").trigger(availableNow=True).start().awaitTermination()
+    stored = spark.read.schema(means.schema).parquet(f"{work}/means")
+    for half in (0, 1):
+        part = stored.filter(F.pmod(F.xxhash64("_time"), F.lit(2)) == half)
+        part.write.mode("append").parquet(f"{work}/halves")
+        landed = session.readStream.schema(means.schema).parquet(f"{work}/halves").filter("_value IS NOT NULL")
+        newest = stream_latest(landed, HYDRO.last_by, ("_time", "ID")).writeStream.outputMode("update")
+        newest = newest.option("checkpointLocation", f"{work}/cp-newest").trigger(availableNow=True)
+        newest.foreachBatch(LatestSink(f"{work}/newest")).start().awaitTermination()
+    return tidy(read_latest(spark.read.parquet(f"{work}/newest")))
+
+
 def _current_with_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the rows arrives after its day was published."""
     points = Tables(spark, sf_dir).point_data_by_event
@@ -372,6 +429,7 @@ def all_queries() -> dict[str, Query]:
         "series_range": _over(_hydro_range),
         "series_window_mean": _over(_hydro_means),
         "series_last": _over(lambda t: series_last(_hydro_means(t), HYDRO.last_by)),
+        "series_from_annotated": _series_from_annotated,
         "site_readings_hydro": _site(HYDRO_WEEK),
         "site_readings_solar": _site(SOLAR),
         "site_readings_mall": _site(MALL),
@@ -417,6 +475,11 @@ def all_queries() -> dict[str, Query]:
         ),
         "serving_recent_balance": _served("energy_analytics", dashboard.recent_balance),
         "serving_with_late_rows": _current_with_late_rows,
+        # the dashboard in SQL
+        "sql_recent_days": _asked("recent_days('GENERADOR 3')", "point_data"),
+        "sql_latest_weather": _asked("latest_weather('solar')", "weather_data"),
+        "sql_hourly_profile": _asked("hourly_profile('solar')", "weather_data", "energy_analytics", digits=8),
+        "sql_daily_change": _asked("daily_change()", "energy_analytics"),
         # the job as a batch
         "batch_upsert": _batch_upsert,
         "batch_upsert_buckets": _batch_upsert_buckets,
@@ -428,5 +491,6 @@ def all_queries() -> dict[str, Query]:
         "stream_point_data": _replay("point_data"),
         "stream_weather_data": _replay("weather_data"),
         "stream_energy_analytics": _replay("energy_analytics"),
+        "stream_series_last": _stream_series_last,
         "stream_energy_weather": _replay("energy_weather_analytics"),
     }
