@@ -337,7 +337,7 @@ _STATEMENTS["stream_series_last"] = _STATEMENTS["series_last"]
 # Questions in SQL, with other arguments than the defaults.
 _STATEMENTS["sql_recent_days"] = _STATEMENTS["recent_days"].replace("GENERADOR 2", "GENERADOR 3")
 _STATEMENTS["sql_latest_weather"] = _LATEST_WEATHER.format("solar")
-_STATEMENTS["sql_hourly_profile"] = _STATEMENTS["hourly_profile"].replace("'mall'", "'solar'")
+_STATEMENTS["sql_hourly_profile"] = _STATEMENTS["hourly_profile"].replace("'mall'", "'solar'").replace(", 8)", ", 10)")
 _STATEMENTS["sql_daily_change"] = _STATEMENTS["daily_change"]
 
 # The same questions asked of stored tables.

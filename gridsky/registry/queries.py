@@ -478,7 +478,7 @@ def all_queries() -> dict[str, Query]:
         # the dashboard in SQL
         "sql_recent_days": _asked("recent_days('GENERADOR 3')", "point_data"),
         "sql_latest_weather": _asked("latest_weather('solar')", "weather_data"),
-        "sql_hourly_profile": _asked("hourly_profile('solar')", "weather_data", "energy_analytics", digits=8),
+        "sql_hourly_profile": _asked("hourly_profile('solar')", "weather_data", "energy_analytics", digits=10),
         "sql_daily_change": _asked("daily_change()", "energy_analytics"),
         # the job as a batch
         "batch_upsert": _batch_upsert,
