@@ -86,13 +86,15 @@ def latest_weather(weather_data: DataFrame, place: str) -> DataFrame:
 
 
 def latest_weather_stored(weather_data: DataFrame, known_days: DataFrame, place: str) -> DataFrame:
-    """``latest_weather`` of a stored table: day by day from the newest, until the place is found.
+    """``latest_weather`` of a stored table: the newest day, then spans of twice as many, until the place is found.
 
-    Most often that is one day's folder; no day is read that is older than needed.
+    Most often that is one day's folder. A place that is found late, or never, costs a job for each doubling.
     """
     days = sorted((r.day for r in known_days.collect()), reverse=True)
-    for day in days:
-        own = weather_data.filter(F.col("day") == F.lit(day)).drop("day")
+    span = 1
+    while days:
+        newest, days, span = days[:span], days[span:], 2 * span
+        own = weather_data.filter(F.col("day").between(F.lit(newest[-1]), F.lit(newest[0]))).drop("day")
         if not own.filter(F.col("place") == F.lit(place)).isEmpty():
             return latest_weather(own, place)
     return latest_weather(weather_data.drop("day").limit(0), place)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from urllib.parse import quote
@@ -91,13 +91,22 @@ def _base(root: str, table: str, part: str, version: str) -> str:
     return f"{root}/{table}/part={quote(part, safe='')}/version={version}"
 
 
-def write_part(rows: DataFrame, root: str, table: str, part: str, version: str) -> list[str]:
+def write_part(
+    rows: DataFrame,
+    root: str,
+    table: str,
+    part: str,
+    version: str,
+    order: Sequence[str] = (),
+    options: dict[str, str] | None = None,
+) -> list[str]:
     """Write a part, which has a column ``day``, to folders of its own, and tell its days.
 
-    It becomes visible when a commit that names it (``with_part``) is published.
+    The rows of a file go by ``order``; ``options`` are the writer's. The part becomes visible when a commit that names it (``with_part``) is published.
     """
     path = _base(root, table, part, version)
-    rows.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    ordered = rows.hint("rebalance", "day").sortWithinPartitions("day", *order)
+    ordered.write.options(**(options or {})).partitionBy("day").parquet(path)
     return [n[4:] for n in files.names(rows.sparkSession, path) if n.startswith("day=")]
 
 

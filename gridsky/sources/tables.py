@@ -9,6 +9,7 @@ so a filter on ``day`` prunes folders before rows are compared.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -17,7 +18,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
@@ -26,7 +27,16 @@ from gridsky.operators.keyed import latest_by_key
 from gridsky.operators.partials import merged_energy_analytics, merged_energy_weather
 from gridsky.schemas import EVENT_TIME, KEYS, SERVING
 from gridsky.sources import files
-from gridsky.sources.commits import Commit, commit_numbers, read_commit, read_parts
+from gridsky.sources.commits import (
+    Commit,
+    commit_numbers,
+    expire,
+    new_version,
+    publish,
+    read_commit,
+    read_parts,
+    write_part,
+)
 
 _DAY = StructField("day", DateType())
 _WRITE = [StructField("run", IntegerType()), StructField("batch", LongType())]
@@ -133,19 +143,135 @@ def read_live(
 ) -> DataFrame:
     """The newest write per key of a live table, with its ``day``.
 
-    With ``days`` only their folders are listed and read.
+    With ``days`` only their folders are listed and read. Of compacted days the writes that went into them are left out.
     """
     schema = StructType([*SERVING[table].fields, _DAY, *_WRITE])
-    if days is not None and not days:
+    commit = read_commit(spark, _compacted(path))
+    compacted = read_parts(spark, commit, ROWS, commit.parts(ROWS, days))
+    found = [] if compacted is None else [compacted.select(*schema.names)]
+    wanted = None if days is None else [d for d in days if files.names(spark, f"{path}/day={d}")]
+    if wanted is None and (compacted is None or files.names(spark, path)):
+        folders = [path]
+    else:
+        folders = [f"{path}/day={d}" for d in wanted or ()]
+    if folders:
+        stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        found.append(stored if compacted is None else _newer(stored, commit))
+    if not found:
         return spark.createDataFrame([], schema).drop("run", "batch")
-    folders = [path] if days is None else [f"{path}/day={d}" for d in days]
-    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
     # ``day`` follows from the key; naming it lets filters on it reach the scan.
-    return latest_by_key(stored, ("day", *KEYS[table]), ("run", "batch")).drop("run", "batch")
+    newest = latest_by_key(reduce(DataFrame.unionByName, found), ("day", *KEYS[table]), ("run", "batch"))
+    return newest.drop("run", "batch")
+
+
+#: The table of a compacted live form, and the write up to which each of its days goes.
+ROWS, UPTO = "rows", "upto"
+
+
+def _compacted(live: str) -> str:
+    return f"{live}_compacted"
+
+
+def _upto(commit: Commit) -> dict[str, tuple[int, int]]:
+    """The write up to which each day is compacted."""
+    return {d: max((int(r), int(b)) for r, b in own.items()) for d, own in commit.tables.get(UPTO, {}).items()}
+
+
+def _newer(stored: DataFrame, commit: Commit) -> DataFrame:
+    """Writes that are not compacted yet."""
+    rows = [(date.fromisoformat(d), *w) for d, w in _upto(commit).items()]
+    marks = stored.sparkSession.createDataFrame(rows, "done date, done_run int, done_batch long")
+    after = F.struct("run", "batch") > F.struct("done_run", "done_batch")
+    # One row for each day.
+    joined = stored.join(F.broadcast(marks), F.col("day") == F.col("done"), "left")
+    return joined.filter(F.col("done").isNull() | after).select(*stored.columns)
+
+
+def compact_live(spark: SparkSession, live: str, table: str, first: str, last: str) -> list[date]:
+    """Put the days ``first`` to ``last`` of a live table into few files, and tell which had new writes.
+
+    The days become visible in their compacted form by one commit; writes that come later count as before. The
+    many small folders stay until ``expire_live``, for readers that have listed them.
+    """
+    commit = read_commit(spark, _compacted(live))
+    done = _upto(commit)
+    noted = _batches(spark, live).filter(days_between(first, last))
+    newest = noted.groupBy("day").agg(F.max(F.struct("run", "batch")).alias("upto")).collect()
+    marks = {r.day: (r.upto.run, r.upto.batch) for r in newest if done.get(str(r.day), (-1, -1)) < (r.upto.run, r.upto.batch)}
+    if not marks:
+        return []
+    rows = read_live(spark, live, table, sorted(marks))
+    upto = spark.createDataFrame([(d, *w) for d, w in marks.items()], StructType([_DAY, *_WRITE]))
+    version = new_version()
+    tagged = rows.join(F.broadcast(upto), "day").select(*rows.columns, "run", "batch")
+    days = write_part(tagged, commit.root, ROWS, "live", version, clustering(table), bloom_options(table))
+    tables = {name: dict(own) for name, own in commit.tables.items()}
+    # A day whose writes were all empty has no rows, and is done all the same.
+    for day, (run, batch) in marks.items():
+        tables.setdefault(UPTO, {})[str(day)] = {str(run): str(batch)}
+        tables.setdefault(ROWS, {}).pop(str(day), None)
+    for day in days:
+        tables[ROWS][day] = {"live": version}
+    publish(spark, Commit(commit.root, commit.number, tables))
+    return sorted(marks)
+
+
+def expire_live(spark: SparkSession, live: str, grace_ms: int = 3_600_000) -> int:
+    """Delete folders and notes that compaction has replaced, ``grace_ms`` after their last change.
+
+    The grace is for readers that listed them before. Of the notes, the newest of each day stays. Returns how many were deleted.
+    """
+    commit, limit = read_commit(spark, _compacted(live)), time.time_ns() // 1_000_000 - grace_ms
+    done = _upto(commit)
+    gone = []
+    for day, upto in done.items():
+        for run in files.names(spark, f"{live}/day={day}"):
+            for batch in files.names(spark, f"{live}/day={day}/{run}"):
+                if run.startswith("run=") and (int(run[4:]), int(batch[6:])) <= upto:
+                    gone.append(f"{live}/day={day}/{run}/{batch}")
+    notes = _batches(spark, live)
+    newest = F.max(F.struct("run", "batch")).over(Window.partitionBy("day"))
+    live_note = (F.struct("run", "batch") == F.col("newest")) | ~F.col("day").isin([date.fromisoformat(d) for d in done])
+    kept = notes.withColumn("newest", newest).filter(live_note).select("run", "batch").distinct()
+    needed = {(r.run, r.batch) for r in kept.collect()}
+    for run in files.names(spark, f"{live}_batches"):
+        for batch in files.names(spark, f"{live}_batches/{run}"):
+            if run.startswith("run=") and (int(run[4:]), int(batch[6:])) not in needed:
+                gone.append(f"{live}_batches/{run}/{batch}")
+    old = [path for path in gone if files.modified(spark, path) <= limit]
+    for path in old:
+        files.delete(spark, path)
+    return len(old) + len(expire(spark, commit.root, keep=1, tables=[ROWS]) if grace_ms <= 0 or old else [])
+
+
+def compact_days(spark: SparkSession, path: str) -> int:
+    """Put the notes on the days of a serving table into one. Returns how many there were."""
+    notes = [n for n in files.names(spark, f"{path}_days") if n.startswith("write=")]
+    if len(notes) > 1:
+        _forget_days(spark, path, ())
+    return len(notes)
+
+
+#: How the rows of a day lie in their files: what questions ask for stands together, so that row
+#: groups without it are skipped by their statistics, and by a Bloom filter on the columns of BLOOM.
+CLUSTERED = {"point_data": ("place", "id", "time_stamp"), "weather_data": ("place", "time_stamp")}
+BLOOM = {"point_data": ("id",)}
+
+
+def clustering(table: str) -> tuple[str, ...]:
+    return CLUSTERED.get(table, (EVENT_TIME[table],) if table in EVENT_TIME else ())
+
+
+def bloom_options(table: str) -> dict[str, str]:
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in BLOOM.get(table, ())}
 
 
 def write_serving(
-    rows: DataFrame, path: str, table: str, touched: Sequence[date] | None = None
+    rows: DataFrame,
+    path: str,
+    table: str,
+    touched: Sequence[date] | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write ``rows``, one per key, as a plain day-partitioned table.
 
@@ -159,9 +285,10 @@ def write_serving(
     days = Observation()
     (
         by_day(source.observe(days, F.collect_set("day").alias("days")))
-        .sortWithinPartitions("day", EVENT_TIME[table])
+        .sortWithinPartitions("day", *clustering(table))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .options(**bloom_options(table), **(options or {}))
         .partitionBy("day")
         .parquet(path)
     )

@@ -28,7 +28,7 @@ from gridsky.operators.partials import energy_partials, merge_partials, weather_
 from gridsky.operators.records import point_data, weather_data
 from gridsky.schemas import KEYS, SERVING
 from gridsky.sources.commits import Commit, new_version, publish, read_commit, read_parts, write_part
-from gridsky.sources.tables import one_per_key, with_day
+from gridsky.sources.tables import bloom_options, clustering, one_per_key, with_day
 
 #: The part that holds days folded from several loads, and the list of loads that went into it.
 FOLDED = "_folded"
@@ -101,7 +101,9 @@ def run_batch(
             return write_part(with_day(rows, name), out, table, load, version)
         if table == name:
             rows = one_per_key(points(kind, stored), name, ("arrival",))
-            return write_part(with_day(rows, name), out, table, load, version)
+            return write_part(
+                with_day(rows, name), out, table, load, version, clustering(name), bloom_options(name)
+            )
         sums = (energy_partials if kind == "energy" else weather_partials)(split_marked(stored).records)
         return write_part(sums.withColumn("day", F.to_date("window_start")), out, table, load, version)
 
@@ -155,7 +157,7 @@ def fold_days(spark: SparkSession, out: str, days: Iterable[date]) -> int:
             rows = merge_partials(rows)
         else:
             rows = latest_by_key(rows, ("day", *KEYS[table]), ("arrival",))
-        written = write_part(rows, out, table, FOLDED, version)
+        written = write_part(rows, out, table, FOLDED, version, clustering(table), bloom_options(table))
         tables = {**done.tables, table: {**done.tables[table], **{d: {FOLDED: version} for d in written}}}
         noted = {d: dict(p) for d, p in done.tables.get(FOLDED, {}).items()}
         for d, p in shares.items():

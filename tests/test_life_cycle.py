@@ -1,0 +1,146 @@
+"""Compaction of live tables and notes, data skipping, and questions that look back."""
+
+from __future__ import annotations
+
+import glob
+import os
+from datetime import date, datetime, timedelta
+
+import pyarrow.parquet as pq
+import pytest
+
+from gridsky.plans import dashboard
+from gridsky.schemas import KEYS
+from gridsky.sources.tables import (
+    append_batch,
+    compact_days,
+    compact_live,
+    expire_live,
+    publish_days,
+    read_current,
+    read_days,
+    read_live,
+    read_serving,
+    write_serving,
+)
+from tests.conftest import rows_of
+
+POINT = "time_stamp timestamp, id string, place string, generation boolean, type_gen string, kwh double"
+
+
+def points(spark, *rows):
+    """(day, id, kwh) as point rows at noon."""
+    made = [(datetime(2024, 1, d, 12), i, "hydro", True, "-", v) for d, i, v in rows]
+    return spark.createDataFrame(made, POINT)
+
+
+def held(path):
+    return [p for p in glob.glob(f"{path}/**/*.parquet", recursive=True) if os.path.isfile(p)]
+
+
+def test_many_batches_leave_few_files(spark, tmp_path):
+    live = str(tmp_path / "point_data")
+    for batch in range(24):
+        append_batch(points(spark, (1 + batch % 3, f"g{batch % 4}", float(batch))), live, "point_data", 0, batch)
+    before = rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"])
+    assert len(held(live)) == 24
+    assert compact_live(spark, live, "point_data", "2024-01-01", "2024-01-02") == [date(2024, 1, 1), date(2024, 1, 2)]
+    assert compact_live(spark, live, "point_data", "2024-01-01", "2024-01-02") == []
+    assert rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"]) == before
+    # Nothing is deleted within the grace; the state is the same before and after.
+    assert expire_live(spark, live) == 0 and len(held(live)) == 24
+    assert expire_live(spark, live, grace_ms=-10_000) > 24
+    assert len(held(live)) == 8 and len(held(f"{live}_compacted")) <= 4
+    assert len(glob.glob(f"{live}_batches/run=0/batch=*")) == 10
+    assert rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"]) == before
+    for days in ([date(2024, 1, 1)], [date(2024, 1, 3)], [date(2024, 1, 2), date(2024, 1, 3)], []):
+        got = read_live(spark, live, "point_data", days)
+        assert rows_of(got, *KEYS["point_data"]) == [r for r in before if r[0][:10] in map(str, days)]
+
+
+def test_writes_after_compaction_count(spark, tmp_path):
+    live = str(tmp_path / "point_data")
+    append_batch(points(spark, (1, "a", 1.0), (1, "b", 2.0)), live, "point_data", 0, 0)
+    compact_live(spark, live, "point_data", "2024-01-01", "2024-01-01")
+    append_batch(points(spark, (1, "a", 9.0), (2, "a", 3.0)), live, "point_data", 0, 1)
+    # The first batch, replayed, still loses to what was written later.
+    append_batch(points(spark, (1, "a", 1.0), (1, "b", 2.0)), live, "point_data", 0, 0)
+    assert [r[-2] for r in rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"])] == [9.0, 2.0, 3.0]
+    compact_live(spark, live, "point_data", "2024-01-01", "2024-01-02")
+    expire_live(spark, live, grace_ms=-10_000)
+    assert held(live) == []
+    assert [r[-2] for r in rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"])] == [9.0, 2.0, 3.0]
+    append_batch(points(spark, (1, "b", 7.0)), live, "point_data", 1, 0)
+    assert [r[-2] for r in rows_of(read_live(spark, live, "point_data"), *KEYS["point_data"])] == [9.0, 7.0, 3.0]
+
+
+def test_published_days_see_late_rows_of_a_compacted_table(spark, tmp_path):
+    live, serving = str(tmp_path / "live"), str(tmp_path / "serving")
+    for d in (1, 2, 3):
+        append_batch(points(spark, (d, "a", float(d))), live, "point_data", 0, d)
+    publish_days(spark, live, serving, "point_data", "2024-01-01", "2024-01-02")
+    compact_live(spark, live, "point_data", "2024-01-01", "2024-01-03")
+    expire_live(spark, live, grace_ms=-10_000)
+    append_batch(points(spark, (1, "b", 8.0)), live, "point_data", 0, 4)
+    current = read_current(spark, live, serving, "point_data", "2024-01-03")
+    assert sorted(r.kwh for r in current.collect()) == [1.0, 2.0, 3.0, 8.0]
+    publish_days(spark, live, serving, "point_data", "2024-01-01", "2024-01-01")
+    assert sorted(r.kwh for r in read_current(spark, live, serving, "point_data", "2024-01-03").collect()) == [1.0, 2.0, 3.0, 8.0]
+
+
+def test_notes_of_a_serving_table_become_one(spark, tmp_path):
+    path = str(tmp_path / "point_data")
+    for d in (1, 2, 3):
+        write_serving(points(spark, (d, "a", 1.0)), path, "point_data")
+    days = sorted(r.day for r in read_days(spark, path).collect())
+    assert compact_days(spark, path) == 3 and compact_days(spark, path) == 1
+    assert sorted(r.day for r in read_days(spark, path).collect()) == days
+
+
+def scanned(frame):
+    """Rows that the scans of an executed frame have given."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    rows = 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if "Stage" in leaf.nodeName():
+            inner = leaf.plan().collectLeaves()
+            leaf = inner.apply(0)
+        if leaf.metrics().contains("numOutputRows"):
+            rows += leaf.metrics().apply("numOutputRows").value()
+    return rows
+
+
+def test_one_generator_reads_few_row_groups(spark, tmp_path):
+    path = str(tmp_path / "point_data")
+    start = datetime(2024, 1, 1)
+    rows = [(start + timedelta(seconds=k), f"GENERADOR {k % 40}", ("hydro", "solar")[k % 2], True, "-", float(k)) for k in range(40_000)]
+    frame = spark.createDataFrame(rows, POINT).repartition(3)
+    small = {"parquet.block.size": "16384", "parquet.page.size": "4096", "parquet.block.size.row.check.min": "100", "parquet.page.size.row.check.min": "100"}
+    write_serving(frame, path, "point_data", options=small)
+    groups = sum(pq.ParquetFile(f).metadata.num_row_groups for f in held(path))
+    assert groups > 10
+    one = read_serving(spark, path, "point_data").filter("place = 'hydro' AND id = 'GENERADOR 2'").select("kwh")
+    assert one.count() == 1000
+    assert scanned(one) < 0.3 * len(rows)
+    # An id that lies between those of a row group is told by the Bloom filter alone.
+    none = read_serving(spark, path, "point_data").filter("id = 'GENERADOR 25x'").select("kwh")
+    assert none.count() == 0 and scanned(none) == 0
+
+
+@pytest.mark.parametrize("place, asked", [("new", 1), ("old", 4), ("nowhere", 4)])
+def test_looking_back_takes_a_job_for_each_doubling(spark, tmp_path, monkeypatch, place, asked):
+    path = str(tmp_path / "weather_data")
+    rows = [(datetime(2024, 1, d, 10), "old" if d == 1 else "new", float(d), 1.0, 0.0, 0.0) for d in range(1, 13)]
+    frame = spark.createDataFrame(rows, "time_stamp timestamp, place string, temp double, dew_point double, uvi double, clouds double")
+    write_serving(frame, path, "weather_data")
+    stored, looked = read_serving(spark, path, "weather_data"), []
+    known = type(stored).isEmpty
+    monkeypatch.setattr(type(stored), "isEmpty", lambda self: looked.append(1) or known(self))
+    got = dashboard.latest_weather_stored(stored, read_days(spark, path), place).collect()
+    assert [r.temperature for r in got] == {"new": [12.0], "old": [1.0], "nowhere": []}[place]
+    assert len(looked) == asked
