@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import os
 import zlib
 from collections import Counter
 
@@ -37,6 +40,37 @@ def test_law_sizes_and_slots(spark):
     assert 40 < sum(r.grown_shard == 40 for r in got) < 120
 
 
+def descended(key, leaves):
+    """The shard of a key, by a second descent: at each level the child with the least draw."""
+    chosen = [("", leaves)]
+    for name in (lambda x: x.region, lambda x: x.rack, lambda x: f"{x.rack}/s{x.shard}"):
+        children = {}
+        for leaf in chosen[0][1]:
+            children.setdefault(name(leaf), []).append(leaf)
+        draws = []
+        for child, own in children.items():
+            bits = int(hashlib.md5(f"{key}|{child}".encode()).hexdigest()[:13], 16)
+            draws.append((-math.log((bits + 0.5) / 2**52) / sum(x.weight for x in own), child, own))
+        chosen = [min(draws)[1:]]
+    return chosen[0][1][0].shard
+
+
+def test_every_row_against_a_second_descent(spark):
+    sf = "/root/testdata/sf0.001/documents.parquet"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(sf).select("doc_id", "text").collect()] if os.path.exists(sf) else []
+    rows += [(k * 7919 - 5000, "x") for k in range(300)] + [(None, "n"), (None, None), (-1, "ä"), (-1, "ä")]
+    tree = HashTree.uniform()
+    got = shard_documents(frame(spark, rows).repartition(3)).collect()
+    want = Counter()
+    for i, text in rows:
+        key = "null" if i is None else str(i)
+        raw = (text or "").encode()
+        want[i, len(raw) + 16, zlib.crc32(raw), descended(key, tree.leaves), descended(key, tree.grown().leaves)] += 1
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.grown_shard) for r in got) == want
+    sizes = Counter(r.shard for r in got)
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
+
+
 def test_weights_set_the_shares_and_confine_movement(spark):
     rows = spark.range(6000).selectExpr("cast(id as string) as key")
     leaves = tuple(Leaf(f"r{s // 4}", f"r{s // 4}/k{s // 2}", s) for s in range(8))

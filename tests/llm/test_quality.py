@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 
 import numpy as np
 import pytest
 
-from gridsky.llm.quality_fm import FactorisationMachine, features, fit, keep_good, score_documents
+from gridsky.llm.quality_fm import FactorisationMachine, features, fit, keep_good, score_documents, train
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, n_chars long, score string, label string, predicted string"
@@ -50,6 +51,25 @@ def test_held_out_rows_are_scored_well(spark):
     assert {r.doc_id: r.score for r in score_documents(docs.repartition(5), labels).collect()} == {r.doc_id: r.score for r in rows}
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="shared tables not present")
+def test_every_score_against_sums_over_pairs(spark):
+    """The whole query, scored anew: each document by all pairs of its features, labels from their own file."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = train(docs, labels)
+    got = {r.doc_id: r for r in score_documents(docs, labels).collect()}
+    rows = docs.select("doc_id", "text", "n_chars").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        index, x = features(r.text, (r.n_chars,))
+        vectors = model.v[index].astype(float) * x[:, None]
+        gram = vectors @ vectors.T
+        raw = model.w0 + float(model.w[index].astype(float) @ x) + float(np.triu(gram, 1).sum())
+        score = 1 / (1 + math.exp(-max(-500.0, min(500.0, raw))))
+        row = got[r.doc_id]
+        assert abs(row.score - score) < 1e-3 and row.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert row.predicted == int(row.score >= 0.5)
+
+
 def test_edge_cases(spark):
     rows = [(i, f"fine words number {i}", 10) if i % 2 else (i, "### $$$ !!!", 5) for i in range(40)]
     rows += [(100, None, None), (101, "", 0), (None, "no id", 3), (102, "long " * 50_000, 250_000), (1, rows[1][1], 10)]
