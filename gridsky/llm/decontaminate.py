@@ -58,7 +58,9 @@ THRESHOLD = 0.5
 K1, B = 1.2, 0.75
 #: Items in one block of the index.
 BLOCK = 8
-#: Bounds of one broadcast part of the index.
+#: Passages of a text that are bounded at once.
+WINDOW = 512
+#: Bounds of one broadcast part of the index. Its size follows its postings, of which there are as many as words at most.
 MAX_ITEMS, MAX_BYTES = 2000, 8 << 20
 
 Shingle = tuple[bytes, ...]
@@ -115,31 +117,43 @@ class BlockIndex:
             for w, x in weight.items():
                 t = self.terms.setdefault(w, len(self.terms))
                 postings.setdefault(t, []).append((at, x / mass))
-        # The last row is for words that no item has.
-        self.maxima = np.zeros((len(self.terms) + 1, self.blocks), dtype=np.float32)
+        #: For each block, the items of each word in it, and the largest impact that the word has there.
         self.postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(self.blocks)]
+        self.tops: list[dict[int, float]] = [{} for _ in range(self.blocks)]
         for t, found in postings.items():
             for at, x in found:
                 self.postings[at // BLOCK].setdefault(t, []).append((at, x))
-                self.maxima[t, at // BLOCK] = max(self.maxima[t, at // BLOCK], x)
+                self.tops[at // BLOCK][t] = max(self.tops[at // BLOCK].get(t, 0.0), x)
+        # Block maxima as rows of (block, impact), one run for each word: as many as postings at most. The last
+        # run, of words that no item has, is empty.
+        entries = sorted((t, block, most) for block, own in enumerate(self.tops) for t, most in own.items())
+        self.starts = np.searchsorted([t for t, _, _ in entries], np.arange(len(self.terms) + 2))
+        self.block_of = np.array([block for _, block, _ in entries], dtype=np.int64)
+        self.most = np.array([most for _, _, most in entries], dtype=np.float64)
 
     def bounds(self, chunks: Sequence[np.ndarray]) -> np.ndarray:
         """For every chunk, given as distinct terms, the bound of each block."""
-        starts = np.cumsum([0] + [len(c) for c in chunks[:-1]])
-        return np.add.reduceat(self.maxima[np.concatenate(chunks)], starts)
+        terms = np.concatenate(chunks)
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        owner = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
+        # Places of all runs, one after the other.
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1]) + np.repeat(self.starts[terms] - ends + sizes, sizes)
+        cells = np.repeat(owner, sizes) * self.blocks + self.block_of[places]
+        return np.bincount(cells, self.most[places], len(chunks) * self.blocks).reshape(len(chunks), self.blocks)
 
     def walk(self, block: int, terms: Sequence[int], threshold: float) -> list[int]:
         """Items of a block that reach the threshold, by falling block maximum of the terms."""
-        own = self.postings[block]
-        cursors = sorted((t for t in terms if t in own), key=lambda t: -self.maxima[t, block])
-        left = float(sum(self.maxima[t, block] for t in cursors))
+        own, tops = self.postings[block], self.tops[block]
+        cursors = sorted((t for t in terms if t in own), key=lambda t: -tops[t])
+        left = sum(tops[t] for t in cursors)
         scores: dict[int, float] = {}
         for t in cursors:
             new = left + 1e-6 >= threshold  # an item not seen so far could still reach it
             for at, x in own[t]:
                 if new or at in scores:
                     scores[at] = scores.get(at, 0.0) + x
-            left -= float(self.maxima[t, block])
+            left -= tops[t]
         return [at for at, s in scores.items() if s >= threshold]
 
     def search(self, text: str | None, threshold: float = THRESHOLD) -> dict[int, list[int]]:
@@ -149,24 +163,28 @@ class BlockIndex:
             return {}
         n, none = self.chunk, len(self.terms)
         get = self.terms.get
-        pieces = [words[i : i + n] for i in range(0, len(words), n)]
-        chunks = [np.fromiter({get(w, none) for w in set(p)}, dtype=np.int64) for p in pieces]
-        bounds = self.bounds(chunks)
-        if len(pieces) > 1:
-            bounds = bounds[:-1] + bounds[1:]
+        count = -(-len(words) // n)
         found: dict[int, list[int]] = {}
-        # The bound is a sum of float32, hence the margin.
-        for at, block in zip(*np.nonzero(bounds >= threshold - 1e-3)):
-            both = chunks[at : at + 2]
-            terms = set(np.concatenate(both).tolist()) - {none}
-            cache: dict[int, set[Shingle]] = {}
-            passage = words[at * n : (at + 2) * n]
-            for item in self.walk(int(block), list(terms), threshold):
-                question, answer = self.parts[item]
-                q, a = question.hits(cache, passage), answer.hits(cache, passage)
-                if question.enough(q) and answer.enough(a):
-                    best = found.setdefault(item, [0, 0, 0])
-                    found[item] = [best[0] + 1, max(best[1], q), max(best[2], a)]
+        # A passage is two neighbouring chunks; a long text is searched window by window, which share a chunk.
+        for first in range(0, max(1, count - 1), WINDOW):
+            last = min(count, first + WINDOW + 1)
+            chunks = [
+                np.fromiter({get(w, none) for w in set(words[k * n : (k + 1) * n])}, dtype=np.int64) for k in range(first, last)
+            ]
+            bounds = self.bounds(chunks)
+            if count > 1:
+                bounds = bounds[:-1] + bounds[1:]
+            # The bound is a sum of rounded numbers, hence the margin.
+            for at, block in zip(*np.nonzero(bounds >= threshold - 1e-3)):
+                terms = set(np.concatenate(chunks[at : at + 2]).tolist()) - {none}
+                cache: dict[int, set[Shingle]] = {}
+                passage = words[(first + at) * n : (first + at + 2) * n]
+                for item in self.walk(int(block), list(terms), threshold):
+                    question, answer = self.parts[item]
+                    q, a = question.hits(cache, passage), answer.hits(cache, passage)
+                    if question.enough(q) and answer.enough(a):
+                        best = found.setdefault(item, [0, 0, 0])
+                        found[item] = [best[0] + 1, max(best[1], q), max(best[2], a)]
         return found
 
 
