@@ -316,12 +316,16 @@ _STATEMENTS = {
     "serving_with_late_rows": """
   SELECT time_stamp, id, place, generation, type_gen, round(kwh, 6) AS kwh FROM point_data""",
     "stream_job": """
-  SELECT 'point_data' AS table_name, count(DISTINCT (date_trunc('milliseconds', time_stamp), place, id)) AS rows
-  FROM point_data
+  SELECT 'point_data' AS table_name, count(*) AS rows, round(sum(kwh), 6) AS total
+  FROM (SELECT arg_max(value, event_id) AS kwh FROM energy_record GROUP BY date_trunc('milliseconds', ts), place, id)
   UNION ALL
-  SELECT 'weather_data', count(DISTINCT (date_trunc('milliseconds', time_stamp), place)) FROM weather_data
-  UNION ALL SELECT 'energy_analytics', count(*) FROM energy_analytics
-  UNION ALL SELECT 'energy_weather_analytics', count(*) FROM energy_weather_analytics""",
+  SELECT 'weather_data', count(*), round(sum(figures), 6)
+  FROM (SELECT arg_max(temp + dew_point + uvi + clouds, event_id) AS figures
+        FROM weather_record GROUP BY date_trunc('milliseconds', ts), place)
+  UNION ALL SELECT 'energy_analytics', count(*), round(sum(kwh_prod + kwh_cons), 6) FROM energy_analytics
+  UNION ALL
+  SELECT 'energy_weather_analytics', count(*), round(sum(kwh_prod_with_rain_prob + kwh_prod_with_no_rain_prob), 6)
+  FROM energy_weather_analytics""",
     "stream_point_data": f"{_POINTS} FROM point_data",
     "stream_weather_data": f"""
   SELECT date_trunc('milliseconds', time_stamp) AS time_stamp, place, {_WEATHER_COLUMNS}

@@ -260,7 +260,7 @@ def _replay(table: str) -> Query:
 
 
 def _stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four tables in one job, each message parsed once: rows by table."""
+    """All four tables in one job, each message parsed once: rows by table, and the total of their figures."""
     session = streaming_session(apply_runtime(spark), STATE_PARTITIONS)
     work = fresh_dir(spark, "job")
     energy, weather = _stream_inputs(session, sf_dir, work)
@@ -269,10 +269,16 @@ def _stream_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         _energy_messages(energy), _weather_messages(weather), sink, f"{work}/checkpoints", available_now=True
     )
     await_all(running.values())
+    figures = {
+        "point_data": "kwh",
+        "weather_data": "temp + dew_point + uvi + clouds",
+        "energy_analytics": "kwh_prod + kwh_cons",
+        "energy_weather_analytics": "kwh_prod_with_rain_prob + kwh_prod_with_no_rain_prob",
+    }
     counted = [
         _before_sentinels(read_live(spark, sink.path(t), t), t)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(t).alias("table_name"), "rows")
+        .agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.expr(figures[t])), 6).alias("total"))
+        .select(F.lit(t).alias("table_name"), "rows", "total")
         for t in KEYS
     ]
     return reduce(DataFrame.unionByName, counted)
