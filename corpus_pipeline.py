@@ -5,6 +5,11 @@ classifier rejects, keep one document of each near-duplicate group, drop documen
 that hold benchmark items, mix the domains to target weights, and deal what is
 left into shards. ``run`` applies them to the table ``documents``, staging each
 result as Parquet in the shared working folder.
+
+Cases: a null or empty text is scored like any other, belongs to no group and holds no item; null ids are rows of their
+own, told apart by their texts; of rows that repeat in id and text one stays after the second stage; an
+empty table runs through to an empty result with the columns of the last stage; other columns pass through all stages but
+the last, whatever their names.
 """
 
 from __future__ import annotations
