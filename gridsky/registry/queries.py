@@ -62,6 +62,8 @@ NOW = datetime(2024, 1, 31)
 STATE_PARTITIONS = 4
 # Arrivals of a later load.
 LATER = 1_000_000_000
+# Tables of one landed answer, which a task reads whole.
+ANSWER_TABLES = 64
 HYDRO, SOLAR, MALL = SITES
 # Half an hour of the fixture holds one reading at most; a week makes a result.
 HYDRO_WEEK = replace(HYDRO, lookback=timedelta(days=7))
@@ -359,7 +361,7 @@ def _series_from_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranged = _hydro_range(Tables(spark, sf_dir))
     daily = ranged.withColumn("day", F.to_date("_time").cast("string"))
     answers = annotated_tables(daily, (*SERIES_KEY, "_start", "_stop", "day"))
-    answers.write.text(work)
+    answers.write.option("maxRecordsPerFile", ANSWER_TABLES).text(work)
     return tidy(series_from_annotated(annotated_rows(read_answers(spark, work))))
 
 

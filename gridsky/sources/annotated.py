@@ -14,6 +14,10 @@ from gridsky.schemas import SERIES
 
 #: Columns that a table may have, at most; a wider one raises an error.
 COLUMNS = 64
+#: Records of a table that are typed together; a long table is dealt out in such slices.
+SLICE = 1000
+#: Records that a written table has, about; a group of more is told in several tables.
+RECORDS = 5000
 #: Fixed by the format: names of the annotations.
 ANNOTATIONS = ("datatype", "group", "default")
 _CELLS = ", ".join(f"c{k} string" for k in range(COLUMNS + 1))
@@ -22,7 +26,9 @@ _CELLS = ", ".join(f"c{k} string" for k in range(COLUMNS + 1))
 def _cells(line: Column) -> Column:
     """The cells of a CSV line, without quotes; empty ones, and those it does not have, are null."""
     parsed = F.from_csv(line, _CELLS, {"quote": '"', "escape": '"'})
-    return F.array(*[parsed[f"c{k}"] for k in range(COLUMNS + 1)])
+    # Bound as a variable, the line is parsed once, not once per cell.
+    cells = F.transform(F.array(parsed), lambda row: F.array(*[row[f"c{k}"] for k in range(COLUMNS + 1)]))
+    return F.get(cells, F.lit(0))
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
@@ -37,6 +43,7 @@ def annotated_rows(answers: DataFrame) -> DataFrame:
 
     ``fields`` maps columns to text, with defaults filled in; ``datatypes`` maps them to the types that the
     store gives; ``group`` lists the columns of the group key. Tables without records, and those that report an error, give no rows.
+    A task cuts an answer into slices of its tables, each with its header; the slices are dealt out, and read apart.
     """
     body = F.regexp_replace("body", "\r\n?", "\n")
     # An annotation below a record begins a table, also without a blank line.
@@ -49,17 +56,30 @@ def annotated_rows(answers: DataFrame) -> DataFrame:
         return _cells(F.get(F.filter("lines", lambda t: t.startswith(f"#{name}")), F.lit(0))).alias(name)
 
     notes = [note(name) for name in ANNOTATIONS]
-    tables = lines.select(
-        "answer", "block", *notes, _cells(F.get(records, F.lit(0))).alias("header"), F.posexplode(records).alias("line", "record")
-    ).filter("line > 0")
+    tables = lines.select("answer", "block", *notes, records.alias("records")).filter(F.size("records") > 1)
+    header = _cells(F.get("records", F.lit(0)))
     wide = F.raise_error(F.lit(f"a table of {COLUMNS} columns at most is read"))
+    tables = tables.withColumn("header", header)
     tables = tables.withColumn("header", F.when(F.get("header", F.lit(COLUMNS)).isNotNull(), wide).otherwise(F.col("header")))
     tables = tables.filter(~F.array_contains(F.array_compact("header"), "error"))
     # Places of the columns that have a name; of equal names the first counts.
     places = F.filter(
         F.sequence(F.lit(0), F.lit(COLUMNS - 1)), lambda k: F.array_position("header", F.get("header", k)) == k + 1
     )
-    told = tables.withColumns({"cells": _cells(F.col("record")), "places": places})
+    # The lines from the header down, in slices.
+    slices = F.transform(
+        F.sequence(F.lit(1), F.size("records") - 1, F.lit(SLICE)),
+        lambda k: F.struct(k.alias("first"), F.slice("records", k + 1, F.lit(SLICE)).alias("records")),
+    )
+    dealt = (
+        tables.withColumn("places", places)
+        .select("answer", "block", *ANNOTATIONS, "header", "places", F.explode(slices).alias("slice"))
+        .repartition("answer", "block", "slice.first")
+    )
+    told = dealt.select(
+        "answer", "block", *ANNOTATIONS, "header", "places", "slice.first",
+        F.posexplode(F.transform("slice.records", _cells)).alias("at", "cells"),
+    )
 
     def named(value) -> Column:
         return F.map_from_arrays(F.transform("places", lambda k: F.get("header", k)), F.transform("places", value))
@@ -67,7 +87,7 @@ def annotated_rows(answers: DataFrame) -> DataFrame:
     return told.select(
         "answer",
         "block",
-        "line",
+        (F.col("first") + F.col("at")).alias("line"),
         named(lambda k: F.coalesce(F.get("cells", k), F.get("default", k))).alias("fields"),
         named(lambda k: F.get("datatype", k)).alias("datatypes"),
         F.transform(
@@ -90,28 +110,36 @@ def series_from_annotated(rows: DataFrame, bucket: str | None = None) -> DataFra
     return rows.select(*[c.alias(n) for n, c in columns.items()], *bounds)
 
 
-def annotated_tables(readings: DataFrame, group: tuple[str, ...]) -> DataFrame:
+def annotated_tables(readings: DataFrame, group: tuple[str, ...], records: int = RECORDS) -> DataFrame:
     """``value``: the text of one table per ``group``, as the store would answer; the inverse of ``annotated_rows``.
 
-    Columns of the group have the same value throughout a table, and stand in its defaults only.
+    Columns of the group have the same value throughout a table, and stand in its defaults only. A group of more than
+    ``records`` readings is dealt out by their hash to tables of about so many, so that no task holds it; equal readings stay together.
     """
     kinds = {"timestamp": "dateTime:RFC3339", "double": "double", "bigint": "long", "string": "string", "boolean": "boolean"}
+    types = dict(readings.dtypes)
 
-    def cell(name: str) -> Column:
-        value = F.col(name)
-        if dict(readings.dtypes)[name] == "timestamp":
+    def cell(name: str, value: Column) -> Column:
+        if types[name] == "timestamp":
             value = F.date_format(F.to_utc_timestamp(value, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         text = F.coalesce(value.cast("string"), F.lit(""))
         return F.when(text.rlike('[",\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
 
     rest = [c for c in readings.columns if c not in group]
     columns = [*group, *rest]
+    keys = [f"g{k}" for k in range(len(group))]
+    record = F.concat_ws(",", *[F.lit("")] * (len(group) + 1), *[cell(c, F.col(c)) for c in rest])
+    rows = readings.select(*[F.col(c).alias(k) for c, k in zip(group, keys)], record.alias("record"))
+    rows = rows.withColumn("hash", F.xxhash64(F.lit(0), *keys))
+    # Groups that share a hash are counted together, which only makes their tables smaller.
+    crowded = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > records)
+    parts = F.coalesce(F.ceil(F.col("n") / records), F.lit(1))
+    dealt = rows.join(crowded, "hash", "left").withColumn("part", F.pmod(F.xxhash64("record"), parts))
+    tables = dealt.groupBy(*keys, "part").agg(F.concat_ws("\n", F.collect_list("record")).alias("records"))
     notes = {
-        "datatype": F.lit(",".join(kinds[dict(readings.dtypes)[c]] for c in columns)),
+        "datatype": F.lit(",".join(kinds[types[c]] for c in columns)),
         "group": F.lit(",".join("true" if c in group else "false" for c in columns)),
-        "default": F.concat_ws(",", *[cell(c) for c in group], *[F.lit("")] * len(rest)),
+        "default": F.concat_ws(",", *[cell(c, F.col(k)) for c, k in zip(group, keys)], *[F.lit("")] * len(rest)),
     }
-    record = F.concat_ws(",", *[F.lit("")] * (len(group) + 1), *[cell(c) for c in rest])
-    tables = readings.groupBy(*group).agg(F.concat_ws("\n", F.collect_list(record)).alias("records"))
     head = [F.concat(F.lit(f"#{name},"), text) for name, text in notes.items()]
     return tables.select(F.concat_ws("\n", *head, F.lit("," + ",".join(columns)), "records", F.lit("")).alias("value"))

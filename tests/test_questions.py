@@ -135,3 +135,31 @@ def test_answers_hold_what_was_asked(spark, tmp_path):
     back = series_from_annotated(annotated_rows(read_answers(spark, str(tmp_path / "out"))))
     assert back.columns == ranged.columns
     assert sorted(map(repr, back.collect())) == sorted(map(repr, ranged.collect()))
+
+
+def test_a_long_table_is_read_by_many_tasks(spark):
+    body = ",result,x\n" + "\n".join(f",r,{k}" for k in range(20_500)) + "\n\n,result,y\n,r,z\n"
+    frame = spark.createDataFrame([("a", body)], "answer string, body string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = annotated_rows(frame).select("block", "line", "fields", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted((r.line, r.fields["x"]) for r in rows if r.block == 0) == [(k + 1, str(k)) for k in range(20_500)]
+    assert [(r.line, r.fields) for r in rows if r.block == 1] == [(1, {"result": "r", "y": "z"})]
+    assert len({r.task for r in rows}) > 1
+
+
+def test_a_large_group_is_told_in_several_tables(spark):
+    rows = [(s, k % 600, None if k % 7 == 0 else k % 600 / 3) for s in ("a", None) for k in range(700)] + [("b", 1, 1.0)]
+    frame = spark.createDataFrame(rows, "ID string, n long, _value double")
+    tables = [r.value for r in annotated_tables(frame, ("ID",), records=100).collect()]
+    sizes = [t.count("\n") - 4 for t in tables]
+    assert sum(sizes) == len(rows) and max(sizes) < 200 and min(sizes) == 1
+    read = annotated_rows(spark.createDataFrame([(str(k), t) for k, t in enumerate(tables)], "answer string, body string"))
+    back = read.selectExpr("fields.ID", "cast(fields.n AS long)", "cast(fields._value AS double)").collect()
+    assert sorted(map(repr, map(tuple, back))) == sorted(map(repr, rows))
+    # Without a limit reached, each group is one table.
+    assert annotated_tables(frame, ("ID",)).count() == 3
+    assert annotated_tables(frame, ()).count() == 1
