@@ -8,6 +8,7 @@ log. So no document is lost, and none comes twice, though the service answers di
 from __future__ import annotations
 
 import json
+import math
 import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -79,7 +80,8 @@ class DocumentReader(DataSourceStreamReader):
 
     def __init__(self, poll: Poll, places: Sequence[str], folder: str, every_ms: int):
         self.poll, self.places, self.folder, self.every_ms = poll, tuple(places), folder, every_ms
-        self.announced = 0.0
+        # The clock's zero is any time: none has been announced yet.
+        self.announced = -math.inf
 
     def initialOffset(self) -> dict:
         return {"poll": 0}
