@@ -74,7 +74,7 @@ def annotated_rows(answers: DataFrame) -> DataFrame:
     dealt = (
         tables.withColumn("places", places)
         .select("answer", "block", *ANNOTATIONS, "header", "places", F.explode(slices).alias("slice"))
-        .repartition("answer", "block", "slice.first")
+        .hint("rebalance")
     )
     told = dealt.select(
         "answer", "block", *ANNOTATIONS, "header", "places", "slice.first",
